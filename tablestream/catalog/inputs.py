@@ -33,6 +33,17 @@ def record_line(stream, record: Column, **extra: Column) -> Column:
     return _message("RECORD", stream, {"record": record, **extra})
 
 
+def record_line_raw(stream, record_json: Column, **extra: Column) -> Column:
+    """RECORD message around a record given as JSON *text* (kept verbatim, so
+    ``122.0`` stays a number; a VARIANT round trip would print ``122``)."""
+    s = F.lit(stream) if isinstance(stream, str) else stream
+    parts = [F.lit('{"type":"RECORD","stream":'), json_scalar(s), F.lit(',"record":'), record_json]
+    for k, c in extra.items():
+        parts.append(F.when(c.isNotNull(), F.concat(F.lit(f',"{k}":'), json_scalar(c))).otherwise(F.lit("")))
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
+
+
 def schema_line(stream, schema: dict, keys: list[str]) -> Column:
     # The schema is a fixed text; it is spliced in as raw JSON.
     body = json.dumps({"type": "SCHEMA", "stream": "__S__", "schema": schema, "key_properties": keys})

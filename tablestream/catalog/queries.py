@@ -138,9 +138,11 @@ def unnest_lines(spark, d):
 
 
 def _mixed_log(spark, d, v: F.Column, schema_name: str = "mixed"):
+    """Records ``{"event_id": .., "v": <v>}`` with ``v`` given as JSON text (NULL = absent)."""
     ev = I.table(spark, d, "events")
-    rec = F.struct(F.col("event_id"), v.alias("v"))
-    return I.log_of(ev, F.col("event_id") * 10, I.record_line(schema_name, rec))
+    rec = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"),
+                   F.when(v.isNotNull(), F.concat(F.lit(',"v":'), v)).otherwise(F.lit("")), F.lit("}"))
+    return I.log_of(ev, F.col("event_id") * 10, I.record_line_raw(schema_name, rec))
 
 
 def _mixed_tables(spark, d, v, schema):
@@ -149,23 +151,23 @@ def _mixed_tables(spark, d, v, schema):
 
 
 def type_split(spark, d):
-    v = F.parse_json(I.mixed_json(["v_int", "v_num", "v_str", "v_bool", "v_ts"]))
+    v = I.mixed_json(["v_int", "v_num", "v_str", "v_bool", "v_ts"])
     root = _mixed_tables(spark, d, v, S.MIXED)
     return _ntz(root.select("event_id", "v__i", "v__f", "v__b", "v__s", "v__t"), "v__t")
 
 
 def int_to_number(spark, d):
     et = F.col("event_type")
-    v = F.when(et == "click", F.parse_json(F.floor("value").cast("bigint").cast("string"))) \
-         .otherwise(F.parse_json(I.json_scalar(F.col("value"))))
+    v = F.when(et == "click", F.floor("value").cast("bigint").cast("string")) \
+         .otherwise(I.json_scalar(F.col("value")))
     return _mixed_tables(spark, d, v, S.NUMBER_ONLY).select("event_id", "v")
 
 
 def default_fill(spark, d):
     eid = F.col("event_id")
     v = F.when(eid % 2 == 1, F.lit(None)) \
-         .when(eid % 4 == 2, F.parse_json(F.lit("null"))) \
-         .otherwise(F.parse_json(F.floor("value").cast("bigint").cast("string")))
+         .when(eid % 4 == 2, F.lit("null")) \
+         .otherwise(F.floor("value").cast("bigint").cast("string"))
     return _mixed_tables(spark, d, v, S.WITH_DEFAULT).select("event_id", "v")
 
 
@@ -192,8 +194,8 @@ def null_literal(spark, d):
 
 def not_null_check(spark, d):
     eid, et = F.col("event_id"), F.col("event_type")
-    v = F.when((et == "signup") & (eid % 2 == 1), F.parse_json(F.lit("null"))) \
-         .otherwise(F.parse_json(F.floor("value").cast("bigint").cast("string")))
+    v = F.when((et == "signup") & (eid % 2 == 1), F.lit("null")) \
+         .otherwise(F.floor("value").cast("bigint").cast("string"))
     log = _mixed_log(spark, d, v)
     plans = plan_tables("mixed", S.REQUIRED_V, ["event_id"])
     layouts = default_layouts(plans)
