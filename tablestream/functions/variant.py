@@ -40,32 +40,31 @@ def at(v: Column, path: tuple[str, ...]) -> Column:
     return F.try_variant_get(v, json_path(path), "variant")
 
 
-def tag(v: Column) -> Column:
-    """Bare runtime tag: BIGINT, DECIMAL, DOUBLE, BOOLEAN, STRING, VOID, ARRAY, OBJECT or NULL."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^[A-Z]+", 0)
-
-
 def json_type(v: Column) -> Column:
     """JSON Schema type name of a variant value (``null`` when absent or JSON null)."""
-    t = tag(v)
-    return (F.when(t.isin(*INTEGER_TAGS), F.lit(js.INTEGER))
-            .when(_is_whole_decimal_overflow(v, t), F.lit(js.INTEGER))
-            .when(t.isin(*NUMBER_TAGS), F.lit(js.NUMBER))
-            .when(t.isin(*BOOLEAN_TAGS), F.lit(js.BOOLEAN))
-            .when(t.isin(*STRING_TAGS), F.lit(js.STRING))
-            .when(t == "ARRAY", F.lit(js.ARRAY))
-            .when(t == "OBJECT", F.lit(js.OBJECT))
+    return json_type_of_schema(F.schema_of_variant(v))
+
+
+def json_type_of_schema(s: Column) -> Column:
+    """JSON Schema type name from a ``schema_of_variant`` string.
+
+    Callers that test the type several times should materialise ``s`` (or
+    this result) as a column first, so the schema is computed once per value.
+    A JSON integer wider than bigint parses as DECIMAL(n,0) with n > 18; it is
+    reported as an integer, so it is rejected by range rather than silently
+    stored as a number.
+    """
+    return (F.when(s.isin(*INTEGER_TAGS), F.lit(js.INTEGER))
+            .when(s.startswith("DECIMAL"),
+                  F.when(s.rlike(r"^DECIMAL\((19|[2-3][0-9]),0\)$"), F.lit(js.INTEGER)).otherwise(F.lit(js.NUMBER)))
+            .when(s.isin("DOUBLE", "FLOAT"), F.lit(js.NUMBER))
+            .when(s == "BOOLEAN", F.lit(js.BOOLEAN))
+            .when(s == "STRING", F.lit(js.STRING))
+            .when(s.startswith("ARRAY"), F.lit(js.ARRAY))
+            .when(s.startswith("OBJECT"), F.lit(js.OBJECT))
             .otherwise(F.lit(js.NULL)))
 
 
-def _is_whole_decimal_overflow(v: Column, t: Column) -> Column:
-    # A JSON integer wider than bigint parses as DECIMAL(n,0) with n > 18;
-    # treat it as an integer so it is rejected by range rather than silently
-    # stored as a number.
-    s = F.schema_of_variant(v)
-    return (t == "DECIMAL") & s.rlike(r"^DECIMAL\((19|[2-3][0-9]),0\)$")
-
-
 def as_array(v: Column) -> Column:
     """``array<variant>`` when the value is a JSON array, else NULL."""
     return F.try_variant_get(v, "$", "array<variant>")

@@ -27,7 +27,8 @@ def latest_schema(log_or_schemas: DataFrame, stream: str) -> tuple[dict, list[st
     """The newest SCHEMA message of ``stream`` (one small row to the driver)."""
     schemas = log_or_schemas
     if "line" in schemas.columns:
-        schemas = M.route(M.parse(schemas))["schemas"]
+        # only lines that can be SCHEMA messages are parsed
+        schemas = M.route(M.parse(schemas.filter(M.may_mention(F.col("line"), "SCHEMA"))))["schemas"]
     row = (schemas.filter(F.col("stream") == stream)
            .select(F.max_by(F.struct(F.to_json("schema").alias("s"), "key_properties"), "pos").alias("m"))
            .collect()[0]["m"])

@@ -49,56 +49,95 @@ def _spark_type(m: dict) -> str:
     return js.spark_type_name(m)
 
 
-def _leaf_columns(x: Column, path: tuple, alts: list[dict], layout: Layout,
-                  null_text: str | None) -> tuple[list[tuple[str, Column]], Column | None]:
-    """Columns of ``layout`` fed by the value ``x`` at ``path``, plus an 'unplaced' flag."""
-    simple = leaf_alternatives(alts)
-    default = next((a["default"] for a in alts if a.get("default") is not None), None)
-    maps = [m for m in layout.mappings if m["from"] == tuple(path)]
-    by_suffix = {js.shorthand(m): m for m in maps}
-    has_dt = any(js.is_datetime(a) for a in simple)
-    kind = V.json_type(x)
-    missing = kind == js.NULL
-
-    text = V.typed(x, js.STRING)
-    parsed = parse_datetime(text) if has_dt and "t" in by_suffix else None
-    cols: list[tuple[str, Column]] = []
-    placed: list[Column] = []
-    for suffix, m in by_suffix.items():
-        if suffix == "i":
-            val = F.when(kind == js.INTEGER, V.typed(x, js.INTEGER))
-            placed.append(kind == js.INTEGER)
-        elif suffix == "f":
-            cond = kind == js.NUMBER
-            if "i" not in by_suffix:
-                cond = cond | (kind == js.INTEGER)
-            val = F.when(cond, V.typed(x, js.NUMBER))
+class _Leaf:
+    """Per-leaf helper columns, materialised in stages so each expensive
+    expression (sub-variant copy, schema string, text, date parse) runs once."""
+
+    def __init__(self, i: int, path: tuple, alts: list[dict], layout: Layout):
+        self.i, self.path, self.alts = i, path, alts
+        self.maps = [m for m in layout.mappings if m["from"] == tuple(path)]
+        self.by_suffix = {js.shorthand(m): m for m in self.maps}
+        simple = leaf_alternatives(alts)
+        self.has_dt = any(js.is_datetime(a) for a in simple) and "t" in self.by_suffix
+        self.needs_text = "s" in self.by_suffix or self.has_dt
+        self.default = next((a["default"] for a in alts if a.get("default") is not None), None)
+        self.v, self.s, self.k = f"__v{i}", f"__s{i}", f"__k{i}"
+        self.x, self.t = f"__x{i}", f"__t{i}"
+
+    def stage_value(self, elem: Column, rel: tuple) -> list[Column]:
+        return [V.at(elem, rel).alias(self.v)] if self.maps else []
+
+    def stage_schema(self) -> list[Column]:
+        if not self.maps:
+            return []
+        out = [F.schema_of_variant(F.col(self.v)).alias(self.s)]
+        if self.needs_text:
+            out.append(V.typed(F.col(self.v), js.STRING).alias(self.x))
+        return out
+
+    def stage_kind(self) -> list[Column]:
+        if not self.maps:
+            return []
+        out = [V.json_type_of_schema(F.col(self.s)).alias(self.k)]
+        if self.has_dt:
+            out.append(parse_datetime(F.col(self.x)).alias(self.t))
+        return out
+
+    def columns(self, null_text: str | None) -> tuple[list[tuple[str, Column]], Column | None]:
+        """Layout columns fed by this leaf, plus an 'unplaced' flag."""
+        if not self.maps:
+            return [], None
+        x, kind = F.col(self.v), F.col(self.k)
+        text = F.col(self.x) if self.needs_text else None
+        parsed = F.col(self.t) if self.has_dt else None
+        missing = kind == js.NULL
+        cols: list[tuple[str, Column]] = []
+        placed: list[Column] = []
+        for suffix, m in self.by_suffix.items():
+            if suffix == "i":
+                cond = kind == js.INTEGER
+                val = F.when(cond, V.typed(x, js.INTEGER))
+            elif suffix == "f":
+                cond = kind == js.NUMBER
+                if "i" not in self.by_suffix:
+                    cond = cond | (kind == js.INTEGER)
+                val = F.when(cond, V.typed(x, js.NUMBER))
+            elif suffix == "b":
+                cond = kind == js.BOOLEAN
+                val = F.when(cond, V.typed(x, js.BOOLEAN))
+            elif suffix == "t":
+                cond = (kind == js.STRING) & parsed.isNotNull()
+                val = F.when(cond, parsed)
+            elif suffix == "s":
+                cond = kind == js.STRING
+                if parsed is not None:
+                    cond = cond & parsed.isNull()
+                val = null_literal(F.when(cond, text), null_text)
+            else:
+                continue
             placed.append(cond)
-        elif suffix == "b":
-            val = F.when(kind == js.BOOLEAN, V.typed(x, js.BOOLEAN))
-            placed.append(kind == js.BOOLEAN)
-        elif suffix == "t":
-            ok = (kind == js.STRING) & parsed.isNotNull() if parsed is not None else F.lit(False)
-            val = F.when(ok, parsed) if parsed is not None else F.lit(None)
-            placed.append(ok)
-        elif suffix == "s":
-            cond = kind == js.STRING
-            if parsed is not None:
-                cond = cond & parsed.isNull()
-            val = null_literal(F.when(cond, text), null_text)
-            placed.append(cond)
-        else:
-            continue
-        if default is not None and _default_suffix(default) == suffix:
-            val = F.when(missing, F.lit(default)).otherwise(val)
-        cols.append((m["to"], val.cast(_spark_type(m))))
-    unplaced = None
-    if maps:
+            if self.default is not None and _default_suffix(self.default) == suffix:
+                val = F.when(missing, F.lit(self.default)).otherwise(val)
+            cols.append((m["to"], val.cast(_spark_type(m))))
         ok = missing
         for p in placed:
             ok = ok | p
-        unplaced = F.when(~ok, F.lit(".".join(path)))
-    return cols, unplaced
+        return cols, F.when(~ok, F.lit(".".join(self.path)))
+
+
+def _project_leaves(df: DataFrame, keep_cols: list[Column], elem: Column, leaves: list["_Leaf"],
+                    rel_of, null_text: str | None) -> tuple[DataFrame, list[tuple[str, Column]], list[Column]]:
+    """Stage the helper columns of ``leaves`` on ``df``; return the final columns."""
+    df = df.select(*keep_cols, *[c for lf in leaves for c in lf.stage_value(elem, rel_of(lf.path))])
+    df = df.select("*", *[c for lf in leaves for c in lf.stage_schema()])
+    df = df.select("*", *[c for lf in leaves for c in lf.stage_kind()])
+    cols, flags = [], []
+    for lf in leaves:
+        c, f = lf.columns(null_text)
+        cols.extend(c)
+        if f is not None:
+            flags.append(f)
+    return df, cols, flags
 
 
 def _default_suffix(value) -> str:
@@ -140,40 +179,37 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
     for plan in plans:
         layout = layouts[plan.path]
         if plan.is_root:
-            cols, flags = [], []
-            for path, alts in plan.leaves.items():
+            cols = []
+            leaves = []
+            for i, (path, alts) in enumerate(plan.leaves.items()):
                 if len(path) == 1 and path[0] in meta:
                     for m in layout.mappings:
                         if m["from"] == path:
                             cols.append((m["to"], F.col(path[0]).cast(_spark_type(m))))
-                    continue
-                c, f = _leaf_columns(V.at(rec, path), path, alts, layout, null_text)
-                cols.extend(c)
-                if f is not None:
-                    flags.append(f)
-            df = records.select(*_order(cols, layout), *_flag(flags, with_unplaced), *keep)
+                else:
+                    leaves.append(_Leaf(i, path, alts, layout))
+            base = [F.col(c) for c in dict.fromkeys([*meta, *keep])] + [rec.alias(ELEMENT)]
+            df, lcols, flags = _project_leaves(records, base, F.col(ELEMENT), leaves,
+                                               lambda p: p, null_text)
+            df = df.select(*_order(cols + lcols, layout), *_flag(flags, with_unplaced), *keep)
         else:
             df = records.select(*carry, seq.alias(SEQUENCE), rec.alias(ELEMENT))
-            levels: list[str] = []
             for i, rel in enumerate(plan.arrays):
                 rel_in = rel if i == 0 else element_path(plan, rel)
                 lvl = LEVEL_FMT.format(i)
                 df = df.select(*[F.col(c) for c in df.columns if c != ELEMENT],
                                F.posexplode(V.as_array(V.at(F.col(ELEMENT), rel_in))).alias(lvl, ELEMENT))
                 df = df.withColumn(lvl, F.col(lvl).cast("bigint"))
-                levels.append(lvl)
-            el = F.col(ELEMENT)
-            cols, flags = [], []
+            cols = []
             for name in plan.carried:
                 for m in layout.mappings:
                     if m["from"] == (name,):
                         cols.append((m["to"], F.col(name).cast(_spark_type(m))))
-            for path, alts in plan.leaves.items():
-                c, f = _leaf_columns(V.at(el, element_path(plan, path)), path, alts, layout, null_text)
-                cols.extend(c)
-                if f is not None:
-                    flags.append(f)
-            df = df.select(*_order(cols, layout), *_flag(flags, with_unplaced))
+            leaves = [_Leaf(i, path, alts, layout) for i, (path, alts) in enumerate(plan.leaves.items())]
+            base = [F.col(c) for c in df.columns]
+            df, lcols, flags = _project_leaves(df, base, F.col(ELEMENT), leaves,
+                                               lambda p: element_path(plan, p), null_text)
+            df = df.select(*_order(cols + lcols, layout), *_flag(flags, with_unplaced))
         out[plan.path] = df
     return out
 

@@ -16,26 +16,49 @@ from ..functions.scalars import parse_datetime
 from ..plans.tables import BATCHED_AT, PRIMARY_KEY, RECEIVED_AT, SEQUENCE, TABLE_VERSION
 
 
-def latest_version_rows(records: DataFrame, carried_max: DataFrame | None = None) -> DataFrame:
+def max_versions(records: DataFrame) -> dict[str, int | None]:
+    """A2: newest version per stream - one small row per stream to the driver.
+
+    When the raw ``line`` is at hand, lines that cannot carry a ``version``
+    key are skipped before they are parsed.
+    """
+    if "line" in records.columns:
+        from ..sources.messages import may_mention
+        records = records.filter(may_mention(F.col("line"), "version"))
+    return {r["stream"]: r["max_version"] for r in
+            records.groupBy("stream").agg(F.max("version").alias("max_version")).collect()}
+
+
+def per_stream(values: dict, stream: Column | None = None) -> Column:
+    """A literal ``stream -> value`` lookup (streams are few: one SCHEMA each)."""
+    stream = F.col("stream") if stream is None else stream
+    if not values:
+        return F.lit(None)
+    pairs = []
+    for k, v in values.items():
+        pairs += [F.lit(k), F.lit(v).cast("bigint")]
+    return F.element_at(F.create_map(*pairs), stream)
+
+
+def latest_version_rows(records: DataFrame, known_max: dict[str, int | None] | None = None) -> DataFrame:
     """Keep rows whose ``version`` equals the stream's newest version.
 
     A newer version discards rows still buffered for older ones, so inside a
     batch the survivors are ``version <=> max(version)`` per stream (rows
     without a version survive only while no version was seen, Q16).
-    ``carried_max`` (``stream, max_version``) holds the maximum of earlier
-    batches; a batch whose rows are all older keeps nothing.
-    """
-    mx = records.groupBy("stream").agg(F.max("version").alias("__max"))
-    if carried_max is not None:
-        mx = mx.join(carried_max, "stream", "left").select(
-            "stream", F.greatest("__max", "max_version").alias("__max"))
-    j = records.join(mx, "stream", "left")
-    return j.filter(F.col("version").eqNullSafe(F.col("__max"))).drop("__max")
+    ``known_max`` may carry maxima already known (e.g. from earlier batches).
 
-
-def max_versions(records: DataFrame) -> DataFrame:
-    """A2: ``stream, max_version``."""
-    return records.groupBy("stream").agg(F.max("version").alias("max_version"))
+    The per-stream maxima are collected (one row per stream) and applied as
+    a literal lookup, so records are neither joined nor shuffled: a stream
+    holding a third of the rows costs nothing extra.
+    """
+    mx = max_versions(records)
+    for k, v in (known_max or {}).items():
+        if v is not None and (mx.get(k) is None or v > mx[k]):
+            mx[k] = v
+    if all(v is None for v in mx.values()):
+        return records
+    return records.filter(F.col("version").eqNullSafe(per_stream(mx)))
 
 
 def stamp(records: DataFrame, batched_at: dt.datetime, keyless: bool = False,

@@ -75,7 +75,7 @@ def route(parsed: DataFrame) -> dict[str, DataFrame]:
     m = F.col("msg")
     out = {
         "records": good.filter(F.col("type") == RECORD).select(
-            "pos", "stream",
+            "pos", "stream", "line",
             V.at(m, ("record",)).alias("record"),
             _field(m, "version", "bigint").alias("version"),
             _field(m, "sequence", "bigint").alias("sequence"),
@@ -93,11 +93,32 @@ def route(parsed: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def may_mention(line, word: str):
+    """Cheap text test: can this JSON line hold ``word`` as a key or value?
+
+    True when the word appears literally or the line has a ``\\u`` escape
+    (which could spell it).  Used as a filter *before* parsing, so lines that
+    cannot match are never parsed.
+    """
+    return line.contains(word) | line.contains("\\u")
+
+
 def orphan_records(records: DataFrame, schemas: DataFrame) -> DataFrame:
-    """RECORDs with no SCHEMA of their stream before them (S3: an error in strict mode)."""
-    first = schemas.groupBy("stream").agg(F.min("pos").alias("__first"))
-    j = records.join(first, on="stream", how="left")
-    return j.filter(F.col("__first").isNull() | (F.col("pos") < F.col("__first"))).drop("__first")
+    """RECORDs with no SCHEMA of their stream before them (S3: an error in strict mode).
+
+    The first SCHEMA position per stream is collected (one row per stream)
+    and applied as a literal lookup - no join, so a hot stream is not
+    funnelled into one task.
+    """
+    first = {r["stream"]: r["first"] for r in
+             schemas.groupBy("stream").agg(F.min("pos").alias("first")).collect()}
+    if not first:
+        return records
+    pairs = []
+    for k, v in first.items():
+        pairs += [F.lit(k), F.lit(v).cast("bigint")]
+    f = F.element_at(F.create_map(*pairs), F.col("stream"))
+    return records.filter(f.isNull() | (F.col("pos") < f))
 
 
 def schema_in_force(records: DataFrame, schemas: DataFrame, schema_id: str = "schema_id") -> DataFrame:
