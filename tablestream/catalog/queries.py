@@ -121,8 +121,8 @@ def surrogate_key(spark, d):
 
 # ------------------------------------------------------------------ flatten / type split
 
-def _orders(spark, d):
-    return tables_from_log(I.order_log(spark, d), "orders", batched_at=BATCHED_AT)
+def _orders(spark, d, materialize: bool = False):
+    return tables_from_log(I.order_log(spark, d), "orders", batched_at=BATCHED_AT, materialize=materialize)
 
 
 def flatten_objects(spark, d):
@@ -219,9 +219,9 @@ def unnest_scalars(spark, d):
     return tabs[("embeddings", "embedding")].select("_sdc_source_key_vec_id", "_sdc_level_0_id", "_sdc_value")
 
 
-def _conversations(spark, d):
+def _conversations(spark, d, materialize: bool = False):
     return tables_from_log(I.conversation_log(spark, d), "conversations", S.CONVERSATIONS, ["conv_id"],
-                           batched_at=BATCHED_AT)
+                           batched_at=BATCHED_AT, materialize=materialize)
 
 
 def unnest_nested(spark, d):
@@ -236,7 +236,7 @@ def _counts(tabs: dict, names: dict) -> list[DataFrame]:
 
 def flatten_all_counts(spark, d):
     parts = []
-    for tabs in (_orders(spark, d), _conversations(spark, d)):
+    for tabs in (_orders(spark, d, True), _conversations(spark, d, True)):
         names = {p: SEPARATOR.join(p) for p in tabs}
         parts += _counts(tabs, names)
     out = parts[0]
@@ -246,7 +246,7 @@ def flatten_all_counts(spark, d):
 
 
 def load_counts(spark, d):
-    tabs = _orders(spark, d)
+    tabs = _orders(spark, d, True)
     parts = [df.select(F.lit(1 if len(p) == 1 else 0).alias("r")) for p, df in tabs.items()]
     u = parts[0]
     for p in parts[1:]:
@@ -316,7 +316,8 @@ def late_rows(spark, d):
 def upsert_children(spark, d):
     keys = ["o_orderkey"]
     pk = ["_sdc_source_key_o_orderkey"]
-    base = tables_from_log(I.order_log(spark, d, sequence=1), "orders", S.ORDERS, keys, batched_at=BATCHED_AT)
+    base = tables_from_log(I.order_log(spark, d, sequence=1), "orders", S.ORDERS, keys, batched_at=BATCHED_AT,
+                           materialize=True)
     docs = I.order_docs(spark, d, lines_filter=F.col("l_linestatus") == "O")
     resend = docs.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).withColumn(
         "record", F.when(F.col("o_orderpriority") == "2-HIGH",
@@ -324,7 +325,7 @@ def upsert_children(spark, d):
         .otherwise(F.col("record")))
     log = I.log_of(resend, F.col("o_orderkey") * 10 + 1,
                    I.record_line("orders", F.col("record"), sequence=F.lit(2)))
-    inc = tables_from_log(log, "orders", S.ORDERS, keys, batched_at=BATCHED_AT)
+    inc = tables_from_log(log, "orders", S.ORDERS, keys, batched_at=BATCHED_AT, materialize=True)
     dec = merge.parent_decisions(base[("orders",)], inc[("orders",)], keys)
     kids = merge.upsert_children(base[("orders", "lines")], inc[("orders", "lines")], pk,
                                  ["_sdc_level_0_id"], dec)

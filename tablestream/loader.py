@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import session
 from .operators import checks, stamp as st
 from .operators.flatten import apply_schema, default_layouts
 from .plans.evolve import Layout
@@ -40,14 +41,23 @@ def latest_schema(log_or_schemas: DataFrame, stream: str) -> tuple[dict, list[st
 def tables_from_records(records: DataFrame, stream: str, schema: dict, keys: list[str],
                         batched_at: dt.datetime = DEFAULT_BATCHED_AT,
                         layouts: dict[tuple, Layout] | None = None, versions: bool = True,
-                        validate: bool = False, keep: tuple[str, ...] = ()
+                        validate: bool = False, keep: tuple[str, ...] = (), materialize: bool = False
                         ) -> tuple[dict[tuple, DataFrame], list[TablePlan], dict[tuple, Layout]]:
+    """Plan, filter, stamp (and validate) ``records``; flatten every table.
+
+    With ``materialize`` the stamped records are written once to the shared
+    checkpoint folder (``spark.checkpoint.dir``), so the root and every child
+    table read parsed records instead of re-parsing the log each.
+    """
     plans = plan_tables(stream, schema, keys)
     layouts = layouts or default_layouts(plans)
     recs = st.latest_version_rows(records) if versions else records
     recs = st.stamp(recs, batched_at, keyless=not keys)
     if validate:
         recs, _ = checks.split_valid(checks.validate(recs, schema))
+    if materialize:
+        session.checkpoint_dir(recs.sparkSession)
+        recs = recs.drop("line").checkpoint(eager=True)
     return apply_schema(recs, plans, layouts, keep=keep), plans, layouts
 
 

@@ -119,7 +119,7 @@ class _Leaf:
             if self.default is not None and _default_suffix(self.default) == suffix:
                 val = F.when(missing, F.lit(self.default)).otherwise(val)
             cols.append((m["to"], val.cast(_spark_type(m))))
-        ok = missing
+        ok = missing | kind.isin(js.OBJECT, js.ARRAY)   # structures go to fields / child tables
         for p in placed:
             ok = ok | p
         return cols, F.when(~ok, F.lit(".".join(self.path)))
