@@ -119,8 +119,9 @@ class LogLoader:
             checked.unpersist()
 
     def _emit_state(self, states: DataFrame, parsed: DataFrame) -> None:
-        last = parsed.filter(F.col("type") == M.RECORD).agg(F.max("pos")).collect()[0][0]
-        hi = last if last is not None else parsed.agg(F.max("pos")).collect()[0][0]
+        # Every record of this batch (and of earlier ones) is stored now, so
+        # every STATE of the batch is safe: release the newest one.
+        hi = parsed.agg(F.max("pos")).collect()[0][0]
         if hi is None:
             return
         row = newest_safe_state(states, hi).collect()
