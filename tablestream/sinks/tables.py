@@ -227,8 +227,13 @@ class TableStore:
                                                mode=self.children)
                 bucket_keys = pk
             out_dir = f"{self.base}/{stream}/data/{name}/{batch_tag}"
+            # The merge output is already spread by key; sorting inside each
+            # task (bucket, key, sequence) gives one open file at a time and
+            # never funnels a whole bucket (a hot parent's children) into one task.
+            order = [BUCKET, *bucket_keys, *(plan.level_columns()), SEQUENCE]
             (merged.withColumn(BUCKET, self._bucket_col(bucket_keys))
-                   .repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(out_dir))
+                   .sortWithinPartitions(*order)
+                   .write.mode("overwrite").partitionBy(BUCKET).parquet(out_dir))
             dirs = {} if (old is None or full) else dict(old.dirs)
             for b in (range(self.buckets) if (old is None or full) else touched):
                 dirs[b] = out_dir

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..operators import checks, stamp as st
+from ..operators.flatten import apply_schema
 from ..plans.tables import plan_tables
 from ..sinks.tables import TableStore, _Fs
 from ..sources import messages as M
@@ -31,11 +32,11 @@ from .bookmarks import newest_safe_state
 
 
 class LogLoader:
-    def __init__(self, spark: SparkSession, store: TableStore, *,
+    def __init__(self, spark: SparkSession, store: TableStore | None, *,
                  invalid_detect: bool = True, invalid_threshold: int = 0,
                  emit_states: bool = True, bookmark_path: str | None = None,
                  before_sql: list[str] | None = None, after_sql: list[str] | None = None,
-                 target: Callable[[str, dict], None] | None = None,
+                 target: Callable[[str, dict], None] | None = None,  # (stream, {path: DataFrame})
                  clock: Callable[[], dt.datetime] | None = None):
         self.spark, self.store = spark, store
         self.invalid_detect, self.invalid_threshold = invalid_detect, invalid_threshold
@@ -43,12 +44,15 @@ class LogLoader:
         self.before_sql, self.after_sql = before_sql or [], after_sql or []
         self.target = target
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc))
+        if store is None and target is None:
+            raise ValueError("give a TableStore, a target callback, or both")
         self.fs = _Fs(spark)
+        self.base = store.base if store is not None else f"{session.checkpoint_dir(spark)}/loader-meta"
         self.last_state: str | None = None
 
     # ----------------------------------------------------------- schemas
     def _schema_path(self, stream: str) -> str:
-        return f"{self.store.base}/{stream}/_schema.json"
+        return f"{self.base}/{stream}/_schema.json"
 
     def _schema(self, stream: str) -> tuple[dict, list[str]] | None:
         txt = self.fs.read(self._schema_path(stream))
@@ -91,7 +95,7 @@ class LogLoader:
                 for s in streams:
                     self._write_stream(s, part.filter(F.col("stream") == s), batch_id * 10_000 + seg,
                                        batched_at)
-                if act is not None:
+                if act is not None and self.store is not None:
                     self.store.activate_version(act["stream"], act["version"])
                     cut = hi
             if self.emit_states:
@@ -111,10 +115,12 @@ class LogLoader:
             checks.enforce_threshold(checks.invalid_counts(checked), self.invalid_detect,
                                      self.invalid_threshold)
             good, _bad = checks.split_valid(checked)
-            vmax = good.agg(F.max("version")).collect()[0][0]
-            report = self.store.write_batch(stream, plans, good, batch_id, version=vmax)
             if self.target is not None:
-                self.target(stream, report)
+                # K7: a user target gets every table of the batch as DataFrames
+                self.target(stream, apply_schema(good, plans))
+            if self.store is not None:
+                vmax = good.agg(F.max("version")).collect()[0][0]
+                self.store.write_batch(stream, plans, good, batch_id, version=vmax)
         finally:
             checked.unpersist()
 

@@ -132,3 +132,24 @@ def test_safe_bookmarks_small(spark):
     assert got == [(3, "a", 0, None), (5, "b", 3, 30), (6, "a", 5, 60)]
     changes = rows(B.bookmark_changes(r["states"]), "pos", "value")
     assert len(changes) == 3
+
+
+def test_pluggable_target_and_hooks(spark, scratch):
+    seen = {}
+    head = dict(schema_msg("cats", CATS, ["id"]), pos=0)
+    _write_log(f"{scratch}/t/f.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_cats(6))])
+    spark.sql("DROP VIEW IF EXISTS ts_hook_after")
+    loader = LogLoader(spark, None, target=lambda s, tabs: seen.update({p: df.count() for p, df in tabs.items()}),
+                       after_sql=["CREATE OR REPLACE TEMP VIEW ts_hook_after AS SELECT 1 AS x"],
+                       clock=lambda: T0)
+    loader.run(f"{scratch}/t/*.jsonl", checkpoint=f"{scratch}/ck3")
+    assert seen[("cats",)] == 6 and seen[("cats", "adoption", "immunizations")] == sum(i % 3 for i in range(6))
+    assert spark.sql("SELECT x FROM ts_hook_after").count() == 1
+
+
+def test_jdbc_writer_options(spark):
+    from tablestream.sinks.jdbc import jdbc_options, staging_writer
+    opts = jdbc_options("jdbc:postgresql://db/x", "stg_cats", user="u", batch_size=500)
+    assert opts["dbtable"] == "stg_cats" and opts["batchsize"] == "500" and opts["user"] == "u"
+    w = staging_writer(spark.range(3), opts, partitions=2)
+    assert w is not None   # not saved: no database in tests
