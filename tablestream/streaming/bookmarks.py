@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ..operators.asof import DEFAULT_BUCKET, asof_last, previous_value, running_count
 
 
@@ -42,7 +43,11 @@ def safe_bookmarks(records: DataFrame, states: DataFrame, streams: list[str], fl
     SCHEMA messages.  ``state_pos`` is the newest STATE safe at that flush
     (NULL if none).
     """
-    cnt = record_counters(records, bucket)
+    # The counters (four narrow columns per record) feed several lookups:
+    # write them once to the shared checkpoint folder instead of re-deriving
+    # them from the log for each.
+    checkpoint_dir(records.sparkSession)
+    cnt = record_counters(records, bucket).checkpoint(eager=True)
     flushes = cnt.filter(F.col("srow") % flush_rows == 0).select("stream", F.col("counter").alias("c"))
     # first-record counter of each stream: one small row per stream
     first = {r["stream"]: r["first"] for r in
