@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import iso_utc
+from ..session import checkpoint_dir
 from . import schemas as S
 
 
@@ -90,14 +91,25 @@ def order_docs(spark: SparkSession, sf_dir: str, lines_filter: Column | None = N
     return j.select("o_orderkey", "o_orderstatus", "o_orderpriority", rec.alias("record"))
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Write a derived log once to the shared checkpoint folder and read it back.
+
+    Logs that need an aggregation to build (D1, D5) are read by several jobs
+    (schema lookup, version scan, load); in production they arrive as files,
+    so they are materialised once here instead of being re-derived per job.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def order_log(spark: SparkSession, sf_dir: str, sequence: int = 1) -> DataFrame:
-    """SCHEMA + one RECORD per order."""
+    """SCHEMA + one RECORD per order (materialised once)."""
     docs = order_docs(spark, sf_dir)
     recs = log_of(docs, F.col("o_orderkey") * 10,
                   record_line("orders", F.col("record"), sequence=F.lit(sequence)))
     head = spark.range(1).select(F.lit(-5).cast("bigint").alias("pos"),
                                  schema_line("orders", S.ORDERS, ["o_orderkey"]).alias("line"))
-    return head.unionByName(recs)
+    return materialized(head.unionByName(recs))
 
 
 # ----------------------------------------------------------------- D2 events
@@ -198,8 +210,8 @@ def conversation_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = conversation_docs(spark, sf_dir)
-    return log_of(docs, F.col("conv_id") * 10, record_line("conversations", F.col("record"),
-                                                           sequence=F.lit(1)))
+    return materialized(log_of(docs, F.col("conv_id") * 10, record_line("conversations", F.col("record"),
+                                                                        sequence=F.lit(1))))
 
 
 # ----------------------------------------------------------------- D6 split load

@@ -40,7 +40,7 @@ def latest_schema(log_or_schemas: DataFrame, stream: str) -> tuple[dict, list[st
 
 def tables_from_records(records: DataFrame, stream: str, schema: dict, keys: list[str],
                         batched_at: dt.datetime = DEFAULT_BATCHED_AT,
-                        layouts: dict[tuple, Layout] | None = None, versions: bool = True,
+                        layouts: dict[tuple, Layout] | None = None, versions: bool | dict = True,
                         validate: bool = False, keep: tuple[str, ...] = (), materialize: bool = False
                         ) -> tuple[dict[tuple, DataFrame], list[TablePlan], dict[tuple, Layout]]:
     """Plan, filter, stamp (and validate) ``records``; flatten every table.
@@ -51,7 +51,10 @@ def tables_from_records(records: DataFrame, stream: str, schema: dict, keys: lis
     """
     plans = plan_tables(stream, schema, keys)
     layouts = layouts or default_layouts(plans)
-    recs = st.latest_version_rows(records) if versions else records
+    if isinstance(versions, dict):      # maxima already known
+        recs = st.latest_version_rows(records, known_max=versions, scan=False)
+    else:
+        recs = st.latest_version_rows(records) if versions else records
     recs = st.stamp(recs, batched_at, keyless=not keys)
     if validate:
         recs, _ = checks.split_valid(checks.validate(recs, schema))
@@ -66,4 +69,9 @@ def tables_from_log(log: DataFrame, stream: str, schema: dict | None = None,
     """``{table path: DataFrame}`` for ``stream``; schema from the log unless given."""
     if schema is None:
         schema, keys = latest_schema(log, stream)
+    if kw.get("versions", True) is True:
+        # per-stream maxima from the lines that can carry a version: the text
+        # test runs on the raw log, before any parse
+        kw["versions"] = st.max_versions(stream_records(log.filter(M.may_mention(F.col("line"), "version")),
+                                                        stream))
     return tables_from_records(stream_records(log, stream), stream, schema, keys or [], **kw)[0]

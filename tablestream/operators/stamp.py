@@ -19,12 +19,10 @@ from ..plans.tables import BATCHED_AT, PRIMARY_KEY, RECEIVED_AT, SEQUENCE, TABLE
 def max_versions(records: DataFrame) -> dict[str, int | None]:
     """A2: newest version per stream - one small row per stream to the driver.
 
-    When the raw ``line`` is at hand, lines that cannot carry a ``version``
-    key are skipped before they are parsed.
+    Callers holding the raw log should filter it with
+    ``messages.may_mention(line, "version")`` *before* parsing (see
+    ``loader.tables_from_log``): lines without the word cannot carry one.
     """
-    if "line" in records.columns:
-        from ..sources.messages import may_mention
-        records = records.filter(may_mention(F.col("line"), "version"))
     return {r["stream"]: r["max_version"] for r in
             records.groupBy("stream").agg(F.max("version").alias("max_version")).collect()}
 
@@ -40,19 +38,21 @@ def per_stream(values: dict, stream: Column | None = None) -> Column:
     return F.element_at(F.create_map(*pairs), stream)
 
 
-def latest_version_rows(records: DataFrame, known_max: dict[str, int | None] | None = None) -> DataFrame:
+def latest_version_rows(records: DataFrame, known_max: dict[str, int | None] | None = None,
+                        scan: bool = True) -> DataFrame:
     """Keep rows whose ``version`` equals the stream's newest version.
 
     A newer version discards rows still buffered for older ones, so inside a
     batch the survivors are ``version <=> max(version)`` per stream (rows
     without a version survive only while no version was seen, Q16).
-    ``known_max`` may carry maxima already known (e.g. from earlier batches).
+    ``known_max`` may carry maxima already known (e.g. from earlier batches);
+    with ``scan=False`` they are taken as complete and no aggregate runs.
 
     The per-stream maxima are collected (one row per stream) and applied as
     a literal lookup, so records are neither joined nor shuffled: a stream
     holding a third of the rows costs nothing extra.
     """
-    mx = max_versions(records)
+    mx = max_versions(records) if scan else {}
     for k, v in (known_max or {}).items():
         if v is not None and (mx.get(k) is None or v > mx[k]):
             mx[k] = v
