@@ -23,7 +23,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge
@@ -67,6 +67,29 @@ class _Fs:
         finally:
             stream.close()
 
+    def listdir(self, path: str) -> list[str]:
+        p, fs = self._p(path)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+
+    def delete(self, path: str) -> None:
+        p, fs = self._p(path)
+        fs.delete(p, True)
+
+    def write_new(self, path: str, text: str) -> None:
+        """Write ``path`` once: temp file, then rename to a name that does not exist yet."""
+        p, fs = self._p(path)
+        tmp = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        if fs.exists(p) or not fs.rename(tmp, p):
+            fs.delete(tmp, False)
+            raise OSError(f"{path} exists already (concurrent writer?)")
+
     def write_atomic(self, path: str, text: str) -> None:
         p, fs = self._p(path)
         tmp = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
@@ -102,17 +125,33 @@ class TableStore:
         self.fs = _Fs(spark)
 
     # --------------------------------------------------------------- pointer
-    def _pointer_path(self, stream: str) -> str:
-        return f"{self.base}/{stream}/_pointer.json"
+    # The pointer is a series of immutable files ``_pointer/<n>.json``; the
+    # highest number is current.  Publishing writes ``n + 1`` (temp file, then
+    # rename to a fresh name), so a crash at any moment leaves either the old
+    # or the new pointer readable - never none.
+    KEEP_POINTERS = 20
+
+    def _pointer_dir(self, stream: str) -> str:
+        return f"{self.base}/{stream}/_pointer"
+
+    def _pointer_numbers(self, stream: str) -> list[int]:
+        return sorted(int(n[:-5]) for n in self.fs.listdir(self._pointer_dir(stream))
+                      if n.endswith(".json") and n[:-5].isdigit())
 
     def pointer(self, stream: str) -> dict:
-        txt = self.fs.read(self._pointer_path(stream))
-        if not txt:
-            return {"version": None, "tables": {}, "staged": {}, "batch": -1}
-        return json.loads(txt)
+        nums = self._pointer_numbers(stream)
+        if not nums:
+            return {"version": None, "tables": {}, "staged": {}, "batch": -1, "seq": 0}
+        ptr = json.loads(self.fs.read(f"{self._pointer_dir(stream)}/{nums[-1]:012d}.json"))
+        ptr["seq"] = nums[-1]
+        return ptr
 
     def _publish(self, stream: str, ptr: dict) -> None:
-        self.fs.write_atomic(self._pointer_path(stream), json.dumps(ptr, sort_keys=True))
+        n = ptr.get("seq", 0) + 1
+        body = {k: v for k, v in ptr.items() if k != "seq"}
+        self.fs.write_new(f"{self._pointer_dir(stream)}/{n:012d}.json", json.dumps(body, sort_keys=True))
+        for old in self._pointer_numbers(stream)[:-self.KEEP_POINTERS]:
+            self.fs.delete(f"{self._pointer_dir(stream)}/{old:012d}.json")
 
     def version(self, stream: str) -> int | None:
         return self.pointer(stream)["version"]
@@ -227,6 +266,8 @@ class TableStore:
                                                mode=self.children)
                 bucket_keys = pk
             out_dir = f"{self.base}/{stream}/data/{name}/{batch_tag}"
+            obs = Observation(f"rows_{name}_{batch_tag}")
+            merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"))
             # The merge output is already spread by key; sorting inside each
             # task (bucket, key, sequence) gives one open file at a time and
             # never funnels a whole bucket (a hot parent's children) into one task.
@@ -239,6 +280,7 @@ class TableStore:
                 dirs[b] = out_dir
             target[name] = _TableState(layout, dirs).to_json()
             report[name] = [c[0] for c in changes]
+            report.setdefault("_rows", {})[name] = obs.get.get("rows", 0)
         if not staging:
             ptr["version"] = current
         ptr["batch"] = batch_id

@@ -37,12 +37,13 @@ class LogLoader:
                  emit_states: bool = True, bookmark_path: str | None = None,
                  before_sql: list[str] | None = None, after_sql: list[str] | None = None,
                  target: Callable[[str, dict], None] | None = None,  # (stream, {path: DataFrame})
-                 clock: Callable[[], dt.datetime] | None = None):
+                 clock: Callable[[], dt.datetime] | None = None, quarantine: bool = True):
         self.spark, self.store = spark, store
         self.invalid_detect, self.invalid_threshold = invalid_detect, invalid_threshold
         self.emit_states, self.bookmark_path = emit_states, bookmark_path
         self.before_sql, self.after_sql = before_sql or [], after_sql or []
         self.target = target
+        self.quarantine = quarantine
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc))
         if store is None and target is None:
             raise ValueError("give a TableStore, a target callback, or both")
@@ -117,7 +118,11 @@ class LogLoader:
         try:
             checks.enforce_threshold(checks.invalid_counts(checked), self.invalid_detect,
                                      self.invalid_threshold)
-            good, _bad = checks.split_valid(checked)
+            good, bad = checks.split_valid(checked)
+            if self.quarantine:
+                # K2: invalid records are kept, with their reasons, per batch
+                (bad.select("pos", "stream", "line", checks.REASONS)
+                    .write.mode("overwrite").parquet(f"{self.base}/{stream}/_quarantine/batch={batch_id}"))
             if self.target is not None:
                 # K7: a user target gets every table of the batch as DataFrames
                 self.target(stream, apply_schema(good, plans))

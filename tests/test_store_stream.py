@@ -153,3 +153,16 @@ def test_jdbc_writer_options(spark):
     assert opts["dbtable"] == "stg_cats" and opts["batchsize"] == "500" and opts["user"] == "u"
     w = staging_writer(spark.range(3), opts, partitions=2)
     assert w is not None   # not saved: no database in tests
+
+
+def test_quarantine_keeps_invalid_records(spark, scratch):
+    schema = {"type": "object", "properties": {"id": {"type": "integer"}, "name": {"type": "string"}}}
+    msgs = [schema_msg("q", schema, ["id"])] + [record_msg("q", {"id": i, "name": 5 if i == 2 else "n"})
+                                               for i in range(4)]
+    _write_log(f"{scratch}/q/f.jsonl", [dict(m, pos=i) for i, m in enumerate(msgs)])
+    store = TableStore(spark, f"{scratch}/qt", buckets=2)
+    LogLoader(spark, store, invalid_threshold=5, clock=lambda: T0).run(f"{scratch}/q/*.jsonl",
+                                                                       checkpoint=f"{scratch}/qck")
+    assert rows(store.read("q"), "id") == [(0,), (1,), (3,)]
+    bad = spark.read.parquet(f"{scratch}/qt/q/_quarantine").collect()
+    assert len(bad) == 1 and list(bad[0]["_reasons"]) == ["name: type is not string"]
