@@ -60,7 +60,19 @@ def json_scalar(c: Column) -> Column:
 
 
 def log_of(df: DataFrame, pos: Column, line: Column) -> DataFrame:
-    return df.select(pos.cast("bigint").alias("pos"), line.alias("line"))
+    return spread(df).select(pos.cast("bigint").alias("pos"), line.alias("line"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a source with fewer partitions than cores one partition per core.
+
+    The driver tables are single small files (one task); a real log arrives
+    in many files and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 # ----------------------------------------------------------------- D1 orders

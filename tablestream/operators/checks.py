@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
+from ..functions.barrier import compute_once
 from ..plans import jsonschema as js
 
 REASONS = "_reasons"
@@ -52,10 +53,13 @@ class _Compiler:
                 raise js.SchemaError("$ref chain is recursive")
         return node
 
-    def violations(self, node: dict, x: Column, where: str) -> list[Column]:
-        """``when(<violated>, reason)`` columns for value ``x`` (present values only)."""
+    def violations(self, node: dict, x: Column, where: str, kind: Column | None = None) -> list[Column]:
+        """``when(<violated>, reason)`` columns for value ``x`` (present values only).
+
+        ``kind`` may be a pre-computed type column for ``x`` (see :func:`validate`).
+        """
         node = self.resolve(node)
-        kind = V.json_type(x)
+        kind = V.json_type(x) if kind is None else kind
         present = x.isNotNull()
         out: list[Column] = []
         label = where or "record"
@@ -102,8 +106,14 @@ class _Compiler:
             keys = F.map_keys(F.try_variant_get(x, "$", "map<string,variant>"))
             extra = F.exists(keys, lambda k: ~k.isin(*props.keys())) if props else F.size(keys) > 0
             rule(is_obj & extra, "has undeclared properties")
+        staged = getattr(self, "staged", {}) if where == "" else {}
         for name, sub in props.items():
-            inner = self.violations(sub, V.at(x, (name,)), f"{where}.{name}" if where else name)
+            label_n = f"{where}.{name}" if where else name
+            if name in staged:
+                v, k = staged[name]
+                inner = self.violations(sub, v, label_n, k)
+            else:
+                inner = self.violations(sub, V.at(x, (name,)), label_n)
             out.extend(F.when(is_obj, c) for c in inner)
         if isinstance(node.get("items"), dict):
             items = node["items"]
@@ -128,17 +138,36 @@ class _Compiler:
         return F.exists(F.array(*cols), lambda r: r.isNotNull())
 
 
-def reasons(schema: dict, record: Column) -> Column:
+def reasons(schema: dict, record: Column, staged: dict | None = None, kind: Column | None = None) -> Column:
     """``array<string>`` of violated rules for ``record`` (empty = valid)."""
-    cols = _Compiler(schema).violations(schema, record, "")
+    comp = _Compiler(schema)
+    comp.staged = staged or {}
+    cols = comp.violations(schema, record, "", kind)
     if not cols:
         return F.array().cast("array<string>")
     return F.filter(F.array(*cols), lambda r: r.isNotNull())
 
 
 def validate(records: DataFrame, schema: dict, record_col: str = "record") -> DataFrame:
-    """``records`` plus ``_reasons``; ``size(_reasons) == 0`` means valid."""
-    return records.withColumn(REASONS, reasons(schema, F.col(record_col)))
+    """``records`` plus ``_reasons``; ``size(_reasons) == 0`` means valid.
+
+    The record's and each top-level property's value and runtime type are
+    materialised as columns first, so every rule reads them instead of
+    re-deriving the type per rule.
+    """
+    root = _Compiler(schema).resolve(schema)
+    names = list(root.get("properties", {})) if isinstance(root, dict) else []
+    rec = F.col(record_col)
+    vals = [V.at(rec, (n,)).alias(f"__cv{i}") for i, n in enumerate(names)]
+    df = records.select("*", *vals)
+    df = df.select("*", F.schema_of_variant(rec).alias("__cs"),
+                   *[F.schema_of_variant(F.col(f"__cv{i}")).alias(f"__cs{i}") for i in range(len(names))])
+    df = df.select("*", V.json_type_of_schema(F.col("__cs")).alias("__ck"),
+                   *[V.json_type_of_schema(F.col(f"__cs{i}")).alias(f"__ck{i}") for i in range(len(names))])
+    staged = {n: (F.col(f"__cv{i}"), F.col(f"__ck{i}")) for i, n in enumerate(names)}
+    tmp = ["__cs", "__ck"] + [f"__c{x}{i}" for i in range(len(names)) for x in "vsk"]
+    out = df.withColumn(REASONS, reasons(schema, rec, staged, F.col("__ck"))).drop(*tmp)
+    return compute_once(out)   # split_valid / counts filter on the reasons
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

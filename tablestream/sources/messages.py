@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
+from ..functions.barrier import compute_once
 from ..operators.asof import asof_last
 
 # Message types and the envelope fields each one requires.
@@ -48,25 +49,42 @@ def _field(msg, name: str, kind: str = "string"):
     return F.try_variant_get(msg, f'$["{name}"]', kind)
 
 
+PAYLOAD = {RECORD: "record", SCHEMA: "schema", STATE: "value"}
+
+
 def parse(log: DataFrame) -> DataFrame:
-    """``(pos, line)`` -> ``pos, line, msg, type, stream, bad_reason``.
+    """``(pos, line)`` -> ``pos, line, msg, type, stream, payload, bad_reason``.
 
-    ``bad_reason`` is NULL for a well-formed envelope; otherwise one of
-    ``unparsable``, ``missing type``, ``unknown type <t>`` or
-    ``<TYPE> without <field>``.
+    ``payload`` is the message body (``record`` / ``schema`` / ``value``),
+    extracted once here and reused by :func:`route`.  ``bad_reason`` is NULL
+    for a well-formed envelope; otherwise one of ``unparsable``,
+    ``missing type``, ``unknown type <t>`` or ``<TYPE> without <field>``.
+    Columns are built in stages so each VARIANT extraction runs once.
     """
-    msg = F.try_parse_json("line")
-    df = log.withColumn("msg", msg)
-    mtype = _field(F.col("msg"), "type")
-    reason = F.when(F.col("msg").isNull(), F.lit("unparsable")) \
-              .when(mtype.isNull(), F.lit("missing type")) \
-              .when(~mtype.isin(*MESSAGE_TYPES), F.concat(F.lit("unknown type "), mtype))
-    for t, fields in REQUIRED.items():
+    df = log.select("pos", "line", F.try_parse_json("line").alias("msg"))
+    m = F.col("msg")
+    df = df.select("*", _field(m, "type").alias("type"))
+    t = F.col("type")
+    payload = F.lit(None).cast("variant")
+    for kind, field in PAYLOAD.items():
+        payload = F.when(t == kind, V.at(m, (field,))).otherwise(payload)
+    df = df.select("*", _field(m, "stream").alias("stream"), payload.alias("payload"),
+                   _field(m, "version", "bigint").alias("_version"))
+    reason = F.when(m.isNull(), F.lit("unparsable")) \
+              .when(t.isNull(), F.lit("missing type")) \
+              .when(~t.isin(*MESSAGE_TYPES), F.concat(F.lit("unknown type "), t))
+    for kind, fields in REQUIRED.items():
         for f in fields:
-            present = F.try_variant_get(F.col("msg"), f'$["{f}"]', "variant").isNotNull()
-            reason = reason.when((mtype == t) & ~present, F.lit(f"{t} without {f}"))
-    return df.select("pos", "line", "msg", mtype.alias("type"),
-                     _field(F.col("msg"), "stream").alias("stream"), reason.alias("bad_reason"))
+            if f == "stream":
+                present = F.col("stream").isNotNull()
+            elif f == "version":
+                present = F.col("_version").isNotNull()
+            else:
+                present = F.col("payload").isNotNull()
+            reason = reason.when((t == kind) & ~present, F.lit(f"{kind} without {f}"))
+    out = df.select("pos", "line", "msg", "type", "stream", "payload", reason.alias("bad_reason"))
+    # routing filters on type / bad_reason must not re-run the parse
+    return compute_once(out)
 
 
 def route(parsed: DataFrame) -> dict[str, DataFrame]:
@@ -76,16 +94,16 @@ def route(parsed: DataFrame) -> dict[str, DataFrame]:
     out = {
         "records": good.filter(F.col("type") == RECORD).select(
             "pos", "stream", "line",
-            V.at(m, ("record",)).alias("record"),
+            F.col("payload").alias("record"),
             _field(m, "version", "bigint").alias("version"),
             _field(m, "sequence", "bigint").alias("sequence"),
             _field(m, "time_extracted").alias("time_extracted"),
             F.length("line").alias("line_bytes")),
         "schemas": good.filter(F.col("type") == SCHEMA).select(
-            "pos", "stream", V.at(m, ("schema",)).alias("schema"),
+            "pos", "stream", F.col("payload").alias("schema"),
             F.try_variant_get(m, "$.key_properties", "array<string>").alias("key_properties")),
         "states": good.filter(F.col("type") == STATE).select(
-            "pos", V.at(m, ("value",)).alias("value")),
+            "pos", F.col("payload").alias("value")),
         "activations": good.filter(F.col("type") == ACTIVATE_VERSION).select(
             "pos", "stream", _field(m, "version", "bigint").alias("version")),
         "bad": parsed.filter(F.col("bad_reason").isNotNull()).select("pos", "line", "bad_reason"),
