@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 from ..plans.evolve import Layout
 
 
-def project(stored: DataFrame, new: Layout, changes: list[tuple]) -> DataFrame:
-    """``stored`` (old layout) -> rows in ``new`` layout order."""
+def project(stored: DataFrame, new: Layout, changes: list[tuple], extra: tuple[str, ...] = ()) -> DataFrame:
+    """``stored`` (old layout) -> rows in ``new`` layout order (plus ``extra`` columns as they are)."""
     renamed = {c[2]: c[1] for c in changes if c[0] == "split"}   # new name -> old name
     have = set(stored.columns)
     cols = []
     for name, t, _ in new.columns():
         src = renamed.get(name, name)
         cols.append((F.col(src) if src in have else F.lit(None)).cast(t).alias(name))
-    return stored.select(*cols)
+    return stored.select(*cols, *extra)
 
 
 def needs_full_rewrite(changes: list[tuple]) -> bool:

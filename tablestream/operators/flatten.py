@@ -159,7 +159,8 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
     ``records`` holds ``record_col`` (VARIANT) and the stamped metadata
     columns that exist (``_sdc_sequence`` ...).  Metadata columns win over
     record fields of the same name (stamping already applied precedence).
-    ``keep`` names input columns copied unchanged onto the root table.
+    ``keep`` names input columns copied unchanged onto every table (e.g. the
+    record position, to break sequence ties).
     """
     layouts = layouts or default_layouts(plans)
     root = plans[0]
@@ -193,7 +194,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
                                                lambda p: p, null_text)
             df = df.select(*_order(cols + lcols, layout), *_flag(flags, with_unplaced), *keep)
         else:
-            df = records.select(*carry, seq.alias(SEQUENCE), rec.alias(ELEMENT))
+            df = records.select(*carry, seq.alias(SEQUENCE), *keep, rec.alias(ELEMENT))
             for i, rel in enumerate(plan.arrays):
                 rel_in = rel if i == 0 else element_path(plan, rel)
                 lvl = LEVEL_FMT.format(i)
@@ -209,7 +210,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
             base = [F.col(c) for c in df.columns]
             df, lcols, flags = _project_leaves(df, base, F.col(ELEMENT), leaves,
                                                lambda p: element_path(plan, p), null_text)
-            df = df.select(*_order(cols + lcols, layout), *_flag(flags, with_unplaced))
+            df = df.select(*_order(cols + lcols, layout), *_flag(flags, with_unplaced), *keep)
         out[plan.path] = df
     return out
 

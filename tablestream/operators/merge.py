@@ -107,12 +107,14 @@ def parent_decisions(cur_root: DataFrame, inc_root: DataFrame, keys: list[str],
     c = cur_root.select(*keys, F.col(seq).alias("__cseq"))
     j = inc_d.filter(~_null_key(keys)).join(c, keys, "left")
     win = j.filter(F.col("__cseq").isNull() | (F.col(seq) >= F.col("__cseq")))
-    return win.select(*[F.col(k).alias(f"_sdc_source_key_{k}") for k in keys], F.col(seq).alias("__win_seq"))
+    extra = [F.col(pos).alias("__win_pos")] if pos else []
+    return win.select(*[F.col(k).alias(f"_sdc_source_key_{k}") for k in keys], F.col(seq).alias("__win_seq"),
+                      *extra)
 
 
 def upsert_children(cur: DataFrame, inc: DataFrame, parent_keys: list[str], levels: list[str],
                     decisions: DataFrame | None = None, seq: str = SEQUENCE,
-                    mode: str = "sync") -> DataFrame:
+                    mode: str = "sync", pos: str = "pos") -> DataFrame:
     """M2: upsert a child table.
 
     ``parent_keys`` are the ``_sdc_source_key_*`` columns.  ``mode="sync"``
@@ -122,11 +124,15 @@ def upsert_children(cur: DataFrame, inc: DataFrame, parent_keys: list[str], leve
     ``parent keys + levels`` and upserts like a root table.
     """
     if mode == "legacy":
-        return upsert(cur, inc, parent_keys + levels, seq)
+        return upsert(cur, inc, parent_keys + levels, seq, pos=pos if pos in inc.columns else None)
     if decisions is None:
         raise ValueError("sync mode needs the parent decisions (see parent_decisions)")
     new_kids = inc.join(decisions, parent_keys, "inner") \
-                  .filter(F.col(seq).eqNullSafe(F.col("__win_seq"))).drop("__win_seq")
+                  .filter(F.col(seq).eqNullSafe(F.col("__win_seq")))
+    if "__win_pos" in decisions.columns and pos in inc.columns:
+        # equal sequences: only the children of the winning record (its position)
+        new_kids = new_kids.filter(F.col(pos) == F.col("__win_pos"))
+    new_kids = new_kids.drop("__win_seq", "__win_pos")
     new_kids = latest_per_key(new_kids, parent_keys + levels, seq)
     kept = cur.join(decisions.select(*parent_keys), parent_keys, "left_anti")
     return kept.unionByName(new_kids.select(*cur.columns))

@@ -242,7 +242,9 @@ class TableStore:
             if old is not None and plan.is_root:
                 check_keys(old.layout, plan, layout)
             evolved[plan.path] = (name, old, layout, changes)
-        tables = apply_schema(records, plans, {p: v[2] for p, v in evolved.items()})
+        pos = "pos" if "pos" in records.columns else None   # breaks sequence ties
+        tables = apply_schema(records, plans, {p: v[2] for p, v in evolved.items()},
+                              keep=(pos,) if pos else ())
         inc_root = tables[root_plan.path]
         touched = [r[0] for r in inc_root.select(self._bucket_col(keys).alias("b")).distinct().collect()]
         batch_tag = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
@@ -255,15 +257,16 @@ class TableStore:
             read_buckets = None if full else touched
             cur = project(self._read(old, read_buckets), layout, changes) if old else \
                 self.spark.createDataFrame([], layout.ddl())
-            inc = project(inc, layout, [])
+            inc = project(inc, layout, [], extra=(pos,) if pos else ())
             if plan.is_root:
-                decisions = merge.parent_decisions(cur, inc, keys)
-                merged = merge.upsert(cur, inc, keys)
+                decisions = merge.parent_decisions(cur, inc, keys, pos=pos)
+                merged = merge.upsert(cur, inc, keys, pos=pos)
                 bucket_keys = keys
             else:
                 pk = [SOURCE_KEY_PREFIX + k for k in keys]
                 merged = merge.upsert_children(cur, inc, pk, plan.level_columns(), decisions,
                                                mode=self.children)
+                merged = merged.drop("pos") if pos else merged
                 bucket_keys = pk
             out_dir = f"{self.base}/{stream}/data/{name}/{batch_tag}"
             obs = Observation(f"rows_{name}_{batch_tag}")

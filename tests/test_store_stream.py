@@ -166,3 +166,16 @@ def test_quarantine_keeps_invalid_records(spark, scratch):
     assert rows(store.read("q"), "id") == [(0,), (1,), (3,)]
     bad = spark.read.parquet(f"{scratch}/qt/q/_quarantine").collect()
     assert len(bad) == 1 and list(bad[0]["_reasons"]) == ["name: type is not string"]
+
+
+def test_equal_sequence_ties_go_to_later_record_and_its_children(spark, scratch):
+    store = TableStore(spark, scratch, buckets=2)
+    plans = plan_tables("cats", CATS, ["id"])
+    first = record_msg("cats", {"id": 1, "name": "early", "bio": "b",
+                                "adoption": {"was_foster": True, "immunizations": [{"type": "a"}, {"type": "b"}]}},
+                       sequence=7)
+    second = record_msg("cats", {"id": 1, "name": "late", "bio": "b",
+                                 "adoption": {"was_foster": True, "immunizations": [{"type": "z"}]}}, sequence=7)
+    store.write_batch("cats", plans, _recs(spark, [first, second] * 3), batch_id=0)
+    assert rows(store.read("cats"), "id", "name") == [(1, "late")]
+    assert rows(store.read("cats", ("cats", "adoption", "immunizations")), "_sdc_level_0_id", "type") == [(0, "z")]
