@@ -272,7 +272,8 @@ def latest_child_rows(spark, d):
         "record", F.col("record").withField("lines", F.reverse(F.col("record.lines"))))
     second = I.log_of(again, F.col("o_orderkey") * 10 + 1,
                       I.record_line("orders", F.col("record"), sequence=F.lit(2)))
-    tabs = tables_from_log(first.unionByName(second), "orders", S.ORDERS, ["o_orderkey"], batched_at=BATCHED_AT)
+    tabs = tables_from_log(I.materialized(first.unionByName(second)), "orders", S.ORDERS, ["o_orderkey"],
+                           batched_at=BATCHED_AT)
     kids = tabs[("orders", "lines")]
     out = merge.latest_per_key(kids, ["_sdc_source_key_o_orderkey", "_sdc_level_0_id"])
     return out.select("_sdc_source_key_o_orderkey", "_sdc_level_0_id", "l_partkey", "l_suppkey",
@@ -323,8 +324,8 @@ def upsert_children(spark, d):
         "record", F.when(F.col("o_orderpriority") == "2-HIGH",
                          F.col("record").withField("lines", F.slice(F.col("record.lines"), 1, 0)))
         .otherwise(F.col("record")))
-    log = I.log_of(resend, F.col("o_orderkey") * 10 + 1,
-                   I.record_line("orders", F.col("record"), sequence=F.lit(2)))
+    log = I.materialized(I.log_of(resend, F.col("o_orderkey") * 10 + 1,
+                                  I.record_line("orders", F.col("record"), sequence=F.lit(2))))
     inc = tables_from_log(log, "orders", S.ORDERS, keys, batched_at=BATCHED_AT, materialize=True)
     dec = merge.parent_decisions(base[("orders",)], inc[("orders",)], keys)
     kids = merge.upsert_children(base[("orders", "lines")], inc[("orders", "lines")], pk,

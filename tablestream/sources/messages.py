@@ -31,7 +31,7 @@ class MessageError(ValueError):
 
 
 def read_log(spark: SparkSession, path: str, streaming: bool = False,
-             max_files_per_trigger: int | None = None) -> DataFrame:
+             max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Text files of JSON lines -> ``(pos, line)``.
 
     Text sources carry no global order, so the position comes from the
@@ -41,6 +41,8 @@ def read_log(spark: SparkSession, path: str, streaming: bool = False,
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if streaming and max_bytes_per_trigger:   # T1: batch bounded by bytes (whole files)
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     df = reader.text(path).withColumnRenamed("value", "line")
     return df.select(F.try_variant_get(F.try_parse_json("line"), "$.pos", "bigint").alias("pos"), "line")
 

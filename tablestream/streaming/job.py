@@ -144,8 +144,10 @@ class LogLoader:
 
     # ----------------------------------------------------------- run
     def run(self, path: str, checkpoint: str | None = None, max_files_per_trigger: int | None = 1,
-            available_now: bool = True, timeout: float | None = None):
-        log = M.read_log(self.spark, path, streaming=True, max_files_per_trigger=max_files_per_trigger)
+            available_now: bool = True, timeout: float | None = None,
+            max_bytes_per_trigger: int | None = None):
+        log = M.read_log(self.spark, path, streaming=True, max_files_per_trigger=max_files_per_trigger,
+                         max_bytes_per_trigger=max_bytes_per_trigger)
         ckpt = checkpoint or f"{session.checkpoint_dir(self.spark)}/loader-{abs(hash(path))}"
         w = log.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", ckpt)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 
 def log_df(spark, messages):

@@ -1,7 +1,6 @@
 """Validation rules (P1-P3, P16) and record versions (P4), reference-style cases."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablestream.loader import stream_records
 from tablestream.operators import checks, stamp

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tablestream.loader import tables_from_log
 from tablestream.operators.flatten import UNPLACED, apply_schema, default_layouts

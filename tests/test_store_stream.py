@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablestream.loader import stream_records
 from tablestream.operators.stamp import stamp
@@ -179,3 +178,17 @@ def test_equal_sequence_ties_go_to_later_record_and_its_children(spark, scratch)
     store.write_batch("cats", plans, _recs(spark, [first, second] * 3), batch_id=0)
     assert rows(store.read("cats"), "id", "name") == [(1, "late")]
     assert rows(store.read("cats", ("cats", "adoption", "immunizations")), "_sdc_level_0_id", "type") == [(0, "z")]
+
+
+def test_bookmarks_disabled_and_byte_bounded_batches(spark, scratch):
+    head = dict(schema_msg("cats", CATS, ["id"]), pos=0)
+    _write_log(f"{scratch}/b/f1.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_cats(5))]
+               + [{"type": "STATE", "value": {"b": 1}, "pos": 50}])
+    _write_log(f"{scratch}/b/f2.jsonl", [dict(m, pos=60 + i) for i, m in enumerate(_cats(5, start=5))])
+    store = TableStore(spark, f"{scratch}/bt", buckets=2)
+    loader = LogLoader(spark, store, emit_states=False, bookmark_path=f"{scratch}/marks", clock=lambda: T0)
+    q = loader.run(f"{scratch}/b/*.jsonl", checkpoint=f"{scratch}/bck", max_files_per_trigger=None,
+                   max_bytes_per_trigger=1)
+    assert store.read("cats").count() == 10
+    assert not os.path.exists(f"{scratch}/marks")
+    assert q.lastProgress is not None
