@@ -192,3 +192,20 @@ def test_bookmarks_disabled_and_byte_bounded_batches(spark, scratch):
     assert store.read("cats").count() == 10
     assert not os.path.exists(f"{scratch}/marks")
     assert q.lastProgress is not None
+
+
+def test_crash_between_data_write_and_publish(spark, scratch, monkeypatch):
+    store = TableStore(spark, scratch, buckets=4)
+    plans = plan_tables("cats", CATS, ["id"])
+    store.write_batch("cats", plans, _recs(spark, _cats(20)), batch_id=0)
+    before = rows(store.read("cats"), "id", "_sdc_sequence")
+
+    def boom(*a, **k):
+        raise OSError("lost the driver right before publishing")
+    monkeypatch.setattr(store, "_publish", boom)
+    with pytest.raises(OSError):
+        store.write_batch("cats", plans, _recs(spark, _cats(30, seq=5)), batch_id=1)
+    assert rows(store.read("cats"), "id", "_sdc_sequence") == before      # old state still readable
+    monkeypatch.undo()
+    store.write_batch("cats", plans, _recs(spark, _cats(30, seq=5)), batch_id=1)
+    assert rows(store.read("cats"), "id", "_sdc_sequence") == [(i, 5) for i in range(30)]
