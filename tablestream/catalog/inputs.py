@@ -228,14 +228,21 @@ def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- D6 split load
 
+def _first_load(ev: DataFrame) -> Column:
+    return (F.col("event_id") % 3 != 0) & (F.col("user_id") % 5 != 0)
+
+
 def stored_events(spark, sf_dir) -> DataFrame:
+    """D6 first load.  Together with :func:`incoming_events` it covers every
+    event exactly once; users with ``user_id % 5 == 0`` only arrive later."""
     ev = table(spark, sf_dir, "events")
-    return ev.filter((F.col("event_id") % 3 != 0) & (F.col("user_id") % 5 != 0))
+    return ev.filter(_first_load(ev))
 
 
 def incoming_events(spark, sf_dir) -> DataFrame:
+    """D6 second load: every event not in the first one."""
     ev = table(spark, sf_dir, "events")
-    return ev.filter((F.col("event_id") % 3 == 0) & (F.col("user_id") % 7 != 0))
+    return ev.filter(~_first_load(ev))
 
 
 def event_rows(ev: DataFrame, version: Column | None = None) -> DataFrame:

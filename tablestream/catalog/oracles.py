@@ -37,7 +37,7 @@ def _latest(where: str) -> str:
 
 
 STORED = _latest("event_id % 3 <> 0 AND user_id % 5 <> 0")
-INCOMING = _latest("event_id % 3 = 0 AND user_id % 7 <> 0")
+INCOMING = _latest("NOT (event_id % 3 <> 0 AND user_id % 5 <> 0)")
 SPLIT = f"WITH s AS ({STORED}), i AS ({INCOMING})"
 
 UPSERT = f"""{SPLIT}
