@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..functions.scalars import canonical_name, iso_utc, to_naive
-from ..loader import stream_records, tables_from_log, tables_from_records
+from ..loader import load_counts as loader_load_counts
+from ..loader import stream_records, table_counts, tables_from_log, tables_from_records
 from ..operators import checks, merge, stamp as st
 from ..operators.evolve import project
 from ..operators.flatten import apply_schema, default_layouts
 from ..plans.evolve import evolve
-from ..plans.naming import MAX_IDENTIFIER, SEPARATOR
+from ..plans.naming import MAX_IDENTIFIER
 from ..plans.tables import plan_tables
 from ..sinks.tables import TableStore
 from ..sources import messages as M
@@ -229,30 +230,13 @@ def unnest_nested(spark, d):
     return t.select("_sdc_source_key_conv_id", "_sdc_level_0_id", "_sdc_level_1_id", "_sdc_value")
 
 
-def _counts(tabs: dict, names: dict) -> list[DataFrame]:
-    return [df.groupBy().agg(F.count("*").alias("n")).select(F.lit(names[p]).alias("table_name"), "n")
-            for p, df in tabs.items()]
-
-
 def flatten_all_counts(spark, d):
-    parts = []
-    for tabs in (_orders(spark, d, True), _conversations(spark, d, True)):
-        names = {p: SEPARATOR.join(p) for p in tabs}
-        parts += _counts(tabs, names)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    orders, convs = table_counts(_orders(spark, d, True)), table_counts(_conversations(spark, d, True))
+    return orders.unionByName(convs)
 
 
 def load_counts(spark, d):
-    tabs = _orders(spark, d, True)
-    parts = [df.select(F.lit(1 if len(p) == 1 else 0).alias("r")) for p, df in tabs.items()]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.agg(F.sum("r").cast("bigint").alias("records_persisted"),
-                 F.count("*").alias("rows_persisted"))
+    return loader_load_counts(_orders(spark, d, True))
 
 
 # ------------------------------------------------------------------ windows / joins / merge

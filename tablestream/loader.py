@@ -75,3 +75,23 @@ def tables_from_log(log: DataFrame, stream: str, schema: dict | None = None,
         kw["versions"] = st.max_versions(stream_records(log.filter(M.may_mention(F.col("line"), "version")),
                                                         stream))
     return tables_from_records(stream_records(log, stream), stream, schema, keys or [], **kw)[0]
+
+
+def table_counts(tables: dict[tuple, DataFrame]) -> DataFrame:
+    """Rows per table (``table_name`` = path joined by ``__``), one union of partial counts."""
+    from .plans.naming import SEPARATOR
+    parts = [df.groupBy().agg(F.count("*").alias("n")).select(F.lit(SEPARATOR.join(p)).alias("table_name"), "n")
+             for p, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def load_counts(tables: dict[tuple, DataFrame]) -> DataFrame:
+    """A1: ``records_persisted`` (root rows) and ``rows_persisted`` (all tables), one job."""
+    parts = [df.select(F.lit(1 if len(p) == 1 else 0).alias("r")) for p, df in tables.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.agg(F.sum("r").cast("bigint").alias("records_persisted"), F.count("*").alias("rows_persisted"))

@@ -86,6 +86,9 @@ class LogLoader:
             orphans = [s for s in streams if self._schema(s) is None]
             if orphans:
                 raise M.MessageError(f"RECORD before SCHEMA for stream(s) {orphans}")
+            early = sorted({a["stream"] for a in acts if self._schema(a["stream"]) is None})
+            if early:
+                raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream(s) {early}")
             batched_at = self.clock()
             cut = -1
             # several segments of one micro-batch commit under distinct ids
