@@ -172,7 +172,12 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
     carry: list[Column] = []
     for k in root.key_properties:
         m = next((m for m in root_layout.mappings if m["from"] == (k,)), None)
-        src = F.col(k) if k in meta else V.typed(V.at(rec, (k,)), _kind_of(m))
+        if k in meta:
+            src = F.col(k)
+        else:   # typed only when the runtime type is the key's declared type
+            kv, kind = V.at(rec, (k,)), _kind_of(m)
+            ok = V.json_type(kv).isin(kind, js.INTEGER) if kind == js.NUMBER else V.json_type(kv) == kind
+            src = F.when(ok, V.typed(kv, kind))
         carry.append(src.cast(_spark_type(m) if m else "string").alias(SOURCE_KEY_PREFIX + k))
     seq = (F.col(SEQUENCE) if SEQUENCE in meta else V.typed(V.at(rec, (SEQUENCE,)), js.INTEGER)).cast("bigint")
 
