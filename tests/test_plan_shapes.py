@@ -42,3 +42,16 @@ def test_upsert_is_one_full_outer_join_without_windows(spark):
     inc = spark.createDataFrame([(1, "b", 2, 0)], "id bigint, v string, _sdc_sequence bigint, _pos bigint")
     plan = _plan(merge.upsert(cur, inc, ["id"], pos="_pos"))
     assert plan.count("FullOuter") == 1 and "Window" not in plan
+
+
+def test_asof_windows_are_partitioned_by_group_and_bucket(spark):
+    from tablestream.operators.asof import asof_last
+    rows = spark.createDataFrame([("hot", i) for i in range(50)], "g string, pos bigint")
+    marks = spark.createDataFrame([("hot", 7, 1)], "g string, pos bigint, v bigint")
+    plan = _plan(asof_last(rows, marks, ["g"], "pos", "v", "out", bucket=8))
+    # the record-level window (over __mv) must partition by the bucket too
+    record_level = [ln for ln in plan.split("\n") if "Window [" in ln and "__mv" in ln]
+    assert record_level
+    for ln in record_level:
+        partition_spec = ln.split("windowspecdefinition(")[1]
+        assert "g#" in partition_spec and "__b#" in partition_spec
