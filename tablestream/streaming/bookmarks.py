@@ -74,9 +74,11 @@ def bookmark_changes(states: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFra
     return prev.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("value"))).drop("__prev")
 
 
-def newest_safe_state(states: DataFrame, committed_pos: int) -> DataFrame:
-    """Stream form: after a micro-batch commits every record up to ``committed_pos``,
-    the newest STATE at or before it (one row at most)."""
-    return (states.filter(F.col("pos") <= committed_pos)
+def newest_safe_state(states: DataFrame, committed_pos: int | None) -> DataFrame:
+    """Stream form: after a micro-batch commits every record up to ``committed_pos``
+    (``None``: the whole batch), the newest STATE at or before it (one row at most)."""
+    if committed_pos is not None:
+        states = states.filter(F.col("pos") <= committed_pos)
+    return (states
             .agg(F.max_by(F.to_json("value"), "pos").alias("value"), F.max("pos").alias("pos"))
             .filter(F.col("pos").isNotNull()))

@@ -71,14 +71,17 @@ class LogLoader:
             self.spark.sql(q)
         parsed = M.parse(log).persist()
         try:
-            M.require_clean(parsed)
             routed = M.route(parsed)
-            # The few SCHEMA / ACTIVATE_VERSION messages of the batch reach the driver.
-            schema_rows = routed["schemas"].select("pos", "stream", F.to_json("schema").alias("s"),
-                                                   "key_properties").orderBy("pos").collect()
-            for r in schema_rows:
-                self._save_schema(r["stream"], json.loads(r["s"]), list(r["key_properties"] or []))
-            acts = routed["activations"].orderBy("pos").collect()
+            # One small job for the control messages: the first bad line (strict
+            # mode), and the few SCHEMA / ACTIVATE_VERSION messages of the batch.
+            ctrl = self._control_rows(parsed)
+            bad = [r for r in ctrl if r["bad_reason"] is not None]
+            if bad:
+                raise M.MessageError(f"bad message at pos {bad[0]['pos']}: {bad[0]['bad_reason']}")
+            for r in ctrl:
+                if r["type"] == M.SCHEMA:
+                    self._save_schema(r["stream"], json.loads(r["body"]), list(r["key_properties"] or []))
+            acts = [r for r in ctrl if r["type"] == M.ACTIVATE_VERSION]
             records = routed["records"]
             # one small job: streams of this batch and their newest versions
             maxima = st.max_versions(records)
@@ -134,13 +137,20 @@ class LogLoader:
         finally:
             checked.unpersist()
 
+    @staticmethod
+    def _control_rows(parsed: DataFrame) -> list:
+        m = F.col("msg")
+        cols = ["pos", "type", "stream", "bad_reason", F.to_json("payload").alias("body"),
+                F.try_variant_get(m, "$.key_properties", "array<string>").alias("key_properties"),
+                F.try_variant_get(m, "$.version", "bigint").alias("version")]
+        good = parsed.filter(F.col("bad_reason").isNull() & F.col("type").isin(M.SCHEMA, M.ACTIVATE_VERSION))
+        first_bad = parsed.filter(F.col("bad_reason").isNotNull()).orderBy("pos").limit(1)
+        return good.select(*cols).unionByName(first_bad.select(*cols)).orderBy("pos").collect()
+
     def _emit_state(self, states: DataFrame, parsed: DataFrame) -> None:
         # Every record of this batch (and of earlier ones) is stored now, so
         # every STATE of the batch is safe: release the newest one.
-        hi = parsed.agg(F.max("pos")).collect()[0][0]
-        if hi is None:
-            return
-        row = newest_safe_state(states, hi).collect()
+        row = newest_safe_state(states, None).collect()
         if row and row[0]["value"] != self.last_state and self.bookmark_path:
             self.last_state = row[0]["value"]
             self.fs.write_atomic(f"{self.bookmark_path}/state-{row[0]['pos']:015d}.json", row[0]["value"])
