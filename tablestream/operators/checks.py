@@ -7,8 +7,9 @@ the driver into Column expressions; each record gets ``_reasons``, an
 
 Keywords: type, properties, required, additionalProperties (false),
 items, enum, minimum/maximum (+ draft-4 exclusive flags), minLength,
-maxLength, pattern, multipleOf, allOf, anyOf, $ref.  ``format`` is not
-checked (a bad date-time surfaces when the value is placed, Q17).
+maxLength, pattern, multipleOf, allOf, anyOf, $ref, and ``format:
+date-time`` (text that does not parse is set aside instead of failing the
+load later, Q3/Q17); other formats are not checked.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import variant as V
 from ..functions.barrier import compute_once
+from ..functions.scalars import parse_datetime
 from ..plans import jsonschema as js
 
 REASONS = "_reasons"
@@ -98,6 +100,10 @@ class _Compiler:
             rule(is_str & (F.char_length(s) < node["minLength"]), f"shorter than {node['minLength']}")
         if "pattern" in node:
             rule(is_str & ~s.rlike(node["pattern"]), f"does not match {node['pattern']}")
+        if node.get("format") == js.DATE_TIME:
+            # Q3: text that is no date-time cannot be placed; an anyOf with a
+            # plain string branch still accepts it (that branch passes).
+            rule(is_str & parse_datetime(s).isNull(), "not a date-time")
         is_obj = kind == js.OBJECT
         props = node.get("properties", {})
         for name in node.get("required", []):

@@ -80,3 +80,11 @@ def test_not_null_violations(spark):
     assert sorted(tuple(r["_null_columns"]) for r in bad) == [("id", "name"), ("name",)]
     with pytest.raises(ValueError):
         checks.require_not_null(df, ["name"])
+
+
+def test_date_time_format_rule(spark):
+    dt_only = {"type": "object", "properties": {"t": {"type": "string", "format": "date-time"}}}
+    assert _reasons(spark, dt_only, [{"t": "2020-01-01T00:00:00Z"}, {"t": "nope"}]) == [[], ["t: not a date-time"]]
+    either = {"type": "object", "properties": {"t": {"anyOf": [{"type": "string", "format": "date-time"},
+                                                               {"type": "string"}]}}}
+    assert _reasons(spark, either, [{"t": "nope"}]) == [[]]
