@@ -106,6 +106,12 @@ SELECT o_orderkey, o_totalprice, o_orderdate, c_name AS customer__c_name,
        c_mktsegment AS customer__c_mktsegment, CAST(c_nationkey AS BIGINT) AS customer__c_nationkey
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
 
+    "load_documents": """
+SELECT d.doc_id, nullif(d.text, 'NULL') AS text, nullif(d.lang, 'NULL') AS lang,
+       nullif(d.source, 'NULL') AS source, d.n_chars,
+       CAST(l.quality AS BIGINT) AS labels__quality, CAST(l.toxic AS BIGINT) AS labels__toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+
     "type_split": f"""
 SELECT event_id,
        CASE WHEN event_type = 'click' THEN CAST(floor(value) AS BIGINT) END AS v__i,

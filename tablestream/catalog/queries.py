@@ -120,6 +120,19 @@ def surrogate_key(spark, d):
     return tabs[("documents",)].select("doc_id", "_sdc_primary_key")
 
 
+def load_documents(spark, d):
+    """Whole document texts as records, with their labels as a nested object."""
+    docs = I.table(spark, d, "documents")
+    labels = I.table(spark, d, "labels")
+    j = docs.join(labels, "doc_id", "left")
+    rec = F.struct("doc_id", "text", "lang", "source", "n_chars",
+                   F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(),
+                          F.struct("quality", "toxic")).alias("labels"))
+    log = I.log_of(j, F.col("doc_id") * 10, I.record_line("documents", rec, sequence=F.lit(1)))
+    root = tables_from_log(log, "documents", S.DOCUMENT_TEXTS, ["doc_id"], batched_at=BATCHED_AT)[("documents",)]
+    return root.select("doc_id", "text", "lang", "source", "n_chars", "labels__quality", "labels__toxic")
+
+
 # ------------------------------------------------------------------ flatten / type split
 
 def _orders(spark, d, materialize: bool = False):
@@ -480,6 +493,7 @@ QUERIES = {
     "load_metadata": load_metadata,
     "surrogate_key": surrogate_key,
     "flatten_objects": flatten_objects,
+    "load_documents": load_documents,
     "type_split": type_split,
     "int_to_number": int_to_number,
     "default_fill": default_fill,

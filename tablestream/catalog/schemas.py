@@ -106,3 +106,11 @@ ORDERS_VERSIONED = {"type": "object", "properties": {"o_orderkey": INT, "o_order
 
 EVENTS_KEYED = {"type": "object", "properties": {
     "event_id": INT, "user_id": INT, "event_type": STR, "value": NUM}}
+
+DOCUMENT_TEXTS = {
+    "type": "object",
+    "properties": {
+        "doc_id": INT, "text": STR, "lang": STR, "source": STR, "n_chars": INT,
+        "labels": {"type": ["object", "null"], "properties": {"quality": INT, "toxic": INT}},
+    },
+}
