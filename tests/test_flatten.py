@@ -86,3 +86,27 @@ def test_multi_type_split_and_unplaced(spark):
     assert (None, None, None, None, 7, []) in got
     assert all(x["number_which_only_comes_as_integer"] == 5.0 for x in r)
     assert out[("root", "every_type")].count() == 2
+
+
+def test_real_tap_shapes_null_only_field_and_number_or_string(spark):
+    deals = {"type": ["object", "null"], "properties": {
+        "id": {"type": ["null", "integer"]},
+        "form_fields": {"type": "null"},
+        "properties": {"type": ["null", "object"], "properties": {
+            "num_contacted_notes": {"type": ["null", "object"], "properties": {
+                "value": {"type": ["null", "number", "string"]}}}}}}}
+    recs = [{}, {"id": 1}, {"properties": {}}, {"properties": {"num_contacted_notes": {}}},
+            {"properties": {"num_contacted_notes": {"value": 3}}},
+            {"properties": {"num_contacted_notes": {"value": 2.5}}},
+            {"properties": {"num_contacted_notes": {"value": "many"}}, "form_fields": None}]
+    msgs = [record_msg("deals", r, sequence=i) for i, r in enumerate(recs)]
+    root = tables_from_log(log_df(spark, msgs), "deals", deals, [])[("deals",)]
+    cols = set(root.columns)
+    assert "form_fields" not in cols
+    assert {"properties__num_contacted_notes__value__f", "properties__num_contacted_notes__value__s",
+            "_sdc_primary_key"} <= cols
+    got = {(r[0], r[1]) for r in root.select("properties__num_contacted_notes__value__f",
+                                             "properties__num_contacted_notes__value__s").collect()
+           if r[0] is not None or r[1] is not None}
+    assert got == {(None, "many"), (2.5, None), (3.0, None)}
+    assert root.select("_sdc_primary_key").distinct().count() == 7
