@@ -290,6 +290,29 @@ class TableStore:
         self._publish(stream, ptr)
         return report
 
+    def vacuum(self, stream: str) -> list[str]:
+        """Delete data directories that no retained pointer file refers to.
+
+        Readers holding an older pointer keep working as long as that pointer
+        is among the ``KEEP_POINTERS`` retained ones.  Returns the deleted dirs.
+        """
+        live: set[str] = set()
+        for n in self._pointer_numbers(stream):
+            ptr = json.loads(self.fs.read(f"{self._pointer_dir(stream)}/{n:012d}.json"))
+            sets = [ptr["tables"], *ptr.get("staged", {}).values()]
+            for tables in sets:
+                for t in tables.values():
+                    live.update(t["dirs"].values())
+        gone = []
+        data = f"{self.base}/{stream}/data"
+        for table in self.fs.listdir(data):
+            for snap in self.fs.listdir(f"{data}/{table}"):
+                d = f"{data}/{table}/{snap}"
+                if not any(x.rstrip("/").endswith(f"/data/{table}/{snap}") for x in live):
+                    self.fs.delete(d)
+                    gone.append(d)
+        return gone
+
     def activate_version(self, stream: str, version: int) -> bool:
         """V3: make a staged version current; older or equal versions are a no-op."""
         ptr = self.pointer(stream)

@@ -209,3 +209,16 @@ def test_crash_between_data_write_and_publish(spark, scratch, monkeypatch):
     monkeypatch.undo()
     store.write_batch("cats", plans, _recs(spark, _cats(30, seq=5)), batch_id=1)
     assert rows(store.read("cats"), "id", "_sdc_sequence") == [(i, 5) for i in range(30)]
+
+
+def test_vacuum_keeps_live_snapshots(spark, scratch, monkeypatch):
+    store = TableStore(spark, scratch, buckets=2)
+    monkeypatch.setattr(TableStore, "KEEP_POINTERS", 1)
+    plans = plan_tables("cats", CATS, ["id"])
+    for b in range(3):
+        store.write_batch("cats", plans, _recs(spark, _cats(10, seq=b + 1)), batch_id=b)
+    before = rows(store.read("cats"), "id", "_sdc_sequence")
+    gone = store.vacuum("cats")
+    assert gone                                        # earlier snapshots removed
+    assert rows(store.read("cats"), "id", "_sdc_sequence") == before
+    assert store.vacuum("cats") == []
