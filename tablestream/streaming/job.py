@@ -78,35 +78,44 @@ class LogLoader:
             bad = [r for r in ctrl if r["bad_reason"] is not None]
             if bad:
                 raise M.MessageError(f"bad message at pos {bad[0]['pos']}: {bad[0]['bad_reason']}")
+            records = routed["records"]
+            # one small job: per stream, its newest version and record position range
+            stats = {r["stream"]: r for r in records.groupBy("stream").agg(
+                F.max("version").alias("max_version"), F.min("pos").alias("lo"),
+                F.max("pos").alias("hi")).collect()}
+            known = {s for s in stats if self._schema(s) is not None}
             for r in ctrl:
                 if r["type"] == M.SCHEMA:
-                    self._save_schema(r["stream"], json.loads(r["body"]), list(r["key_properties"] or []))
-            acts = [r for r in ctrl if r["type"] == M.ACTIVATE_VERSION]
-            records = routed["records"]
-            # one small job: streams of this batch and their newest versions
-            maxima = st.max_versions(records)
-            streams = sorted(maxima)
-            orphans = [s for s in streams if self._schema(s) is None]
+                    known.add(r["stream"])
+            orphans = sorted(set(stats) - known)
             if orphans:
                 raise M.MessageError(f"RECORD before SCHEMA for stream(s) {orphans}")
-            early = sorted({a["stream"] for a in acts if self._schema(a["stream"]) is None})
-            if early:
-                raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream(s) {early}")
             batched_at = self.clock()
-            cut = -1
-            # several segments of one micro-batch commit under distinct ids
-            for seg, act in enumerate(acts + [None]):
-                # T5: records before an activation are stored before it applies
-                hi = act["pos"] if act is not None else None
-                part = records.filter(F.col("pos") > cut)
-                if hi is not None:
-                    part = part.filter(F.col("pos") < hi)
-                for s in streams:
-                    self._write_stream(s, part.filter(F.col("stream") == s), batch_id * 10_000 + seg,
-                                       batched_at, maxima.get(s))
-                if act is not None and self.store is not None:
-                    self.store.activate_version(act["stream"], act["version"])
-                    cut = hi
+            # Cut the batch at every SCHEMA and ACTIVATE_VERSION; records
+            # before a control message are stored under the schema in force, then
+            # the message applies.  Distinct ids per segment keep retries exact.
+            cut = None
+            for seg, c in enumerate(ctrl + [None]):
+                hi = c["pos"] if c is not None else None
+                for s, st_row in sorted(stats.items()):
+                    if (cut is not None and st_row["hi"] <= cut) or (hi is not None and st_row["lo"] >= hi):
+                        continue   # no records of this stream in the segment
+                    if self._schema(s) is None:
+                        raise M.MessageError(f"RECORD before SCHEMA for stream {s!r}")
+                    part = records.filter(F.col("stream") == s)
+                    if cut is not None:
+                        part = part.filter(F.col("pos") > cut)
+                    if hi is not None:
+                        part = part.filter(F.col("pos") < hi)
+                    self._write_stream(s, part, batch_id * 10_000 + seg, batched_at, st_row["max_version"])
+                if c is not None and c["type"] == M.SCHEMA:
+                    self._save_schema(c["stream"], json.loads(c["body"]), list(c["key_properties"] or []))
+                elif c is not None:
+                    if self._schema(c["stream"]) is None:
+                        raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream {c['stream']!r}")
+                    if self.store is not None:
+                        self.store.activate_version(c["stream"], c["version"])
+                cut = hi if hi is not None else cut
             if self.emit_states:
                 self._emit_state(routed["states"], parsed)
         finally:

@@ -99,3 +99,16 @@ def test_persist_empty_tables(spark, scratch):
     assert set(on.table_names("e")) == {("e",), ("e", "kids")}
     assert on.read("e", ("e", "kids")).columns[:2] == ["_sdc_source_key_id", "_sdc_sequence"] or \
         "_sdc_value" in on.read("e", ("e", "kids")).columns
+
+
+def test_schema_change_inside_one_micro_batch(spark, scratch):
+    s_int = {"type": "object", "properties": {"id": {"type": "integer"}, "v": {"type": ["integer", "null"]}}}
+    s_str = {"type": "object", "properties": {"id": {"type": "integer"}, "v": {"type": ["string", "null"]}}}
+    msgs = [schema_msg("s", s_int, ["id"])] + [record_msg("s", {"id": i, "v": i}, sequence=1) for i in range(3)]
+    msgs += [schema_msg("s", s_str, ["id"])] + [record_msg("s", {"id": i, "v": f"x{i}"}, sequence=2)
+                                               for i in range(2, 5)]
+    _write(f"{scratch}/sc/f.jsonl", msgs)
+    store = TableStore(spark, f"{scratch}/sct", buckets=2)
+    LogLoader(spark, store).run(f"{scratch}/sc/*.jsonl", checkpoint=f"{scratch}/scck")
+    assert rows(store.read("s"), "id", "v__i", "v__s") == [
+        (0, 0, None), (1, 1, None), (2, None, "x2"), (3, None, "x3"), (4, None, "x4")]
