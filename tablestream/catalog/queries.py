@@ -471,7 +471,9 @@ def stream_upsert(spark, d):
         line = F.to_json(F.struct(F.lit("RECORD").alias("type"), F.lit("events").alias("stream"),
                                   rec.alias("record"), I.event_sequence(F.col("event_id")).alias("sequence"),
                                   (F.col("event_id") * 10 + pos_shift).alias("pos")))
-        head = spark.range(1).select(schema_line.alias("line"))
+        # the SCHEMA line gets a position just before the file's records
+        head = spark.range(1).select(schema_line.alias("line_")).select(
+            F.concat(F.expr("substring(line_, 1, length(line_) - 1)"), F.lit(f',"pos":{pos_shift - 1}}}')).alias("line"))
         head.unionByName(df.select(line.alias("line"))).coalesce(1).write.mode("overwrite").text(f"{src}/{name}")
 
     write(I.stored_events(spark, d), "b1", 0)

@@ -97,7 +97,8 @@ class LogLoader:
             cut = None
             for seg, c in enumerate(ctrl + [None]):
                 hi = c["pos"] if c is not None else None
-                for s, st_row in sorted(stats.items()):
+                unpositioned = c is not None and hi is None   # sorts first: applies before all records
+                for s, st_row in ([] if unpositioned else sorted(stats.items())):
                     if (cut is not None and st_row["hi"] <= cut) or (hi is not None and st_row["lo"] >= hi):
                         continue   # no records of this stream in the segment
                     if self._schema(s) is None:

@@ -112,3 +112,14 @@ def test_schema_change_inside_one_micro_batch(spark, scratch):
     LogLoader(spark, store).run(f"{scratch}/sc/*.jsonl", checkpoint=f"{scratch}/scck")
     assert rows(store.read("s"), "id", "v__i", "v__s") == [
         (0, 0, None), (1, 1, None), (2, None, "x2"), (3, None, "x3"), (4, None, "x4")]
+
+
+def test_schema_line_without_position_applies_first(spark, scratch):
+    os.makedirs(f"{scratch}/np")
+    with open(f"{scratch}/np/f.jsonl", "w") as f:
+        f.write(json.dumps(schema_msg("s", SCHEMA, ["id"])) + "\n")
+        for i in range(3):
+            f.write(json.dumps({**record_msg("s", {"id": i}), "pos": 10 + i}) + "\n")
+    store = TableStore(spark, f"{scratch}/npt", buckets=2)
+    LogLoader(spark, store).run(f"{scratch}/np/*.jsonl", checkpoint=f"{scratch}/npck")
+    assert store.read("s").count() == 3
