@@ -31,17 +31,29 @@ from ..sources import messages as M
 from .bookmarks import newest_safe_state
 
 
+def _statements(sql: list[str] | str | None) -> list[str]:
+    """K4 hooks: a list of statements, inline text, or ``file:<path>``; ``;`` separates."""
+    if not sql:
+        return []
+    if isinstance(sql, list):
+        return [q for q in sql if q.strip()]
+    if sql.startswith("file:"):
+        with open(sql[5:], encoding="utf-8") as f:
+            sql = f.read()
+    return [q.strip() for q in sql.split(";") if q.strip()]
+
+
 class LogLoader:
     def __init__(self, spark: SparkSession, store: TableStore | None, *,
                  invalid_detect: bool = True, invalid_threshold: int = 0,
                  emit_states: bool = True, bookmark_path: str | None = None,
-                 before_sql: list[str] | None = None, after_sql: list[str] | None = None,
+                 before_sql: list[str] | str | None = None, after_sql: list[str] | str | None = None,
                  target: Callable[[str, dict], None] | None = None,  # (stream, {path: DataFrame})
                  clock: Callable[[], dt.datetime] | None = None, quarantine: bool = True):
         self.spark, self.store = spark, store
         self.invalid_detect, self.invalid_threshold = invalid_detect, invalid_threshold
         self.emit_states, self.bookmark_path = emit_states, bookmark_path
-        self.before_sql, self.after_sql = before_sql or [], after_sql or []
+        self.before_sql, self.after_sql = _statements(before_sql), _statements(after_sql)
         self.target = target
         self.quarantine = quarantine
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc))

@@ -222,3 +222,12 @@ def test_vacuum_keeps_live_snapshots(spark, scratch, monkeypatch):
     assert gone                                        # earlier snapshots removed
     assert rows(store.read("cats"), "id", "_sdc_sequence") == before
     assert store.vacuum("cats") == []
+
+
+def test_sql_hooks_inline_and_from_file(tmp_path):
+    from tablestream.streaming.job import _statements
+    assert _statements("SELECT 1; SELECT 2 ;") == ["SELECT 1", "SELECT 2"]
+    f = tmp_path / "after.sql"
+    f.write_text("CREATE TEMP VIEW a AS SELECT 1;\nSELECT 3")
+    assert _statements(f"file:{f}") == ["CREATE TEMP VIEW a AS SELECT 1", "SELECT 3"]
+    assert _statements(None) == [] and _statements(["SELECT 4"]) == ["SELECT 4"]
