@@ -231,3 +231,16 @@ def test_sql_hooks_inline_and_from_file(tmp_path):
     f.write_text("CREATE TEMP VIEW a AS SELECT 1;\nSELECT 3")
     assert _statements(f"file:{f}") == ["CREATE TEMP VIEW a AS SELECT 1", "SELECT 3"]
     assert _statements(None) == [] and _statements(["SELECT 4"]) == ["SELECT 4"]
+
+
+def test_reference_style_config(spark, scratch):
+    from tablestream.config import jdbc_url, loader_from_config
+    head = dict(schema_msg("cats", CATS, ["id"]), pos=0)
+    _write_log(f"{scratch}/cfg/f.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_cats(4))])
+    loader, run = loader_from_config(spark, {"postgres_database": "db", "postgres_schema": "tap",
+                                             "invalid_records_threshold": 2, "state_support": False,
+                                             "after_run_sql": "SELECT 1;"}, f"{scratch}/wh")
+    assert loader.invalid_threshold == 2 and not loader.emit_states and loader.after_sql == ["SELECT 1"]
+    loader.run(f"{scratch}/cfg/*.jsonl", checkpoint=f"{scratch}/cfgck", **run)
+    assert TableStore(spark, f"{scratch}/wh/tap").read("cats").count() == 4
+    assert jdbc_url({"postgres_database": "db"}) == "jdbc:postgresql://localhost:5432/db"
