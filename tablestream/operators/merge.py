@@ -14,7 +14,8 @@ Plan shape, chosen for scale:
   aggregation before the shuffle, so a key holding a third of the batch
   costs one row per map task, not one huge window partition;
 * the upsert is *one* full-outer join on keys that are unique on both sides
-  after the dedupe, so no key is skewed; NULL-key rows skip the join.
+  after the dedupe (NULL keys included: they are one group there), so no key
+  is skewed and the batch is read once.
 """
 
 from __future__ import annotations
@@ -77,12 +78,13 @@ def upsert(cur: DataFrame, inc: DataFrame, keys: list[str], seq: str = SEQUENCE,
     ``kept`` / ``replaced`` / ``inserted``.
     """
     cols = [c for c in cur.columns if c != pos]
+    # After the dedupe all NULL-key rows of the batch are one group (one
+    # survivor), so they cannot skew the join; NULL never equals NULL, so the
+    # survivor comes out unmatched and is inserted.
     inc_d = latest_per_key(inc, keys, seq, pos).select(*cols)
-    null_rows = inc_d.filter(_null_key(keys))
-    inc_k = inc_d.filter(~_null_key(keys))
     rest = [c for c in cols if c not in keys]
     c = cur.select(*keys, F.struct(*rest).alias("__c"))
-    i = inc_k.select(*keys, F.struct(*rest).alias("__i"))
+    i = inc_d.select(*keys, F.struct(*rest).alias("__i"))
     j = c.join(i, keys, "full_outer")
     take_i = F.col("__i").isNotNull() & (F.col("__c").isNull() |
                                          (F.col(f"__i.{seq}") >= F.col(f"__c.{seq}")))
@@ -92,9 +94,7 @@ def upsert(cur: DataFrame, inc: DataFrame, keys: list[str], seq: str = SEQUENCE,
     if with_action:
         act = F.when(~F.col("__take"), "kept").when(F.col("__had"), "replaced").otherwise("inserted")
         out = out.withColumn("_action", act)
-        null_rows = null_rows.withColumn("_action", F.lit("inserted"))
-    out = out.drop("__take", "__had").select(*cols, *(["_action"] if with_action else []))
-    return out.unionByName(null_rows)
+    return out.drop("__take", "__had").select(*cols, *(["_action"] if with_action else []))
 
 
 def parent_decisions(cur_root: DataFrame, inc_root: DataFrame, keys: list[str], seq: str = SEQUENCE,
