@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +50,15 @@ class LogLoader:
                  emit_states: bool = True, bookmark_path: str | None = None,
                  before_sql: list[str] | str | None = None, after_sql: list[str] | str | None = None,
                  target: Callable[[str, dict], None] | None = None,  # (stream, {path: DataFrame})
-                 clock: Callable[[], dt.datetime] | None = None, quarantine: bool = True):
+                 clock: Callable[[], dt.datetime] | None = None, quarantine: bool = True,
+                 parallel_streams: int = 1):
         self.spark, self.store = spark, store
         self.invalid_detect, self.invalid_threshold = invalid_detect, invalid_threshold
         self.emit_states, self.bookmark_path = emit_states, bookmark_path
         self.before_sql, self.after_sql = _statements(before_sql), _statements(after_sql)
         self.target = target
         self.quarantine = quarantine
+        self.parallel_streams = max(1, parallel_streams)
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc))
         if store is None and target is None:
             raise ValueError("give a TableStore, a target callback, or both")
@@ -110,6 +113,7 @@ class LogLoader:
             for seg, c in enumerate(ctrl + [None]):
                 hi = c["pos"] if c is not None else None
                 unpositioned = c is not None and hi is None   # sorts first: applies before all records
+                jobs = []
                 for s, st_row in ([] if unpositioned else sorted(stats.items())):
                     if (cut is not None and st_row["hi"] <= cut) or (hi is not None and st_row["lo"] >= hi):
                         continue   # no records of this stream in the segment
@@ -120,7 +124,8 @@ class LogLoader:
                         part = part.filter(F.col("pos") > cut)
                     if hi is not None:
                         part = part.filter(F.col("pos") < hi)
-                    self._write_stream(s, part, batch_id * 10_000 + seg, batched_at, st_row["max_version"])
+                    jobs.append((s, part, st_row["max_version"]))
+                self._run_streams(jobs, batch_id * 10_000 + seg, batched_at)
                 if c is not None and c["type"] == M.SCHEMA:
                     self._save_schema(c["stream"], json.loads(c["body"]), list(c["key_properties"] or []))
                 elif c is not None:
@@ -136,6 +141,18 @@ class LogLoader:
         for q in self.after_sql:
             self.spark.sql(q)
 
+    def _run_streams(self, jobs: list, batch_id: int, batched_at: dt.datetime) -> None:
+        """Streams are independent tables: with ``parallel_streams > 1`` their
+        Spark jobs are submitted from several driver threads at once."""
+        if self.parallel_streams == 1 or len(jobs) < 2:
+            for s, part, mv in jobs:
+                self._write_stream(s, part, batch_id, batched_at, mv)
+            return
+        with ThreadPoolExecutor(max_workers=self.parallel_streams) as pool:
+            futures = [pool.submit(self._write_stream, s, part, batch_id, batched_at, mv) for s, part, mv in jobs]
+            for f in futures:
+                f.result()
+
     def _write_stream(self, stream: str, recs: DataFrame, batch_id: int, batched_at: dt.datetime,
                       max_version: int | None) -> None:
         schema, keys = self._schema(stream)

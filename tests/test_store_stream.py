@@ -244,3 +244,17 @@ def test_reference_style_config(spark, scratch):
     loader.run(f"{scratch}/cfg/*.jsonl", checkpoint=f"{scratch}/cfgck", **run)
     assert TableStore(spark, f"{scratch}/wh/tap").read("cats").count() == 4
     assert jdbc_url({"postgres_database": "db"}) == "jdbc:postgresql://localhost:5432/db"
+
+
+def test_parallel_streams_give_the_same_tables(spark, scratch):
+    schema = {"type": "object", "properties": {"id": {"type": "integer"}, "v": {"type": "string"}}}
+    msgs = []
+    for s in ("a", "b", "c"):
+        msgs.append(schema_msg(s, schema, ["id"]))
+        msgs += [record_msg(s, {"id": i, "v": s}, sequence=1) for i in range(5)]
+    _write_log(f"{scratch}/ps/f.jsonl", [dict(m, pos=i) for i, m in enumerate(msgs)])
+    store = TableStore(spark, f"{scratch}/pst", buckets=2)
+    LogLoader(spark, store, parallel_streams=3, clock=lambda: T0).run(f"{scratch}/ps/*.jsonl",
+                                                                      checkpoint=f"{scratch}/psck")
+    for s in ("a", "b", "c"):
+        assert rows(store.read(s), "id", "v") == [(i, s) for i in range(5)]
