@@ -119,9 +119,13 @@ class _TableState:
 
 class TableStore:
     def __init__(self, spark: SparkSession, base: str, buckets: int = 64, children: str = "sync",
-                 persist_empty: bool = False):
+                 persist_empty: bool = False, max_dirs: int = 64):
         self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
         self.children, self.persist_empty = children, persist_empty
+        # A table whose buckets live in more than ``max_dirs`` snapshot
+        # directories is rewritten into one on its next batch (compaction),
+        # which bounds the width of every read plan.
+        self.max_dirs = max_dirs
         self.fs = _Fs(spark)
 
     # --------------------------------------------------------------- pointer
@@ -175,7 +179,8 @@ class TableStore:
             paths = [p for p in (f"{d}/{BUCKET}={b}" for b in sorted(bs)) if self.fs.exists(p)]
             if not paths:
                 continue
-            df = self.spark.read.option("basePath", d).option("mergeSchema", "true").parquet(*paths)
+            # one directory = one batch = one layout: no schema merging needed
+            df = self.spark.read.option("basePath", d).parquet(*paths)
             cols = [(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t, _ in st.layout.columns()]
             parts.append(df.select(*cols))
         if not parts:
@@ -253,7 +258,8 @@ class TableStore:
         for plan in plans:
             inc = tables[plan.path]
             name, old, layout, changes = evolved[plan.path]
-            full = old is not None and needs_full_rewrite(changes)
+            full = old is not None and (needs_full_rewrite(changes) or
+                                        len(set(old.dirs.values())) > self.max_dirs)
             read_buckets = None if full else touched
             cur = project(self._read(old, read_buckets), layout, changes) if old else \
                 self.spark.createDataFrame([], layout.ddl())

@@ -258,3 +258,15 @@ def test_parallel_streams_give_the_same_tables(spark, scratch):
                                                                       checkpoint=f"{scratch}/psck")
     for s in ("a", "b", "c"):
         assert rows(store.read(s), "id", "v") == [(i, s) for i in range(5)]
+
+
+def test_compaction_bounds_snapshot_directories(spark, scratch):
+    store = TableStore(spark, scratch, buckets=8, max_dirs=2)
+    plans = plan_tables("cats", CATS, ["id"])
+    store.write_batch("cats", plans, _recs(spark, _cats(40)), batch_id=0)
+    for b in range(1, 5):
+        store.write_batch("cats", plans, _recs(spark, _cats(1, seq=b + 1, start=b)), batch_id=b)
+        dirs = set(store.pointer("cats")["tables"]["cats"]["dirs"].values())
+        assert len(dirs) <= 3
+    got = dict(rows(store.read("cats"), "id", "_sdc_sequence"))
+    assert len(got) == 40 and [got[i] for i in range(1, 5)] == [2, 3, 4, 5]
