@@ -270,3 +270,18 @@ def test_compaction_bounds_snapshot_directories(spark, scratch):
         assert len(dirs) <= 3
     got = dict(rows(store.read("cats"), "id", "_sdc_sequence"))
     assert len(got) == 40 and [got[i] for i in range(1, 5)] == [2, 3, 4, 5]
+
+
+def test_legacy_children_mode_keeps_reference_behaviour(spark, scratch):
+    plans = plan_tables("cats", CATS, ["id"])
+
+    def cat(seq, shots):
+        return record_msg("cats", {"id": 1, "name": "n", "bio": "b",
+                                   "adoption": {"was_foster": True,
+                                                "immunizations": [{"type": t} for t in shots]}}, sequence=seq)
+    for mode, want in (("sync", [(0, "z")]), ("legacy", [(0, "z"), (1, "b")])):
+        store = TableStore(spark, f"{scratch}/{mode}", buckets=2, children=mode)
+        store.write_batch("cats", plans, _recs(spark, [cat(1, ["a", "b"])]), batch_id=0)
+        store.write_batch("cats", plans, _recs(spark, [cat(2, ["z"])]), batch_id=1)
+        got = rows(store.read("cats", ("cats", "adoption", "immunizations")), "_sdc_level_0_id", "type")
+        assert got == want, mode
