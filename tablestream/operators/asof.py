@@ -75,3 +75,20 @@ def previous_value(rows: DataFrame, by: list[str], pos: str, value: str, out: st
     marks = rows.select(*by, pos, F.struct(F.col(pos).alias("p"), F.col(value).alias("v")).alias("__pv"))
     got = asof_last(rows, marks, by=by, pos=pos, value="__pv", out="__prev", bucket=bucket, strict=True)
     return got.withColumn(out, F.col("__prev.v")).drop("__prev")
+
+
+def running_max(rows: DataFrame, by: list[str], pos: str, cols: list[str],
+                bucket: int = DEFAULT_BUCKET) -> DataFrame:
+    """Replace each of ``cols`` by its running maximum (rows up to and including
+    this one, ordered by ``pos`` inside ``by``), bucketed like the functions above:
+    a window inside ``(group, bucket)`` plus the maximum of all earlier buckets."""
+    B = F.lit(bucket)
+    r = rows.withColumn("__b", F.floor(F.col(pos) / B))
+    w = Window.partitionBy(*by, "__b").orderBy(F.col(pos)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = r.select("*", *[F.max(c).over(w).alias(f"__in_{c}") for c in cols])
+    per = r.groupBy(*by, "__b").agg(*[F.max(c).alias(f"__bm_{c}") for c in cols])
+    wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*by, "__b", *[F.max(f"__bm_{c}").over(wb).alias(f"__cm_{c}") for c in cols])
+    j = inner.join(carry, on=[*by, "__b"], how="left")
+    return j.select(*[c for c in rows.columns if c not in cols],
+                    *[F.greatest(F.col(f"__in_{c}"), F.col(f"__cm_{c}")).alias(c) for c in cols])

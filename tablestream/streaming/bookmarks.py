@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from ..operators.asof import DEFAULT_BUCKET, asof_last, previous_value, running_count
+from ..operators.asof import DEFAULT_BUCKET, asof_last, previous_value, running_count, running_max
 
 
 def record_counters(records: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
@@ -52,13 +52,14 @@ def safe_bookmarks(records: DataFrame, states: DataFrame, streams: list[str], fl
     # first-record counter of each stream: one small row per stream
     first = {r["stream"]: r["first"] for r in
              cnt.groupBy("stream").agg(F.min("counter").alias("first")).collect()}
-    rows = flushes
-    seen = []
-    for i, s in enumerate(streams):
-        marks = flushes.filter(F.col("stream") == s).select(F.col("c"), F.col("c").alias("v"))
-        rows = asof_last(rows, marks, by=[], pos="c", value="v", out=f"__l{i}", bucket=bucket, strict=False)
-        if s in first:
-            seen.append(F.when(F.lit(first[s]) <= F.col("c"), F.coalesce(F.col(f"__l{i}"), F.lit(0))))
+    # last flush of stream s at or before counter c = running max of
+    # when(stream = s, c) in counter order: one bucketed pass for all streams
+    lasts = [f"__l{i}" for i in range(len(streams))]
+    rows = flushes.select("stream", "c", *[F.when(F.col("stream") == s, F.col("c")).alias(lasts[i])
+                                           for i, s in enumerate(streams)])
+    rows = running_max(rows, by=[], pos="c", cols=lasts, bucket=bucket)
+    seen = [F.when(F.lit(first[s]) <= F.col("c"), F.coalesce(F.col(lasts[i]), F.lit(0)))
+            for i, s in enumerate(streams) if s in first]
     rows = rows.withColumn("threshold", (F.least(*seen) if len(seen) > 1 else seen[0]).cast("bigint"))
     wm = state_watermarks(states.select("pos"), cnt, bucket) \
         .select(F.col("watermark").alias("threshold"), F.col("pos").alias("spos"))

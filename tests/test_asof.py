@@ -36,3 +36,18 @@ def test_running_count_and_previous_value(spark):
     srt = sorted(data, key=lambda t: t[1])
     assert prev[srt[0][1]] is None
     assert all(prev[srt[i][1]] == srt[i - 1][2] for i in range(1, len(srt)))
+
+
+def test_running_max_matches_brute_force(spark):
+    from tablestream.operators.asof import running_max
+    random.seed(11)
+    pos = random.sample(range(5000), 300)
+    data = [("hot" if i % 4 else "cold", p, random.choice([None, random.randint(0, 99)])) for i, p in enumerate(pos)]
+    df = spark.createDataFrame(data, "g string, pos bigint, v bigint")
+    got = {(x.g, x.pos): x.v for x in running_max(df, ["g"], "pos", ["v"], bucket=41).collect()}
+    for g in ("hot", "cold"):
+        best = None
+        for gg, p, v in sorted((d for d in data if d[0] == g), key=lambda d: d[1]):
+            if v is not None:
+                best = v if best is None else max(best, v)
+            assert got[(g, p)] == best
