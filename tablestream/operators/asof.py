@@ -71,10 +71,21 @@ def running_count(rows: DataFrame, by: list[str], pos: str, out: str,
 
 def previous_value(rows: DataFrame, by: list[str], pos: str, value: str, out: str,
                    bucket: int = DEFAULT_BUCKET) -> DataFrame:
-    """``out`` = ``value`` of the previous row (by ``pos``) in the group - a bucketed ``lag``."""
-    marks = rows.select(*by, pos, F.struct(F.col(pos).alias("p"), F.col(value).alias("v")).alias("__pv"))
-    got = asof_last(rows, marks, by=by, pos=pos, value="__pv", out="__prev", bucket=bucket, strict=True)
-    return got.withColumn(out, F.col("__prev.v")).drop("__prev")
+    """``out`` = ``value`` of the previous row (by ``pos``) in the group - a bucketed ``lag``.
+
+    Inside a bucket it is ``lag``; a bucket's first row takes the last value of
+    the nearest earlier bucket (a bucket-level table, joined back on the key).
+    """
+    B = F.lit(bucket)
+    r = rows.withColumn("__b", F.floor(F.col(pos) / B))
+    w = Window.partitionBy(*by, "__b").orderBy(F.col(pos))
+    inner = r.withColumn("__lag", F.lag(value).over(w)).withColumn("__first", F.row_number().over(w) == 1)
+    last = r.groupBy(*by, "__b").agg(F.max_by(value, pos).alias("__last"))
+    wb = Window.partitionBy(*by).orderBy("__b")
+    carry = last.select(*by, "__b", F.lag("__last").over(wb).alias("__carry"))
+    j = inner.join(carry, on=[*by, "__b"], how="left")
+    return j.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lag"))) \
+            .drop("__b", "__lag", "__first", "__carry")
 
 
 def running_max(rows: DataFrame, by: list[str], pos: str, cols: list[str],
