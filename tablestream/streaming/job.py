@@ -1,11 +1,15 @@
 """Structured Streaming loader.
 
 ``readStream.text`` over a folder of JSON-line files -> ``foreachBatch``:
-parse and route the micro-batch once (persisted), then per stream: version
-filter, stamp, validate, and upsert every table through the
-:class:`~tablestream.sinks.tables.TableStore`; ACTIVATE_VERSION messages are
-applied after the records before them are stored (flush before activate);
-the newest STATE of the batch is released once the batch is durable.
+parse and route the micro-batch once (persisted).  Its SCHEMA and
+ACTIVATE_VERSION messages cut it into segments, in log order: the records
+before a control message are stored under the schema then in force (S4),
+then the message applies (a new schema; an activation after the flush, T5).
+Per stream and segment: version filter, stamp, validate (invalid records to
+a quarantine), and upsert every table through the
+:class:`~tablestream.sinks.tables.TableStore`; independent streams may be
+written from several driver threads.  The newest STATE of the batch is
+released once the batch is durable.
 
 Batch size is bounded by ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``;
 ``availableNow`` drains what is there and stops.  A retried batch id is a
