@@ -2,16 +2,19 @@
 
 Layout on shared storage::
 
-    <base>/<stream>/_pointer.json             current + staged versions
+    <base>/<stream>/_pointer/<n>.json         pointer n (highest = current): layouts,
+                                              bucket -> directory, versions
     <base>/<stream>/data/<table>/<batch>-<n>/_bucket=<b>/part-*.parquet
 
 * Rows are spread over ``buckets`` key-hash partitions (children hash the
   *parent* key, so a parent and its children share a bucket).  A batch reads
   and rewrites only the buckets its keys fall in; the bucket list (at most
   ``buckets`` ints) is the only thing collected.
-* Directories are immutable.  A batch writes new directories, then swaps the
-  pointer (write temp file, rename) - all tables of the batch commit
-  together; a failed batch leaves the old pointer, so a retry starts clean.
+* Directories are immutable.  A batch writes new directories, then publishes
+  pointer n+1 (temp file renamed to a fresh name) - all tables of the batch
+  commit together; a failed batch leaves pointer n, so a retry starts clean.
+  Too many directories per table trigger a rewrite into one (compaction);
+  ``vacuum`` removes directories no retained pointer refers to.
 * Versions: a batch for a newer version is staged apart while the current
   one stays visible; activation repoints the stream to the staged set; a
   batch older than the current version is ignored.
