@@ -39,6 +39,10 @@ from ..plans.tables import SEQUENCE, SOURCE_KEY_PREFIX, TablePlan
 BUCKET = "_bucket"
 
 
+class NotNullViolation(ValueError):
+    """A batch would store NULL in a NOT NULL column (P16); nothing was published."""
+
+
 class _Fs:
     """Minimal Hadoop FileSystem access from the driver (any cluster filesystem)."""
 
@@ -279,7 +283,13 @@ class TableStore:
                 bucket_keys = pk
             out_dir = f"{self.base}/{stream}/data/{name}/{batch_tag}"
             obs = Observation(f"rows_{name}_{batch_tag}")
-            merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"))
+            required = [n for n, _, nullable in layout.columns() if not nullable]
+            any_null = F.lit(False)
+            for n in required:
+                any_null = any_null | F.col(n).isNull()
+            # rows written, and rows breaking a NOT NULL column (P16), in the write job itself
+            merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                    F.sum(F.when(any_null, 1).otherwise(0)).alias("null_violations"))
             # The merge output is already spread by key; sorting inside each
             # task (bucket, key, sequence) gives one open file at a time and
             # never funnels a whole bucket (a hot parent's children) into one task.
@@ -292,7 +302,12 @@ class TableStore:
                 dirs[b] = out_dir
             target[name] = _TableState(layout, dirs).to_json()
             report[name] = [c[0] for c in changes]
-            report.setdefault("_rows", {})[name] = obs.get.get("rows", 0)
+            metrics = obs.get
+            if metrics.get("null_violations"):
+                # the new directory is never published: the batch is rolled back
+                raise NotNullViolation(f"{metrics['null_violations']} row(s) of {name} hold NULL in a NOT NULL "
+                                       f"column ({', '.join(required)}); batch {batch_id} not published")
+            report.setdefault("_rows", {})[name] = metrics.get("rows", 0)
         if not staging:
             ptr["version"] = current
         ptr["batch"] = batch_id

@@ -285,3 +285,14 @@ def test_legacy_children_mode_keeps_reference_behaviour(spark, scratch):
         store.write_batch("cats", plans, _recs(spark, [cat(2, ["z"])]), batch_id=1)
         got = rows(store.read("cats", ("cats", "adoption", "immunizations")), "_sdc_level_0_id", "type")
         assert got == want, mode
+
+
+def test_null_in_not_null_column_aborts_the_batch(spark, scratch):
+    from tablestream.sinks.tables import NotNullViolation
+    store = TableStore(spark, scratch, buckets=2)
+    plans = plan_tables("cats", CATS, ["id"])
+    store.write_batch("cats", plans, _recs(spark, _cats(3)), batch_id=0)
+    missing_name = [record_msg("cats", {"id": 9, "bio": "b"}, sequence=5)]
+    with pytest.raises(NotNullViolation):
+        store.write_batch("cats", plans, _recs(spark, missing_name), batch_id=1)
+    assert rows(store.read("cats"), "id") == [(0,), (1,), (2,)]     # nothing published
