@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
-from ..functions.scalars import canonical_name, iso_utc, to_naive
+from ..functions.scalars import canonical_name, fit_name, iso_utc, to_naive
 from ..loader import load_counts as loader_load_counts
 from ..loader import stream_records, table_counts, tables_from_log, tables_from_records
 from ..operators import checks, merge, stamp as st
@@ -431,7 +431,7 @@ def canonical_names(spark, d):
     pages = I.table(spark, d, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("id"),
                                               F.col("url").alias("raw"))
     names = part.unionByName(pages)
-    return names.withColumn("name", F.substring(canonical_name(F.col("raw")), 1, MAX_IDENTIFIER))
+    return names.withColumn("name", fit_name(canonical_name(F.col("raw")), limit=MAX_IDENTIFIER))
 
 
 def name_collisions(spark, d):
