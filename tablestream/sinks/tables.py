@@ -208,6 +208,15 @@ class TableStore:
                 return self._read(st)
         raise KeyError(f"no table {path} in stream {stream}")
 
+    def read_tables(self, stream: str) -> dict[tuple, DataFrame]:
+        """Every current table of ``stream`` as ``{path: DataFrame}``."""
+        tables = self.pointer(stream)["tables"]
+        out = {}
+        for t in tables.values():
+            st = _TableState.from_json(t)
+            out[st.layout.path] = self._read(st)
+        return out
+
     def is_empty(self, stream: str, path: tuple | None = None) -> bool:
         """One-row probe."""
         try:

@@ -40,6 +40,8 @@ def test_versions_stage_skip_and_activate(spark, scratch):
     assert store.read("cats", ("cats", "adoption", "immunizations")).count() == sum(i % 3 for i in range(110))
     store.write_batch("cats", plans, _recs(spark, _cats(100, version=2)), batch_id=1, version=2)
     assert store.read("cats").count() == 110            # staged, not visible
+    assert {p: df.count() for p, df in store.read_tables("cats").items()} == {
+        ("cats",): 110, ("cats", "adoption", "immunizations"): sum(i % 3 for i in range(110))}
     assert store.read("cats", version=2).count() == 100
     out = store.write_batch("cats", plans, _recs(spark, _cats(5, version=0)), batch_id=2, version=0)
     assert "skipped" in out                               # outdated load ignored
