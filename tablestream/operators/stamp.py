@@ -84,8 +84,11 @@ def stamp(records: DataFrame, batched_at: dt.datetime, keyless: bool = False,
         SEQUENCE: F.coalesce(F.col("sequence"), F.lit(epoch).cast("bigint")),
     }
     if keyless:
+        # positions derived from files restart per micro-batch: the file joins the key
+        where = F.concat_ws("|", F.col("_file"), F.col("pos").cast("string")) if "_file" in records.columns \
+            else F.col("pos")
         cols[PRIMARY_KEY] = F.coalesce(V.typed(V.at(rec, (PRIMARY_KEY,)), "string"),
-                                       surrogate_key(F.col("stream"), F.col("pos"), surrogate))
+                                       surrogate_key(F.col("stream"), where, surrogate))
     return records.withColumns(cols)
 
 

@@ -8,7 +8,7 @@ columns with the VARIANT message kept; :func:`route` splits by message type.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
@@ -30,21 +30,44 @@ class MessageError(ValueError):
     pass
 
 
+FILE_SPAN = 1 << 42   # positions per file: byte offset of the split + line index inside it
+
+
 def read_log(spark: SparkSession, path: str, streaming: bool = False,
              max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Text files of JSON lines -> ``(pos, line)``.
 
-    Text sources carry no global order, so the position comes from the
-    message's own ``pos`` field (the producer numbers its lines); a line
-    without one gets NULL and sorts first.
+    A message's own ``pos`` field wins (see :func:`parse`).  Without one, the
+    position follows the files: file path order, then line order inside the
+    file (:func:`file_positions`).  A streaming log keeps the file columns and
+    the loader numbers each micro-batch the same way.
     """
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if streaming and max_bytes_per_trigger:   # T1: batch bounded by bytes (whole files)
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    df = reader.text(path).withColumnRenamed("value", "line")
-    return df.select(F.try_variant_get(F.try_parse_json("line"), "$.pos", "bigint").alias("pos"), "line")
+    df = reader.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"),
+                                  F.col("_metadata.file_block_start").alias("_block"))
+    return df if streaming else file_positions(df)
+
+
+def file_positions(df: DataFrame) -> DataFrame:
+    """``(line, _file, _block)`` -> ``(pos, line, _file)`` in file order.
+
+    Splits of one file are not read in offset order, so the position is built
+    from parts that are: the rank of the file path, the split's byte offset,
+    and the line's index inside its split (rows of a split are contiguous in
+    a task, so ``monotonically_increasing_id`` minus the split's first id).
+    Only the file list and the split list (one row each) are aggregated.
+    """
+    d = df.withColumn("_m", F.monotonically_increasing_id())
+    files = d.select("_file").distinct().withColumn(
+        "_fi", F.dense_rank().over(Window.orderBy("_file")) - 1)
+    splits = d.groupBy("_file", "_block").agg(F.min("_m").alias("_m0"))
+    j = d.join(files, "_file").join(splits, ["_file", "_block"])
+    pos = F.col("_fi") * F.lit(FILE_SPAN) + F.col("_block") + (F.col("_m") - F.col("_m0"))
+    return j.select(pos.cast("bigint").alias("pos"), "line", "_file")
 
 
 def _field(msg, name: str, kind: str = "string"):
@@ -63,9 +86,12 @@ def parse(log: DataFrame) -> DataFrame:
     ``missing type``, ``unknown type <t>`` or ``<TYPE> without <field>``.
     Columns are built in stages so each VARIANT extraction runs once.
     """
-    df = log.select("pos", "line", F.try_parse_json("line").alias("msg"))
+    extra = [c for c in ("_file",) if c in log.columns]
+    df = log.select("pos", "line", *extra, F.try_parse_json("line").alias("msg"))
     m = F.col("msg")
-    df = df.select("*", _field(m, "type").alias("type"))
+    # a message's own "pos" field wins over the position of its line
+    df = df.select(F.coalesce(_field(m, "pos", "bigint"), F.col("pos")).alias("pos"), "line", *extra, "msg",
+                   _field(m, "type").alias("type"))
     t = F.col("type")
     payload = F.lit(None).cast("variant")
     for kind, field in PAYLOAD.items():
@@ -84,7 +110,7 @@ def parse(log: DataFrame) -> DataFrame:
             else:
                 present = F.col("payload").isNotNull()
             reason = reason.when((t == kind) & ~present, F.lit(f"{kind} without {f}"))
-    out = df.select("pos", "line", "msg", "type", "stream", "payload", reason.alias("bad_reason"))
+    out = df.select("pos", "line", *extra, "msg", "type", "stream", "payload", reason.alias("bad_reason"))
     # routing filters on type / bad_reason must not re-run the parse
     return compute_once(out)
 
@@ -95,7 +121,7 @@ def route(parsed: DataFrame) -> dict[str, DataFrame]:
     m = F.col("msg")
     out = {
         "records": good.filter(F.col("type") == RECORD).select(
-            "pos", "stream", "line",
+            "pos", "stream", "line", *[c for c in ("_file",) if c in parsed.columns],
             F.col("payload").alias("record"),
             _field(m, "version", "bigint").alias("version"),
             _field(m, "sequence", "bigint").alias("sequence"),

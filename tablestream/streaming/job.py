@@ -86,8 +86,11 @@ class LogLoader:
 
     # ----------------------------------------------------------- one batch
     def process_batch(self, log: DataFrame, batch_id: int) -> None:
+        self._batch = batch_id
         for q in self.before_sql:
             self.spark.sql(q)
+        if "pos" not in log.columns:   # plain files: number lines in file order within the batch
+            log = M.file_positions(log)
         parsed = M.parse(log).persist()
         try:
             routed = M.route(parsed)
@@ -196,7 +199,8 @@ class LogLoader:
         row = newest_safe_state(states, None).collect()
         if row and row[0]["value"] != self.last_state and self.bookmark_path:
             self.last_state = row[0]["value"]
-            self.fs.write_atomic(f"{self.bookmark_path}/state-{row[0]['pos']:015d}.json", row[0]["value"])
+            self.fs.write_atomic(f"{self.bookmark_path}/state-{self._batch:012d}-{row[0]['pos']:020d}.json",
+                                 row[0]["value"])
 
     # ----------------------------------------------------------- run
     def run(self, path: str, checkpoint: str | None = None, max_files_per_trigger: int | None = 1,

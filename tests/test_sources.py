@@ -42,7 +42,8 @@ def test_read_log_from_files(spark, scratch):
         for i in range(5):
             f.write(json.dumps({"type": "RECORD", "stream": "s", "record": {"id": i}, "pos": 100 - i}) + "\n")
     log = M.read_log(spark, f"{scratch}/logs")
-    assert sorted(r.pos for r in log.collect()) == [96, 97, 98, 99, 100]
+    assert sorted(r.pos for r in log.collect()) == [0, 1, 2, 3, 4]              # line order in the file
+    assert sorted(r.pos for r in M.parse(log).collect()) == [96, 97, 98, 99, 100]  # own "pos" wins
 
 
 def test_orphans_and_schema_in_force(spark):
@@ -123,3 +124,42 @@ def test_schema_line_without_position_applies_first(spark, scratch):
     store = TableStore(spark, f"{scratch}/npt", buckets=2)
     LogLoader(spark, store).run(f"{scratch}/np/*.jsonl", checkpoint=f"{scratch}/npck")
     assert store.read("s").count() == 3
+
+
+def test_positions_follow_file_and_line_order_without_pos_fields(spark, scratch):
+    os.makedirs(f"{scratch}/plain")
+    expected = []
+    for name, n in (("f2.jsonl", 40), ("f1.jsonl", 25), ("f3.jsonl", 7)):
+        with open(f"{scratch}/plain/{name}", "w") as f:
+            for i in range(n):
+                f.write(json.dumps({"type": "STATE", "value": {"f": name, "i": i}}) + "\n")
+    for name, n in (("f1.jsonl", 25), ("f2.jsonl", 40), ("f3.jsonl", 7)):
+        expected += [(name, i) for i in range(n)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")     # many splits per file
+    try:
+        log = M.read_log(spark, f"{scratch}/plain")
+        got = [(r.value["f"], r.value["i"]) for r in
+               M.route(M.parse(log))["states"].select("pos", F.from_json(F.to_json("value"), "f string, i int")
+                                                      .alias("value")).orderBy("pos").collect()]
+        assert log.rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == expected
+
+
+def test_streaming_plain_files_without_positions(spark, scratch):
+    keyless = {"type": "object", "properties": {"v": {"type": "integer"}}}
+    os.makedirs(f"{scratch}/pl")
+    with open(f"{scratch}/pl/a.jsonl", "w") as f:
+        f.write(json.dumps(schema_msg("k", keyless, [])) + "\n")
+        for i in range(5):
+            f.write(json.dumps(record_msg("k", {"v": i})) + "\n")
+    with open(f"{scratch}/pl/b.jsonl", "w") as f:
+        for i in range(5, 9):
+            f.write(json.dumps(record_msg("k", {"v": i})) + "\n")
+    store = TableStore(spark, f"{scratch}/plt", buckets=2)
+    LogLoader(spark, store).run(f"{scratch}/pl/*.jsonl", checkpoint=f"{scratch}/plck", max_files_per_trigger=1)
+    t = store.read("k")
+    assert rows(t, "v") == [(i,) for i in range(9)]
+    assert t.select("_sdc_primary_key").distinct().count() == 9
