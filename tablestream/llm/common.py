@@ -27,7 +27,7 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     lost executor costs no earlier stage."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.options(**options).parquet(path)
+    df.write.options(**({"compression": "zstd"} | options)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
