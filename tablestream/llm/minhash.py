@@ -9,7 +9,8 @@ whose values are frequent, thus bring nobody together unless they are most of th
 
 Pairs are made without listing a group's pairs: each list compares its members with its hub, the
 member with the most common values.  Only lists that still hold several components after that are
-compared across components.  A pair must agree in size, then in the bottom-k of the union of both
+compared across components: pair by pair where few are open, else in blocks of members whose tasks
+return only what connects components.  A pair must agree in size, then in the bottom-k of the union of both
 sketches, and at last in the exact likeness of the full sets.
 
 Words are stretches without ASCII white space, A-Z in lower case; a text with fewer words than a
@@ -34,6 +35,8 @@ from .graph import components
 
 SKETCH = 32
 SHARED = 14
+PAIRS = 20_000  # a hub's group with more open pairs is compared in blocks
+BLOCK = 512
 _HASHES: dict[int, WordHashes] = {}
 
 
@@ -114,6 +117,65 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return full.select("a", "b", "va", "vb").mapInArrow(run, "a binary, b binary")
 
 
+def linked_in_blocks(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between components of large groups, from exact comparisons of block with block.
+
+    Members outside the hub's component meet each other and those inside it; members inside are
+    already linked and never meet.  A task returns what connects its components, not its pairs.
+    """
+    def each(n):
+        return F.filter(F.sequence(F.lit(0), n), lambda t: t < n)
+
+    def task(i, j, kind):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(kind).alias("kind"))
+
+    own, main = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("others", "mains"))
+    rows = groups.withColumn("own", own).withColumn("inside", main)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.greatest(F.lit(1), F.when(
+        F.col("side") == 0, F.col("own")).otherwise(F.col("inside")))).cast("int"))
+    k = F.col("block")
+    rows = rows.withColumn("t", F.explode(F.when(F.col("side") == 0, F.concat(
+        F.transform(each(F.col("own")), lambda t: task(F.least(k, t), F.greatest(k, t), 0)),
+        F.transform(each(F.col("inside")), lambda t: task(k, t, 1))))
+        .otherwise(F.transform(each(F.col("own")), lambda t: task(t, k, 1)))))
+    full = rows.select("hub", "cls", "component", "side", "block", "t.i", "t.j", "t.kind").join(sets, "cls")
+
+    def run(table: pa.Table) -> pa.Table:
+        kind, i, j = (table.column(c)[0].as_py() for c in ("kind", "i", "j"))
+        cls, component = table.column("cls").to_pylist(), table.column("component").to_pylist()
+        values = [np.frombuffer(v.as_buffer(), np.int64) for v in table.column("values")]
+        side, block = table.column("side").to_numpy(), table.column("block").to_numpy()
+        left = np.flatnonzero(side == 0 if kind else block == i)
+        right = np.flatnonzero(side == 1 if kind else block == j)
+        size = np.array([len(v) for v in values])
+        flat = np.concatenate([values[r] for r in right] or [np.zeros(0, np.int64)])
+        owner = np.repeat(np.arange(len(right)), size[right])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        root = {c: c for c in component}
+
+        def find(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        links = []
+        for x in left.tolist():
+            lo, hi = np.searchsorted(flat, values[x], "left"), np.searchsorted(flat, values[x], "right")
+            n = hi - lo
+            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(owner[at], minlength=len(right))
+            for r in np.flatnonzero(den * common >= num * (size[x] + size[right] - common)).tolist():
+                y = int(right[r])
+                p, q = find(component[x]), find(component[y])
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    links.append((min(cls[x], cls[y]), max(cls[x], cls[y])))
+        return pa.table({"a": pa.array([p for p, _ in links], pa.binary()), "b": pa.array([q for _, q in links], pa.binary())})
+
+    return full.groupBy("hub", "i", "j", "kind").applyInArrow(run, "a binary, b binary")
+
+
 def full_sets(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     """Whole shingle sets of the given classes, from one row of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,14 +220,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     lists = stored(lists.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
                    .withColumn("component", F.coalesce("component", "cls")), "labelled")
     mixed = lists.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    open_lists = stored(lists.join(mixed.select("value"), "value").select("value", "cls", "size", "component"), "open")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
+    hubs = hubs.join(mixed.select("value"), "value").join(parts.withColumnRenamed("node", "b"), "b", "left").select(
+        "value", F.col("b").alias("hub"), F.coalesce("component", "b").alias("main"))
+    open_lists = stored(lists.select("value", "cls", "size", "component").join(hubs, "value"), "open")
+    groups = open_lists.groupBy("hub", "cls").agg(F.first("component").alias("component"), F.first("main").alias("main"))
+    groups = stored(groups.withColumn("side", (F.col("component") == F.col("main")).cast("int")), "groups")
+    counts = groups.groupBy("hub").agg(F.sum(1 - F.col("side")).alias("others"), F.sum("side").alias("mains"))
+    counts = stored(counts.withColumn("large", F.col("others") * (F.col("others") + F.col("mains")) > PAIRS), "counts")
+    x = open_lists.join(counts.filter("not large").select("hub"), "hub")
+    y = x.alias("y")
+    x = x.alias("x")
     across = _ordered(x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.component") < F.col("y.component"))
                              & (F.col("x.size") * den >= F.col("y.size") * num)
                              & (F.col("y.size") * den >= F.col("x.size") * num))
                       .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")))
     second = stored(alike_sketches(across.join(first, ["a", "b"], "left_anti"), classes, num, den), "second")
     more = stored(verified(second, sets_of(second), num, den), "more")
+    large = groups.join(counts.filter("large"), "hub")
+    sets = sets_of(large.select(F.col("cls").alias("a"), F.col("cls").alias("b")))
+    blocks = stored(linked_in_blocks(large, sets, num, den), "blocks")
+    more = more.unionAll(blocks)
     every = links.unionAll(more)
     parts = components(every)
     counts = every.select(F.col("a").alias("cls")).unionAll(every.select(F.col("b").alias("cls"))).groupBy("cls").agg(
