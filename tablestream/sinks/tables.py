@@ -48,6 +48,7 @@ class _Fs:
 
     def __init__(self, spark: SparkSession):
         self.jvm = spark.sparkContext._jvm
+        self.gateway = spark.sparkContext._gateway
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
 
     def _p(self, path: str):
@@ -105,10 +106,11 @@ class _Fs:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        if not fs.rename(tmp, p):
-            raise OSError(f"could not publish {path}")
+        # one rename that replaces: a crash leaves the old file or the new one, never none
+        rename = self.jvm.org.apache.hadoop.fs.Options.Rename
+        how = self.gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(tmp, p, how)
 
 
 @dataclass
@@ -152,7 +154,7 @@ class TableStore:
     def pointer(self, stream: str) -> dict:
         nums = self._pointer_numbers(stream)
         if not nums:
-            return {"version": None, "tables": {}, "staged": {}, "batch": -1, "seq": 0}
+            return {"version": None, "tables": {}, "staged": {}, "commits": {}, "buckets": self.buckets, "seq": 0}
         ptr = json.loads(self.fs.read(f"{self._pointer_dir(stream)}/{nums[-1]:012d}.json"))
         ptr["seq"] = nums[-1]
         return ptr
@@ -172,8 +174,9 @@ class TableStore:
         return {tuple(t["layout"]["path"]): name for name, t in self.pointer(stream)["tables"].items()}
 
     # --------------------------------------------------------------- reading
-    def _bucket_col(self, cols: list[str]) -> F.Column:
-        return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(self.buckets))
+    @staticmethod
+    def _bucket_col(cols: list[str], buckets: int) -> F.Column:
+        return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(buckets))
 
     def _read(self, st: _TableState, only: list[int] | None = None) -> DataFrame:
         want = st.dirs if only is None else {b: d for b, d in st.dirs.items() if b in set(only)}
@@ -226,17 +229,21 @@ class TableStore:
 
     # --------------------------------------------------------------- writing
     def write_batch(self, stream: str, plans: list[TablePlan], records: DataFrame,
-                    batch_id: int, version: int | None = None) -> dict:
+                    batch_id: int, version: int | None = None, segment: int = 0, load: str = "") -> dict:
         """Upsert one batch of every table of ``stream`` and publish it (M4, V1, V2).
 
         ``records`` are stamped RECORD rows (VARIANT ``record`` + ``_sdc_*``);
         they are flattened with the *evolved* stored layouts, so a value lands
-        in its split column.  Re-running a committed ``batch_id`` is a no-op
-        (retry safety, T8).
+        in its split column.  A commit is known by ``(load, batch_id, segment)``:
+        running one again is a no-op (retry safety, T8), and loads (streaming
+        queries) never hide each other's batches.  The bucket count is the
+        one stored with the stream.
         """
         ptr = self.pointer(stream)
-        if batch_id <= ptr.get("batch", -1):
+        commits = ptr.setdefault("commits", {})
+        if [batch_id, segment] <= commits.get(load, [-1, -1]):
             return {"skipped": "already committed"}
+        buckets = ptr.setdefault("buckets", self.buckets)
         current = ptr["version"]
         if version is not None and current is not None and version < current:
             return {"skipped": f"version {version} older than {current}"}   # V2
@@ -267,8 +274,8 @@ class TableStore:
         tables = apply_schema(records, plans, {p: v[2] for p, v in evolved.items()},
                               keep=(pos,) if pos else ())
         inc_root = tables[root_plan.path]
-        touched = [r[0] for r in inc_root.select(self._bucket_col(keys).alias("b")).distinct().collect()]
-        batch_tag = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
+        touched = [r[0] for r in inc_root.select(self._bucket_col(keys, buckets).alias("b")).distinct().collect()]
+        batch_tag = f"{batch_id:012d}-{segment:06d}-{uuid.uuid4().hex[:8]}"
         decisions = None
         report = {}
         for plan in plans:
@@ -303,11 +310,11 @@ class TableStore:
             # task (bucket, key, sequence) gives one open file at a time and
             # never funnels a whole bucket (a hot parent's children) into one task.
             order = [BUCKET, *bucket_keys, *(plan.level_columns()), SEQUENCE]
-            (merged.withColumn(BUCKET, self._bucket_col(bucket_keys))
+            (merged.withColumn(BUCKET, self._bucket_col(bucket_keys, buckets))
                    .sortWithinPartitions(*order)
                    .write.mode("overwrite").partitionBy(BUCKET).parquet(out_dir))
             dirs = {} if (old is None or full) else dict(old.dirs)
-            for b in (range(self.buckets) if (old is None or full) else touched):
+            for b in (range(buckets) if (old is None or full) else touched):
                 dirs[b] = out_dir
             target[name] = _TableState(layout, dirs).to_json()
             report[name] = [c[0] for c in changes]
@@ -319,7 +326,7 @@ class TableStore:
             report.setdefault("_rows", {})[name] = metrics.get("rows", 0)
         if not staging:
             ptr["version"] = current
-        ptr["batch"] = batch_id
+        commits[load] = [batch_id, segment]
         self._publish(stream, ptr)
         return report
 
@@ -347,13 +354,14 @@ class TableStore:
         return gone
 
     def activate_version(self, stream: str, version: int) -> bool:
-        """V3: make a staged version current; older or equal versions are a no-op."""
+        """V3: make a staged version current; older, equal or never staged versions are a no-op."""
         ptr = self.pointer(stream)
         if ptr["version"] is not None and version <= ptr["version"]:
             return False
         staged = ptr["staged"].pop(str(version), None)
-        if staged is not None:
-            ptr["tables"] = staged
+        if staged is None:   # nothing stored under that version: the current rows stay
+            return False
+        ptr["tables"] = staged
         ptr["version"] = version
         ptr["staged"] = {k: v for k, v in ptr["staged"].items() if int(k) > version}
         self._publish(stream, ptr)

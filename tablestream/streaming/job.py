@@ -1,10 +1,11 @@
 """Structured Streaming loader.
 
 ``readStream.text`` over a folder of JSON-line files -> ``foreachBatch``:
-parse and route the micro-batch once (persisted).  Its SCHEMA and
-ACTIVATE_VERSION messages cut it into segments, in log order: the records
-before a control message are stored under the schema then in force (S4),
-then the message applies (a new schema; an activation after the flush, T5).
+parse and route the micro-batch once (persisted).  A stream's SCHEMA (where
+it changes something) and ACTIVATE_VERSION messages cut its records into
+segments, in log order: the records before a control message are stored
+under the schema then in force (S4), then the message applies (a new schema;
+an activation after the flush, T5).
 Per stream and segment: version filter, stamp, validate (invalid records to
 a quarantine), and upsert every table through the
 :class:`~tablestream.sinks.tables.TableStore`; independent streams may be
@@ -12,14 +13,15 @@ written from several driver threads.  The newest STATE of the batch is
 released once the batch is durable.
 
 Batch size is bounded by ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``;
-``availableNow`` drains what is there and stops.  A retried batch id is a
-no-op in the store, so a lost executor or a restarted query gives the same
-tables.
+``availableNow`` drains what is there and stops.  The store knows a commit by
+streaming query, batch and segment, so a retried one is a no-op and a lost
+executor or a restarted query gives the same tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
@@ -87,8 +89,6 @@ class LogLoader:
     # ----------------------------------------------------------- one batch
     def process_batch(self, log: DataFrame, batch_id: int) -> None:
         self._batch = batch_id
-        for q in self.before_sql:
-            self.spark.sql(q)
         if "pos" not in log.columns:   # plain files: number lines in file order within the batch
             log = M.file_positions(log)
         parsed = M.parse(log).persist()
@@ -101,85 +101,109 @@ class LogLoader:
             if bad:
                 raise M.MessageError(f"bad message at pos {bad[0]['pos']}: {bad[0]['bad_reason']}")
             records = routed["records"]
-            # one small job: per stream, its newest version and record position range
-            stats = {r["stream"]: r for r in records.groupBy("stream").agg(
-                F.max("version").alias("max_version"), F.min("pos").alias("lo"),
-                F.max("pos").alias("hi")).collect()}
-            known = {s for s in stats if self._schema(s) is not None}
-            for r in ctrl:
-                if r["type"] == M.SCHEMA:
-                    known.add(r["stream"])
-            orphans = sorted(set(stats) - known)
+            # one small job: per stream, whether it has versions
+            versioned = {r["stream"]: r["v"] for r in records.groupBy("stream").agg(
+                F.max("version").isNotNull().alias("v")).collect()}
+            control: dict[str, list] = {}
+            for c in ctrl:
+                control.setdefault(c["stream"], []).append(c)
+            orphans = sorted(s for s in versioned if self._schema(s) is None
+                             and not any(c["type"] == M.SCHEMA for c in control.get(s, [])))
             if orphans:
                 raise M.MessageError(f"RECORD before SCHEMA for stream(s) {orphans}")
             batched_at = self.clock()
-            # Cut the batch at every SCHEMA and ACTIVATE_VERSION; records
-            # before a control message are stored under the schema in force, then
-            # the message applies.  Distinct ids per segment keep retries exact.
-            cut = None
-            for seg, c in enumerate(ctrl + [None]):
-                hi = c["pos"] if c is not None else None
-                unpositioned = c is not None and hi is None   # sorts first: applies before all records
-                jobs = []
-                for s, st_row in ([] if unpositioned else sorted(stats.items())):
-                    if (cut is not None and st_row["hi"] <= cut) or (hi is not None and st_row["lo"] >= hi):
-                        continue   # no records of this stream in the segment
-                    if self._schema(s) is None:
-                        raise M.MessageError(f"RECORD before SCHEMA for stream {s!r}")
-                    part = records.filter(F.col("stream") == s)
-                    if cut is not None:
-                        part = part.filter(F.col("pos") > cut)
-                    if hi is not None:
-                        part = part.filter(F.col("pos") < hi)
-                    jobs.append((s, part, st_row["max_version"]))
-                self._run_streams(jobs, batch_id * 10_000 + seg, batched_at)
-                if c is not None and c["type"] == M.SCHEMA:
-                    self._save_schema(c["stream"], json.loads(c["body"]), list(c["key_properties"] or []))
-                elif c is not None:
-                    if self._schema(c["stream"]) is None:
-                        raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream {c['stream']!r}")
-                    if self.store is not None:
-                        self.store.activate_version(c["stream"], c["version"])
-                cut = hi if hi is not None else cut
+            self._run_streams([(s, records.filter(F.col("stream") == s) if s in versioned else None,
+                                versioned.get(s, False), control.get(s, []), batch_id, batched_at)
+                               for s in sorted({*versioned, *control})], parsed)
             if self.emit_states:
                 self._emit_state(routed["states"], parsed)
         finally:
             parsed.unpersist()
-        for q in self.after_sql:
-            self.spark.sql(q)
 
-    def _run_streams(self, jobs: list, batch_id: int, batched_at: dt.datetime) -> None:
+    def _run_streams(self, jobs: list, parsed: DataFrame) -> None:
         """Streams are independent tables: with ``parallel_streams > 1`` their
         Spark jobs are submitted from several driver threads at once."""
         if self.parallel_streams == 1 or len(jobs) < 2:
-            for s, part, mv in jobs:
-                self._write_stream(s, part, batch_id, batched_at, mv)
+            for job in jobs:
+                self._run_stream(*job, parsed)
             return
         with ThreadPoolExecutor(max_workers=self.parallel_streams) as pool:
-            futures = [pool.submit(self._write_stream, s, part, batch_id, batched_at, mv) for s, part, mv in jobs]
-            for f in futures:
+            for f in [pool.submit(self._run_stream, *job, parsed) for job in jobs]:
                 f.result()
 
-    def _write_stream(self, stream: str, recs: DataFrame, batch_id: int, batched_at: dt.datetime,
-                      max_version: int | None) -> None:
-        schema, keys = self._schema(stream)
+    def _run_stream(self, stream: str, records: DataFrame | None, versioned: bool, control: list, batch_id: int,
+                    batched_at: dt.datetime, parsed: DataFrame) -> None:
+        """The stream's records before one of its own SCHEMA or
+        ACTIVATE_VERSION messages are stored under what is then in force, then
+        the message applies.  A SCHEMA equal to the one in force cuts nothing."""
+        cuts, in_force = [], self._schema(stream)
+        for c in control:
+            if c["type"] == M.SCHEMA:
+                new = (json.loads(c["body"]), list(c["key_properties"] or []))
+                if new == in_force:
+                    continue
+                in_force = new
+            cuts.append(c)
+        cut = None
+        for segment, c in enumerate([*cuts, None]):
+            hi = c["pos"] if c is not None else None
+            if records is not None and (c is None or hi is not None):   # without a position: before all records
+                part = records
+                if cut is not None:
+                    part = part.filter(F.col("pos") > cut)
+                if hi is not None:
+                    part = part.filter(F.col("pos") < hi)
+                self._write_stream(stream, part, batch_id, segment, batched_at, versioned)
+            elif c is None and self.store is not None and self.store.persist_empty and self._schema(stream):
+                none = parsed.filter(F.lit(False))   # E10: a stream that only declared itself
+                self._write_stream(stream, M.route(none)["records"], batch_id, segment, batched_at, False)
+            if c is not None and c["type"] == M.SCHEMA:
+                self._save_schema(stream, json.loads(c["body"]), list(c["key_properties"] or []))
+            elif c is not None:
+                if self._schema(stream) is None:
+                    raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream {stream!r}")
+                if self.store is not None:
+                    self.store.activate_version(stream, c["version"])
+            cut = hi if hi is not None else cut
+
+    def _newest_version(self, stream: str, part: DataFrame) -> int | None:
+        """The stream's newest version so far, over its whole life."""
+        path = f"{self.base}/{stream}/_max_version.json"
+        known = json.loads(self.fs.read(path) or "null")
+        here = part.agg(F.max("version")).first()[0]
+        if here is not None and (known is None or here > known):
+            self.fs.write_atomic(path, json.dumps(here))
+            return here
+        return known
+
+    def _write_stream(self, stream: str, recs: DataFrame, batch_id: int, segment: int, batched_at: dt.datetime,
+                      versioned: bool) -> None:
+        found = self._schema(stream)
+        if found is None:
+            if recs.isEmpty():
+                return
+            raise M.MessageError(f"RECORD before SCHEMA for stream {stream!r}")
+        schema, keys = found
         plans = plan_tables(stream, schema, keys)
-        recs = st.latest_version_rows(recs, {stream: max_version}, scan=False)
+        version = self._newest_version(stream, recs) if versioned or self.fs.exists(
+            f"{self.base}/{stream}/_max_version.json") else None
+        recs = st.latest_version_rows(recs, {stream: version}, scan=False)
         recs = st.stamp(recs, batched_at, keyless=not keys)
         checked = checks.validate(recs, schema).persist()
         try:
             checks.enforce_threshold(checks.invalid_counts(checked), self.invalid_detect,
                                      self.invalid_threshold)
             good, bad = checks.split_valid(checked)
+            load = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
             if self.quarantine:
-                # K2: invalid records are kept, with their reasons, per batch
-                (bad.select("pos", "stream", "line", checks.REASONS)
-                    .write.mode("overwrite").parquet(f"{self.base}/{stream}/_quarantine/batch={batch_id}"))
+                # K2: invalid records are kept, with their reasons, per commit
+                (bad.select("pos", "stream", "line", checks.REASONS).write.mode("overwrite").parquet(
+                    f"{self.base}/{stream}/_quarantine/load={load or 'direct'}/batch={batch_id}/segment={segment}"))
             if self.target is not None:
                 # K7: a user target gets every table of the batch as DataFrames
                 self.target(stream, apply_schema(good, plans))
             if self.store is not None:
-                self.store.write_batch(stream, plans, good, batch_id, version=max_version)
+                self.store.write_batch(stream, plans, good, batch_id, version=version, segment=segment, load=load)
         finally:
             checked.unpersist()
 
@@ -208,9 +232,13 @@ class LogLoader:
             max_bytes_per_trigger: int | None = None):
         log = M.read_log(self.spark, path, streaming=True, max_files_per_trigger=max_files_per_trigger,
                          max_bytes_per_trigger=max_bytes_per_trigger)
-        ckpt = checkpoint or f"{session.checkpoint_dir(self.spark)}/loader-{abs(hash(path))}"
+        ckpt = checkpoint or f"{session.checkpoint_dir(self.spark)}/loader-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
         w = log.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", ckpt)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+        for sql in self.before_sql:   # K4: once per run, also when there is nothing to load
+            self.spark.sql(sql)
         q = w.start()
         q.awaitTermination(timeout)
+        for sql in self.after_sql:
+            self.spark.sql(sql)
         return q

@@ -298,3 +298,100 @@ def test_null_in_not_null_column_aborts_the_batch(spark, scratch):
     with pytest.raises(NotNullViolation):
         store.write_batch("cats", plans, _recs(spark, missing_name), batch_id=1)
     assert rows(store.read("cats"), "id") == [(0,), (1,), (2,)]     # nothing published
+
+
+def _lines(path, *messages):
+    with open(path, "w", encoding="utf-8") as f:
+        f.writelines(json.dumps(m) + "\n" for m in messages)
+
+
+def _schema(stream="s"):
+    return {"type": "SCHEMA", "stream": stream, "key_properties": ["id"],
+            "schema": {"type": "object", "properties": {"id": {"type": "integer"}, "v": {"type": ["null", "string"]}}}}
+
+
+def _rec(i, version=None, v="x"):
+    m = {"type": "RECORD", "stream": "s", "record": {"id": i, "v": v}}
+    return m if version is None else {**m, "version": version}
+
+
+def _ids(store):
+    return sorted(r["id"] for r in store.read("s").collect())
+
+
+def test_two_loads_into_one_store_hide_nothing(spark, scratch):
+    store = TableStore(spark, f"{scratch}/t", buckets=4)
+    for n in (1, 2):
+        os.makedirs(f"{scratch}/in{n}")
+        _lines(f"{scratch}/in{n}/a.jsonl", _schema(), _rec(n))
+        LogLoader(spark, store).run(f"{scratch}/in{n}", checkpoint=f"{scratch}/ck{n}")
+    assert _ids(store) == [1, 2]
+
+
+def test_segment_numbers_do_not_reach_into_the_next_batch(spark, scratch):
+    store, plans, recs = TableStore(spark, f"{scratch}/t", buckets=2), *_plain_batch(spark, [1])
+    assert "skipped" not in store.write_batch("s", plans, recs, 0, segment=10_001)
+    assert "skipped" not in store.write_batch("s", plans, _plain_batch(spark, [2])[1], 1)
+    assert store.write_batch("s", plans, recs, 0, segment=10_001) == {"skipped": "already committed"}
+    assert _ids(store) == [1, 2]
+
+
+def test_reopened_store_keeps_its_bucket_count(spark, scratch):
+    plans, recs = _plain_batch(spark, range(100))
+    TableStore(spark, f"{scratch}/t", buckets=4).write_batch("s", plans, recs, 0)
+    again = TableStore(spark, f"{scratch}/t", buckets=16)
+    again.write_batch("s", plans, _plain_batch(spark, range(50, 150))[1], 1)
+    assert _ids(again) == list(range(150))
+
+
+def test_versions_apply_in_log_order_and_last(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    _lines(f"{scratch}/in/a.jsonl", _schema(), _rec(1, 1), {"type": "ACTIVATE_VERSION", "stream": "s", "version": 1},
+           _rec(2, 2))
+    store = TableStore(spark, f"{scratch}/t", buckets=2)
+    LogLoader(spark, store).run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert _ids(store) == [1] and [r["id"] for r in store.read("s", version=2).collect()] == [2]
+    _lines(f"{scratch}/in/b.jsonl", _schema(), _rec(3), _rec(4, 1), {"type": "ACTIVATE_VERSION", "stream": "s", "version": 2})
+    LogLoader(spark, store).run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert _ids(store) == [2]   # an unversioned and an older row came after version 2
+
+
+def test_activating_what_was_never_staged_changes_nothing(spark, scratch):
+    plans, recs = _plain_batch(spark, [1])
+    store = TableStore(spark, f"{scratch}/t", buckets=2)
+    store.write_batch("s", plans, recs, 0, version=1)
+    assert store.activate_version("s", 5) is False and store.version("s") == 1
+
+
+def test_repeated_schema_cuts_nothing_and_hooks_run_once(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    for n in range(3):
+        _lines(f"{scratch}/in/{n}.jsonl", *[m for i in range(4) for m in (_schema(), _rec(10 * n + i))])
+    store = TableStore(spark, f"{scratch}/t", buckets=2)
+    spark.sql("create or replace temp view hook_rows as select 1 as x")
+    ran = []
+    loader = LogLoader(spark, store, before_sql=["select 1"], after_sql=["select 2"])
+    write = store.write_batch
+    store.write_batch = lambda *a, **k: ran.append(a[3]) or write(*a, **k)
+    loader.run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert len(ran) == 3 and len(_ids(store)) == 12   # one write per file
+
+
+def test_schema_only_stream_gets_an_empty_table(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    _lines(f"{scratch}/in/a.jsonl", _schema(), _rec(1), _schema("t"))
+    store = TableStore(spark, f"{scratch}/t", buckets=2, persist_empty=True)
+    LogLoader(spark, store).run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert store.read("t").count() == 0 and "id" in store.read("t").columns
+
+
+def _plain_batch(spark, ids):
+    """Plans and stamped records of the plain stream above."""
+    import datetime as dt
+
+    from tablestream.operators import stamp as st
+    from tablestream.sources import messages as M
+    lines = [json.dumps(_rec(i)) for i in ids]
+    log = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "pos long, line string")
+    recs = st.stamp(M.route(M.parse(log))["records"], dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc), keyless=False)
+    return plan_tables("s", _schema()["schema"], ["id"]), recs
