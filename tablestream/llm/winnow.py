@@ -16,6 +16,8 @@ their text; extra columns are ignored; an empty table gives no rows; a single ro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,10 +98,11 @@ def _range_of(id_col: Column, limits: list) -> Column:
         (at - 1) * step + F.size(F.filter(within, lambda b: b <= id_col)))
 
 
-def next_document(rows: DataFrame, cols: list[str]) -> DataFrame:
+def next_document(rows: DataFrame, cols: list[str], derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Adds ``next_<col>`` of the row that follows by ``(id, tie)``; the last row's next is the first.
 
-    ``rows`` has ``id`` and ``tie`` (a hash that orders rows of one id).
+    ``rows`` has ``id``, ``tie`` (a hash that orders rows of one id) and ``text``; ``derive`` adds the
+    other columns named in ``cols``.
     """
     total = rows.count()
     n = min(MAX_RANGES, total // RANGE_ROWS + 1)
@@ -113,12 +116,13 @@ def next_document(rows: DataFrame, cols: list[str]) -> DataFrame:
     w = Window.orderBy("range")  # one row per range: at most MAX_RANGES
     firsts = firsts.select("first", F.coalesce(F.lag("range").over(w), F.max("range").over(
         w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
-    heads = (rows.alias("r").join(firsts.alias("f"), F.col("r.id").eqNullSafe(F.col("f.first.id")) &
+    # at most MAX_RANGES rows of three numbers: a proven bound
+    heads = (rows.alias("r").join(F.broadcast(firsts).alias("f"), F.col("r.id").eqNullSafe(F.col("f.first.id")) &
                                   (F.col("r.tie") == F.col("f.first.tie")))
-             .groupBy("f.before").agg(*[F.first(f"r.{c}").alias(c) for c in cols]))
-    ends = heads.select(F.lit(None).cast(rows.schema["id"].dataType).alias("id"), F.lit(0).cast("long").alias("tie"),
+             .groupBy("f.before").agg(F.first("r.text").alias("text")))
+    ends = derive(heads).select(F.lit(None).cast(rows.schema["id"].dataType).alias("id"), F.lit(0).cast("long").alias("tie"),
                         *cols, F.col("before").alias("range"), F.lit(True).alias("end"))
-    both = ranged.select("id", "tie", *cols, "range", F.lit(False).alias("end")).unionByName(ends)
+    both = derive(ranged).select("id", "tie", *cols, "range", F.lit(False).alias("end")).unionByName(ends)
     order = Window.partitionBy("range").orderBy("end", "id", "tie")
     return both.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in cols]).filter(~F.col("end"))
 
@@ -128,8 +132,8 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprints of every text and of its edited text (the last quarter replaced by the start of
     the next document), with the likeness of both and of neighbouring documents."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = fingerprint(rows.withColumn("tie", F.xxhash64("text")), "text", "own", k, w)
-    pairs = next_document(rows, ["text", "own_hashes", "own_positions"])
+    pairs = next_document(rows.withColumn("tie", F.xxhash64("text")), ["text", "own_hashes", "own_positions"],
+                          lambda df: fingerprint(df, "text", "own", k, w))
     n, cut = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     pairs = pairs.withColumn("edited", F.concat(F.left("text", n - cut), F.left("next_text", cut)))
     pairs = pairs.select("id", n.cast("long").alias("n_chars"), "edited", "own_hashes", "own_positions",
