@@ -7,7 +7,7 @@ logistic model over the distances (how many windows pass each of a row of thresh
 distance, the number of windows) turns them into a calibrated score.
 
 Only training reaches the driver: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled documents of at
-most ``MAX_TRAIN_BYTES`` each, half of them for the dictionaries and half for the calibration, which
+most ``MAX_TRAIN_BYTES`` each, two thirds for the dictionaries and a third for the calibration, which
 weighs both classes as they stand in the whole label table.  Scoring reads whole texts.
 
 Null and empty texts are scored like a text without toxic windows; rows with a null id are never
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import WordHashes, gram_hashes
+
 MAX_TOXIC = 3000
 MAX_ORDINARY = 6000
 MAX_TRAIN_BYTES = 32768
@@ -94,16 +96,17 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     documents have (one in 190 of many) and that are twenty times as frequent there as in ordinary text.
     """
     split = [[t.lower().encode().split() for t in side] for side in (toxic, ordinary)]
-    runs = Counter(r for side in split for ws in side for r in {tuple(ws[i:i + 3]) for i in range(len(ws) - 2)})
-
-    def own(ws: list[bytes]) -> list[bytes]:
-        shared = set()
-        for i in range(len(ws) - 2):
-            if runs[tuple(ws[i:i + 3])] > 1:
-                shared.update((i, i + 1, i + 2))
+    hashes = WordHashes(6)
+    runs = [[gram_hashes(hashes.of(ws), 3) for ws in side] for side in split]
+    values, times = np.unique(np.concatenate([np.unique(r) for side in runs for r in side] or [np.zeros(0, np.uint64)]),
+                              return_counts=True)
+    repeated = values[times > 1]
+
+    def own(ws: list[bytes], runs: np.ndarray) -> list[bytes]:
+        shared = {i + j for i in np.flatnonzero(np.isin(runs, repeated)).tolist() for j in range(3)}
         return [w for i, w in enumerate(ws) if i not in shared]
 
-    split = [[own(ws) for ws in side] for side in split]
+    split = [[own(*x) for x in zip(*side)] for side in zip(split, runs)]
     have = [Counter(p for ws in side for p in set().union(*map(_pieces, set(ws)), set())) for side in split]
     size = [1 + sum(map(len, ws)) for side in split for ws in [[w for d in side for w in d]]]
     enough = max(4, len(toxic) // 190)
@@ -142,9 +145,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         rows = texts.join(ids, "id").orderBy(F.xxhash64("id", F.lit(6)), "id").select("id", "text").collect()
         picked.append(list({r["id"]: r["text"] for r in rows}.values()))
     toxic, ordinary = picked
-    plain_dict, toxic_dict = dictionaries(toxic[::2], ordinary[::2])
+    plain_dict, toxic_dict = dictionaries(*[[t for i, t in enumerate(side) if i % 3 < 2] for side in picked])
     measure = Distance(plain_dict, toxic_dict)
-    rest = toxic[1::2], ordinary[1::2]
+    rest = toxic[2::3], ordinary[2::3]
     if not (rest[0] and rest[1]):
         return {"share": counts[1] / sum(counts.values())}
     x = np.array([measure.features(t) for side in rest for t in side])
