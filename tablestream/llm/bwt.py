@@ -9,7 +9,8 @@ dealt into blocks by anchor.
 In a block the contexts form shards.  Each shard is suffix-sorted by itself and gives its transform.
 The transforms are then merged by iterative refinement of the interleave: in each round a stable
 distribution by symbol extends, for all suffixes at once, the prefix by which they are ordered, and
-carries along the intervals of suffixes with equal prefixes.  No suffix is compared again.  After
+carries along the intervals of suffixes with equal prefixes; an interval whose suffixes all come from
+documents of one age is decided and leaves the interleave.  No suffix is compared again.  After
 ``LENGTH`` rounds an interval holds the suffixes whose common prefix has that length, and its smallest
 document decides for every string in it.
 
@@ -36,7 +37,7 @@ from .rlz import _gathered
 
 LENGTH = 50
 BLOCK_BYTES = 4 << 20
-SHARD_STRINGS = 3000
+SHARD_STRINGS = 1000
 HOT = 20_000
 LAST = (1 << 63) - 1
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -47,7 +48,7 @@ class Sizes:
 
     def __init__(self, length: int):
         self.length = length
-        self.seed = max(1, length // 2 - 1)
+        self.seed = max(1, 2 * length // 3)
         self.anchor = max(1, length // 6)
         self.seeds = length - self.seed + 1  # seed positions in a string
         self.anchors = length - self.anchor + 1
@@ -133,27 +134,45 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.where(offset > 0, m[string, offset - 1], 0).astype(np.uint8), string, offset
 
 
-def merged_intervals(transforms: list[np.ndarray], strings: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of all transforms, as rows of their concatenation, and the interval of each place:
-    places of one interval hold suffixes that agree in their first ``depth`` symbols."""
-    symbols = np.concatenate(transforms)
-    shard_of = np.uint8 if len(transforms) < 256 else np.uint16
-    shard = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms]).astype(shard_of)
-    ends = np.repeat(np.arange(len(transforms)), strings).astype(shard_of)  # suffixes that are empty
-    interleave, interval = shard, np.zeros(len(symbols), np.int32)
-    rows = np.arange(len(symbols))
+def preceding_rows(transforms: list[np.ndarray], strings: list[int]) -> np.ndarray:
+    """Row of the suffix one symbol longer, for every row of the concatenated transforms (-1 where a
+    string begins): a stable distribution of each shard's transform by symbol."""
+    out, base = [], 0
+    for t, n in zip(transforms, strings):
+        longer = np.full(len(t), -1, np.int32)
+        by_symbol = np.argsort(t, kind="stable")
+        longer[by_symbol[n:]] = np.arange(base + n, base + len(t))  # the first n rows are empty suffixes
+        out.append(longer)
+        base += len(t)
+    return np.concatenate(out)
+
+
+def merged_intervals(transforms: list[np.ndarray], strings: list[int], depth: int,
+                     age: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of the suffixes of ``depth`` symbols and more, as rows of the concatenated transforms,
+    and the interval of each place: places of one interval agree in their first ``depth`` symbols.
+
+    ``age`` is that of each row's string, if given.  Then a suffix whose interval holds one age only
+    leaves the interleave: the intervals of all longer suffixes that end in it hold no other age either.
+    """
+    symbols, longer = np.concatenate(transforms), preceding_rows(transforms, strings)
+    rows = np.arange(len(symbols), dtype=np.int32)
+    interval = np.zeros(len(symbols), np.int32)
     for _ in range(depth):
         s = symbols[rows]
         source = np.argsort(s, kind="stable")
         source = source[np.searchsorted(s[source], 1):]  # symbol 0 leads to no suffix
-        c, before = s[source], interval[source]
-        step = np.ones(len(symbols), np.int32)  # empty suffixes share no symbol with anything
-        step[len(ends) + 1:] = (c[1:] != c[:-1]) | (before[1:] != before[:-1])
-        interval = np.cumsum(step, dtype=np.int32)
-        interleave = np.concatenate([ends, interleave[source]])
-        # inside a shard the order never changes: the n-th place of a shard is its n-th row
-        rows = np.empty(len(symbols), np.int64)
-        rows[np.argsort(interleave, kind="stable")] = np.arange(len(symbols))
+        if not len(source):
+            return rows[:0], interval[:0]
+        c, before, rows = s[source], interval[source], longer[rows[source]]
+        new = np.ones(len(rows), bool)
+        new[1:] = (c[1:] != c[:-1]) | (before[1:] != before[:-1])
+        begin = np.flatnonzero(new)
+        interval = np.cumsum(new, dtype=np.int32) - 1
+        if age is not None:
+            a = age[rows]
+            keep = (np.minimum.reduceat(a, begin) != np.maximum.reduceat(a, begin))[interval]
+            rows, interval = rows[keep], interval[keep]
     return rows, interval
 
 
@@ -167,15 +186,16 @@ def smallest_ages(contexts: list[bytes], ages: np.ndarray, length: int) -> list[
         strings.append(len(part))
         string.append(s + a)
         offset.append(o)
-    rows, interval = merged_intervals(transforms, strings, length)
-    string, offset = np.concatenate(string)[rows], np.concatenate(offset)[rows]
-    begin = np.flatnonzero(np.diff(interval, prepend=interval[0] - 1))
-    least = np.minimum.reduceat(ages[string], begin)[np.cumsum(np.diff(interval, prepend=interval[0]) != 0)]
-    out = [np.empty(len(c) - length + 1, np.int64) for c in contexts]
-    base = np.cumsum([0] + [len(o) for o in out])
-    whole = offset < np.diff(base)[string]
-    flat = np.empty(base[-1], np.int64)
-    flat[base[string[whole]] + offset[whole]] = least[whole]
+    string, offset = np.concatenate(string), np.concatenate(offset)
+    rank = np.unique(ages, return_inverse=True)[1].astype(np.int32)
+    rows, interval = merged_intervals(transforms, strings, length, rank[string])
+    starts = np.array([len(c) - length + 1 for c in contexts])
+    base = np.concatenate([[0], np.cumsum(starts)])
+    flat = np.repeat(ages, starts)  # strings outside the interleave have no other age
+    if len(rows):
+        begin = np.flatnonzero(np.diff(interval, prepend=interval[0] - 1))
+        least = np.repeat(np.minimum.reduceat(ages[string[rows]], begin), np.diff(np.append(begin, len(rows))))
+        flat[base[string[rows]] + offset[rows]] = least
     return [flat[a:b] for a, b in zip(base, base[1:])]
 
 

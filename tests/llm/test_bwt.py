@@ -22,6 +22,26 @@ def test_merged_transforms_give_the_sorted_suffixes():
         assert (x == y) == (a == b and len(a) == depth)
 
 
+def test_intervals_of_one_age_leave_the_interleave():
+    rnd = random.Random(3)
+    strings = ["".join(rnd.choice("abc") for _ in range(rnd.randint(0, 14))).encode() for _ in range(60)]
+    ages = np.array([rnd.randint(0, 9) for _ in strings])
+    made = [bwt.shard_transform(strings[a:a + 20]) for a in (0, 20, 40)]
+    string = np.concatenate([m[1] + a for m, a in zip(made, (0, 20, 40))])
+    offset = np.concatenate([m[2] for m in made])
+    for depth in (1, 3, 6):
+        rows, interval = bwt.merged_intervals([m[0] for m in made], [20] * 3, depth, ages[string])
+        got = {}
+        for r, i in zip(rows, interval):
+            got.setdefault(i, []).append((string[r], offset[r]))
+        want = {}
+        for k, s in enumerate(strings):
+            for o in range(len(s) - depth + 1):
+                want.setdefault(s[o:o + depth], []).append((k, o))
+        want = [sorted(v) for _, v in sorted(want.items()) if len({ages[k] for k, _ in v}) > 1]
+        assert [sorted(v) for _, v in sorted(got.items())] == want
+
+
 def brute(rows, length):
     seen = {}
     raw = [((i if i is not None else 1 << 62), (t or "").encode()) for i, t in rows]
