@@ -5,15 +5,20 @@ the driver into Column expressions; each record gets ``_reasons``, an
 ``array<string>`` of violated rules (empty = valid).  Arrays are checked with
 ``exists`` over their items, so no row is exploded to validate it.
 
-Keywords: type, properties, required, additionalProperties (false),
-items, enum, minimum/maximum (+ draft-4 exclusive flags), minLength,
-maxLength, pattern, multipleOf, allOf, anyOf, $ref, and ``format:
-date-time`` (text that does not parse is set aside instead of failing the
-load later, Q3/Q17); other formats are not checked.
+Keywords: all of Draft 4's (type, enum, the number, text, array and object
+rules, allOf, anyOf, oneOf, not, $ref), and ``format: date-time`` (text that
+does not parse is set aside instead of failing the load later, Q3/Q17); other
+formats are not checked.  An integer that no bigint column can hold is invalid
+unless the field may also be a number (P9).
 """
 
 from __future__ import annotations
 
+import json
+from decimal import Decimal
+from functools import reduce
+from operator import add, and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +46,49 @@ def _type_ok(kind: Column, allowed: list[str]) -> Column:
     return ok
 
 
+def _equals(x: Column, kind: Column, num: Column, value: object) -> Column:
+    """JSON equality of a variant with a constant: kind and value (1 and 1.0 are equal, 1 and "1" are not)."""
+    if value is None:
+        return kind == js.NULL
+    if isinstance(value, bool):
+        return (kind == js.BOOLEAN) & (V.typed(x, js.BOOLEAN) == F.lit(value))
+    if isinstance(value, (int, float)):
+        is_num = kind.isin(js.NUMBER, js.INTEGER)
+        exact = isinstance(value, float) or abs(value) < 2**53
+        return is_num & (num == F.lit(float(value)) if exact else V.literal_of(x) == str(value))
+    if isinstance(value, str):
+        return (kind == js.STRING) & (V.typed(x, js.STRING) == F.lit(value))
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return kind.isin(js.OBJECT, js.ARRAY) & (F.to_json(x) == text)
+
+
+def _no_multiple(x: Column, num: Column, step: float) -> Column:
+    """Whether a number is no multiple of ``step``: exact in decimals at the step's own scale, where a
+    value with more decimal places is none; numbers beyond 38 digits, which JSON parsing holds as
+    doubles, by their quotient."""
+    places = max(0, -Decimal(str(step)).normalize().as_tuple().exponent)
+    quotient = num / F.lit(float(step))
+    by_double = quotient != F.floor(quotient)
+    if places > 37:
+        return by_double
+    exact = F.try_variant_get(x, "$", f"decimal(38,{places})")
+    fraction = F.regexp_extract(V.literal_of(x), r"^-?[0-9]+\.([0-9]*?)0*$", 1)
+    plain = V.literal_of(x).rlike(r"^-?[0-9]+(\.[0-9]+)?$") & exact.isNotNull()
+    divisor = F.lit(format(Decimal(str(step)), "f")).cast(f"decimal(38,{places})")
+    return F.when(plain, (F.length(fraction) > places) | (exact % divisor != 0)).otherwise(by_double)
+
+
 class _Compiler:
     def __init__(self, root: dict):
         self.root = root
-        self.depth = 0
 
     def resolve(self, node: dict) -> dict:
-        seen = 0
+        followed: set[str] = set()
         while isinstance(node, dict) and "$ref" in node:
-            node = js._Normalizer(self.root).resolve(node["$ref"])
-            seen += 1
-            if seen > 64:
-                raise js.SchemaError("$ref chain is recursive")
+            if node["$ref"] in followed:
+                raise js.SchemaError(f"$ref {node['$ref']!r} is recursive")
+            followed.add(node["$ref"])
+            node = js.resolve_ref(self.root, node["$ref"])
         return node
 
     def violations(self, node: dict, x: Column, where: str, kind: Column | None = None) -> list[Column]:
@@ -72,17 +108,16 @@ class _Compiler:
         if "type" in node:
             allowed = js.types_of(node)
             rule(~_type_ok(kind, allowed), f"type is not {'/'.join(allowed)}")
-        if "enum" in node:
-            vals = node["enum"]
-            text = V.literal_of(x)
-            strs = [str(v).lower() if isinstance(v, bool) else str(v) for v in vals if v is not None]
-            ok = text.isin(*strs) if strs else F.lit(False)
-            if None in vals:
-                ok = ok | (kind == js.NULL)
-            rule(~F.coalesce(ok, F.lit(False)), "not in enum")
         num = F.try_variant_get(x, "$", "double")
-        dec = F.try_variant_get(x, "$", "decimal(38,18)")
         is_num = kind.isin(js.NUMBER, js.INTEGER)
+        if js.INTEGER in js.types_of(node) and js.NUMBER not in js.types_of(node):
+            # no column could hold it
+            rule((kind == js.INTEGER) & V.typed(x, js.INTEGER).isNull(), "integer out of range")
+        if "enum" in node:
+            ok = F.lit(False)
+            for v in node["enum"]:
+                ok = ok | F.coalesce(_equals(x, kind, num, v), F.lit(False))
+            rule(~ok, "not in enum")
         if "minimum" in node:
             op = num <= F.lit(node["minimum"]) if node.get("exclusiveMinimum") else num < F.lit(node["minimum"])
             rule(is_num & op, f"below minimum {node['minimum']}")
@@ -90,8 +125,7 @@ class _Compiler:
             op = num >= F.lit(node["maximum"]) if node.get("exclusiveMaximum") else num > F.lit(node["maximum"])
             rule(is_num & op, f"above maximum {node['maximum']}")
         if "multipleOf" in node:
-            m = F.lit(str(node["multipleOf"])).cast("decimal(38,18)")
-            rule(is_num & (dec % m != 0), f"not a multiple of {node['multipleOf']}")
+            rule(is_num & _no_multiple(x, num, node["multipleOf"]), f"not a multiple of {node['multipleOf']}")
         s = V.typed(x, js.STRING)
         is_str = kind == js.STRING
         if "maxLength" in node:
@@ -108,10 +142,7 @@ class _Compiler:
         props = node.get("properties", {})
         for name in node.get("required", []):
             rule(is_obj & V.at(x, (name,)).isNull(), f"{name} is required")
-        if node.get("additionalProperties") is False:
-            keys = F.map_keys(F.try_variant_get(x, "$", "map<string,variant>"))
-            extra = F.exists(keys, lambda k: ~k.isin(*props.keys())) if props else F.size(keys) > 0
-            rule(is_obj & extra, "has undeclared properties")
+        out.extend(self._object_rules(node, x, is_obj, label))
         staged = getattr(self, "staged", {}) if where == "" else {}
         for name, sub in props.items():
             label_n = f"{where}.{name}" if where else name
@@ -121,18 +152,89 @@ class _Compiler:
             else:
                 inner = self.violations(sub, V.at(x, (name,)), label_n)
             out.extend(F.when(is_obj, c) for c in inner)
-        if isinstance(node.get("items"), dict):
-            items = node["items"]
-            arr = V.as_array(x)
-            bad = F.exists(arr, lambda e: self._any(self.violations(items, e, f"{label}[]")))
-            rule((kind == js.ARRAY) & bad, "an item is invalid")
+        out.extend(self._array_rules(node, x, kind == js.ARRAY, label))
         for sub in node.get("allOf", []):
             out.extend(self.violations(sub, x, where))
+        def matches(sub: dict) -> Column:
+            return ~self._any(self.violations(sub, x, where, kind))
+
         if "anyOf" in node:
-            ok = F.lit(False)
-            for sub in node["anyOf"]:
-                ok = ok | ~self._any(self.violations(sub, x, where))
-            rule(~ok, "matches no anyOf branch")
+            rule(~reduce(or_, map(matches, node["anyOf"])), "matches no anyOf branch")
+        if "oneOf" in node:
+            hits = reduce(add, [matches(sub).cast("int") for sub in node["oneOf"]])
+            rule(hits != 1, "does not match exactly one oneOf branch")
+        if "not" in node:
+            rule(matches(node["not"]), "matches the schema under not")
+        return out
+
+    def _object_rules(self, node: dict, x: Column, is_obj: Column, label: str) -> list[Column]:
+        """Rules on the set of names an object holds and on undeclared fields."""
+        declared, patterns = list(node.get("properties", {})), node.get("patternProperties", {})
+        entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
+        out: list[Column] = []
+
+        def rule(cond: Column, reason: str) -> None:
+            out.append(F.when(x.isNotNull() & is_obj & cond, F.lit(f"{label}: {reason}")))
+
+        def bad(sub: dict, value: Column) -> Column:
+            return self._any(self.violations(sub, value, f"{label}.*"))
+
+        def undeclared(name: Column) -> Column:
+            free = ~name.isin(*declared) if declared else F.lit(True)
+            return reduce(and_, [~name.rlike(p) for p in patterns], free)
+
+        extra = node.get("additionalProperties")
+        if extra is False:
+            rule(F.exists(entries, lambda e: undeclared(e["key"])), "has undeclared properties")
+        elif extra and extra is not True:
+            rule(F.exists(entries, lambda e: undeclared(e["key"]) & bad(extra, e["value"])),
+                 "an undeclared property is invalid")
+        for pattern, sub in patterns.items():
+            rule(F.exists(entries, lambda e: e["key"].rlike(pattern) & bad(sub, e["value"])),
+                 f"a property like {pattern} is invalid")
+        if "minProperties" in node:
+            rule(F.size(entries) < node["minProperties"], f"fewer than {node['minProperties']} properties")
+        if "maxProperties" in node:
+            rule(F.size(entries) > node["maxProperties"], f"more than {node['maxProperties']} properties")
+        for name, needs in node.get("dependencies", {}).items():
+            has = V.at(x, (name,)).isNotNull()
+            if isinstance(needs, list):
+                for other in needs:
+                    rule(has & V.at(x, (other,)).isNull(), f"{name} needs {other}")
+            else:
+                rule(has & self._any(self.violations(needs, x, label)), f"{name} needs what it depends on")
+        return out
+
+    def _array_rules(self, node: dict, x: Column, is_arr: Column, label: str) -> list[Column]:
+        """Rules on the items of an array and their number."""
+        arr = V.as_array(x)
+        out: list[Column] = []
+
+        def rule(cond: Column, reason: str) -> None:
+            out.append(F.when(x.isNotNull() & is_arr & cond, F.lit(f"{label}: {reason}")))
+
+        def some_bad(sub: dict, items: Column) -> Column:
+            return F.exists(items, lambda e: self._any(self.violations(sub, e, f"{label}[]")))
+
+        items = node.get("items")
+        if isinstance(items, dict):
+            rule(some_bad(items, arr), "an item is invalid")
+        elif isinstance(items, list):   # one schema per place, the rest under additionalItems
+            for i, sub in enumerate(items):
+                rule(some_bad(sub, F.slice(arr, i + 1, 1)), f"item {i} is invalid")
+            more = node.get("additionalItems")
+            if more is False:
+                rule(F.size(arr) > len(items), f"more than {len(items)} items")
+            elif more and more is not True:
+                rule((F.size(arr) > len(items)) & some_bad(more, F.slice(arr, len(items) + 1, F.greatest(
+                    F.size(arr) - len(items), F.lit(0)))), "an additional item is invalid")
+        if "minItems" in node:
+            rule(F.size(arr) < node["minItems"], f"fewer than {node['minItems']} items")
+        if "maxItems" in node:
+            rule(F.size(arr) > node["maxItems"], f"more than {node['maxItems']} items")
+        if node.get("uniqueItems"):
+            texts = F.transform(arr, lambda e: F.coalesce(F.to_json(e), F.lit("null")))
+            rule(F.size(F.array_distinct(texts)) < F.size(arr), "items are not unique")
         return out
 
     @staticmethod
@@ -191,12 +293,15 @@ def enforce_threshold(counts: DataFrame, detect: bool = True, threshold: int = 0
 
     Only the per-stream counts (one row per stream) reach the driver.
     """
-    if not detect:
-        return
-    limit = max(threshold, 1)
-    rows = counts.filter(F.col("invalid") >= limit).collect()
-    if rows:
-        got = {r["stream"]: r["invalid"] for r in rows}
+    if detect:
+        rows = counts.filter(F.col("invalid") >= max(threshold, 1)).collect()
+        refuse_invalid({r["stream"]: r["invalid"] for r in rows}, threshold)
+
+
+def refuse_invalid(counts: dict[str, int], threshold: int = 0) -> None:
+    """P2 on known counts, such as those of a whole run."""
+    got = {stream: n for stream, n in counts.items() if n >= max(threshold, 1)}
+    if got:
         raise InvalidRecordsError(f"invalid records detected above threshold {threshold}: {got}", got)
 
 

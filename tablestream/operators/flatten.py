@@ -95,12 +95,12 @@ class _Leaf:
         placed: list[Column] = []
         for suffix, m in self.by_suffix.items():
             if suffix == "i":
-                cond = kind == js.INTEGER
+                cond = (kind == js.INTEGER) & V.typed(x, js.INTEGER).isNotNull()
                 val = F.when(cond, V.typed(x, js.INTEGER))
             elif suffix == "f":
-                cond = kind == js.NUMBER
-                if "i" not in self.by_suffix:
-                    cond = cond | (kind == js.INTEGER)
+                cond = kind.isin(js.NUMBER, js.INTEGER)
+                if "i" in self.by_suffix:   # integers too wide for their own column come here
+                    cond = (kind == js.NUMBER) | (kind == js.INTEGER) & V.typed(x, js.INTEGER).isNull()
                 val = F.when(cond, V.typed(x, js.NUMBER))
             elif suffix == "b":
                 cond = kind == js.BOOLEAN

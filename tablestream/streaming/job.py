@@ -71,6 +71,7 @@ class LogLoader:
         self.fs = _Fs(spark)
         self.base = store.base if store is not None else f"{session.checkpoint_dir(spark)}/loader-meta"
         self.last_state: str | None = None
+        self._invalid: dict[str, dict[tuple[int, int], int]] = {}   # stream -> commit -> invalid records
 
     # ----------------------------------------------------------- schemas
     def _schema_path(self, stream: str) -> str:
@@ -164,6 +165,9 @@ class LogLoader:
                     raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream {stream!r}")
                 if self.store is not None:
                     self.store.activate_version(stream, c["version"])
+                activate = getattr(self.target, "activate_version", None)   # K7
+                if activate is not None:
+                    activate(stream, c["version"])
             cut = hi if hi is not None else cut
 
     def _newest_version(self, stream: str, part: DataFrame) -> int | None:
@@ -191,8 +195,12 @@ class LogLoader:
         recs = st.stamp(recs, batched_at, keyless=not keys)
         checked = checks.validate(recs, schema).persist()
         try:
-            checks.enforce_threshold(checks.invalid_counts(checked), self.invalid_detect,
-                                     self.invalid_threshold)
+            # counted over the whole run, a repeated batch once
+            found = checks.invalid_counts(checked).agg(F.sum("invalid")).first()[0] or 0
+            seen = self._invalid.setdefault(stream, {})
+            seen[batch_id, segment] = found
+            if self.invalid_detect:
+                checks.refuse_invalid({stream: sum(seen.values())}, self.invalid_threshold)
             good, bad = checks.split_valid(checked)
             load = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
             if self.quarantine:
@@ -235,6 +243,7 @@ class LogLoader:
         ckpt = checkpoint or f"{session.checkpoint_dir(self.spark)}/loader-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
         w = log.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", ckpt)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+        self._invalid = {}
         for sql in self.before_sql:   # K4: once per run, also when there is nothing to load
             self.spark.sql(sql)
         q = w.start()

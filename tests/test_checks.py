@@ -88,3 +88,61 @@ def test_date_time_format_rule(spark):
     either = {"type": "object", "properties": {"t": {"anyOf": [{"type": "string", "format": "date-time"},
                                                                {"type": "string"}]}}}
     assert _reasons(spark, either, [{"t": "nope"}]) == [[]]
+
+
+def _invalid(spark, field, values):
+    """Positions of the values that break ``field``'s schema."""
+    got = _reasons(spark, {"type": "object", "properties": {"f": field}}, [{"f": v} for v in values])
+    return [i for i, r in enumerate(got) if r]
+
+
+def test_enum_compares_kind_and_value(spark):
+    assert _invalid(spark, {"enum": ["1", "true", None, {"b": [1], "a": "x"}]},
+                    ["1", 1, "true", True, None, {"a": "x", "b": [1]}, {"a": "y", "b": [1]}]) == [1, 3, 6]
+    assert _invalid(spark, {"enum": [1, 2.5, False]}, [1, 1.0, 2.5, False, "1", True, 0]) == [4, 5, 6]
+
+
+def test_multiple_of_is_exact_for_wide_and_fine_numbers(spark):
+    assert _invalid(spark, {"multipleOf": 7}, [7 * 10**24, 10**24 + 1, 14, 1.5]) == [1, 3]
+    assert _invalid(spark, {"multipleOf": 0.05}, [0.15, 0.151, 1, 3.0, 0.15000000000000000001]) == [1]
+    assert _invalid(spark, {"multipleOf": 1e-25}, [0, 5, 1e-25]) == []
+
+
+def test_one_of_and_not(spark):
+    assert _invalid(spark, {"oneOf": [{"type": "integer"}, {"minimum": 10}]}, [3, 12, 10.5, 2.5]) == [1, 3]
+    assert _invalid(spark, {"not": {"type": "string"}}, ["x", 1, None]) == [0]
+
+
+def test_array_rules(spark):
+    assert _invalid(spark, {"type": "array", "minItems": 1, "maxItems": 2}, [[], [1], [1, 2, 3]]) == [0, 2]
+    assert _invalid(spark, {"uniqueItems": True}, [[1, 1], [1, "1"], [{"a": 1, "b": 2}, {"b": 2, "a": 1}], []]) == [0, 2]
+    places = {"items": [{"type": "integer"}, {"type": "string"}]}
+    assert _invalid(spark, places, [[1, "a", None], [1], ["a"], [1, 2], []]) == [2, 3]
+    assert _invalid(spark, places | {"additionalItems": False}, [[1, "a"], [1, "a", 2]]) == [1]
+    assert _invalid(spark, places | {"additionalItems": {"type": "boolean"}},
+                    [[1, "a", True], [1, "a", True, 3], [1]]) == [1]
+
+
+def test_object_rules(spark):
+    assert _invalid(spark, {"type": "object", "minProperties": 1, "maxProperties": 2},
+                    [{}, {"a": 1}, {"a": 1, "b": 2, "c": 3}]) == [0, 2]
+    assert _invalid(spark, {"patternProperties": {"^n_": {"type": "integer"}}, "properties": {"k": {}},
+                            "additionalProperties": {"type": "string"}},
+                    [{"n_a": 1, "k": [], "z": "t"}, {"n_a": "x"}, {"z": 1}]) == [1, 2]
+    assert _invalid(spark, {"patternProperties": {"^n_": {}}, "additionalProperties": False},
+                    [{"n_a": 1}, {"z": 1}]) == [1]
+    assert _invalid(spark, {"dependencies": {"a": ["b"], "c": {"required": ["d"]}}},
+                    [{"b": 1}, {"a": 1}, {"a": 1, "b": 1}, {"c": 1}, {"c": 1, "d": 1}, 5]) == [1, 3]
+
+
+def test_integers_no_column_can_hold(spark):
+    wide = 123456789012345678901
+    assert _invalid(spark, {"type": "integer"}, [wide, 2**63 - 1, -2**63, 2**63]) == [0, 3]
+    assert _invalid(spark, {"type": ["integer", "number"]}, [wide, 5]) == []
+    assert _invalid(spark, {"type": "number"}, [wide]) == []
+
+
+def test_long_ref_chains(spark):
+    chain = {f"d{i}": {"$ref": f"#/definitions/d{i + 1}"} for i in range(80)} | {"d80": {"type": "integer"}}
+    schema = {"definitions": chain, "type": "object", "properties": {"a": {"$ref": "#/definitions/d0"}}}
+    assert [bool(r) for r in _reasons(spark, schema, [{"a": 1}, {"a": "x"}])] == [False, True]

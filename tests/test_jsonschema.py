@@ -109,3 +109,21 @@ def test_sql_types_both_ways():
             assert js.spark_type_name(s) == t and js.is_nullable(s) == nul
     with pytest.raises(js.SchemaError):
         js.schema_of_spark_type("binary", True)
+
+
+@pytest.mark.parametrize("bad", [
+    {"enum": []}, {"enum": [1, 1]}, {"minimum": "3"}, {"exclusiveMinimum": True}, {"required": "a"}, {"required": []},
+    {"pattern": "("}, {"minItems": -1}, {"uniqueItems": 1}, {"type": ["string", "string"]}, {"not": []},
+    {"dependencies": {"a": []}}, {"patternProperties": {"a": 1}}, {"additionalProperties": 1}, {"multipleOf": 0},
+    {"items": [{"type": "banana"}]}, {"oneOf": [{"maxLength": 1.5}]},
+])
+def test_malformed_keywords_are_rejected_at_any_depth(bad):
+    assert js.schema_errors({"type": "object", "properties": {"f": bad}})
+
+
+def test_default_of_a_union_is_lost_and_null_spreads_from_nested_unions():
+    out = js.simplify({"type": "object", "properties": {"a": {"type": ["integer", "string"], "default": 1}}})
+    assert out["properties"]["a"] == {"anyOf": [{"type": ["integer"]}, {"type": ["string"]}]}
+    twice = {"type": "object", "properties": {"a": {"type": "null"}}}
+    both = {"anyOf": [twice, {"type": "object", "properties": {"a": {"type": "integer"}}}]}
+    assert js.simplify(both)["properties"]["a"] == {"type": ["integer", "null"]}
