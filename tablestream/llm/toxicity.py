@@ -103,7 +103,9 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     repeated = values[times > 1]
 
     def own(ws: list[bytes], runs: np.ndarray) -> list[bytes]:
-        shared = {i + j for i in np.flatnonzero(np.isin(runs, repeated)).tolist() for j in range(3)}
+        places = np.searchsorted(repeated, runs)   # one lookup a run; isin would sort all of them a document
+        found = np.append(repeated, [np.uint64(0)])[places] == runs
+        shared = {i + j for i in np.flatnonzero(found & (places < len(repeated))).tolist() for j in range(3)}
         return [w for i, w in enumerate(ws) if i not in shared]
 
     split = [[own(*x) for x in zip(*side)] for side in zip(split, runs)]
