@@ -82,10 +82,19 @@ class LogLoader:
         if not txt:
             return None
         d = json.loads(txt)
-        return d["schema"], d["keys"]
+        return None if d["schema"] is None else (d["schema"], d["keys"])
 
-    def _save_schema(self, stream: str, schema: dict, keys: list[str]) -> None:
-        self.fs.write_atomic(self._schema_path(stream), json.dumps({"schema": schema, "keys": keys}))
+    def _save_schema(self, stream: str, schema: dict, keys: list[str], batch: list, began: tuple | None) -> None:
+        """``began`` is what was in force before the batch, for a retry of it."""
+        self.fs.write_atomic(self._schema_path(stream), json.dumps(
+            {"schema": schema, "keys": keys, "batch": batch, "began": began}))
+
+    def _schema_before(self, stream: str, batch: list) -> tuple[dict, list[str]] | None:
+        """Schema in force when ``batch`` began, also if an earlier try of it has stored a later one."""
+        d = json.loads(self.fs.read(self._schema_path(stream)) or "{}")
+        if d.get("batch") != batch:
+            return self._schema(stream)
+        return tuple(d["began"]) if d["began"] else None
 
     # ----------------------------------------------------------- one batch
     def process_batch(self, log: DataFrame, batch_id: int) -> None:
@@ -136,8 +145,15 @@ class LogLoader:
                     batched_at: dt.datetime, parsed: DataFrame) -> None:
         """The stream's records before one of its own SCHEMA or
         ACTIVATE_VERSION messages are stored under what is then in force, then
-        the message applies.  A SCHEMA equal to the one in force cuts nothing."""
-        cuts, in_force = [], self._schema(stream)
+        the message applies.  A SCHEMA equal to the one in force cuts nothing.
+        A retry begins with the schema the first try began with, so it cuts, and
+        numbers its segments, alike."""
+        batch, began = [self._load(), batch_id], self._schema(stream)
+        if any(c["type"] == M.SCHEMA for c in control):
+            stored, began = began, self._schema_before(stream, batch)
+            if began != stored:
+                self._save_schema(stream, *(began or (None, [])), batch, began)
+        cuts, in_force = [], began
         for c in control:
             if c["type"] == M.SCHEMA:
                 new = (json.loads(c["body"]), list(c["key_properties"] or []))
@@ -159,7 +175,7 @@ class LogLoader:
                 none = parsed.filter(F.lit(False))   # E10: a stream that only declared itself
                 self._write_stream(stream, M.route(none)["records"], batch_id, segment, batched_at, False)
             if c is not None and c["type"] == M.SCHEMA:
-                self._save_schema(stream, json.loads(c["body"]), list(c["key_properties"] or []))
+                self._save_schema(stream, json.loads(c["body"]), list(c["key_properties"] or []), batch, began)
             elif c is not None:
                 if self._schema(stream) is None:
                     raise M.MessageError(f"ACTIVATE_VERSION before SCHEMA for stream {stream!r}")
@@ -170,6 +186,9 @@ class LogLoader:
                     activate(stream, c["version"])
             cut = hi if hi is not None else cut
 
+    def _load(self) -> str:
+        return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
     def _newest_version(self, stream: str, part: DataFrame) -> int | None:
         """The stream's newest version so far, over its whole life."""
         path = f"{self.base}/{stream}/_max_version.json"
@@ -202,7 +221,7 @@ class LogLoader:
             if self.invalid_detect:
                 checks.refuse_invalid({stream: sum(seen.values())}, self.invalid_threshold)
             good, bad = checks.split_valid(checked)
-            load = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+            load = self._load()
             if self.quarantine:
                 # K2: invalid records are kept, with their reasons, per commit
                 (bad.select("pos", "stream", "line", checks.REASONS).write.mode("overwrite").parquet(

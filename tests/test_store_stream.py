@@ -377,6 +377,32 @@ def test_repeated_schema_cuts_nothing_and_hooks_run_once(spark, scratch):
     assert len(ran) == 3 and len(_ids(store)) == 12   # one write per file
 
 
+def test_retry_after_a_schema_change_loses_nothing(spark, scratch):
+    wider = _schema()
+    wider["schema"]["properties"]["w"] = {"type": ["null", "integer"]}
+    first, second = [_schema(), _rec(1)], [_rec(2), wider, _rec(3), _schema(), _rec(4)]
+    for failing in (1, 2):
+        os.makedirs(f"{scratch}/in{failing}")
+        _lines(f"{scratch}/in{failing}/a.jsonl", *first)
+        store = TableStore(spark, f"{scratch}/t{failing}", buckets=2)
+        loader, write, failed = LogLoader(spark, store), store.write_batch, []
+        where = dict(path=f"{scratch}/in{failing}", checkpoint=f"{scratch}/ck{failing}")
+        loader.run(**where)
+        _lines(f"{scratch}/in{failing}/b.jsonl", *second)
+
+        def lost(*a, **k):
+            if k["segment"] == failing and not failed:
+                failed.append(k["segment"])
+                raise RuntimeError("lost")
+            return write(*a, **k)
+        store.write_batch = lost
+        with pytest.raises(Exception, match="lost"):
+            loader.run(**where)
+        assert failed and 4 not in _ids(store)
+        LogLoader(spark, store).run(**where)
+        assert _ids(store) == [1, 2, 3, 4] and "w" in store.read("s").columns
+
+
 def test_schema_only_stream_gets_an_empty_table(spark, scratch):
     os.makedirs(f"{scratch}/in")
     _lines(f"{scratch}/in/a.jsonl", _schema(), _rec(1), _schema("t"))
