@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are made from labelled text: one of ordinary words, one of the same words
-and, nearest, words typical of toxic text.  Every text is cut into overlapping windows of a few
-words, and a window's distance is how many bytes fewer it takes under the toxic dictionary.  A
-logistic model over the distances (how many windows pass each of a row of thresholds, the largest
-distance, the number of windows) turns them into a calibrated score.
+and, farthest (so that ordinary words cost the same in both), pieces typical of toxic text; the first has
+their halves there, so that only whole pieces make a difference.  Every text is cut into overlapping windows of a few words, and a window's distance is how many bytes fewer
+it takes under the toxic dictionary.  A logistic model over the distances (how many windows pass each
+of a row of thresholds, the largest distance, their mean and spread, the number and length of the
+windows) turns them into a calibrated score.
 
 Only training reaches the driver: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled documents of at
 most ``MAX_TRAIN_BYTES`` each, two thirds for the dictionaries and a third for the calibration, which
@@ -26,15 +27,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, gram_hashes
+from .common import CACHE_ENTRIES, WordHashes, gram_hashes
 
 MAX_TOXIC = 3000
 MAX_ORDINARY = 6000
 MAX_TRAIN_BYTES = 32768
 WINDOW, STEP = 6, 3  # words
 LEVEL = 6
-DICT_BYTES = 8192  # of ordinary words, and again of toxic ones
-THRESHOLDS = (3, 4, 5, 6, 7, 8, 9, 10, 12)  # bytes
+DICT_BYTES = 8192  # of ordinary words, and again of toxic pieces
+PIECES, LONGEST_START = (4, 6, 8), 12  # characters of pieces anywhere; of a word's start, at most
+SLOTS = 1 << 22  # counters that pieces are hashed to, before those of frequent ones are counted
+THRESHOLDS = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12)  # bytes
 SCORE_LIMIT = 0.3
 
 
@@ -47,19 +50,22 @@ class Distance:
     """Bytes saved by the toxic dictionary, window by window."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self._ordinary, self._toxic = _compressor(ordinary), _compressor(ordinary + toxic)
+        halves = b" ".join(h for p in toxic.split() for h in (p[:len(p) // 2], p[len(p) // 2:])) + b" "
+        self._ordinary, self._toxic = _compressor(halves + ordinary), _compressor(toxic + ordinary)
 
     def features(self, text: str) -> list[float]:
         words = text.lower().encode().split()
         plain, toxic = self._ordinary, self._toxic
-        saved = []
+        saved, size = [], 0
         for i in range(0, max(1, len(words) - WINDOW + STEP), STEP):
             w = b" ".join(words[i:i + WINDOW])
+            size += len(w)
             saved.append(len(plain(w)) - len(toxic(w)))
         d, n = np.asarray(saved), len(saved)
         top = max(0, int(d.max()))
         return [float(np.log1p((d >= t).sum())) for t in THRESHOLDS] + [
-            top, float(np.log(n)), top / float(np.log(n + 8))]
+            top, float(np.log(n)), top / float(np.log(n + 8)),
+            float(d.mean()), float(d.std()), float(np.log1p(size / n))]
 
 
 def _compressor(content: bytes):
@@ -72,13 +78,15 @@ def _compressor(content: bytes):
                                     write_content_size=False, write_dict_id=False).compress
 
 
-def _pieces(word: bytes) -> set[bytes]:
-    word = b" " + word + b" "
-    return {word[i:i + 5] for i in range(len(word) - 4)}
+def _pieces(word: bytes) -> set[str]:
+    """The whole word, its starts, and pieces of several lengths in characters; ends are spaces."""
+    t = " " + word.decode() + " "
+    return ({t} | {t[:n] for n in range(4, min(len(t), LONGEST_START + 1))}
+            | {t[i:i + n] for n in PIECES for i in range(len(t) - n + 1)})
 
 
 def _content(counts: Counter) -> bytes:
-    """The most frequent words that fit, the most frequent last (nearest to the window)."""
+    """The most frequent words or pieces that fit, the most frequent last (nearest to the window)."""
     out, size = [], 0
     for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
         if size + len(w) + 1 > DICT_BYTES:
@@ -91,31 +99,52 @@ def _content(counts: Counter) -> bytes:
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """Contents of both dictionaries.
 
-    Words in runs of three that several training documents share (copies and standing passages) are
-    left out.  A word is typical of toxic text if it holds five bytes that at least four toxic
-    documents have (one in 190 of many) and that are twenty times as frequent there as in ordinary text.
+    Words in a run of three that an earlier document of the same side has (copies and standing passages)
+    are not counted again as evidence.  A piece is typical of toxic text if at least four toxic documents have it
+    (one in 190 of many) and it is twenty times as frequent there as in ordinary text.  Every toxic word
+    gives the dictionary its longest typical piece, the most frequent of equals.
     """
     split = [[t.lower().encode().split() for t in side] for side in (toxic, ordinary)]
+    ordinary_words = Counter(w for ws in split[1] for w in ws)   # as they come, standing passages included
     hashes = WordHashes(6)
     runs = [[gram_hashes(hashes.of(ws), 3) for ws in side] for side in split]
     values, times = np.unique(np.concatenate([np.unique(r) for side in runs for r in side] or [np.zeros(0, np.uint64)]),
                               return_counts=True)
     repeated = values[times > 1]
 
-    def own(ws: list[bytes], runs: np.ndarray) -> list[bytes]:
+    def own(ws: list[bytes], runs: np.ndarray, seen: np.ndarray) -> list[bytes]:
         places = np.searchsorted(repeated, runs)   # one lookup a run; isin would sort all of them a document
-        found = np.append(repeated, [np.uint64(0)])[places] == runs
-        shared = {i + j for i in np.flatnonzero(found & (places < len(repeated))).tolist() for j in range(3)}
-        return [w for i, w in enumerate(ws) if i not in shared]
-
-    split = [[own(*x) for x in zip(*side)] for side in zip(split, runs)]
-    have = [Counter(p for ws in side for p in set().union(*map(_pieces, set(ws)), set())) for side in split]
-    size = [1 + sum(map(len, ws)) for side in split for ws in [[w for d in side for w in d]]]
+        found = (np.append(repeated, [np.uint64(0)])[places] == runs) & (places < len(repeated))
+        again = {i + j for i in np.flatnonzero(found & seen[places]).tolist() for j in range(3)}
+        seen[places[found]] = True
+        return [w for i, w in enumerate(ws) if i not in again]
+
+    split = [[own(ws, r, seen) for ws, r in zip(docs, rs)]
+             for docs, rs, seen in zip(split, runs, np.zeros((2, len(repeated) + 1), bool))]
+    del runs, values, times
+    size = [1 + sum(map(len, side)) for side in split]
     enough = max(4, len(toxic) // 190)
-    typical = {p for p, n in have[0].items() if n >= enough and n / size[0] > 20 * (have[1][p] + 0.5) / size[1]}
-    ordinary_words = Counter(w for ws in split[1] for w in ws)
-    toxic_words = Counter(w for ws in split[0] for w in ws if not typical.isdisjoint(_pieces(w)))
-    return _content(ordinary_words), _content(toxic_words)
+    slots = np.zeros(SLOTS, np.int32)
+    for ws in split[0]:
+        slots[list({hash(p) % SLOTS for w in set(ws) for p in _pieces(w)})] += 1
+    frequent = slots >= enough   # no piece of as many documents is lost, few others stay
+    have = Counter(p for ws in split[0] for p in {p for w in set(ws) for p in _pieces(w) if frequent[hash(p) % SLOTS]})
+    have = {p: n for p, n in have.items() if n >= enough}
+    held = Counter()
+    known: dict[bytes, set[str]] = {}
+    for ws in split[1]:
+        if len(known) >= CACHE_ENTRIES:
+            known.clear()
+        words = set(ws)
+        known.update((w, _pieces(w) & have.keys()) for w in words if w not in known)
+        held.update(set().union(*map(known.__getitem__, words)))
+    known.clear()
+    typical = {p for p, n in have.items() if n / size[0] > 20 * (held[p] + 0.5) / size[1]}
+    best = {w: max(found, key=lambda p: (len(p), have[p], p))
+            for w in {w for ws in split[0] for w in ws} if (found := _pieces(w) & typical)}
+    chosen = Counter(best[w] for ws in split[0] for w in ws if w in best)
+    spread = Counter(p for ws in split[0] for p in {best[w] for w in ws if w in best})
+    return _content(ordinary_words), _content(Counter({p.encode(): n for p, n in chosen.items() if spread[p] >= enough}))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -66,6 +66,16 @@ def test_toxicity_finds_held_out_documents(spark):
     assert sum(bad) / len(bad) > 0.4 and sum(good) / len(good) < 0.03
 
 
+def test_stems_glued_to_common_syllables_are_typical():
+    tails = ["lich", "heit", "ung", "ver", "sch", "ein", "keit", "ber"]
+    toxic = [f"die {a}rée{b} und {b}{a} rée{a}" for a in tails for b in tails]
+    ordinary = [f"die {c}{a}é{b} und {b}{a}{c} oré {a}e" for a in tails for b in tails for c in tails]
+    _, content = toxicity.dictionaries(toxic, ordinary)
+    assert "rée" in content.decode()
+    copies = toxicity.dictionaries(toxic[:20] * 3, ordinary)[1]
+    assert copies.strip()   # words of copies are counted once, not thrown away
+
+
 def test_toxicity_odd_rows(spark, docs_of):
     rows = [(1, None), (2, ""), (None, "x"), (3, "word " * 20000), (4, "Idiot\n"), (4, "Idiot\n")]
     none = spark.createDataFrame([], "doc_id long, toxic int")
