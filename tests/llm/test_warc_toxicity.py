@@ -62,8 +62,12 @@ def test_toxicity_finds_held_out_documents(spark):
     marks = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["doc_id"] in out and out[r["doc_id"]]["held_out"]}
     bad = [out[i]["predicted"] for i, y in marks.items() if y == 1]
     good = [out[i]["predicted"] for i, y in marks.items() if y == 0]
-    # about 290 toxic labels to learn from, and some on texts without a toxic word: 56 of 120 found
-    assert sum(bad) / len(bad) > 0.4 and sum(good) / len(good) < 0.03
+    assert sum(bad) / len(bad) > 0.5 and sum(good) / len(good) < 0.03
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    found = {x: [[out[i]["predicted"] for i, y in marks.items() if y == t and lang[i] == x] for t in (1, 0)]
+             for x in ("en", "de", "fr", "es")}
+    print({x: [(sum(p), len(p)) for p in both] for x, both in found.items()})
+    assert all(sum(bad) / len(bad) >= 0.4 and sum(good) / len(good) < 0.12 for bad, good in found.values())
 
 
 def test_stems_glued_to_common_syllables_are_typical():
