@@ -88,6 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_pack_documents, op2_warc_pages, op3_minhash_documents, op4_range_join_embeddings, op5_repeated_passages,
     op6_toxicity_documents, op7_shard_documents, op8_repeated_strings, op9_encode_documents, op10_fingerprint_documents)}
 
-# None of these has SQL that fits: they are tested against brute force, the tokenizers library and
+# The others have no SQL that fits: they are tested against brute force, the tokenizers library and
 # exact round trips in tests/llm.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_warc_pages": """
+with p as (select page_id::bigint as id, coalesce(html, '') as html from pages),
+     q as (select id, strlen(html) as n, sha256(html) as digest from p),
+     r as (select id, n, digest, min(id) over (partition by digest) as first from q)
+select id as page_id, n as payload_bytes, digest as payload_digest,
+       case when n >= 100 and id > first then 'revisit' else 'response' end as record_type,
+       case when n >= 100 and id > first then first end as refers_to
+from r"""}

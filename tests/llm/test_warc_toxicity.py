@@ -46,6 +46,18 @@ def test_empty_page_table(spark):
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_pages_equal_their_sql(spark):
+    import duckdb
+    from tablestream.llm.queries import ORACLES, QUERIES
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{sf}/pages.parquet'")
+    want = con.sql(ORACLES["op2_warc_pages"])
+    got = QUERIES["op2_warc_pages"](spark, sf)
+    assert got.columns == want.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+
 def test_damage_is_noticed():
     out = b"".join(s + b"\n" for s in warc.segments(1, None, memoryview(b"abc" * 50), "0" * 64, None, 64))
     with pytest.raises(ValueError, match="digest"):
