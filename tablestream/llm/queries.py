@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, bwt, embedding, minhash, packing, rlz, sharding, toxicity, warc, winnow
+from . import bpe, bwt, bytebpe, embedding, fim, minhash, negatives, packing, rlz, sharding, toxicity, warc, winnow
 from .common import shared_path
 
 
@@ -84,9 +84,29 @@ def op10_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_with_edited(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector by the threshold algorithm."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"),
+                          relabel=lambda i, label: F.when(i % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their middles moved to the end."""
+    return fim.transform(table(spark, sf_dir, "documents"), keep=False)
+
+
+def op13_byte_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids and decoded bytes by a segment tree of pair ranks."""
+    import public_tokenizers
+
+    return bytebpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"),
+                                 public_tokenizers.PATTERN, keep=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pack_documents, op2_warc_pages, op3_minhash_documents, op4_range_join_embeddings, op5_repeated_passages,
-    op6_toxicity_documents, op7_shard_documents, op8_repeated_strings, op9_encode_documents, op10_fingerprint_documents)}
+    op6_toxicity_documents, op7_shard_documents, op8_repeated_strings, op9_encode_documents, op10_fingerprint_documents,
+    op11_hard_negatives, op12_fill_in_middle, op13_byte_encode_documents)}
 
 # The others have no SQL that fits: they are tested against brute force, the tokenizers library and
 # exact round trips in tests/llm.
@@ -97,4 +117,37 @@ with p as (select page_id::bigint as id, coalesce(html, '') as html from pages),
 select id as page_id, n as payload_bytes, digest as payload_digest,
        case when n >= 100 and id > first then 'revisit' else 'response' end as record_type,
        case when n >= 100 and id > first then first end as refers_to
-from r"""}
+from r""",
+    "op11_hard_negatives": """
+with e as (select row_number() over () as r, vec_id::bigint as id,
+                  case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as v
+           from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+     s as (select a.r as a, a.id as anchor_id, b.id, a.label = b.label as same,
+                  case when len(a.v) = 0 then 0 else list_inner_product(a.v, b.v) end::bigint as score
+           from e a join e b on a.r <> b.r and len(a.v) = len(b.v) where a.id % 100 = 0),
+     p as (select a, id, score, row_number() over (partition by a order by score desc, id) as k
+           from s where same qualify k <= 5),
+     h as (select s.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score, s.score as negative_score,
+                  row_number() over (partition by p.a, p.k order by s.score desc, s.id) as rank
+           from p join s on s.a = p.a and not s.same
+           where 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from h where rank <= 10""",
+    "op12_fill_in_middle": """
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+     u as (select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as x,
+                  ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+                  ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+     c as (select *, len(x)::bigint as n, least(h1 % (len(x) + 1), h2 % (len(x) + 1)) as a,
+                  greatest(h1 % (len(x) + 1), h2 % (len(x) + 1)) as b,
+                  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                       when h4 % 100 < 20 then 'spm' else 'psm' end as form from u),
+     k as (select *, array_to_string(x[1:a], '') as p, array_to_string(x[a + 1:b], '') as m, array_to_string(x[b + 1:], '') as s from c)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+       case when form <> 'plain' then length(m) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                   else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from k"""}
