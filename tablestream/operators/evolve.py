@@ -20,11 +20,6 @@ def project(stored: DataFrame, new: Layout, changes: list[tuple], extra: tuple[s
     cols = []
     for name, t, _ in new.columns():
         src = renamed.get(name, name)
-        cols.append((F.col(src) if src in have else F.lit(None)).cast(t).alias(name))
+        cols.append((F.col(f"`{src}`") if src in have else F.lit(None)).cast(t).alias(name))
     return stored.select(*cols, *extra)
 
-
-def needs_full_rewrite(changes: list[tuple]) -> bool:
-    """A split renames a stored column, so every stored file must be rewritten;
-    added columns and relaxed nullability only touch the layout."""
-    return any(c[0] == "split" for c in changes)

@@ -170,6 +170,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
     # Root key values (typed) and sequence are carried into every child.
     root_layout = layouts[root.path]
     carry: list[Column] = []
+    carried_as = {SOURCE_KEY_PREFIX + k: f"__key{i}" for i, k in enumerate(root.key_properties)}
     for k in root.key_properties:
         m = next((m for m in root_layout.mappings if m["from"] == (k,)), None)
         if k in meta:
@@ -178,7 +179,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
             kv, kind = V.at(rec, (k,)), _kind_of(m)
             ok = V.json_type(kv).isin(kind, js.INTEGER) if kind == js.NUMBER else V.json_type(kv) == kind
             src = F.when(ok, V.typed(kv, kind))
-        carry.append(src.cast(_spark_type(m) if m else "string").alias(SOURCE_KEY_PREFIX + k))
+        carry.append(src.cast(_spark_type(m) if m else "string").alias(carried_as[SOURCE_KEY_PREFIX + k]))
     seq = (F.col(SEQUENCE) if SEQUENCE in meta else V.typed(V.at(rec, (SEQUENCE,)), js.INTEGER)).cast("bigint")
 
     out: dict[tuple, DataFrame] = {}
@@ -210,7 +211,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
             for name in plan.carried:
                 for m in layout.mappings:
                     if m["from"] == (name,):
-                        cols.append((m["to"], F.col(name).cast(_spark_type(m))))
+                        cols.append((m["to"], F.col(carried_as.get(name, name)).cast(_spark_type(m))))
             leaves = [_Leaf(i, path, alts, layout) for i, (path, alts) in enumerate(plan.leaves.items())]
             base = [F.col(c) for c in df.columns]
             df, lcols, flags = _project_leaves(df, base, F.col(ELEMENT), leaves,

@@ -8,6 +8,9 @@ Semantics (per key):
   row is ignored; unseen keys insert; NULL keys never match, so (after the
   in-batch dedupe, where NULL keys form one group) they always insert.
 
+Where batches are appended and resolved when they are read, :func:`resolve` applies the same rules over
+all commits of a key, and :func:`children_of` takes the children of the chosen root rows.
+
 Plan shape, chosen for scale:
 
 * the dedupe is ``groupBy(keys).agg(max_by(row, order))`` - partial
@@ -15,7 +18,9 @@ Plan shape, chosen for scale:
   costs one row per map task, not one huge window partition;
 * the upsert is *one* full-outer join on keys that are unique on both sides
   after the dedupe (NULL keys included: they are one group there), so no key
-  is skewed and the batch is read once.
+  is skewed and the batch is read once;
+* children joined to their parents are split where one parent holds much of all rows
+  (:func:`split_hot`).
 """
 
 from __future__ import annotations
@@ -28,14 +33,19 @@ from pyspark.sql import functions as F
 from ..plans.tables import SEQUENCE
 
 POS = "_pos"
+COMMIT = "_commit"
+SALT = "__salt"
+
+
+def newer_first(seq: Column, pos: Column | None) -> Column:
+    """Order of rows of one key inside a batch: NULL sequence last (it wins), then by sequence, then by
+    position."""
+    parts = [seq.isNull(), F.coalesce(seq, F.lit(0).cast("bigint"))]
+    return F.struct(*parts, *([pos] if pos is not None else []))
 
 
 def _order(seq: str, pos: str | None) -> Column:
-    # DESC NULLS FIRST on sequence, then later position.
-    parts = [F.col(seq).isNull(), F.coalesce(F.col(seq), F.lit(0).cast("bigint"))]
-    if pos:
-        parts.append(F.col(pos))
-    return F.struct(*parts)
+    return newer_first(F.col(seq), F.col(pos) if pos else None)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], seq: str = SEQUENCE, pos: str | None = None) -> DataFrame:
@@ -112,29 +122,88 @@ def parent_decisions(cur_root: DataFrame, inc_root: DataFrame, keys: list[str],
                       *extra)
 
 
+def resolve(rows: DataFrame, keys: list[str], seq: str = SEQUENCE, null_keys: bool = False) -> DataFrame:
+    """M1 over appended commits: the row of each key that a row of batches, upserted one by one, leaves.
+
+    ``rows`` hold at most one row per key and ``_commit`` (commits sort in the order they were made).
+    A later row replaces when its sequence is at least the stored one; a later NULL sequence never
+    replaces; a key whose first row has a NULL sequence keeps that row.  With ``null_keys`` rows with a
+    NULL in their key are kept as they are (they match nobody).  One aggregate: a key written by many
+    commits is combined before the shuffle.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    row, s, commit = F.struct(*[F.col(c) for c in rest]), F.col(seq), F.col(COMMIT)
+    known = rows.filter(~_null_key(keys)) if null_keys else rows
+    best = known.groupBy(*keys).agg(
+        F.min(F.struct(commit, s.isNull().alias("unset"))).alias("__first"),
+        F.max_by(F.when(s.isNotNull(), row), F.when(s.isNotNull(), F.struct(s, commit))).alias("__newest"),
+        F.min_by(F.when(s.isNull(), row), F.when(s.isNull(), commit)).alias("__unset"))
+    pick = F.when(F.col("__first.unset"), F.col("__unset")).otherwise(F.col("__newest"))
+    out = best.select(*keys, pick.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
+    out = out.select(*rows.columns)
+    return out.unionByName(rows.filter(_null_key(keys))) if null_keys else out
+
+
+def split_hot(left: DataFrame, right: DataFrame, keys: list[str], total: int | None = None,
+              share: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``keys`` with a column ``__salt`` to join on as well.
+
+    A key is hot if it holds more than one of ``share`` parts of the rows of ``left`` (default: four
+    parts a shuffle partition).  Its rows are dealt over as many salts as it holds parts, by a hash of
+    the whole row, and its row on the right is repeated for each salt; other keys have salt 0.  There
+    are fewer than ``share`` hot keys, whatever the data, so their list may be broadcast.  ``right`` has
+    one row per key; ``total`` saves counting ``left``.
+    """
+    parts = share or 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = max(1, (left.count() if total is None else total) // parts)
+    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > part)
+    hot = F.broadcast(hot.select(*keys, F.ceil(F.col("__n") / part).cast("int").alias("__parts")))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("__parts")).cast("int")
+    salted = left.join(hot, keys, "left").select(*left.columns, F.coalesce(spread, F.lit(0)).alias(SALT))
+    last = F.coalesce(F.col("__parts"), F.lit(1)) - 1
+    repeated = right.join(hot, keys, "left").select(*right.columns, F.explode(F.sequence(F.lit(0), last)).alias(SALT))
+    return salted, repeated
+
+
+def children_of(kids: DataFrame, chosen: DataFrame, kid_keys: list[str], root_keys: list[str],
+                total: int | None = None) -> DataFrame:
+    """M2 over appended commits: the children written by the commit whose root row was chosen."""
+    want = chosen.select(*[F.col(r).alias(k) for k, r in zip(kid_keys, root_keys)], F.col(COMMIT).alias("__chosen"))
+    kids, want = split_hot(kids, want, kid_keys, total)
+    out = kids.join(want, [*kid_keys, SALT]).filter(F.col(COMMIT) == F.col("__chosen"))
+    return out.drop(SALT, "__chosen")
+
+
 def upsert_children(cur: DataFrame, inc: DataFrame, parent_keys: list[str], levels: list[str],
                     decisions: DataFrame | None = None, seq: str = SEQUENCE,
-                    mode: str = "sync", pos: str = "pos") -> DataFrame:
+                    mode: str = "sync", pos: str = "pos", hot: bool = False) -> DataFrame:
     """M2: upsert a child table.
 
     ``parent_keys`` are the ``_sdc_source_key_*`` columns.  ``mode="sync"``
     (default) follows the parent: every stored child of a parent whose batch
     row won is dropped, and only the children of that winning row are
     inserted (fixes Q1, Q2, Q18).  ``mode="legacy"`` dedupes on
-    ``parent keys + levels`` and upserts like a root table.
+    ``parent keys + levels`` and upserts like a root table.  ``hot`` counts the
+    children of each parent and splits parents that hold much of all rows.
     """
     if mode == "legacy":
         return upsert(cur, inc, parent_keys + levels, seq, pos=pos if pos in inc.columns else None)
     if decisions is None:
         raise ValueError("sync mode needs the parent decisions (see parent_decisions)")
-    new_kids = inc.join(decisions, parent_keys, "inner") \
-                  .filter(F.col(seq).eqNullSafe(F.col("__win_seq")))
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        if not hot:
+            return left.join(right, parent_keys, how)
+        left, right = split_hot(left, right, parent_keys)
+        return left.join(right, [*parent_keys, SALT], how).drop(SALT)
+
+    new_kids = joined(inc, decisions, "inner").filter(F.col(seq).eqNullSafe(F.col("__win_seq")))
     if "__win_pos" in decisions.columns and pos in inc.columns:
         # equal sequences: only the children of the winning record (its position)
         new_kids = new_kids.filter(F.col(pos) == F.col("__win_pos"))
     new_kids = new_kids.drop("__win_seq", "__win_pos")
     new_kids = latest_per_key(new_kids, parent_keys + levels, seq)
-    kept = cur.join(decisions.select(*parent_keys), parent_keys, "left_anti")
+    kept = joined(cur, decisions.select(*parent_keys), "left_anti")
     return kept.unionByName(new_kids.select(*cur.columns))
 
 

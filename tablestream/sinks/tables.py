@@ -1,42 +1,42 @@
-"""Table sink: parquet snapshots + one pointer file per stream (K1, K5, M4, V1-V3).
+"""Table sink: appended Parquet, resolved when it is read.
 
 Layout on shared storage::
 
-    <base>/<stream>/_pointer/<n>.json         pointer n (highest = current): layouts,
-                                              bucket -> directory, versions
-    <base>/<stream>/data/<table>/<batch>-<n>/_bucket=<b>/part-*.parquet
-
-* Rows are spread over ``buckets`` key-hash partitions (children hash the
-  *parent* key, so a parent and its children share a bucket).  A batch reads
-  and rewrites only the buckets its keys fall in; the bucket list (at most
-  ``buckets`` ints) is the only thing collected.
-* Directories are immutable.  A batch writes new directories, then publishes
-  pointer n+1 (temp file renamed to a fresh name) - all tables of the batch
-  commit together; a failed batch leaves pointer n, so a retry starts clean.
-  Too many directories per table trigger a rewrite into one (compaction);
-  ``vacuum`` removes directories no retained pointer refers to.
-* Versions: a batch for a newer version is staged apart while the current
-  one stays visible; activation repoints the stream to the staged set; a
-  batch older than the current version is ignored.
+    <base>/<stream>/data/<table>/layout=<i>/_commit=<n>-<tag>/_bucket=<b>/part-*.parquet
+    <base>/<stream>/_commits/<n>.json     what commit n stored (rows per table, positions)
+    <base>/<stream>/_pointer/<n>.json     the commits and layouts in force after commit n
+
+* A batch appends its newest record per key and reads no stored row.  Rows lie in key-hash buckets;
+  children lie in their parent's bucket.
+* A read takes the rows of all commits and keeps, per key, the row that the upsert rules choose
+  (:func:`~tablestream.operators.merge.resolve`): one aggregate with partial aggregation.  Children are
+  those written by the commit whose root row was chosen.
+* Every commit keeps the layout it was written with; a read projects its rows to today's layout, so a
+  column split rewrites nothing.
+* A read for given keys reads only their buckets: partition pruning by literals, or dynamic pruning
+  from a table of keys.
+* Versions: a batch for a newer version is staged apart while the current one stays visible;
+  activation makes the staged commits current; a batch older than the current version is ignored.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge
-from ..operators.evolve import needs_full_rewrite, project
+from ..operators.evolve import project
 from ..operators.flatten import apply_schema
-from ..plans.evolve import Layout, check_keys, evolve
+from ..plans.evolve import Layout, check_keys, evolve, key_columns
 from ..plans.naming import table_name, validate_identifier
 from ..plans.tables import SEQUENCE, SOURCE_KEY_PREFIX, TablePlan
 
 BUCKET = "_bucket"
+COMMIT = merge.COMMIT
 
 
 class NotNullViolation(ValueError):
@@ -113,28 +113,36 @@ class _Fs:
         self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(tmp, p, how)
 
 
-@dataclass
-class _TableState:
-    layout: Layout
-    dirs: dict[int, str]
+class StoredTable:
+    """Layouts of a table, oldest first, with the changes that led to each, and its commits: tag, number of
+    the layout, rows."""
+
+    def __init__(self, layouts: list[Layout], changes: list[list], commits: list[tuple[str, int, int]]):
+        self.layouts, self.changes, self.commits = layouts, changes, commits
+
+    @property
+    def layout(self) -> Layout:
+        return self.layouts[-1]
+
+    def grown(self, layout: Layout, changes: list) -> "StoredTable":
+        """With one more layout, if anything changed."""
+        if not changes:
+            return self
+        return StoredTable([*self.layouts, layout], [*self.changes, changes], self.commits)
 
     def to_json(self) -> dict:
-        return {"layout": self.layout.to_json(), "dirs": {str(b): d for b, d in self.dirs.items()}}
+        return {"layouts": [x.to_json() for x in self.layouts], "changes": self.changes, "commits": self.commits}
 
     @staticmethod
-    def from_json(d: dict) -> "_TableState":
-        return _TableState(Layout.from_json(d["layout"]), {int(b): v for b, v in d["dirs"].items()})
+    def from_json(d: dict) -> "StoredTable":
+        return StoredTable([Layout.from_json(x) for x in d["layouts"]], d["changes"], d["commits"])
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, base: str, buckets: int = 64, children: str = "sync",
-                 persist_empty: bool = False, max_dirs: int = 64):
+                 persist_empty: bool = False):
         self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
         self.children, self.persist_empty = children, persist_empty
-        # A table whose buckets live in more than ``max_dirs`` snapshot
-        # directories is rewritten into one on its next batch (compaction),
-        # which bounds the width of every read plan.
-        self.max_dirs = max_dirs
         self.fs = _Fs(spark)
 
     # --------------------------------------------------------------- pointer
@@ -171,66 +179,118 @@ class TableStore:
 
     def table_names(self, stream: str) -> dict[tuple, str]:
         """Stored tables by path."""
-        return {tuple(t["layout"]["path"]): name for name, t in self.pointer(stream)["tables"].items()}
+        return {tuple(t["layouts"][-1]["path"]): name for name, t in self.pointer(stream)["tables"].items()}
 
     # --------------------------------------------------------------- reading
     @staticmethod
-    def _bucket_col(cols: list[str], buckets: int) -> F.Column:
-        return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(buckets))
-
-    def _read(self, st: _TableState, only: list[int] | None = None) -> DataFrame:
-        want = st.dirs if only is None else {b: d for b, d in st.dirs.items() if b in set(only)}
-        schema = st.layout.ddl()
-        by_dir: dict[str, list[int]] = {}
-        for b, d in want.items():
-            by_dir.setdefault(d, []).append(b)
+    def _bucket_col(cols: list[str], buckets: int) -> Column:
+        return F.pmod(F.hash(*[F.col(f"`{c}`") for c in cols]), F.lit(buckets))
+
+    def _dir(self, stream: str, name: str, layout: int) -> str:
+        return f"{self.base}/{stream}/data/{name}/layout={layout}"
+
+    def _appended(self, stream: str, name: str, st: StoredTable, only=None) -> DataFrame:
+        """Rows of all commits in today's layout, with ``_commit`` and ``_bucket``.  ``only`` narrows the
+        rows of each layout first."""
+        marks = (COMMIT, BUCKET)
         parts = []
-        for d, bs in sorted(by_dir.items()):
-            paths = [p for p in (f"{d}/{BUCKET}={b}" for b in sorted(bs)) if self.fs.exists(p)]
+        for i, layout in enumerate(st.layouts):
+            base = self._dir(stream, name, i)
+            paths = [f"{base}/{COMMIT}={tag}" for tag, at, _ in st.commits if at == i]
             if not paths:
                 continue
-            # one directory = one batch = one layout: no schema merging needed
-            df = self.spark.read.option("basePath", d).parquet(*paths)
-            cols = [(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t, _ in st.layout.columns()]
-            parts.append(df.select(*cols))
+            df = self.spark.read.schema(f"{layout.ddl()}, `{COMMIT}` string, `{BUCKET}` int") \
+                .option("basePath", base).parquet(*paths)
+            for later, changes in zip(st.layouts[i + 1:], st.changes[i + 1:]):
+                df = project(df, later, [tuple(c) for c in changes], extra=marks)
+            parts.append(only(df) if only is not None else df)
         if not parts:
-            return self.spark.createDataFrame([], schema)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def read(self, stream: str, path: tuple | None = None, version: int | None = None) -> DataFrame:
+            return self.spark.createDataFrame([], f"{st.layout.ddl()}, `{COMMIT}` string, `{BUCKET}` int")
+        return reduce(DataFrame.unionByName, parts)
+
+    def _only(self, keys, columns: list[str], layout: Layout, buckets: int):
+        """Filter to given keys of the root: a list of values (or tuples of values), or a DataFrame whose
+        first columns are the key.  NULL is nobody's key."""
+        types = {n: t for n, t, _ in layout.columns()}
+        if isinstance(keys, DataFrame):
+            wanted = keys.select(*[F.col(f"`{have}`").cast(types[c]).alias(c) for have, c in zip(keys.columns, columns)])
+            wanted = wanted.withColumn(BUCKET, self._bucket_col(columns, buckets)).distinct()
+            # a bucket is never below 0, but a predicate makes Spark prune the partitions it reads by this side
+            wanted = wanted.filter(F.col(BUCKET) >= 0)
+            return lambda df: df.join(wanted, [BUCKET, *columns], "left_semi").select(*df.columns)
+        values = [k if isinstance(k, tuple) else (k,) for k in keys]
+        schema = ", ".join(f"`{c}` {types[c]}" for c in columns)
+        here = [r[0] for r in self.spark.createDataFrame(values, schema)
+                .select(self._bucket_col(columns, buckets)).distinct().collect()]
+        if len(columns) == 1:
+            match = F.col(f"`{columns[0]}`").isin([v[0] for v in values])
+        else:
+            match = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [
+                F.col(f"`{c}`") == F.lit(x) for c, x in zip(columns, v)]) for v in values], F.lit(False))
+        return lambda df: df.filter(F.col(BUCKET).isin(here)).filter(match)
+
+    def _resolved(self, stream: str, tables: dict, buckets: int, path: tuple, columns=None, keys=None) -> DataFrame:
+        states = {tuple(t["layouts"][-1]["path"]): (n, StoredTable.from_json(t)) for n, t in tables.items()}
+        if path not in states:
+            raise KeyError(f"no table {path} in stream {stream}")
+        (name, st), (root_name, root) = states[path], states[path[:1]]
+        root_keys = key_columns(root.layout)
+        own = key_columns(st.layout)
+        want = [n for n, _, _ in st.layout.columns() if columns is None or n in columns]
+        seq = _column(st.layout, SEQUENCE)
+
+        def rows(name, st, key, cols):
+            only = None if keys is None else self._only(keys, key, st.layout, buckets)
+            return self._appended(stream, name, st, only).select(
+                *[F.col(f"`{c}`") for c in dict.fromkeys([*key, *cols])], COMMIT)
+
+        nullable = {n for n, _, null in st.layout.columns() if null}
+        if path == path[:1]:
+            out = merge.resolve(rows(name, st, own, [seq, *want]), own, seq, null_keys=bool(nullable & set(own)))
+        elif self.children == "legacy":
+            levels = [n for n in (_column(st.layout, c) for c in _level_names(st.layout)) if n]
+            out = merge.resolve(rows(name, st, own, [*levels, seq, *want]), own + levels, seq,
+                                null_keys=bool(nullable & set(own)))
+        else:
+            root_seq = _column(root.layout, SEQUENCE)
+            chosen = merge.resolve(rows(root_name, root, root_keys, [root_seq]), root_keys, root_seq)
+            out = merge.children_of(rows(name, st, own, want), chosen, own, root_keys,
+                                    total=sum(n for *_, n in st.commits))
+        return out.select(*[F.col(f"`{c}`") for c in want])
+
+    def read(self, stream: str, path: tuple | None = None, version: int | None = None,
+             columns: list[str] | None = None, keys=None) -> DataFrame:
+        """A stored table.  ``columns`` narrows what is read before rows are resolved.  ``keys`` (a
+        list of root keys, or a DataFrame of them) reads the buckets of these keys only; on a child
+        table they are its parents' keys."""
         ptr = self.pointer(stream)
         tables = ptr["tables"] if version is None or version == ptr["version"] \
             else ptr["staged"][str(version)]
-        path = tuple(path or (stream,))
-        for t in tables.values():
-            st = _TableState.from_json(t)
-            if st.layout.path == path:
-                return self._read(st)
-        raise KeyError(f"no table {path} in stream {stream}")
+        return self._resolved(stream, tables, ptr["buckets"], tuple(path or (stream,)), columns, keys)
 
     def read_tables(self, stream: str) -> dict[tuple, DataFrame]:
         """Every current table of ``stream`` as ``{path: DataFrame}``."""
-        tables = self.pointer(stream)["tables"]
-        out = {}
-        for t in tables.values():
-            st = _TableState.from_json(t)
-            out[st.layout.path] = self._read(st)
-        return out
+        return {path: self.read(stream, path) for path in self.table_names(stream)}
 
     def is_empty(self, stream: str, path: tuple | None = None) -> bool:
-        """One-row probe."""
-        try:
-            return self.read(stream, path).limit(1).count() == 0
-        except KeyError:
-            return True
+        """One-row probe of the appended rows."""
+        path = tuple(path or (stream,))
+        for name, t in self.pointer(stream)["tables"].items():
+            if tuple(t["layouts"][-1]["path"]) == path:
+                return self._appended(stream, name, StoredTable.from_json(t)).isEmpty()
+        return True
+
+    def commit_log(self, stream: str) -> list[dict]:
+        """A1: what each commit stored, in order: load, batch, segment, version, rows per table, positions."""
+        last = self.pointer(stream)["seq"]
+        folder = f"{self.base}/{stream}/_commits"
+        numbers = sorted(int(n[:-5]) for n in self.fs.listdir(folder) if n.endswith(".json") and n[:-5].isdigit())
+        return [json.loads(self.fs.read(f"{folder}/{n:012d}.json")) for n in numbers if n <= last]
 
     # --------------------------------------------------------------- writing
     def write_batch(self, stream: str, plans: list[TablePlan], records: DataFrame,
                     batch_id: int, version: int | None = None, segment: int = 0, load: str = "") -> dict:
-        """Upsert one batch of every table of ``stream`` and publish it (M4, V1, V2).
+        """Append one batch of every table of ``stream`` and publish it (M4, V1, V2).
 
         ``records`` are stamped RECORD rows (VARIANT ``record`` + ``_sdc_*``);
         they are flattened with the *evolved* stored layouts, so a value lands
@@ -250,107 +310,101 @@ class TableStore:
         staging = version is not None and current is not None and version > current
         if version is not None and current is None and not ptr["tables"]:
             current = version
-        key = str(version) if staging else None
-        target = ptr["staged"].setdefault(key, {}) if staging else ptr["tables"]
-        states = {name: _TableState.from_json(t) for name, t in target.items()}
-        by_path = {st.layout.path: (name, st) for name, st in states.items()}
-        names = {p: n for p, (n, _) in by_path.items()}
-
-        root_plan = plans[0]
-        keys = list(root_plan.key_properties)
+        target = ptr["staged"].setdefault(str(version), {}) if staging else ptr["tables"]
         if records.isEmpty() and not self.persist_empty:
             return {"skipped": "empty batch"}
-        evolved = {}
+
+        states = {name: StoredTable.from_json(t) for name, t in target.items()}
+        names = {st.layout.path: name for name, st in states.items()}
+        layouts, changed = {}, {}
         for plan in plans:
             name = names.get(plan.path) or validate_identifier(table_name(plan.path, names))
             names[plan.path] = name
-            old = by_path.get(plan.path, (None, None))[1]
-            table_empty = old is None or not old.dirs
-            layout, changes = evolve(old.layout if old else None, plan, name, table_empty=table_empty)
+            old = states.get(name)
+            layout, changes = evolve(old.layout if old else None, plan, name,
+                                     table_empty=old is None or not old.commits)
             if old is not None and plan.is_root:
                 check_keys(old.layout, plan, layout)
-            evolved[plan.path] = (name, old, layout, changes)
+            states[name] = old.grown(layout, changes) if old else StoredTable([layout], [changes], [])
+            layouts[plan.path], changed[name] = layout, [c[0] for c in changes]
+
         pos = "pos" if "pos" in records.columns else None   # breaks sequence ties
-        tables = apply_schema(records, plans, {p: v[2] for p, v in evolved.items()},
-                              keep=(pos,) if pos else ())
-        inc_root = tables[root_plan.path]
-        touched = [r[0] for r in inc_root.select(self._bucket_col(keys, buckets).alias("b")).distinct().collect()]
-        batch_tag = f"{batch_id:012d}-{segment:06d}-{uuid.uuid4().hex[:8]}"
-        decisions = None
-        report = {}
-        for plan in plans:
-            inc = tables[plan.path]
-            name, old, layout, changes = evolved[plan.path]
-            full = old is not None and (needs_full_rewrite(changes) or
-                                        len(set(old.dirs.values())) > self.max_dirs)
-            read_buckets = None if full else touched
-            cur = project(self._read(old, read_buckets), layout, changes) if old else \
-                self.spark.createDataFrame([], layout.ddl())
-            inc = project(inc, layout, [], extra=(pos,) if pos else ())
-            if plan.is_root:
-                decisions = merge.parent_decisions(cur, inc, keys, pos=pos)
-                merged = merge.upsert(cur, inc, keys, pos=pos)
-                bucket_keys = keys
-            else:
-                pk = [SOURCE_KEY_PREFIX + k for k in keys]
-                merged = merge.upsert_children(cur, inc, pk, plan.level_columns(), decisions,
-                                               mode=self.children)
-                merged = merged.drop("pos") if pos else merged
-                bucket_keys = pk
-            out_dir = f"{self.base}/{stream}/data/{name}/{batch_tag}"
-            obs = Observation(f"rows_{name}_{batch_tag}")
-            required = [n for n, _, nullable in layout.columns() if not nullable]
-            any_null = F.lit(False)
-            for n in required:
-                any_null = any_null | F.col(n).isNull()
-            # rows written, and rows breaking a NOT NULL column (P16), in the write job itself
-            merged = merged.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                    F.sum(F.when(any_null, 1).otherwise(0)).alias("null_violations"))
-            # The merge output is already spread by key; sorting inside each
-            # task (bucket, key, sequence) gives one open file at a time and
-            # never funnels a whole bucket (a hot parent's children) into one task.
-            order = [BUCKET, *bucket_keys, *(plan.level_columns()), SEQUENCE]
-            (merged.withColumn(BUCKET, self._bucket_col(bucket_keys, buckets))
-                   .sortWithinPartitions(*order)
-                   .write.mode("overwrite").partitionBy(BUCKET).parquet(out_dir))
-            dirs = {} if (old is None or full) else dict(old.dirs)
-            for b in (range(buckets) if (old is None or full) else touched):
-                dirs[b] = out_dir
-            target[name] = _TableState(layout, dirs).to_json()
-            report[name] = [c[0] for c in changes]
-            metrics = obs.get
-            if metrics.get("null_violations"):
-                # the new directory is never published: the batch is rolled back
-                raise NotNullViolation(f"{metrics['null_violations']} row(s) of {name} hold NULL in a NOT NULL "
-                                       f"column ({', '.join(required)}); batch {batch_id} not published")
-            report.setdefault("_rows", {})[name] = metrics.get("rows", 0)
+        newest = newest_records(records, plans[0], layouts[plans[0].path], pos).persist()
+        tag = f"{ptr['seq'] + 1:012d}-{uuid.uuid4().hex[:8]}"
+        counts = {}
+        try:
+            tables = apply_schema(newest, plans, layouts)
+            for plan in plans:
+                name, layout = names[plan.path], layouts[plan.path]
+                keys = key_columns(layout)
+                rows = tables[plan.path]
+                if not plan.is_root and self.children == "legacy":
+                    levels = [_column(layout, c) for c in plan.level_columns()]
+                    rows = apply_schema(records, plans, layouts, keep=(pos,) if pos else ())[plan.path]
+                    rows = merge.latest_per_key(rows, keys + levels, _column(layout, SEQUENCE), pos)
+                    rows = rows.drop(pos) if pos else rows
+                at = f"{self._dir(stream, name, len(states[name].layouts) - 1)}/{COMMIT}={tag}"
+                counts[name] = self._append(rows, layout, keys, buckets, at)
+                states[name].commits.append((tag, len(states[name].layouts) - 1, counts[name]))
+            span = newest.agg(F.min(pos), F.max(pos)).first() if pos else (None, None)
+        finally:
+            newest.unpersist()
+        target.update({name: st.to_json() for name, st in states.items()})
         if not staging:
             ptr["version"] = current
         commits[load] = [batch_id, segment]
+        self.fs.write_atomic(f"{self.base}/{stream}/_commits/{ptr['seq'] + 1:012d}.json", json.dumps(
+            {"stream": stream, "load": load, "batch": batch_id, "segment": segment, "version": version,
+             "first_pos": span[0], "last_pos": span[1], "rows": counts}))
         self._publish(stream, ptr)
-        return report
+        return {**changed, "_rows": counts}
 
-    def vacuum(self, stream: str) -> list[str]:
-        """Delete data directories that no retained pointer file refers to.
+    @staticmethod
+    def _append(rows: DataFrame, layout: Layout, keys: list[str], buckets: int, at: str) -> int:
+        """Write one table of a commit; rows written.  NULL in a NOT NULL column is an error (P16): the
+        new directory is then never published."""
+        required = [n for n, _, nullable in layout.columns() if not nullable]
+        any_null = reduce(lambda a, b: a | b, [F.col(f"`{n}`").isNull() for n in required], F.lit(False))
+        seen = Observation()
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"),
+                            F.count(F.when(any_null, 1)).alias("null_violations"))
+        # sorting inside each task gives one open file at a time and moves no row
+        (rows.withColumn(BUCKET, TableStore._bucket_col(keys, buckets)).sortWithinPartitions(BUCKET, *[f"`{k}`" for k in keys])
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(at))
+        got = seen.get
+        if got.get("null_violations"):
+            raise NotNullViolation(f"{got['null_violations']} row(s) of {layout.name} hold NULL in a NOT NULL "
+                                   f"column ({', '.join(required)}); the batch is not published")
+        return got.get("rows", 0)
+
+    def compact(self, stream: str) -> None:
+        """Write every current table's resolved rows as one commit in today's layout, so that reads have
+        one directory again.  Never part of a load; what it replaces goes with :meth:`vacuum`."""
+        ptr = self.pointer(stream)
+        tag = f"{ptr['seq'] + 1:012d}-{uuid.uuid4().hex[:8]}"
+        new = {}
+        for name, t in ptr["tables"].items():
+            st = StoredTable.from_json(t)
+            rows = self._resolved(stream, ptr["tables"], ptr["buckets"], st.layout.path)
+            n = self._append(rows, st.layout, key_columns(st.layout), ptr["buckets"],
+                             f"{self._dir(stream, name, len(st.layouts) - 1)}/{COMMIT}={tag}")
+            new[name] = StoredTable(st.layouts, st.changes, [(tag, len(st.layouts) - 1, n)]).to_json()
+        ptr["tables"] = new
+        self._publish(stream, ptr)
 
-        Readers holding an older pointer keep working as long as that pointer
-        is among the ``KEEP_POINTERS`` retained ones.  Returns the deleted dirs.
-        """
-        live: set[str] = set()
+    def vacuum(self, stream: str) -> list[str]:
+        """Delete commits that no retained pointer file refers to.  Returns the deleted directories."""
+        live = set()
         for n in self._pointer_numbers(stream):
             ptr = json.loads(self.fs.read(f"{self._pointer_dir(stream)}/{n:012d}.json"))
-            sets = [ptr["tables"], *ptr.get("staged", {}).values()]
-            for tables in sets:
-                for t in tables.values():
-                    live.update(t["dirs"].values())
-        gone = []
-        data = f"{self.base}/{stream}/data"
-        for table in self.fs.listdir(data):
-            for snap in self.fs.listdir(f"{data}/{table}"):
-                d = f"{data}/{table}/{snap}"
-                if not any(x.rstrip("/").endswith(f"/data/{table}/{snap}") for x in live):
-                    self.fs.delete(d)
-                    gone.append(d)
+            for tables in [ptr["tables"], *ptr["staged"].values()]:
+                live.update(c[0] for t in tables.values() for c in t["commits"])
+        gone, data = [], f"{self.base}/{stream}/data"
+        for layout in (f"{data}/{t}/{x}" for t in self.fs.listdir(data) for x in self.fs.listdir(f"{data}/{t}")):
+            for name in self.fs.listdir(layout):
+                if name.removeprefix(f"{COMMIT}=") not in live:
+                    self.fs.delete(f"{layout}/{name}")
+                    gone.append(f"{layout}/{name}")
         return gone
 
     def activate_version(self, stream: str, version: int) -> bool:
@@ -366,3 +420,24 @@ class TableStore:
         ptr["staged"] = {k: v for k, v in ptr["staged"].items() if int(k) > version}
         self._publish(stream, ptr)
         return True
+
+
+def _column(layout: Layout, name: str) -> str | None:
+    """Stored name of a metadata column."""
+    return next((m["to"] for m in layout.mappings if m["from"] == (name,)), None)
+
+
+def _level_names(layout: Layout) -> list[str]:
+    return [m["from"][0] for m in layout.mappings if len(m["from"]) == 1 and m["from"][0].startswith("_sdc_level_")]
+
+
+def newest_records(records: DataFrame, root: TablePlan, layout: Layout, pos: str | None) -> DataFrame:
+    """W1 on whole records: per key the one with the highest sequence (ties: the later position).  Root
+    row and children are then flattened from the record that won, so children need no join."""
+    row = "__row"
+    packed = records.select("*", F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias(row))
+    keys = key_columns(layout)
+    typed = apply_schema(packed, [root], {root.path: layout}, keep=(row,))[root.path]
+    best = typed.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.max_by(row, merge.newer_first(F.col(_column(layout, SEQUENCE)), F.col(f"{row}.{pos}") if pos else None)).alias(row))
+    return best.select(f"{row}.*")

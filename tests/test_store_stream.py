@@ -52,7 +52,7 @@ def test_versions_stage_skip_and_activate(spark, scratch):
     assert store.read("cats").count() == 120
 
 
-def test_retry_of_committed_batch_is_noop_and_touched_buckets_only(spark, scratch):
+def test_retry_of_committed_batch_is_noop_and_batches_are_appended(spark, scratch):
     store = TableStore(spark, scratch, buckets=8)
     plans = plan_tables("cats", CATS, ["id"])
     store.write_batch("cats", plans, _recs(spark, _cats(50)), batch_id=0)
@@ -60,9 +60,7 @@ def test_retry_of_committed_batch_is_noop_and_touched_buckets_only(spark, scratc
     assert "skipped" in store.write_batch("cats", plans, _recs(spark, _cats(50, seq=9)), batch_id=0)
     assert json.dumps(store.pointer("cats"), sort_keys=True) == before
     store.write_batch("cats", plans, _recs(spark, _cats(1, seq=5, start=7)), batch_id=1)
-    ptr = store.pointer("cats")
-    dirs = set(ptr["tables"]["cats"]["dirs"].values())
-    assert len(dirs) == 2                                # one bucket rewritten, others kept
+    assert [n for *_, n in store.pointer("cats")["tables"]["cats"]["commits"]] == [50, 1]   # one row appended
     assert store.read("cats").count() == 50
 
 
@@ -219,6 +217,8 @@ def test_vacuum_keeps_live_snapshots(spark, scratch, monkeypatch):
     plans = plan_tables("cats", CATS, ["id"])
     for b in range(3):
         store.write_batch("cats", plans, _recs(spark, _cats(10, seq=b + 1)), batch_id=b)
+    assert store.vacuum("cats") == []                  # every commit is in force
+    store.compact("cats")
     before = rows(store.read("cats"), "id", "_sdc_sequence")
     gone = store.vacuum("cats")
     assert gone                                        # earlier snapshots removed
@@ -262,16 +262,20 @@ def test_parallel_streams_give_the_same_tables(spark, scratch):
         assert rows(store.read(s), "id", "v") == [(i, s) for i in range(5)]
 
 
-def test_compaction_bounds_snapshot_directories(spark, scratch):
-    store = TableStore(spark, scratch, buckets=8, max_dirs=2)
-    plans = plan_tables("cats", CATS, ["id"])
+def test_compaction_leaves_one_commit_and_the_same_rows(spark, scratch):
+    store = TableStore(spark, scratch, buckets=8)
+    plans, shots = plan_tables("cats", CATS, ["id"]), ("cats", "adoption", "immunizations")
     store.write_batch("cats", plans, _recs(spark, _cats(40)), batch_id=0)
     for b in range(1, 5):
         store.write_batch("cats", plans, _recs(spark, _cats(1, seq=b + 1, start=b)), batch_id=b)
-        dirs = set(store.pointer("cats")["tables"]["cats"]["dirs"].values())
-        assert len(dirs) <= 3
-    got = dict(rows(store.read("cats"), "id", "_sdc_sequence"))
-    assert len(got) == 40 and [got[i] for i in range(1, 5)] == [2, 3, 4, 5]
+    before = rows(store.read("cats"), "id", "_sdc_sequence"), rows(store.read("cats", shots), "_sdc_source_key_id", "_sdc_level_0_id")
+    store.compact("cats")
+    assert len(store.pointer("cats")["tables"]["cats"]["commits"]) == 1
+    assert before == (rows(store.read("cats"), "id", "_sdc_sequence"),
+                      rows(store.read("cats", shots), "_sdc_source_key_id", "_sdc_level_0_id"))
+    assert [dict(before[0])[i] for i in range(1, 5)] == [2, 3, 4, 5]
+    store.write_batch("cats", plans, _recs(spark, _cats(1, seq=9, start=3)), batch_id=9)
+    assert dict(rows(store.read("cats"), "id", "_sdc_sequence"))[3] == 9
 
 
 def test_legacy_children_mode_keeps_reference_behaviour(spark, scratch):
