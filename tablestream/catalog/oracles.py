@@ -29,6 +29,10 @@ RULES = {
 REASONS = "concat_ws('; ', " + ", ".join(RULES.values()) + ")"
 
 
+# batch of an event in a load of two batches
+PART = "CAST(least(floor(event_id * 2.0 / (SELECT max(event_id) + 1 FROM events)), 1) AS BIGINT)"
+
+
 def _latest(where: str) -> str:
     return f"""SELECT * FROM (
       SELECT user_id, event_id, event_type, value, {SEQ} AS seq,
@@ -264,29 +268,19 @@ FROM n""",
 SELECT (SELECT count(*) FROM orders) AS records_persisted,
        (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS rows_persisted""",
 
-    "safe_bookmarks": """
-WITH r AS (
-  SELECT event_id * 10 AS pos, event_type AS stream,
-         row_number() OVER (ORDER BY event_id) AS c,
-         row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS sr
-  FROM events),
-f AS (SELECT stream, c FROM r WHERE sr % 500 = 0),
-fi AS (SELECT stream, min(c) AS fc FROM r GROUP BY stream),
-pairs AS (
-  SELECT f.c AS flush_counter, f.stream, fi.stream AS s2, fi.fc,
-         (SELECT max(f2.c) FROM f f2 WHERE f2.stream = fi.stream AND f2.c <= f.c) AS last_flush
-  FROM f, fi),
-th AS (
-  SELECT flush_counter, stream,
-         CAST(min(CASE WHEN fc <= flush_counter THEN coalesce(last_flush, 0) END) AS BIGINT) AS threshold
-  FROM pairs GROUP BY flush_counter, stream),
-st AS (
-  SELECT e.event_id * 10 + 5 AS spos,
-         (SELECT count(*) FROM events r2 WHERE r2.event_id * 10 < e.event_id * 10 + 5) AS wm
-  FROM events e WHERE e.event_id % 100 = 99)
-SELECT flush_counter, stream, threshold,
-       (SELECT max(spos) FROM st WHERE st.wm <= th.threshold) AS state_pos
-FROM th""",
+    "safe_bookmarks": f"""
+WITH c AS (SELECT {PART} AS batch, event_type AS stream, min(event_id) * 10 AS first_pos FROM events GROUP BY 1, 2),
+n AS (SELECT stream, first_pos, row_number() OVER (ORDER BY batch, stream) AS n FROM c),
+t AS (SELECT *, min(first_pos) OVER (ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS threshold FROM n)
+SELECT n, stream, threshold,
+       (SELECT max(event_id * 10 + 5) FROM events
+        WHERE event_id % 100 = 99 AND (threshold IS NULL OR event_id * 10 + 5 < threshold)) AS state_pos
+FROM t""",
+
+    "load_metrics": f"""
+SELECT {PART} AS batch, CASE WHEN {PART} = 0 THEN 1 ELSE 0 END AS segment, event_type AS table_name,
+       count(DISTINCT user_id) AS rows, min(event_id) * 10 AS first_pos, max(event_id) * 10 AS last_pos
+FROM events GROUP BY 1, 2, 3""",
 
     "bookmark_changes": """
 WITH s AS (
@@ -296,4 +290,60 @@ l AS (SELECT pos, value, lag(value) OVER (ORDER BY pos) AS prev FROM s)
 SELECT pos, value FROM l WHERE prev IS NULL OR prev <> value""",
 
     "stream_upsert": UPSERT,
+
+    "scan_stored": """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 2 END AS _sdc_sequence FROM orders""",
+
+    "lookup_keys": """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 2 END AS _sdc_sequence
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49)""",
+
+    "split_stored": """
+SELECT event_id,
+       CASE WHEN event_type NOT IN ('purchase', 'error') THEN CAST(floor(value) AS BIGINT) END AS v__i,
+       CASE WHEN event_type = 'purchase' THEN 'u' || CAST(user_id AS VARCHAR) END AS v__s,
+       CASE WHEN event_type = 'error' THEN value > 25 END AS v__b
+FROM events""",
+
+    "upsert_odd_keys": """
+SELECT c_custkey AS id, 'a' || CAST(c_custkey % 7 AS VARCHAR) AS account_id, 0 AS level,
+       CASE WHEN c_custkey % 2 = 0 THEN upper(c_name) ELSE c_mktsegment END AS word,
+       CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END AS _sdc_sequence FROM customer
+UNION ALL
+SELECT c_custkey, 'a' || CAST(c_custkey % 7 AS VARCHAR), 1, c_name, 1 FROM customer WHERE c_custkey % 2 = 1""",
+
+    "unplaced_values": """
+SELECT event_id, CASE WHEN event_type = 'error' THEN event_id * 10 END AS pos,
+       CASE WHEN event_type = 'error' THEN 'v' END AS path,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(floor(value) AS BIGINT) END AS v
+FROM events""",
+
+    "upsert_children_hot": """
+WITH base AS (SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k, l_orderkey AS a,
+                     CAST(l_linenumber AS BIGINT) AS b FROM lineitem),
+inc AS (SELECT * FROM base WHERE b = 1 AND (k = 0 OR k % 5 = 1))
+SELECT k AS _sdc_source_key_k, a AS _sdc_level_0_id, b AS _sdc_level_1_id, 1 AS _sdc_sequence
+FROM base WHERE k NOT IN (SELECT k FROM inc)
+UNION ALL SELECT k, a, b, 2 FROM inc""",
+
+    "stream_two_loads": f"SELECT user_id, event_id, _sdc_sequence FROM ({UPSERT})",
+
+    "stream_versions": f"""
+SELECT user_id, event_id, event_type, 2 AS _sdc_table_version FROM ({_latest("event_type <> 'view'")})""",
+
+    "stream_schema_repeats": """
+SELECT CASE WHEN event_id <= 300 THEN 1 ELSE 2 END AS segment, min(event_id) * 10 AS first_pos,
+       max(event_id) * 10 AS last_pos, count(DISTINCT user_id) AS rows
+FROM events GROUP BY 1""",
+
+    "validate_keywords": f"""
+WITH l AS (SELECT l_orderkey, count(*) AS n,
+                  count(DISTINCT row({LINE_ORDER})) AS u FROM lineitem GROUP BY 1)
+SELECT o_orderkey,
+       coalesce(o_orderkey > 0 AND o_totalprice > 1500 AND o_totalprice <= 400000 AND right(c_name, 1) <> '9'
+                AND length(c_name) >= 5 AND c_mktsegment IN ('MACHINERY', 'HOUSEHOLD', 'AUTOMOBILE')
+                AND (c_nationkey <= 15 OR c_nationkey % 2 = 0) AND n BETWEEN 1 AND 8 AND n = u, false) AS is_valid
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN l ON l_orderkey = o_orderkey""",
 }

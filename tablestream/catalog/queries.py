@@ -443,15 +443,162 @@ def name_collisions(spark, d):
     return collision_names(first, "raw", "arrival").select("raw", "name")
 
 
+# ------------------------------------------------------------------ table store
+
+def _append(store: TableStore, schema: dict, key: list[str], df: DataFrame, record: F.Column, batch: int,
+            stream: str, sequence: F.Column, pos: F.Column, version: int | None = None) -> dict:
+    """One batch of records made from ``df`` through the store."""
+    extra = {"sequence": sequence} | ({} if version is None else {"version": F.lit(version)})
+    log = I.log_of(df, pos, I.record_line(stream, record, **extra))
+    recs = st.stamp(stream_records(log, stream), BATCHED_AT)
+    return store.write_batch(stream, plan_tables(stream, schema, key), recs, batch_id=batch, version=version)
+
+
+def _stored_orders(spark, d) -> TableStore:
+    """Orders in three appended batches: all (sequence 2), those that are done again with a new total
+    (sequence 3), and late copies of every third one (sequence 1)."""
+    orders, key = I.table(spark, d, "orders"), F.col("o_orderkey")
+    store = TableStore(spark, _scratch(spark, "orders"), buckets=16)
+    steps = [(orders, F.col("o_totalprice"), 2), (orders.filter("o_orderstatus = 'F'"), F.col("o_totalprice") * 2, 3),
+             (orders.filter(key % 3 == 0), F.lit(-1.0), 1)]
+    for batch, (rows, total, sequence) in enumerate(steps):
+        _append(store, S.ORDERS_TOTAL, ["o_orderkey"], rows, F.struct("o_orderkey", "o_orderstatus", total.alias("o_totalprice")),
+                batch, "orders", F.lit(sequence), key * 10 + batch)
+    return store
+
+
+def scan_stored(spark, d):
+    """A stored table read by columns, over several appended batches."""
+    return _stored_orders(spark, d).read("orders", columns=["o_orderkey", "o_totalprice", "_sdc_sequence"])
+
+
+def lookup_keys(spark, d):
+    """Stored rows of the keys of another table: only their buckets are read."""
+    wanted = I.table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_quantity >= 49").select("l_orderkey").distinct()
+    return _stored_orders(spark, d).read("orders", keys=wanted).select("o_orderkey", "o_orderstatus", "o_totalprice", "_sdc_sequence")
+
+
+def split_stored(spark, d):
+    """A field that is an integer, then a text, then a boolean, in three stored batches: every batch keeps
+    the layout it was written with."""
+    et, ev = F.col("event_type"), I.table(spark, d, "events")
+    store = TableStore(spark, _scratch(spark, "split"), buckets=8)
+    steps = [(S.SPLIT_INT, ~et.isin("purchase", "error"), F.floor("value").cast("bigint")),
+             (S.SPLIT_STR, et == "purchase", F.concat(F.lit("u"), F.col("user_id").cast("string"))),
+             (S.SPLIT_BOOL, et == "error", F.col("value") > 25)]
+    for batch, (schema, cond, v) in enumerate(steps):
+        _append(store, schema, ["event_id"], ev.filter(cond), F.struct("event_id", v.alias("v")), batch, "events",
+                F.lit(1), F.col("event_id") * 10)
+    return store.read("events").select("event_id", "v__i", "v__s", "v__b")
+
+
+def upsert_odd_keys(spark, d):
+    """Keys ``ID`` and ``account-id``, stored as ``id`` and ``account_id``, with a child table."""
+    cust, key = I.table(spark, d, "customer"), F.col("c_custkey")
+    store = TableStore(spark, _scratch(spark, "odd"), buckets=8)
+
+    def batch(rows, n, words, sequence):
+        rec = F.struct(key.alias("ID"), F.concat(F.lit("a"), (key % 7).cast("string")).alias("account-id"),
+                       F.col("c_name").alias("Name"), words.alias("Words"))
+        _append(store, S.ODD_KEYS, ["ID", "account-id"], rows, rec, n, "accounts", F.lit(sequence), key * 10 + n)
+
+    batch(cust, 0, F.array("c_mktsegment", "c_name"), 1)
+    batch(cust.filter(key % 2 == 0), 1, F.array(F.upper("c_name")), 2)
+    kids = store.read("accounts", ("accounts", "Words"))
+    return kids.select(F.col("_sdc_source_key_id").alias("id"), F.col("_sdc_source_key_account_id").alias("account_id"),
+                       F.col("_sdc_level_0_id").alias("level"), F.col("_sdc_value").alias("word"), "_sdc_sequence")
+
+
+def unplaced_values(spark, d):
+    """Rows whose value fits no column, set aside by the store itself (no validation ran)."""
+    ev, et = I.table(spark, d, "events"), F.col("event_type")
+    v = F.when(et == "error", F.lit('"text"')).when(et == "signup", F.lit("null")) \
+         .otherwise(F.floor("value").cast("bigint").cast("string"))
+    rec = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"v":'), v, F.lit("}"))
+    log = I.log_of(ev, F.col("event_id") * 10, I.record_line_raw("mixed", rec))
+    store = TableStore(spark, _scratch(spark, "unplaced"), buckets=8)
+    store.write_batch("mixed", plan_tables("mixed", S.SPLIT_INT, ["event_id"]),
+                      st.stamp(stream_records(log, "mixed"), BATCHED_AT), batch_id=0)
+    aside = store.unplaced("mixed").select("event_id", "pos", F.array_join("paths", ",").alias("path"), F.lit(None).cast("long").alias("v"))
+    return aside.unionByName(store.read("mixed").select("event_id", F.lit(None).cast("long").alias("pos"),
+                                                        F.lit(None).cast("string").alias("path"), "v"))
+
+
+def upsert_children_hot(spark, d):
+    """Children of which a third belong to one parent, replaced where the parent was sent again."""
+    li = I.table(spark, d, "lineitem")
+    parent = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")).cast("bigint")
+    base = li.select(parent.alias("_sdc_source_key_k"), F.col("l_orderkey").cast("bigint").alias("_sdc_level_0_id"),
+                     F.col("l_linenumber").cast("bigint").alias("_sdc_level_1_id"), "l_partkey", F.lit(1).cast("bigint").alias("_sdc_sequence"))
+    levels = ["_sdc_level_0_id", "_sdc_level_1_id"]
+    base = base.dropDuplicates(["_sdc_source_key_k", *levels]).select("_sdc_source_key_k", *levels, F.lit(1).cast("bigint").alias("_sdc_sequence"))
+    inc = base.filter("_sdc_level_1_id = 1 and (_sdc_source_key_k = 0 or _sdc_source_key_k % 5 = 1)") \
+        .withColumn("_sdc_sequence", F.lit(2).cast("bigint"))
+    won = inc.select("_sdc_source_key_k", F.col("_sdc_sequence").alias("__win_seq")).distinct()
+    return merge.upsert_children(base, inc, ["_sdc_source_key_k"], levels, won, hot=True)
+
+
 # ------------------------------------------------------------------ bookmarks / streaming
 
-FLUSH_ROWS = 500
+def _with_pos(log: DataFrame) -> DataFrame:
+    """Lines that carry their position themselves."""
+    return log.select(F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(',"pos":'),
+                               F.col("pos").cast("string"), F.lit("}")).alias("line"), "pos")
+
+
+class _Feed:
+    """A folder of message files, loaded as they are added; every batch is many files."""
+
+    def __init__(self, spark, tag: str, **options):
+        from ..streaming.job import LogLoader
+        self.spark, self.base = spark, _scratch(spark, tag)
+        self.store = TableStore(spark, f"{self.base}/tables", buckets=16)
+        self.loader = LogLoader(spark, self.store, clock=lambda: BATCHED_AT, **{"emit_states": False} | options)
+        self.batches = 0
+
+    def load(self, log: DataFrame, job: str = "a") -> None:
+        _with_pos(log).select("line").write.text(f"{self.base}/in-{job}/b{self.batches}")
+        self.batches += 1
+        self.loader.run(f"{self.base}/in-{job}/*", checkpoint=f"{self.base}/ckpt-{job}", max_files_per_trigger=None)
+
+    def commits(self, streams: list[str]) -> DataFrame:
+        """The commits of the streams, in the order they were made."""
+        rows = sorted((c["batch"], c["segment"], c["stream"], c["first_pos"], c["last_pos"], name, n)
+                      for s in streams for c in self.store.commit_log(s) for name, n in c["rows"].items())
+        return self.spark.createDataFrame(rows, "batch long, segment long, stream string, first_pos long, last_pos long, "
+                                                "table_name string, n long")
+
+
+def _event_batches(spark, d, parts: int = 2, **options):
+    """The event log with SCHEMA and STATE lines, cut into batches by event id, and its streams."""
+    top = I.table(spark, d, "events").agg(F.max("event_id")).first()[0]
+    log = I.event_log(spark, d, **options)
+    part = F.least(F.floor(F.col("pos") * parts / (10 * (top + 1))), F.lit(parts - 1))
+    streams = sorted(r[0] for r in I.table(spark, d, "events").select("event_type").distinct().collect())
+    return [log.filter(part == b) if b else log.filter(part <= 0) for b in range(parts)], streams
 
 
 def safe_bookmarks(spark, d):
-    r = M.route(M.parse(I.event_log(spark, d, states=True)))
-    streams = sorted(x["stream"] for x in r["schemas"].select("stream").distinct().collect())
-    return B.safe_bookmarks(r["records"], r["states"], streams, FLUSH_ROWS)
+    """After each commit of a load, the newest STATE that is safe."""
+    feed = _Feed(spark, "bookmarks", parallel_streams=5)
+    batches, streams = _event_batches(spark, d, states=True)
+    for log in batches:
+        feed.load(log)
+    made = feed.commits(streams)
+    order = [r.asDict() for r in made.collect()]   # one small row per commit
+    numbered = spark.createDataFrame([(i, c["stream"], c["first_pos"]) for i, c in enumerate(order, 1)],
+                                     "n long, stream string, first_pos long")
+    states = M.route(M.parse(I.event_log(spark, d, states=True)))["states"]
+    return B.safe_bookmarks(numbered, states.select("pos"))
+
+
+def load_metrics(spark, d):
+    """Rows per batch, segment and table that a load reports."""
+    feed = _Feed(spark, "metrics", parallel_streams=5)
+    batches, streams = _event_batches(spark, d)
+    for log in batches:
+        feed.load(log)
+    return feed.commits(streams).select("batch", "segment", "table_name", F.col("n").alias("rows"), "first_pos", "last_pos")
 
 
 def bookmark_changes(spark, d):
@@ -459,29 +606,65 @@ def bookmark_changes(spark, d):
     return B.bookmark_changes(r["states"])
 
 
+def _keyed_log(spark, rows: DataFrame, pos: F.Column, first_pos: int, schema: dict | None = None, **extra) -> DataFrame:
+    """A SCHEMA line and one RECORD of stream ``events`` per row."""
+    rec = F.struct("event_id", "user_id", "event_type", "value")
+    recs = I.log_of(rows, pos, I.record_line("events", rec, sequence=I.event_sequence(F.col("event_id")), **extra))
+    head = spark.range(1).select(F.lit(first_pos).cast("bigint").alias("pos"),
+                                 I.schema_line("events", schema or S.EVENTS_KEYED, ["user_id"]).alias("line"))
+    return head.unionByName(recs)
+
+
 def stream_upsert(spark, d):
     """D6 as log files, loaded by the Structured Streaming job (availableNow)."""
-    from ..streaming.job import LogLoader
-    base = _scratch(spark, "stream")
-    src = f"{base}/in"
-    schema_line = I.schema_line("events", S.EVENTS_KEYED, ["user_id"])
-
-    def write(df, name, pos_shift):
-        rec = F.struct("event_id", "user_id", "event_type", "value")
-        line = F.to_json(F.struct(F.lit("RECORD").alias("type"), F.lit("events").alias("stream"),
-                                  rec.alias("record"), I.event_sequence(F.col("event_id")).alias("sequence"),
-                                  (F.col("event_id") * 10 + pos_shift).alias("pos")))
-        # the SCHEMA line gets a position just before the file's records
-        head = spark.range(1).select(schema_line.alias("line_")).select(
-            F.concat(F.expr("substring(line_, 1, length(line_) - 1)"), F.lit(f',"pos":{pos_shift - 1}}}')).alias("line"))
-        head.unionByName(df.select(line.alias("line"))).coalesce(1).write.mode("overwrite").text(f"{src}/{name}")
-
-    write(I.stored_events(spark, d), "b1", 0)
-    write(I.incoming_events(spark, d), "b2", 1_000_000_000)
-    store = TableStore(spark, f"{base}/tables", buckets=16)
-    loader = LogLoader(spark, store, emit_states=False, clock=lambda: BATCHED_AT)
-    loader.run(f"{src}/*", checkpoint=f"{base}/ckpt", max_files_per_trigger=1)
-    return store.read("events").select("user_id", "event_id", "event_type", "value", "_sdc_sequence")
+    feed = _Feed(spark, "stream")
+    pos = F.col("event_id") * 10
+    feed.load(_keyed_log(spark, I.stored_events(spark, d), pos, -1))
+    feed.load(_keyed_log(spark, I.incoming_events(spark, d), pos + 1_000_000_000_000, 999_999_999_999))
+    return feed.store.read("events").select("user_id", "event_id", "event_type", "value", "_sdc_sequence")
+
+
+def stream_two_loads(spark, d):
+    """Two jobs with their own checkpoints load into one store; neither hides the other's batches."""
+    feed = _Feed(spark, "two")
+    pos = F.col("event_id") * 10
+    feed.load(_keyed_log(spark, I.stored_events(spark, d), pos, -1), job="a")
+    feed.load(_keyed_log(spark, I.incoming_events(spark, d), pos, -1), job="b")
+    return feed.store.read("events").select("user_id", "event_id", "_sdc_sequence")
+
+
+def stream_versions(spark, d):
+    """Version 1, then version 2 staged and activated, then rows of version 1 that come too late."""
+    feed = _Feed(spark, "versions")
+    ev, pos = I.table(spark, d, "events"), F.col("event_id") * 10
+    shift = 1_000_000_000_000
+    activate = spark.range(1).select(F.lit(2 * shift).cast("bigint").alias("pos"),
+                                     F.lit('{"type":"ACTIVATE_VERSION","stream":"events","version":2}').alias("line"))
+    feed.load(_keyed_log(spark, ev, pos, -1, version=F.lit(1)))
+    feed.load(_keyed_log(spark, ev.filter("event_type <> 'view'"), pos + shift, shift - 1, version=F.lit(2)).unionByName(activate))
+    feed.load(_keyed_log(spark, ev.filter("event_type = 'view'"), pos + 3 * shift, 3 * shift - 1, version=F.lit(1)))
+    return feed.store.read("events").select("user_id", "event_id", "event_type", "_sdc_table_version")
+
+
+def stream_schema_repeats(spark, d):
+    """The same SCHEMA again and again cuts nothing; a wider one cuts its batch in two.  Rows per commit."""
+    feed = _Feed(spark, "repeats")
+    ev, pos = I.table(spark, d, "events"), F.col("event_id") * 10
+    again = [spark.range(1).select(F.lit(p).cast("bigint").alias("pos"), I.schema_line("events", schema, ["user_id"]).alias("line"))
+             for p, schema in ((1005, S.EVENTS_KEYED), (2005, S.EVENTS_KEYED), (3005, S.EVENTS_WIDER), (4005, S.EVENTS_WIDER))]
+    log = _keyed_log(spark, ev, pos, -1)
+    for line in again:
+        log = log.unionByName(line)
+    feed.load(log)
+    return feed.commits(["events"]).select("segment", "first_pos", "last_pos", F.col("n").alias("rows"))
+
+
+def validate_keywords(spark, d):
+    """Every rule of a schema with all keywords, on order documents."""
+    recs = stream_records(I.order_log(spark, d), "orders")
+    v = checks.validate(recs, S.ORDER_RULES)
+    return v.select(F.expr("try_variant_get(record, '$.o_orderkey', 'bigint')").alias("o_orderkey"),
+                    (F.size(checks.REASONS) == 0).alias("is_valid"))
 
 
 QUERIES = {
@@ -525,4 +708,15 @@ QUERIES = {
     "safe_bookmarks": safe_bookmarks,
     "bookmark_changes": bookmark_changes,
     "stream_upsert": stream_upsert,
+    "scan_stored": scan_stored,
+    "lookup_keys": lookup_keys,
+    "split_stored": split_stored,
+    "upsert_odd_keys": upsert_odd_keys,
+    "unplaced_values": unplaced_values,
+    "upsert_children_hot": upsert_children_hot,
+    "load_metrics": load_metrics,
+    "stream_two_loads": stream_two_loads,
+    "stream_versions": stream_versions,
+    "stream_schema_repeats": stream_schema_repeats,
+    "validate_keywords": validate_keywords,
 }

@@ -114,3 +114,33 @@ DOCUMENT_TEXTS = {
         "labels": {"type": ["object", "null"], "properties": {"quality": INT, "toxic": INT}},
     },
 }
+
+EVENTS_WIDER = {"type": "object", "properties": {**EVENTS_KEYED["properties"], "note": nullable(STR)}}
+
+ORDERS_TOTAL = {"type": "object", "properties": {"o_orderkey": INT, "o_orderstatus": STR, "o_totalprice": NUM}}
+
+ODD_KEYS = {"type": "object", "properties": {
+    "ID": INT, "account-id": STR, "Name": STR, "Words": {"type": "array", "items": STR}}}
+
+# Rules of validate_keywords: every kind of keyword on order documents.
+ORDER_RULES = {
+    "type": "object",
+    "required": ["o_orderkey", "customer"],
+    "minProperties": 2,
+    "maxProperties": 6,
+    "additionalProperties": False,
+    "patternProperties": {"^o_": {}},
+    "properties": {
+        "o_orderkey": {"type": "integer", "minimum": 0, "exclusiveMinimum": True},
+        "o_totalprice": {"allOf": [{"type": "number"}, {"maximum": 400000}], "not": {"maximum": 1500}},
+        "customer": {
+            "type": "object",
+            "dependencies": {"c_name": ["c_mktsegment"]},
+            "properties": {"c_name": {"type": "string", "minLength": 5, "pattern": "[0-8]$"},
+                           "c_mktsegment": {"oneOf": [{"enum": ["BUILDING", "MACHINERY"]}, {"enum": ["HOUSEHOLD", "BUILDING"]},
+                                                      {"enum": ["AUTOMOBILE"]}]},
+                           "c_nationkey": {"anyOf": [{"maximum": 15}, {"multipleOf": 2}]}},
+        },
+        "lines": {"type": "array", "minItems": 1, "maxItems": 8, "uniqueItems": True},
+    },
+}

@@ -5,7 +5,7 @@
 | ``invalid_records_detect`` / ``invalid_records_threshold`` | ``LogLoader`` thresholds (P2) |
 | ``persist_empty_tables`` | ``TableStore(persist_empty=...)`` (E10) |
 | ``max_buffer_size`` | ``maxBytesPerTrigger`` of the file stream (T1) |
-| ``max_batch_rows`` | kept as ``max_files_per_trigger`` hint: file sources bound batches by files/bytes |
+| ``max_batch_rows`` | refused: file sources bound batches by files and bytes (T1) |
 | ``batch_detection_threshold`` | not needed: Spark triggers decide batch ends |
 | ``state_support`` | ``LogLoader(emit_states=...)`` (T4) |
 | ``add_upsert_indexes`` | always on: key-hash bucket layout (K5) |
@@ -25,7 +25,7 @@ from .streaming.job import LogLoader
 
 DEFAULTS = {
     "invalid_records_detect": True, "invalid_records_threshold": 0, "persist_empty_tables": False,
-    "max_batch_rows": 200_000, "max_buffer_size": 104_857_600, "state_support": True,
+    "max_buffer_size": 104_857_600, "state_support": True,
     "postgres_schema": "public", "logging_level": None,
 }
 
@@ -43,6 +43,8 @@ def jdbc_url(config: dict) -> str | None:
 def loader_from_config(spark: SparkSession, config: dict, base: str, buckets: int = 64,
                        bookmark_path: str | None = None) -> tuple[LogLoader, dict]:
     """``(loader, run_options)``; call ``loader.run(path, **run_options)``."""
+    if config.get("max_batch_rows") is not None:
+        raise ValueError("max_batch_rows is not supported: bound batches by max_buffer_size (bytes)")
     c = {**DEFAULTS, **{k: v for k, v in config.items() if v is not None}}
     if c.get("logging_level"):
         spark.sparkContext.setLogLevel(str(c["logging_level"]).upper())

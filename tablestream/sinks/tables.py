@@ -15,6 +15,8 @@ Layout on shared storage::
   column split rewrites nothing.
 * A read for given keys reads only their buckets: partition pruning by literals, or dynamic pruning
   from a table of keys.
+* A row with a value that fits no column is set aside in the same write (bucket -1, with the paths and
+  the record's position); with its root row set aside, a record's children are not visible either.
 * Versions: a batch for a newer version is staged apart while the current one stays visible;
   activation makes the staged commits current; a batch older than the current version is ignored.
 """
@@ -30,13 +32,20 @@ from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..operators.evolve import project
-from ..operators.flatten import apply_schema
+from ..operators.flatten import UNPLACED, apply_schema
 from ..plans.evolve import Layout, check_keys, evolve, key_columns
 from ..plans.naming import table_name, validate_identifier
 from ..plans.tables import SEQUENCE, SOURCE_KEY_PREFIX, TablePlan
 
 BUCKET = "_bucket"
 COMMIT = merge.COMMIT
+FIRST, LAST, TIMES = "__first_pos", "__last_pos", "__records"   # of a key in a batch
+ASIDE = -1              # bucket of the rows set aside
+ASIDE_POS = "_pos"      # position of the record a row set aside came from
+
+
+class UnplacedValues(ValueError):
+    """Values of a batch fit no column (P9) and the store was asked to refuse them; nothing was published."""
 
 
 class NotNullViolation(ValueError):
@@ -140,9 +149,9 @@ class StoredTable:
 
 class TableStore:
     def __init__(self, spark: SparkSession, base: str, buckets: int = 64, children: str = "sync",
-                 persist_empty: bool = False):
+                 persist_empty: bool = False, refuse_unplaced: bool = False):
         self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
-        self.children, self.persist_empty = children, persist_empty
+        self.children, self.persist_empty, self.refuse_unplaced = children, persist_empty, refuse_unplaced
         self.fs = _Fs(spark)
 
     # --------------------------------------------------------------- pointer
@@ -200,7 +209,7 @@ class TableStore:
             if not paths:
                 continue
             df = self.spark.read.schema(f"{layout.ddl()}, `{COMMIT}` string, `{BUCKET}` int") \
-                .option("basePath", base).parquet(*paths)
+                .option("basePath", base).parquet(*paths).filter(F.col(BUCKET) > ASIDE)
             for later, changes in zip(st.layouts[i + 1:], st.changes[i + 1:]):
                 df = project(df, later, [tuple(c) for c in changes], extra=marks)
             parts.append(only(df) if only is not None else df)
@@ -280,8 +289,25 @@ class TableStore:
                 return self._appended(stream, name, StoredTable.from_json(t)).isEmpty()
         return True
 
+    def unplaced(self, stream: str, path: tuple | None = None) -> DataFrame:
+        """Rows of a table that were set aside: key columns, the record's position, and the ``paths``
+        whose values fit no column.  Reads their partition only."""
+        path = tuple(path or (stream,))
+        ptr = self.pointer(stream)
+        name, st = next((n, StoredTable.from_json(t)) for n, t in ptr["tables"].items()
+                        if tuple(t["layouts"][-1]["path"]) == path)
+        keys = key_columns(st.layout)
+        types = {n: t for n, t, _ in st.layout.columns()}
+        schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"`{UNPLACED}` array<string>, `{ASIDE_POS}` bigint, "
+                                                                  f"`{COMMIT}` string, `{BUCKET}` int"])
+        parts = [self.spark.read.schema(schema).option("basePath", self._dir(stream, name, i))
+                 .parquet(f"{self._dir(stream, name, i)}/{COMMIT}={tag}") for tag, i, _ in st.commits]
+        rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
+        return rows.filter(F.col(BUCKET) == ASIDE).select(*keys, F.col(ASIDE_POS).alias("pos"), F.col(UNPLACED).alias("paths"))
+
     def commit_log(self, stream: str) -> list[dict]:
-        """A1: what each commit stored, in order: load, batch, segment, version, rows per table, positions."""
+        """A1: what each commit stored, in order: load, batch, segment, version, positions
+        (of all its records), records, rows per table, rows set aside."""
         last = self.pointer(stream)["seq"]
         folder = f"{self.base}/{stream}/_commits"
         numbers = sorted(int(n[:-5]) for n in self.fs.listdir(folder) if n.endswith(".json") and n[:-5].isdigit())
@@ -311,8 +337,6 @@ class TableStore:
         if version is not None and current is None and not ptr["tables"]:
             current = version
         target = ptr["staged"].setdefault(str(version), {}) if staging else ptr["tables"]
-        if records.isEmpty() and not self.persist_empty:
-            return {"skipped": "empty batch"}
 
         states = {name: StoredTable.from_json(t) for name, t in target.items()}
         names = {st.layout.path: name for name, st in states.items()}
@@ -331,22 +355,25 @@ class TableStore:
         pos = "pos" if "pos" in records.columns else None   # breaks sequence ties
         newest = newest_records(records, plans[0], layouts[plans[0].path], pos).persist()
         tag = f"{ptr['seq'] + 1:012d}-{uuid.uuid4().hex[:8]}"
-        counts = {}
+        counts, aside = {}, 0
         try:
-            tables = apply_schema(newest, plans, layouts)
+            span = newest.agg(F.min(FIRST), F.max(LAST), F.sum(TIMES)).first()
+            if not span[2] and not self.persist_empty:
+                return {"skipped": "empty batch"}
+            keep = (pos,) if pos else ()
+            tables = apply_schema(newest, plans, layouts, with_unplaced=True, keep=keep)
             for plan in plans:
                 name, layout = names[plan.path], layouts[plan.path]
                 keys = key_columns(layout)
                 rows = tables[plan.path]
                 if not plan.is_root and self.children == "legacy":
                     levels = [_column(layout, c) for c in plan.level_columns()]
-                    rows = apply_schema(records, plans, layouts, keep=(pos,) if pos else ())[plan.path]
+                    rows = apply_schema(records, plans, layouts, with_unplaced=True, keep=keep)[plan.path]
                     rows = merge.latest_per_key(rows, keys + levels, _column(layout, SEQUENCE), pos)
-                    rows = rows.drop(pos) if pos else rows
                 at = f"{self._dir(stream, name, len(states[name].layouts) - 1)}/{COMMIT}={tag}"
-                counts[name] = self._append(rows, layout, keys, buckets, at)
+                counts[name], n = self._append(rows, layout, keys, buckets, at, pos)
+                aside += n
                 states[name].commits.append((tag, len(states[name].layouts) - 1, counts[name]))
-            span = newest.agg(F.min(pos), F.max(pos)).first() if pos else (None, None)
         finally:
             newest.unpersist()
         target.update({name: st.to_json() for name, st in states.items()})
@@ -355,27 +382,39 @@ class TableStore:
         commits[load] = [batch_id, segment]
         self.fs.write_atomic(f"{self.base}/{stream}/_commits/{ptr['seq'] + 1:012d}.json", json.dumps(
             {"stream": stream, "load": load, "batch": batch_id, "segment": segment, "version": version,
-             "first_pos": span[0], "last_pos": span[1], "rows": counts}))
+             "first_pos": span[0], "last_pos": span[1], "records": span[2] or 0, "rows": counts, "unplaced": aside}))
         self._publish(stream, ptr)
-        return {**changed, "_rows": counts}
+        return {**changed, "_rows": counts, "_unplaced": aside}
 
-    @staticmethod
-    def _append(rows: DataFrame, layout: Layout, keys: list[str], buckets: int, at: str) -> int:
-        """Write one table of a commit; rows written.  NULL in a NOT NULL column is an error (P16): the
-        new directory is then never published."""
+    def _append(self, rows: DataFrame, layout: Layout, keys: list[str], buckets: int, at: str,
+                pos: str | None = None) -> tuple[int, int]:
+        """Write one table of a commit; rows stored and rows set aside.  NULL in a NOT NULL column is an
+        error (P16): the new directory is then never published."""
         required = [n for n, _, nullable in layout.columns() if not nullable]
         any_null = reduce(lambda a, b: a | b, [F.col(f"`{n}`").isNull() for n in required], F.lit(False))
+        unfit = F.size(UNPLACED) > 0 if UNPLACED in rows.columns else F.lit(False)
+        if UNPLACED in rows.columns:
+            where = F.when(unfit, F.col(pos)) if pos else F.lit(None)
+            rows = rows.select(*[F.col(f"`{n}`") for n, _, _ in layout.columns()], where.cast("bigint").alias(ASIDE_POS),
+                               F.when(unfit, F.col(UNPLACED)).alias(UNPLACED),
+                               F.when(unfit, ASIDE).otherwise(self._bucket_col(keys, buckets)).alias(BUCKET))
+            unfit = F.col(BUCKET) == ASIDE
+        else:
+            rows = rows.withColumn(BUCKET, self._bucket_col(keys, buckets))
         seen = Observation()
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"),
-                            F.count(F.when(any_null, 1)).alias("null_violations"))
+        rows = rows.observe(seen, F.count(F.when(~unfit, 1)).alias("rows"), F.count(F.when(unfit, 1)).alias("unplaced"),
+                            F.count(F.when(any_null & ~unfit, 1)).alias("null_violations"))
         # sorting inside each task gives one open file at a time and moves no row
-        (rows.withColumn(BUCKET, TableStore._bucket_col(keys, buckets)).sortWithinPartitions(BUCKET, *[f"`{k}`" for k in keys])
+        (rows.sortWithinPartitions(BUCKET, *[f"`{k}`" for k in keys])
              .write.mode("overwrite").partitionBy(BUCKET).parquet(at))
         got = seen.get
         if got.get("null_violations"):
             raise NotNullViolation(f"{got['null_violations']} row(s) of {layout.name} hold NULL in a NOT NULL "
                                    f"column ({', '.join(required)}); the batch is not published")
-        return got.get("rows", 0)
+        if got.get("unplaced") and self.refuse_unplaced:
+            raise UnplacedValues(f"{got['unplaced']} row(s) of {layout.name} hold a value that fits no column; "
+                                 f"the batch is not published")
+        return got.get("rows", 0), got.get("unplaced", 0)
 
     def compact(self, stream: str) -> None:
         """Write every current table's resolved rows as one commit in today's layout, so that reads have
@@ -386,7 +425,7 @@ class TableStore:
         for name, t in ptr["tables"].items():
             st = StoredTable.from_json(t)
             rows = self._resolved(stream, ptr["tables"], ptr["buckets"], st.layout.path)
-            n = self._append(rows, st.layout, key_columns(st.layout), ptr["buckets"],
+            n, _ = self._append(rows, st.layout, key_columns(st.layout), ptr["buckets"],
                              f"{self._dir(stream, name, len(st.layouts) - 1)}/{COMMIT}={tag}")
             new[name] = StoredTable(st.layouts, st.changes, [(tag, len(st.layouts) - 1, n)]).to_json()
         ptr["tables"] = new
@@ -433,11 +472,14 @@ def _level_names(layout: Layout) -> list[str]:
 
 def newest_records(records: DataFrame, root: TablePlan, layout: Layout, pos: str | None) -> DataFrame:
     """W1 on whole records: per key the one with the highest sequence (ties: the later position).  Root
-    row and children are then flattened from the record that won, so children need no join."""
+    row and children are then flattened from the record that won, so children need no join.  The
+    positions and number of all records of the key come along."""
     row = "__row"
     packed = records.select("*", F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias(row))
     keys = key_columns(layout)
     typed = apply_schema(packed, [root], {root.path: layout}, keep=(row,))[root.path]
+    at = F.col(f"{row}.{pos}") if pos else F.lit(None).cast("bigint")
     best = typed.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.max_by(row, merge.newer_first(F.col(_column(layout, SEQUENCE)), F.col(f"{row}.{pos}") if pos else None)).alias(row))
-    return best.select(f"{row}.*")
+        F.max_by(row, merge.newer_first(F.col(_column(layout, SEQUENCE)), at if pos else None)).alias(row),
+        F.min(at).alias(FIRST), F.max(at).alias(LAST), F.count(F.lit(1)).alias(TIMES))
+    return best.select(f"{row}.*", FIRST, LAST, TIMES)

@@ -1,15 +1,10 @@
 """Safe bookmarks.
 
-A STATE may be released once every record before it is stored.  Each STATE
-gets a *watermark* = number of records seen before it.  After a flush, the
-safe threshold is the minimum, over streams that have had records, of the
-counter of each stream's last flushed record; the newest queued STATE with
-watermark <= threshold is released, and only if its value changed (T3).
-
-The batch form below answers this for a whole log at once with bucketed
-running counts and as-of lookups (no per-stream window, no driver loop).
-Flushes happen per stream every ``flush_rows`` of its records, as the
-reference's row limit does.
+A STATE may be released once every record before it is stored.  What is stored is known from the
+commits of the loader, one small row each with the positions it covers: after a commit, a STATE is safe
+if it stands before the first record of every commit still to come (:func:`safe_bookmarks`).  The loader
+itself releases the newest STATE before the first record that is not stored
+(:func:`newest_safe_state`), and only if its value changed (T3).
 """
 
 from __future__ import annotations
@@ -17,55 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-from ..operators.asof import DEFAULT_BUCKET, asof_last, previous_value, running_count, running_max
-
-
-def record_counters(records: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
-    """``pos, stream, counter`` (global 1-based) and ``srow`` (per stream)."""
-    r = records.select("pos", "stream")
-    r = running_count(r, by=[], pos="pos", out="counter", bucket=bucket)
-    return running_count(r, by=["stream"], pos="pos", out="srow", bucket=bucket)
-
-
-def state_watermarks(states: DataFrame, counters: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
-    """``pos, value, watermark``: records seen before each STATE."""
-    marks = counters.select("pos", "counter")
-    got = asof_last(states, marks, by=[], pos="pos", value="counter", out="watermark", bucket=bucket)
-    return got.withColumn("watermark", F.coalesce("watermark", F.lit(0).cast("bigint")))
+from ..operators.asof import DEFAULT_BUCKET, asof_last, previous_value, running_max
 
 
-def safe_bookmarks(records: DataFrame, states: DataFrame, streams: list[str], flush_rows: int,
-                   bucket: int = DEFAULT_BUCKET) -> DataFrame:
-    """At every flush: ``flush_counter, stream, threshold, state_pos``.
+def safe_bookmarks(commits: DataFrame, states: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
+    """A3: after each commit, ``n, stream, threshold, state_pos``.
 
-    ``streams`` is the (small) list of stream names, as known from their
-    SCHEMA messages.  ``state_pos`` is the newest STATE safe at that flush
-    (NULL if none).
+    ``commits`` has ``n`` (their order over all streams, from 1), ``stream`` and ``first_pos``.
+    ``threshold`` is the lowest first position of the commits after it (NULL after the last);
+    ``state_pos`` is the newest STATE below it (NULL if none).
     """
-    # The counters (four narrow columns per record) feed several lookups:
-    # write them once to the shared checkpoint folder instead of re-deriving
-    # them from the log for each.
-    checkpoint_dir(records.sparkSession)
-    cnt = record_counters(records, bucket).checkpoint(eager=True)
-    flushes = cnt.filter(F.col("srow") % flush_rows == 0).select("stream", F.col("counter").alias("c"))
-    # first-record counter of each stream: one small row per stream
-    first = {r["stream"]: r["first"] for r in
-             cnt.groupBy("stream").agg(F.min("counter").alias("first")).collect()}
-    # last flush of stream s at or before counter c = running max of
-    # when(stream = s, c) in counter order: one bucketed pass for all streams
-    lasts = [f"__l{i}" for i in range(len(streams))]
-    rows = flushes.select("stream", "c", *[F.when(F.col("stream") == s, F.col("c")).alias(lasts[i])
-                                           for i, s in enumerate(streams)])
-    rows = running_max(rows, by=[], pos="c", cols=lasts, bucket=bucket)
-    seen = [F.when(F.lit(first[s]) <= F.col("c"), F.coalesce(F.col(lasts[i]), F.lit(0)))
-            for i, s in enumerate(streams) if s in first]
-    rows = rows.withColumn("threshold", (F.least(*seen) if len(seen) > 1 else seen[0]).cast("bigint"))
-    wm = state_watermarks(states.select("pos"), cnt, bucket) \
-        .select(F.col("watermark").alias("threshold"), F.col("pos").alias("spos"))
-    out = asof_last(rows.select("c", "stream", "threshold"), wm, by=[], pos="threshold", value="spos",
-                    out="state_pos", bucket=bucket, strict=False)
-    return out.select(F.col("c").alias("flush_counter"), "stream", "threshold", "state_pos")
+    # the lowest first position of later commits = a running maximum, read backwards, of the negated one
+    back = commits.filter(F.col("n") > 1).select((-F.col("n") + 1).alias("at"), (-F.col("first_pos")).alias("neg"))
+    lowest = running_max(back, by=[], pos="at", cols=["neg"], bucket=bucket)
+    rows = commits.join(lowest.select((-F.col("at")).alias("n"), (-F.col("neg")).alias("threshold")), "n", "left")
+    end = F.lit((1 << 63) - 1)   # nothing waits: every STATE is below
+    rows = rows.withColumn("__below", F.coalesce("threshold", end))
+    marks = states.select(F.col("pos").alias("__below"), F.col("pos").alias("__state"))
+    out = asof_last(rows, marks, by=[], pos="__below", value="__state", out="state_pos", bucket=bucket)
+    return out.select("n", "stream", "threshold", "state_pos")
 
 
 def bookmark_changes(states: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
@@ -75,11 +40,11 @@ def bookmark_changes(states: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFra
     return prev.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("value"))).drop("__prev")
 
 
-def newest_safe_state(states: DataFrame, committed_pos: int | None) -> DataFrame:
-    """Stream form: after a micro-batch commits every record up to ``committed_pos``
-    (``None``: the whole batch), the newest STATE at or before it (one row at most)."""
-    if committed_pos is not None:
-        states = states.filter(F.col("pos") <= committed_pos)
+def newest_safe_state(states: DataFrame, waiting: int | None) -> DataFrame:
+    """The newest STATE before the position ``waiting`` of the first record that is not stored (``None``:
+    everything is stored); one row at most."""
+    if waiting is not None:
+        states = states.filter(F.col("pos") < waiting)
     return (states
             .agg(F.max_by(F.to_json("value"), "pos").alias("value"), F.max("pos").alias("pos"))
             .filter(F.col("pos").isNotNull()))

@@ -9,8 +9,9 @@ an activation after the flush, T5).
 Per stream and segment: version filter, stamp, validate (invalid records to
 a quarantine), and upsert every table through the
 :class:`~tablestream.sinks.tables.TableStore`; independent streams may be
-written from several driver threads.  The newest STATE of the batch is
-released once the batch is durable.
+written from several driver threads.  Once the batch is durable its newest
+STATE is released; where a stream fails, the newest STATE before the first
+record that is not stored.
 
 Batch size is bounded by ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``;
 ``availableNow`` drains what is there and stops.  The store knows a commit by
@@ -57,7 +58,7 @@ class LogLoader:
                  before_sql: list[str] | str | None = None, after_sql: list[str] | str | None = None,
                  target: Callable[[str, dict], None] | None = None,  # (stream, {path: DataFrame})
                  clock: Callable[[], dt.datetime] | None = None, quarantine: bool = True,
-                 parallel_streams: int = 1):
+                 parallel_streams: int = 1, job: str = "default"):
         self.spark, self.store = spark, store
         self.invalid_detect, self.invalid_threshold = invalid_detect, invalid_threshold
         self.emit_states, self.bookmark_path = emit_states, bookmark_path
@@ -69,8 +70,9 @@ class LogLoader:
         if store is None and target is None:
             raise ValueError("give a TableStore, a target callback, or both")
         self.fs = _Fs(spark)
-        self.base = store.base if store is not None else f"{session.checkpoint_dir(spark)}/loader-meta"
-        self.last_state: str | None = None
+        # without a store, schemas and versions lie in a folder of the job
+        self.base = store.base if store is not None else f"{session.checkpoint_dir(spark)}/loader-meta/{job}"
+        self.last_state: str | None = self._released()
         self._invalid: dict[str, dict[tuple[int, int], int]] = {}   # stream -> commit -> invalid records
 
     # ----------------------------------------------------------- schemas
@@ -111,35 +113,50 @@ class LogLoader:
             if bad:
                 raise M.MessageError(f"bad message at pos {bad[0]['pos']}: {bad[0]['bad_reason']}")
             records = routed["records"]
-            # one small job: per stream, whether it has versions
-            versioned = {r["stream"]: r["v"] for r in records.groupBy("stream").agg(
-                F.max("version").isNotNull().alias("v")).collect()}
+            # one small job: per stream, whether it has versions (P4), and its first position
+            seen = {r["stream"]: r for r in records.groupBy("stream").agg(
+                F.max("version").isNotNull().alias("versioned"), F.min("pos").alias("first")).collect()}
             control: dict[str, list] = {}
             for c in ctrl:
                 control.setdefault(c["stream"], []).append(c)
-            orphans = sorted(s for s in versioned if self._schema(s) is None
+            orphans = sorted(s for s in seen if self._schema(s) is None
                              and not any(c["type"] == M.SCHEMA for c in control.get(s, [])))
             if orphans:
                 raise M.MessageError(f"RECORD before SCHEMA for stream(s) {orphans}")
             batched_at = self.clock()
-            self._run_streams([(s, records.filter(F.col("stream") == s) if s in versioned else None,
-                                versioned.get(s, False), control.get(s, []), batch_id, batched_at)
-                               for s in sorted({*versioned, *control})], parsed)
+            failed = self._run_streams({s: (records.filter(F.col("stream") == s) if s in seen else None,
+                                            s in seen and seen[s]["versioned"], control.get(s, []), batch_id, batched_at)
+                                        for s in sorted({*seen, *control})}, parsed)
             if self.emit_states:
-                self._emit_state(routed["states"], parsed)
+                waiting = [seen[s]["first"] for s in failed if s in seen]
+                self._emit_state(routed["states"], min(waiting, default=None))
+            for error in failed.values():
+                if error is not None:
+                    raise error
         finally:
             parsed.unpersist()
 
-    def _run_streams(self, jobs: list, parsed: DataFrame) -> None:
-        """Streams are independent tables: with ``parallel_streams > 1`` their
-        Spark jobs are submitted from several driver threads at once."""
+    def _run_streams(self, jobs: dict, parsed: DataFrame) -> dict[str, Exception | None]:
+        """Store the streams of a batch; those that are not stored, with the error or None if never tried.
+        Streams are independent tables: with ``parallel_streams > 1`` their Spark jobs are submitted from
+        several driver threads at once."""
+        failed: dict[str, Exception | None] = {}
         if self.parallel_streams == 1 or len(jobs) < 2:
-            for job in jobs:
-                self._run_stream(*job, parsed)
-            return
+            for stream, job in jobs.items():
+                if failed:
+                    failed[stream] = None
+                    continue
+                try:
+                    self._run_stream(stream, *job, parsed)
+                except Exception as error:  # raised by the caller once safe bookmarks are out
+                    failed[stream] = error
+            return failed
         with ThreadPoolExecutor(max_workers=self.parallel_streams) as pool:
-            for f in [pool.submit(self._run_stream, *job, parsed) for job in jobs]:
-                f.result()
+            running = {s: pool.submit(self._run_stream, s, *job, parsed) for s, job in jobs.items()}
+            for stream, f in running.items():
+                if f.exception() is not None:
+                    failed[stream] = f.exception()
+        return failed
 
     def _run_stream(self, stream: str, records: DataFrame | None, versioned: bool, control: list, batch_id: int,
                     batched_at: dt.datetime, parsed: DataFrame) -> None:
@@ -222,7 +239,7 @@ class LogLoader:
                 checks.refuse_invalid({stream: sum(seen.values())}, self.invalid_threshold)
             good, bad = checks.split_valid(checked)
             load = self._load()
-            if self.quarantine:
+            if self.quarantine and found:
                 # K2: invalid records are kept, with their reasons, per commit
                 (bad.select("pos", "stream", "line", checks.REASONS).write.mode("overwrite").parquet(
                     f"{self.base}/{stream}/_quarantine/load={load or 'direct'}/batch={batch_id}/segment={segment}"))
@@ -244,10 +261,16 @@ class LogLoader:
         first_bad = parsed.filter(F.col("bad_reason").isNotNull()).orderBy("pos").limit(1)
         return good.select(*cols).unionByName(first_bad.select(*cols)).orderBy("pos").collect()
 
-    def _emit_state(self, states: DataFrame, parsed: DataFrame) -> None:
-        # Every record of this batch (and of earlier ones) is stored now, so
-        # every STATE of the batch is safe: release the newest one.
-        row = newest_safe_state(states, None).collect()
+    def _released(self) -> str | None:
+        """The last value in the bookmark folder, so that a restart does not write it again."""
+        names = [n for n in self.fs.listdir(self.bookmark_path) if n.startswith("state-") and n.endswith(".json")] \
+            if self.bookmark_path else []
+        return self.fs.read(f"{self.bookmark_path}/{max(names)}") if names else None
+
+    def _emit_state(self, states: DataFrame, waiting: int | None) -> None:
+        """Release the newest STATE with every record before it stored.  Earlier batches are stored;
+        ``waiting`` is the first position of this one that is not (None: all is stored)."""
+        row = newest_safe_state(states, waiting).collect()
         if row and row[0]["value"] != self.last_state and self.bookmark_path:
             self.last_state = row[0]["value"]
             self.fs.write_atomic(f"{self.bookmark_path}/state-{self._batch:012d}-{row[0]['pos']:020d}.json",
@@ -266,7 +289,8 @@ class LogLoader:
         for sql in self.before_sql:   # K4: once per run, also when there is nothing to load
             self.spark.sql(sql)
         q = w.start()
-        q.awaitTermination(timeout)
-        for sql in self.after_sql:
-            self.spark.sql(sql)
+        ended = q.awaitTermination(timeout)
+        if ended is not False and q.exception() is None:   # K4: only once the query has ended well
+            for sql in self.after_sql:
+                self.spark.sql(sql)
         return q

@@ -120,17 +120,136 @@ def test_invalid_threshold_raises(spark, scratch):
 
 
 def test_safe_bookmarks_small(spark):
-    # stream a gets 4 records, b gets 2; flush every 2 rows of a stream
-    msgs = []
-    order = ["a", "b", "a", {"s": 1}, "a", "b", {"s": 2}, "a", {"s": 3}]
-    for x in order:
-        msgs.append(record_msg(x, {"id": 1}) if isinstance(x, str) else {"type": "STATE", "value": x})
-    r = M.route(M.parse(log_df(spark, msgs)))
-    got = rows(B.safe_bookmarks(r["records"], r["states"], ["a", "b"], flush_rows=2, bucket=3))
-    # flushes: a at counter 3, b at 5, a at 6; state watermarks: s1=3, s2=5, s3=6
-    assert got == [(3, "a", 0, None), (5, "b", 3, 30), (6, "a", 5, 60)]
-    changes = rows(B.bookmark_changes(r["states"]), "pos", "value")
-    assert len(changes) == 3
+    # three commits: a (from 0), b (from 10), a (from 40); STATEs after the third, the sixth and the last record
+    commits = spark.createDataFrame([(1, "a", 0), (2, "b", 10), (3, "a", 40)], "n long, stream string, first_pos long")
+    states = spark.createDataFrame([(25,), (60,), (80,)], "pos long")
+    got = rows(B.safe_bookmarks(commits, states, bucket=7))
+    assert got == [(1, "a", 10, None), (2, "b", 40, 25), (3, "a", None, 80)]
+    values = spark.sql("select pos, parse_json(v) as value from values (1L, '1'), (2L, '1'), (3L, '2') as t(pos, v)")
+    assert rows(B.bookmark_changes(values), "pos", "value") == [(1, "1"), (3, "2")]
+    assert B.newest_safe_state(values, 3).first()["pos"] == 2 and B.newest_safe_state(values, 1).isEmpty()
+
+
+def test_streams_that_flush_apart_release_what_is_safe(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    state = lambda n: {"type": "STATE", "value": {"n": n}}
+    lines = [_schema("s"), _schema("t"), _rec(1), state(1), {**_rec(2), "stream": "t"}, state(2), _rec(3), state(3)]
+    _lines(f"{scratch}/in/a.jsonl", *[dict(m, pos=i) for i, m in enumerate(lines)])
+    store = TableStore(spark, f"{scratch}/t", buckets=2)
+    write, broken = store.write_batch, []
+
+    def lost(stream, *a, **k):
+        if stream == "t" and not broken:
+            broken.append(stream)
+            raise RuntimeError("lost")
+        return write(stream, *a, **k)
+    store.write_batch = lost
+    make = lambda: LogLoader(spark, store, bookmark_path=f"{scratch}/marks")
+    with pytest.raises(Exception, match="lost"):
+        make().run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    marks = lambda: [json.load(open(f"{scratch}/marks/{n}"))["n"] for n in sorted(os.listdir(f"{scratch}/marks")) if n.endswith(".json") and n[0] != "."]
+    assert marks() == [1]           # the record of t at position 4 is not stored
+    make().run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert marks() == [1, 3] and store.read("t").count() == 1
+    _lines(f"{scratch}/in/b.jsonl", dict(state(3), pos=20))
+    make().run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert marks() == [1, 3]        # the same value is not written again after a restart
+
+
+def test_a_batch_reads_no_stored_file(spark, scratch):
+    import shutil
+    store = TableStore(spark, f"{scratch}/t", buckets=4)
+    plans, first = _plain_batch(spark, range(20))
+    store.write_batch("s", plans, first, 0)
+    shutil.move(f"{scratch}/t/s/data", f"{scratch}/away")     # stored files are out of reach
+    store.write_batch("s", plans, _plain_batch(spark, range(10, 30))[1], 1)
+    shutil.move(f"{scratch}/t/s/data/s/layout=0/{os.listdir(f'{scratch}/t/s/data/s/layout=0')[0]}", f"{scratch}/away/s/layout=0")
+    shutil.rmtree(f"{scratch}/t/s/data")
+    shutil.move(f"{scratch}/away", f"{scratch}/t/s/data")
+    assert _ids(store) == list(range(30))
+    assert [c["records"] for c in store.commit_log("s")] == [20, 20]
+
+
+def test_reads_for_keys_prune_buckets(spark, scratch):
+    store = TableStore(spark, f"{scratch}/t", buckets=8)
+    store.write_batch("s", *_plain_batch(spark, range(200)), 0)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    few = store.read("s", keys=[5, 9, 1000], columns=["id"])
+    assert rows(few, "id") == [(5,), (9,)]
+    scan = [x for x in plan(few).split("\n") if "FileScan" in x]
+    assert scan and all("_bucket" in x.split("PartitionFilters: [")[1].split("PushedFilters")[0] and "In(id, [" in x for x in scan)
+    assert all("v#" not in x for x in scan)                      # unread columns stay unread
+    wanted = spark.createDataFrame([(7,), (None,), (11,)], "id int").filter("id > 6 or id is null")
+    some = store.read("s", keys=wanted)
+    assert rows(some, "id") == [(7,), (11,)]
+    assert "dynamicpruning" in plan(some)
+
+
+def test_resolve_follows_the_upsert_rules_commit_by_commit(spark):
+    import random
+
+    from tablestream.operators import merge
+    r = random.Random(3)
+    made = [(r.choice([1, 2, 3, None]), f"{c:03d}", r.choice([None, 1, 2, 3])) for c in range(60) for _ in range(2)]
+    made = list({(k, c): (k, c, s) for k, c, s in made}.values())
+    want, loose = {}, []
+    for k, c, s in sorted(made, key=lambda x: x[1]):
+        if k is None:
+            loose.append((k, c, s))
+        elif k not in want or (s is not None and want[k][2] is not None and s >= want[k][2]):
+            want[k] = (k, c, s)
+    df = spark.createDataFrame(made, "id long, _commit string, _sdc_sequence long")
+    got = sorted(map(tuple, merge.resolve(df, ["id"], null_keys=True).collect()), key=str)
+    assert got == sorted([*want.values(), *loose], key=str)
+
+
+def test_hot_parents_are_split(spark):
+    from pyspark.sql import functions as F
+
+    from tablestream.operators import merge
+    kids = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    parents = kids.select("k").distinct()
+    left, right = merge.split_hot(kids, parents, ["k"])
+    joined = left.join(right.hint("shuffle_merge"), ["k", merge.SALT], "left_semi")
+    sizes = sorted(r[0] for r in left.repartition(8, "k", merge.SALT).groupBy(F.spark_partition_id()).count().select("count").collect())
+    assert joined.count() == 30_000 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    assert kids.join(parents, "k", "left_anti").count() == left.join(right, ["k", merge.SALT], "left_anti").count() == 0
+
+
+def test_values_that_fit_no_column_are_set_aside_or_refused(spark, scratch):
+    from tablestream.sinks.tables import UnplacedValues
+    plans, _ = _plain_batch(spark, [0])
+    lines = [json.dumps({**_rec(i), "record": {"id": i, "v": 5 if i % 2 else "x"}}) for i in range(6)]
+    log = spark.createDataFrame(list(enumerate(lines)), "pos long, line string")
+    recs = stamp(M.route(M.parse(log))["records"], T0)
+    store = TableStore(spark, f"{scratch}/a", buckets=2)
+    assert store.write_batch("s", plans, recs, 0)["_unplaced"] == 3
+    assert _ids(store) == [0, 2, 4]
+    assert sorted(map(tuple, store.unplaced("s").collect())) == [(i, i, ["v"]) for i in (1, 3, 5)]
+    strict = TableStore(spark, f"{scratch}/b", buckets=2, refuse_unplaced=True)
+    with pytest.raises(UnplacedValues):
+        strict.write_batch("s", plans, recs, 0)
+    assert strict.table_names("s") == {}
+
+
+def test_target_hears_of_activations_and_jobs_do_not_share_schemas(spark, scratch):
+    class Target:
+        heard = []
+
+        def __call__(self, stream, tables):
+            self.heard.append((stream, tables[(stream,)].count()))
+
+        def activate_version(self, stream, version):
+            self.heard.append((stream, "version", version))
+    target = Target()
+    os.makedirs(f"{scratch}/in")
+    _lines(f"{scratch}/in/a.jsonl", _schema(), _rec(1, 4), {"type": "ACTIVATE_VERSION", "stream": "s", "version": 4})
+    LogLoader(spark, None, target=target, job=f"one-{scratch}").run(f"{scratch}/in", checkpoint=f"{scratch}/ck")
+    assert [h for h in target.heard if h != ("s", 0)] == [("s", 1), ("s", "version", 4)]
+    os.makedirs(f"{scratch}/in2")
+    _lines(f"{scratch}/in2/a.jsonl", _rec(2))          # no SCHEMA of this job's own
+    with pytest.raises(Exception, match="before SCHEMA"):
+        LogLoader(spark, None, target=target, job=f"two-{scratch}").run(f"{scratch}/in2", checkpoint=f"{scratch}/ck2")
 
 
 def test_pluggable_target_and_hooks(spark, scratch):
