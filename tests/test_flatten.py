@@ -1,112 +1,86 @@
-"""apply_schema / unnesting (P7-P15, G1-G7) on the reference's fixture shapes."""
+"""apply_schema / unnesting (P7-P15, G1-G7) on nested conversations, documents and orders."""
 
 import datetime as dt
 
-
-from tablestream.loader import tables_from_log
+from tablestream.loader import stream_records, tables_from_log
 from tablestream.operators.flatten import UNPLACED, apply_schema, default_layouts
+from tablestream.operators.stamp import stamp
 from tablestream.plans.tables import plan_tables
 
-from fixtures_schemas import CATS, MULTI_TYPE, NESTED, nested_record, DENEST_ONLY
 from helpers import log_df, record_msg, rows, schema_msg
+from samples import CONVERSATION, DEEP, DOCUMENT, MANY, ORDERS, document, order_rows
+
+
+def _tables(spark, stream, schema, keys, records):
+    msgs = [schema_msg(stream, schema, keys)] + [record_msg(stream, r, sequence=i) for i, r in enumerate(records)]
+    return tables_from_log(log_df(spark, msgs), stream)
 
 
-def test_nested_golden_counts(spark):
-    msgs = [schema_msg("root", NESTED, ["id"])] + [record_msg("root", nested_record(i), sequence=1) for i in range(10)]
-    tabs = tables_from_log(log_df(spark, msgs), "root")
-    counts = {p: df.count() for p, df in tabs.items()}
-    deep = ("root", "object_of_object_0", "object_of_object_1", "object_of_object_2", "array_scalar")
-    assert counts[("root",)] == 10
-    assert counts[("root", "array_scalar")] == 50
-    assert counts[deep] == 50
-    assert counts[("root", "array_of_array")] == 20
-    assert counts[("root", "array_of_array", "_sdc_value")] == 80
-    assert counts[("root", "array_of_array", "_sdc_value", "_sdc_value")] == 200
-    third = tabs[("root", "array_of_array", "_sdc_value", "_sdc_value")]
-    got = rows(third.filter("_sdc_source_key_id = 3"), "_sdc_level_0_id", "_sdc_level_1_id", "_sdc_level_2_id", "_sdc_value")
-    assert got[:4] == [(0, 0, 0, 1), (0, 0, 1, 2), (0, 0, 2, 3), (0, 1, 0, 4)]
-    assert (1, 3, 3, 100) in got and not any(r[:2] == (0, 3) for r in got)  # empty inner array: no rows
-    root = tabs[("root",)]
-    assert rows(root.filter("id < 2"), "id", "null", "nested_null__null") == [(0, 31415, 31415), (1, None, None)]
+def test_orders_of_the_driver_tables_keep_every_line(spark):
+    sent = order_rows(40)
+    tabs = _tables(spark, "orders", ORDERS, ["o_orderkey"], [
+        {"o_orderkey": k, "o_orderstatus": status, "lines": [{"l_partkey": int(p), "l_returnflag": f} for p, f in lines]}
+        for k, status, lines in sent])
+    assert rows(tabs[("orders",)], "o_orderkey", "o_orderstatus") == sorted((k, s) for k, s, _ in sent)
+    got = rows(tabs[("orders", "lines")], "_sdc_source_key_o_orderkey", "_sdc_level_0_id", "l_partkey", "l_returnflag")
+    assert got == sorted((k, i, int(p), f) for k, _, lines in sent for i, (p, f) in enumerate(lines))
 
 
-def test_denest_only_counts(spark):
-    recs = [{"a": {"b": []}}, {"a": {"b": [{"c": {"d": 1}}]}},
-            {"a": {"b": [{"c": {"d": 2, "e": [{"f": "x", "g": True}]}}, {"c": {"e": [{"f": "y"}]}}]}},
-            {"a": {"b": [{}, {}, {}]}}, {"a": {"b": [{"c": {"d": 4}}]}}]
-    msgs = [record_msg("x", r, sequence=i) for i, r in enumerate(recs)]
-    tabs = tables_from_log(log_df(spark, msgs), "x", DENEST_ONLY, [])
-    assert tabs[("x",)].count() == 5
-    assert tabs[("x", "a", "b")].count() == 7
-    assert tabs[("x", "a", "b", "c", "e")].count() == 2
+def test_lists_of_lists(spark):
+    tabs = _tables(spark, "docs", DOCUMENT, ["doc_id"], [document(i) for i in range(12)])
+    outer = [(i, k) for i in range(12) for k in range(i % 4)]
+    assert rows(tabs[("docs", "grid")], "_sdc_source_key_doc_id", "_sdc_level_0_id") == outer
+    inner = rows(tabs[("docs", "grid", "_sdc_value")], "_sdc_source_key_doc_id", "_sdc_level_0_id", "_sdc_level_1_id", "_sdc_value")
+    assert inner == [(i, k, j, j) for i, k in outer for j in range(k)]        # an empty list gives no row
+    assert rows(tabs[("docs", *DEEP)], "_sdc_source_key_doc_id", "_sdc_value") == [(i, h) for i in range(1, 12, 2) for h in "ab"]
+    assert rows(tabs[("docs",)], f"{DEEP[0]}__{DEEP[1]}__status") == [(200 + i,) for i in range(12)]
 
 
-def test_cats_defaults_types_and_children(spark):
-    cats = [
-        {"id": 1, "name": "a", "bio": "b", "adoption": {"adopted_on": "2019-01-01T00:00:00.123456+01:00",
-                                                        "was_foster": True,
-                                                        "immunizations": [{"type": "x"}, None, {"type": "y"}]}},
-        {"id": 2, "name": "NULL", "bio": "b", "paw_size": None, "pattern": "p", "age": 3, "adoption": None},
-        {"id": 3, "name": "c", "bio": "b", "flea_check_complete": True, "undeclared": 5},
-    ]
-    msgs = [schema_msg("cats", CATS, ["id"])] + [record_msg("cats", c, sequence=10 + i) for i, c in enumerate(cats)]
-    tabs = tables_from_log(log_df(spark, msgs), "cats")
-    root = {r["id"]: r for r in tabs[("cats",)].collect()}
-    assert root[1]["paw_size"] == 314159 and root[2]["paw_size"] == 314159      # missing and null -> default
-    assert root[1]["paw_colour"] == "" and root[3]["flea_check_complete"] is True
-    assert root[1]["flea_check_complete"] is False
-    assert root[2]["name"] is None                                              # 'NULL' literal
-    assert root[1]["adoption__adopted_on"] == dt.datetime(2018, 12, 31, 23, 0, 0, 123400)
-    assert root[2]["adoption__was_foster"] is None and root[1]["adoption__was_foster"] is True
-    assert "undeclared" not in tabs[("cats",)].columns
-    kids = tabs[("cats", "adoption", "immunizations")]
-    assert rows(kids, "_sdc_source_key_id", "_sdc_level_0_id", "type", "_sdc_sequence") == [
-        (1, 0, "x", 10), (1, 1, None, 10), (1, 2, "y", 10)]
+def test_defaults_nulls_dates_and_children(spark):
+    tabs = _tables(spark, "conv", CONVERSATION, ["conv_id"], [
+        {"conv_id": 1, "opened": "2021-03-04T05:06:07.654321-02:30",
+         "ended": {"at": "2021-03-05T00:00:00Z", "solved": True, "tags": ["late", "NULL"]},
+         "turns": [{"role": "user", "scores": [0.5, 2]}, None, {"role": None, "scores": []}, {}]},
+        {"conv_id": 2, "channel": None, "n_turns": 9, "opened": "2021-03-04T00:00:00Z", "ended": None, "turns": None, "extra": 1},
+        {"conv_id": 3, "channel": "NULL", "opened": "2021-03-04T00:00:00Z", "ended": {"tags": []}, "turns": []},
+    ])
+    root = {r["conv_id"]: r for r in tabs[("conv",)].collect()}
+    assert [root[i]["channel"] for i in (1, 2, 3)] == ["web", "web", None]      # missing, null, the literal NULL
+    assert [root[i]["n_turns"] for i in (1, 2, 3)] == [1, 9, 1]
+    assert root[1]["opened"] == dt.datetime(2021, 3, 4, 7, 36, 7, 654300)
+    assert [root[i]["ended__solved"] for i in (1, 2, 3)] == [True, None, None]
+    assert "extra" not in tabs[("conv",)].columns
+    assert rows(tabs[("conv", "ended", "tags")], "_sdc_source_key_conv_id", "_sdc_level_0_id", "_sdc_value") == [(1, 0, "late"), (1, 1, None)]
+    turns = rows(tabs[("conv", "turns")], "_sdc_source_key_conv_id", "_sdc_level_0_id", "role", "_sdc_sequence")
+    assert turns == [(1, 0, "user", 0), (1, 1, None, 0), (1, 2, None, 0), (1, 3, None, 0)]
+    assert rows(tabs[("conv", "turns", "scores")], "_sdc_level_0_id", "_sdc_level_1_id", "_sdc_value") == [(0, 0, 0.5), (0, 1, 2.0)]
 
 
-def test_multi_type_split_and_unplaced(spark):
-    vals = [None, 12, 12.0, 1.5, True, "2020-01-02T03:04:05Z", "not a date", [1, 2], {"i": 7, "f": 1.5, "b": False}]
-    msgs = [record_msg("root", {"every_type": v, "number_which_only_comes_as_integer": 5}, sequence=1)
-            for v in vals]
-    plans = plan_tables("root", MULTI_TYPE, [])
+def test_values_of_many_types_and_what_fits_nowhere(spark):
+    sent = [None, 41, 2.5, False, "2020-06-01T12:00:00+01:00", "soon", ["x", "y", "z"], {"b": "text", "n": 6}]
+    plans = plan_tables("many", MANY, [])
     layouts = default_layouts(plans)
-    from tablestream.loader import stream_records
-    from tablestream.operators.stamp import stamp
-    recs = stamp(stream_records(log_df(spark, msgs), "root"), dt.datetime(2024, 1, 1), keyless=True)
-    out = apply_schema(recs.orderBy("pos"), plans, layouts, with_unplaced=True)
-    r = out[("root",)].orderBy("_sdc_primary_key").collect()
-    got = list((x["every_type__i"], x["every_type__f"], x["every_type__b"], x["every_type__t"],
-                  x["every_type__i__1"], x[UNPLACED]) for x in r)
-    assert (12, None, None, None, None, []) in got
-    assert (None, 12.0, None, None, None, []) in got      # 12.0 is a number
-    assert (None, 1.5, None, None, None, []) in got
-    assert (None, None, True, None, None, []) in got
-    assert (None, None, None, dt.datetime(2020, 1, 2, 3, 4, 5), None, []) in got
-    assert (None, None, None, None, None, ["every_type"]) in got  # unparsable date, no string column
-    assert (None, None, None, None, 7, []) in got
-    assert all(x["number_which_only_comes_as_integer"] == 5.0 for x in r)
-    assert out[("root", "every_type")].count() == 2
+    log = log_df(spark, [record_msg("many", {"value": v, "price": 3}, sequence=1) for v in sent])
+    out = apply_schema(stamp(stream_records(log, "many"), dt.datetime(2024, 1, 1), keyless=True), plans, layouts,
+                       with_unplaced=True, keep=("pos",))
+    typed = sorted(m["to"] for m in layouts[("many",)].mappings if m["from"][0] == "value")
+    got = {r["pos"]: ({c: r[c] for c in typed if r[c] is not None}, r[UNPLACED]) for r in out[("many",)].collect()}
+    by_value = [got[p] for p in sorted(got)]
+    flag = next(c for c in typed if dict(out[("many",)].dtypes)[c] == "boolean")
+    text = next(c for c in typed if dict(out[("many",)].dtypes)[c] == "string")
+    assert by_value == [({}, []), ({"value__i": 41}, []), ({}, ["value"]), ({flag: False}, []),
+                        ({"value__t": dt.datetime(2020, 6, 1, 11)}, []), ({}, ["value"]), ({}, []),
+                        ({text: "text", "value__n": 6}, [])]
+    assert {r["price"] for r in out[("many",)].collect()} == {3.0}
+    assert rows(out[("many", "value")], "_sdc_value") == [("x",), ("y",), ("z",)]
 
 
-def test_real_tap_shapes_null_only_field_and_number_or_string(spark):
-    deals = {"type": ["object", "null"], "properties": {
-        "id": {"type": ["null", "integer"]},
-        "form_fields": {"type": "null"},
-        "properties": {"type": ["null", "object"], "properties": {
-            "num_contacted_notes": {"type": ["null", "object"], "properties": {
-                "value": {"type": ["null", "number", "string"]}}}}}}}
-    recs = [{}, {"id": 1}, {"properties": {}}, {"properties": {"num_contacted_notes": {}}},
-            {"properties": {"num_contacted_notes": {"value": 3}}},
-            {"properties": {"num_contacted_notes": {"value": 2.5}}},
-            {"properties": {"num_contacted_notes": {"value": "many"}}, "form_fields": None}]
-    msgs = [record_msg("deals", r, sequence=i) for i, r in enumerate(recs)]
-    root = tables_from_log(log_df(spark, msgs), "deals", deals, [])[("deals",)]
-    cols = set(root.columns)
-    assert "form_fields" not in cols
-    assert {"properties__num_contacted_notes__value__f", "properties__num_contacted_notes__value__s",
-            "_sdc_primary_key"} <= cols
-    got = {(r[0], r[1]) for r in root.select("properties__num_contacted_notes__value__f",
-                                             "properties__num_contacted_notes__value__s").collect()
-           if r[0] is not None or r[1] is not None}
-    assert got == {(None, "many"), (2.5, None), (3.0, None)}
-    assert root.select("_sdc_primary_key").distinct().count() == 7
+def test_fields_that_are_only_null_and_numbers_or_texts(spark):
+    pages = {"type": ["object", "null"], "properties": {
+        "page_id": {"type": ["null", "integer"]}, "frames": {"type": "null"},
+        "links": {"type": ["null", "object"], "properties": {"rank": {"type": ["null", "number", "string"]}}}}}
+    sent = [{}, {"page_id": 4}, {"links": {}}, {"links": {"rank": 8}}, {"links": {"rank": 0.25}}, {"links": {"rank": "top"}, "frames": None}]
+    root = _tables(spark, "pages", pages, [], sent)[("pages",)]
+    assert "frames" not in root.columns and root.select("_sdc_primary_key").distinct().count() == len(sent)
+    got = {(r[0], r[1]) for r in root.select("links__rank__f", "links__rank__s").collect()} - {(None, None)}
+    assert got == {(8.0, None), (0.25, None), (None, "top")}

@@ -4,7 +4,7 @@ from tablestream.loader import tables_from_log
 from tablestream.operators import merge, stamp
 from tablestream.sources import messages as M
 
-from fixtures_schemas import CATS, NESTED, nested_record
+from samples import DOCUMENT, ORDERS, document
 from helpers import log_df, record_msg, schema_msg
 
 
@@ -13,8 +13,8 @@ def _plan(df) -> str:
 
 
 def _log(spark):
-    msgs = [schema_msg("cats", CATS, ["id"])] + [record_msg("cats", {"id": i, "name": "n", "bio": "b"}, version=1)
-                                                 for i in range(20)]
+    msgs = [schema_msg("orders", ORDERS, ["o_orderkey"])] + [
+        record_msg("orders", {"o_orderkey": i, "o_orderstatus": "O"}, version=1) for i in range(20)]
     return log_df(spark, msgs)
 
 
@@ -30,9 +30,9 @@ def test_version_filter_does_not_join_or_shuffle_records(spark):
 
 
 def test_runtime_type_computed_once_per_leaf(spark):
-    msgs = [record_msg("root", nested_record(i)) for i in range(3)]
-    tabs = tables_from_log(log_df(spark, msgs), "root", NESTED, ["id"])
-    root = tabs[("root",)]
+    msgs = [record_msg("docs", document(i)) for i in range(3)]
+    tabs = tables_from_log(log_df(spark, msgs), "docs", DOCUMENT, ["doc_id"])
+    root = tabs[("docs",)]
     leaves = [c for c in root.columns if not c.startswith("_sdc_")]
     assert _plan(root).count("schemaOfVariant") == len(leaves)
 

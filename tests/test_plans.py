@@ -6,7 +6,7 @@ from tablestream.plans import jsonschema as js
 from tablestream.plans.evolve import LayoutError, check_keys, column_for, evolve
 from tablestream.plans.tables import plan_tables
 
-from fixtures_schemas import CATS, DENEST_ONLY, MULTI_TYPE, NESTED
+from samples import CONVERSATION, DEEP, DOCUMENT, MANY
 
 META = {"_sdc_received_at", "_sdc_batched_at", "_sdc_sequence", "_sdc_table_version"}
 
@@ -15,69 +15,53 @@ def _cols(layout):
     return {n: (t, nul) for n, t, nul in layout.columns()}
 
 
-def test_cats_root_and_child_columns():
-    plans = plan_tables("cats", CATS, ["id"])
-    assert [p.path for p in plans] == [("cats",), ("cats", "adoption", "immunizations")]
-    root = _cols(evolve(None, plans[0], "cats")[0])
-    not_null = {"id", "name", "bio", "paw_size", "paw_colour", "flea_check_complete"}
-    nullable = {"pattern", "age", "adoption__adopted_on", "adoption__was_foster"} | META
-    assert set(root) == not_null | nullable
-    assert all(not root[c][1] for c in not_null) and all(root[c][1] for c in nullable)
-    assert root["adoption__adopted_on"][0] == "timestamp"
-    child = _cols(evolve(None, plans[1], "cats__adoption__immunizations")[0])
-    assert set(child) == {"_sdc_source_key_id", "_sdc_level_0_id", "_sdc_sequence", "type", "date_administered"}
-    assert not child["_sdc_source_key_id"][1] and not child["_sdc_level_0_id"][1]
-    assert child["_sdc_sequence"][1] and child["type"][1] and child["date_administered"][1]
-
-
-def test_nested_tables_and_long_names():
-    plans = plan_tables("root", NESTED, ["id"])
-    paths = [p.path for p in plans]
-    assert ("root", "array_scalar") in paths
-    assert ("root", "array_of_array") in paths
-    assert ("root", "array_of_array", "_sdc_value") in paths
-    assert ("root", "array_of_array", "_sdc_value", "_sdc_value") in paths
-    deep = ("root", "object_of_object_0", "object_of_object_1", "object_of_object_2", "array_scalar")
-    assert deep in paths
-    from tablestream.operators.flatten import default_layouts
-    layouts = default_layouts(plans)
-    assert len(layouts[deep].name) == 63
-    root = _cols(layouts[("root",)])
-    assert "object_of_object_0__object_of_object_1__object_of_object_2__a" in root
-    assert "null" in root and "nested_null__null" in root
-    third = plans[paths.index(("root", "array_of_array", "_sdc_value", "_sdc_value"))]
-    assert third.level == 2 and third.level_columns()[-1] == "_sdc_level_2_id"
+def test_conversation_tables_and_nullability():
+    plans = plan_tables("conv", CONVERSATION, ["conv_id"])
+    assert [p.path for p in plans] == [("conv",), ("conv", "ended", "tags"), ("conv", "turns"), ("conv", "turns", "scores")]
+    root = _cols(evolve(None, plans[0], "conv")[0])
+    assert {c for c, (_, null) in root.items() if not null} == {"conv_id", "channel", "n_turns", "opened"}
+    assert {c for c, (_, null) in root.items() if null} == {"ended__at", "ended__solved"} | META   # in a nullable object
+    assert root["opened"][0] == root["ended__at"][0] == "timestamp"
+    tags, turns, scores = (_cols(evolve(None, p, "x")[0]) for p in plans[1:])
+    assert tags == {"_sdc_source_key_conv_id": ("bigint", False), "_sdc_sequence": ("bigint", True),
+                    "_sdc_level_0_id": ("bigint", False), "_sdc_value": ("string", False)}
+    assert turns["role"] == ("string", True) and "scores" not in turns
+    assert scores["_sdc_level_1_id"] == ("bigint", False) and scores["_sdc_value"] == ("double", False)
+    assert plans[3].arrays == [("turns",), ("scores",)] and plans[3].level == 1
 
 
-def test_denest_only_tree():
-    plans = plan_tables("x", DENEST_ONLY, [])
-    assert [p.path for p in plans] == [("x",), ("x", "a", "b"), ("x", "a", "b", "c", "e")]
-    assert plans[2].arrays == [("a", "b"), ("c", "e")]
-    assert set(plans[1].leaves) == {("c", "d")}
+def test_lists_of_lists_and_long_names():
+    from tablestream.operators.flatten import default_layouts
+    plans = plan_tables("docs", DOCUMENT, ["doc_id"])
+    assert [p.path for p in plans] == [("docs",), ("docs", "grid"), ("docs", "grid", "_sdc_value"), ("docs", *DEEP)]
+    assert plans[2].level_columns() == ["_sdc_level_0_id", "_sdc_level_1_id"]
+    layouts = default_layouts(plans)
+    whole = "__".join(("docs", *DEEP))
+    assert len(whole) > 63 and layouts[("docs", *DEEP)].name == whole[:63]
+    assert f"{DEEP[0]}__{DEEP[1]}__status" in _cols(layouts[("docs",)])
 
 
-def test_multi_type_columns():
-    plans = plan_tables("root", MULTI_TYPE, [])
-    layout = evolve(None, plans[0], "root")[0]
-    cols = _cols(layout)
-    for c in ("every_type__i", "every_type__f", "every_type__b", "every_type__t",
-              "every_type__i__1", "every_type__f__1", "every_type__b__1"):
-        assert c in cols and cols[c][1], c
-    assert cols["number_which_only_comes_as_integer"] == ("double", False)
-    assert "_sdc_primary_key" in cols
-    assert [p.path for p in plans][1] == ("root", "every_type")
+def test_columns_of_a_field_of_many_types():
+    plans = plan_tables("many", MANY, [])
+    cols = _cols(evolve(None, plans[0], "many")[0])
+    assert [p.path for p in plans] == [("many",), ("many", "value")]
+    typed = {c: t for c, (t, _) in cols.items() if c.startswith("value")}
+    # the object's own field b comes after the boolean column of that name, or before it
+    assert sorted(typed.values()) == ["bigint", "bigint", "boolean", "string", "timestamp"]
+    assert {"value__i", "value__t", "value__n", "value__b", "value__b__1"} == set(typed)
+    assert all(cols[c][1] for c in typed) and cols["price"] == ("double", False) and "_sdc_primary_key" in cols
 
 
-def _one(field_schema, name="cats"):
+def _one(field_schema, name="orders"):
     return plan_tables(name, {"type": "object", "properties": {"id": {"type": "integer"}, "name": field_schema}},
                        ["id"])[0]
 
 
 def test_stepwise_type_changes_split_then_add():
-    layout = evolve(None, _one({"type": "string"}), "cats")[0]
+    layout = evolve(None, _one({"type": "string"}), "orders")[0]
     names = []
     for t in ({"type": "string", "format": "date-time"}, {"type": "boolean"}, {"type": "integer"}):
-        layout, changes = evolve(layout, _one(t), "cats", table_empty=False)
+        layout, changes = evolve(layout, _one(t), "orders", table_empty=False)
         names.append(changes)
     cols = _cols(layout)
     assert {"name__s", "name__t", "name__b", "name__i"} <= set(cols)
@@ -87,44 +71,44 @@ def test_stepwise_type_changes_split_then_add():
 
 
 def test_new_column_on_non_empty_table_is_nullable_and_missing_field_relaxes():
-    layout = evolve(None, _one({"type": "string"}), "cats")[0]
-    plan = plan_tables("cats", {"type": "object", "properties": {
-        "id": {"type": "integer"}, "name": {"type": "string"}, "paw_toe_count": {"type": "integer", "default": 5}}},
+    layout = evolve(None, _one({"type": "string"}), "orders")[0]
+    plan = plan_tables("orders", {"type": "object", "properties": {
+        "id": {"type": "integer"}, "name": {"type": "string"}, "n_lines": {"type": "integer", "default": 2}}},
         ["id"])[0]
-    new, changes = evolve(layout, plan, "cats", table_empty=False)
-    assert _cols(new)["paw_toe_count"] == ("bigint", True)
-    assert ("add", "paw_toe_count") in changes
+    new, changes = evolve(layout, plan, "orders", table_empty=False)
+    assert _cols(new)["n_lines"] == ("bigint", True)
+    assert ("add", "n_lines") in changes
     assert _cols(new)["name"] == ("string", False)
-    relaxed, ch = evolve(new, _one({"type": ["null", "string"]}), "cats", table_empty=False)
+    relaxed, ch = evolve(new, _one({"type": ["null", "string"]}), "orders", table_empty=False)
     assert _cols(relaxed)["name"] == ("string", True) and ("relax", "name") in ch
-    gone = plan_tables("cats", {"type": "object", "properties": {"id": {"type": "integer"}}}, ["id"])[0]
-    again, _ = evolve(new, gone, "cats", table_empty=False)
+    gone = plan_tables("orders", {"type": "object", "properties": {"id": {"type": "integer"}}}, ["id"])[0]
+    again, _ = evolve(new, gone, "orders", table_empty=False)
     assert _cols(again)["name"][1] is True
     # relaxed stays relaxed
-    back, ch = evolve(relaxed, _one({"type": "string"}), "cats", table_empty=False)
+    back, ch = evolve(relaxed, _one({"type": "string"}), "orders", table_empty=False)
     assert _cols(back)["name"] == ("string", True) and ch == []
 
 
 def test_key_guards():
-    layout = evolve(None, _one({"type": "string"}), "cats")[0]
-    other_keys = plan_tables("cats", {"type": "object", "properties": {
+    layout = evolve(None, _one({"type": "string"}), "orders")[0]
+    other_keys = plan_tables("orders", {"type": "object", "properties": {
         "id": {"type": "integer"}, "name": {"type": "string"}}}, ["id", "name"])[0]
     with pytest.raises(LayoutError):
-        check_keys(layout, other_keys, evolve(layout, other_keys, "cats")[0])
-    str_key = plan_tables("cats", {"type": "object", "properties": {
+        check_keys(layout, other_keys, evolve(layout, other_keys, "orders")[0])
+    str_key = plan_tables("orders", {"type": "object", "properties": {
         "id": {"type": "string"}, "name": {"type": "string"}}}, ["id"])[0]
     with pytest.raises(LayoutError):
-        check_keys(layout, str_key, evolve(layout, str_key, "cats", table_empty=False)[0])
-    null_key = plan_tables("cats", {"type": "object", "properties": {
+        check_keys(layout, str_key, evolve(layout, str_key, "orders", table_empty=False)[0])
+    null_key = plan_tables("orders", {"type": "object", "properties": {
         "id": {"type": ["integer", "null"]}, "name": {"type": "string"}}}, ["id"])[0]
     with pytest.raises(LayoutError):
-        check_keys(layout, null_key, evolve(layout, null_key, "cats", table_empty=False)[0])
+        check_keys(layout, null_key, evolve(layout, null_key, "orders", table_empty=False)[0])
 
 
 def test_integer_falls_back_to_number_column():
-    layout = evolve(None, _one({"type": "number"}), "cats")[0]
+    layout = evolve(None, _one({"type": "number"}), "orders")[0]
     assert column_for(layout, ("name",), {"type": "integer"}) == "name"
-    layout = evolve(None, _one({"type": "integer"}), "cats")[0]
+    layout = evolve(None, _one({"type": "integer"}), "orders")[0]
     assert column_for(layout, ("name",), {"type": "number"}) is None
 
 

@@ -14,54 +14,57 @@ from tablestream.sources import messages as M
 from tablestream.streaming import bookmarks as B
 from tablestream.streaming.job import LogLoader
 
-from fixtures_schemas import CATS
+from samples import LINES, ORDERS
 from helpers import log_df, record_msg, rows, schema_msg
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
 
-def _cats(n, version=None, seq=1, start=0):
+def _orders(n, version=None, seq=1, start=0):
+    """Orders with ``key % 4`` lines each."""
     extra = {"version": version} if version is not None else {}
-    return [record_msg("cats", {"id": i, "name": f"c{i}", "bio": "b",
-                                "adoption": {"was_foster": True,
-                                             "immunizations": [{"type": "t"}] * (i % 3)}}, sequence=seq, **extra)
-            for i in range(start, start + n)]
+    return [record_msg("orders", {"o_orderkey": i, "o_orderstatus": "O", "lines": [{"l_partkey": k} for k in range(i % 4)]},
+                       sequence=seq, **extra) for i in range(start, start + n)]
+
+
+def _n_lines(n):
+    return sum(i % 4 for i in range(n))
 
 
 def _recs(spark, msgs):
-    return stamp(stream_records(log_df(spark, msgs), "cats"), T0)
+    return stamp(stream_records(log_df(spark, msgs), "orders"), T0)
 
 
 def test_versions_stage_skip_and_activate(spark, scratch):
     store = TableStore(spark, scratch, buckets=4)
-    plans = plan_tables("cats", CATS, ["id"])
-    store.write_batch("cats", plans, _recs(spark, _cats(110, version=1)), batch_id=0, version=1)
-    assert store.read("cats").count() == 110
-    assert store.read("cats", ("cats", "adoption", "immunizations")).count() == sum(i % 3 for i in range(110))
-    store.write_batch("cats", plans, _recs(spark, _cats(100, version=2)), batch_id=1, version=2)
-    assert store.read("cats").count() == 110            # staged, not visible
-    assert {p: df.count() for p, df in store.read_tables("cats").items()} == {
-        ("cats",): 110, ("cats", "adoption", "immunizations"): sum(i % 3 for i in range(110))}
-    assert store.read("cats", version=2).count() == 100
-    out = store.write_batch("cats", plans, _recs(spark, _cats(5, version=0)), batch_id=2, version=0)
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    store.write_batch("orders", plans, _recs(spark, _orders(110, version=1)), batch_id=0, version=1)
+    assert store.read("orders").count() == 110
+    assert store.read("orders", LINES).count() == _n_lines(110)
+    store.write_batch("orders", plans, _recs(spark, _orders(100, version=2)), batch_id=1, version=2)
+    assert store.read("orders").count() == 110            # staged, not visible
+    assert {p: df.count() for p, df in store.read_tables("orders").items()} == {
+        ("orders",): 110, LINES: _n_lines(110)}
+    assert store.read("orders", version=2).count() == 100
+    out = store.write_batch("orders", plans, _recs(spark, _orders(5, version=0)), batch_id=2, version=0)
     assert "skipped" in out                               # outdated load ignored
-    assert store.activate_version("cats", 2) is True
-    assert store.read("cats").count() == 100
-    assert store.activate_version("cats", 2) is False    # already active
-    store.write_batch("cats", plans, _recs(spark, _cats(120, version=2, seq=2)), batch_id=3, version=2)
-    assert store.read("cats").count() == 120
+    assert store.activate_version("orders", 2) is True
+    assert store.read("orders").count() == 100
+    assert store.activate_version("orders", 2) is False    # already active
+    store.write_batch("orders", plans, _recs(spark, _orders(120, version=2, seq=2)), batch_id=3, version=2)
+    assert store.read("orders").count() == 120
 
 
 def test_retry_of_committed_batch_is_noop_and_batches_are_appended(spark, scratch):
     store = TableStore(spark, scratch, buckets=8)
-    plans = plan_tables("cats", CATS, ["id"])
-    store.write_batch("cats", plans, _recs(spark, _cats(50)), batch_id=0)
-    before = json.dumps(store.pointer("cats"), sort_keys=True)
-    assert "skipped" in store.write_batch("cats", plans, _recs(spark, _cats(50, seq=9)), batch_id=0)
-    assert json.dumps(store.pointer("cats"), sort_keys=True) == before
-    store.write_batch("cats", plans, _recs(spark, _cats(1, seq=5, start=7)), batch_id=1)
-    assert [n for *_, n in store.pointer("cats")["tables"]["cats"]["commits"]] == [50, 1]   # one row appended
-    assert store.read("cats").count() == 50
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    store.write_batch("orders", plans, _recs(spark, _orders(50)), batch_id=0)
+    before = json.dumps(store.pointer("orders"), sort_keys=True)
+    assert "skipped" in store.write_batch("orders", plans, _recs(spark, _orders(50, seq=9)), batch_id=0)
+    assert json.dumps(store.pointer("orders"), sort_keys=True) == before
+    store.write_batch("orders", plans, _recs(spark, _orders(1, seq=5, start=7)), batch_id=1)
+    assert [n for *_, n in store.pointer("orders")["tables"]["orders"]["commits"]] == [50, 1]   # one row appended
+    assert store.read("orders").count() == 50
 
 
 def test_schema_change_splits_stored_column(spark, scratch):
@@ -87,23 +90,23 @@ def _write_log(path, lines):
 
 
 def test_streaming_equals_batch_and_bookmarks(spark, scratch):
-    head = schema_msg("cats", CATS, ["id"])
-    batch1 = [dict(head, pos=0)] + [dict(m, pos=10 + i) for i, m in enumerate(_cats(30))]
+    head = schema_msg("orders", ORDERS, ["o_orderkey"])
+    batch1 = [dict(head, pos=0)] + [dict(m, pos=10 + i) for i, m in enumerate(_orders(30))]
     batch1.append({"type": "STATE", "value": {"bookmark": 1}, "pos": 100})
-    batch2 = [dict(m, pos=200 + i) for i, m in enumerate(_cats(20, seq=2, start=20))]
+    batch2 = [dict(m, pos=200 + i) for i, m in enumerate(_orders(20, seq=2, start=20))]
     batch2.append({"type": "STATE", "value": {"bookmark": 2}, "pos": 300})
     _write_log(f"{scratch}/in/f1.jsonl", batch1)
     _write_log(f"{scratch}/in/f2.jsonl", batch2)
     store = TableStore(spark, f"{scratch}/tables", buckets=4)
     loader = LogLoader(spark, store, bookmark_path=f"{scratch}/bookmarks", clock=lambda: T0)
     loader.run(f"{scratch}/in/*.jsonl", checkpoint=f"{scratch}/ckpt")
-    streamed = rows(store.read("cats"), "id", "_sdc_sequence")
+    streamed = rows(store.read("orders"), "o_orderkey", "_sdc_sequence")
     assert streamed == [(i, 1) for i in range(20)] + [(i, 2) for i in range(20, 40)]
     marks = sorted(os.listdir(f"{scratch}/bookmarks"))
     assert len([m for m in marks if m.endswith(".json")]) == 2
     # rerun on the same checkpoint: nothing new, same tables
     loader.run(f"{scratch}/in/*.jsonl", checkpoint=f"{scratch}/ckpt")
-    assert rows(store.read("cats"), "id", "_sdc_sequence") == streamed
+    assert rows(store.read("orders"), "o_orderkey", "_sdc_sequence") == streamed
 
 
 def test_invalid_threshold_raises(spark, scratch):
@@ -254,21 +257,21 @@ def test_target_hears_of_activations_and_jobs_do_not_share_schemas(spark, scratc
 
 def test_pluggable_target_and_hooks(spark, scratch):
     seen = {}
-    head = dict(schema_msg("cats", CATS, ["id"]), pos=0)
-    _write_log(f"{scratch}/t/f.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_cats(6))])
+    head = dict(schema_msg("orders", ORDERS, ["o_orderkey"]), pos=0)
+    _write_log(f"{scratch}/t/f.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_orders(6))])
     spark.sql("DROP VIEW IF EXISTS ts_hook_after")
     loader = LogLoader(spark, None, target=lambda s, tabs: seen.update({p: df.count() for p, df in tabs.items()}),
                        after_sql=["CREATE OR REPLACE TEMP VIEW ts_hook_after AS SELECT 1 AS x"],
                        clock=lambda: T0)
     loader.run(f"{scratch}/t/*.jsonl", checkpoint=f"{scratch}/ck3")
-    assert seen[("cats",)] == 6 and seen[("cats", "adoption", "immunizations")] == sum(i % 3 for i in range(6))
+    assert seen[("orders",)] == 6 and seen[LINES] == _n_lines(6)
     assert spark.sql("SELECT x FROM ts_hook_after").count() == 1
 
 
 def test_jdbc_writer_options(spark):
     from tablestream.sinks.jdbc import jdbc_options, staging_writer
-    opts = jdbc_options("jdbc:postgresql://db/x", "stg_cats", user="u", batch_size=500)
-    assert opts["dbtable"] == "stg_cats" and opts["batchsize"] == "500" and opts["user"] == "u"
+    opts = jdbc_options("jdbc:postgresql://db/x", "stg_orders", user="u", batch_size=500)
+    assert opts["dbtable"] == "stg_orders" and opts["batchsize"] == "500" and opts["user"] == "u"
     w = staging_writer(spark.range(3), opts, partitions=2)
     assert w is not None   # not saved: no database in tests
 
@@ -286,63 +289,63 @@ def test_quarantine_keeps_invalid_records(spark, scratch):
     assert len(bad) == 1 and list(bad[0]["_reasons"]) == ["name: type is not string"]
 
 
+def _one_order(status, parts, seq):
+    return record_msg("orders", {"o_orderkey": 7, "o_orderstatus": status, "lines": [{"l_partkey": p} for p in parts]}, sequence=seq)
+
+
 def test_equal_sequence_ties_go_to_later_record_and_its_children(spark, scratch):
     store = TableStore(spark, scratch, buckets=2)
-    plans = plan_tables("cats", CATS, ["id"])
-    first = record_msg("cats", {"id": 1, "name": "early", "bio": "b",
-                                "adoption": {"was_foster": True, "immunizations": [{"type": "a"}, {"type": "b"}]}},
-                       sequence=7)
-    second = record_msg("cats", {"id": 1, "name": "late", "bio": "b",
-                                 "adoption": {"was_foster": True, "immunizations": [{"type": "z"}]}}, sequence=7)
-    store.write_batch("cats", plans, _recs(spark, [first, second] * 3), batch_id=0)
-    assert rows(store.read("cats"), "id", "name") == [(1, "late")]
-    assert rows(store.read("cats", ("cats", "adoption", "immunizations")), "_sdc_level_0_id", "type") == [(0, "z")]
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    early, late = _one_order("O", [31, 32, 33], 4), _one_order("F", [90], 4)
+    store.write_batch("orders", plans, _recs(spark, [early, late] * 2), batch_id=0)
+    assert rows(store.read("orders"), "o_orderkey", "o_orderstatus") == [(7, "F")]
+    assert rows(store.read("orders", LINES), "_sdc_level_0_id", "l_partkey") == [(0, 90)]
 
 
 def test_bookmarks_disabled_and_byte_bounded_batches(spark, scratch):
-    head = dict(schema_msg("cats", CATS, ["id"]), pos=0)
-    _write_log(f"{scratch}/b/f1.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_cats(5))]
+    head = dict(schema_msg("orders", ORDERS, ["o_orderkey"]), pos=0)
+    _write_log(f"{scratch}/b/f1.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_orders(5))]
                + [{"type": "STATE", "value": {"b": 1}, "pos": 50}])
-    _write_log(f"{scratch}/b/f2.jsonl", [dict(m, pos=60 + i) for i, m in enumerate(_cats(5, start=5))])
+    _write_log(f"{scratch}/b/f2.jsonl", [dict(m, pos=60 + i) for i, m in enumerate(_orders(5, start=5))])
     store = TableStore(spark, f"{scratch}/bt", buckets=2)
     loader = LogLoader(spark, store, emit_states=False, bookmark_path=f"{scratch}/marks", clock=lambda: T0)
     q = loader.run(f"{scratch}/b/*.jsonl", checkpoint=f"{scratch}/bck", max_files_per_trigger=None,
                    max_bytes_per_trigger=1)
-    assert store.read("cats").count() == 10
+    assert store.read("orders").count() == 10
     assert not os.path.exists(f"{scratch}/marks")
     assert q.lastProgress is not None
 
 
 def test_crash_between_data_write_and_publish(spark, scratch, monkeypatch):
     store = TableStore(spark, scratch, buckets=4)
-    plans = plan_tables("cats", CATS, ["id"])
-    store.write_batch("cats", plans, _recs(spark, _cats(20)), batch_id=0)
-    before = rows(store.read("cats"), "id", "_sdc_sequence")
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    store.write_batch("orders", plans, _recs(spark, _orders(20)), batch_id=0)
+    before = rows(store.read("orders"), "o_orderkey", "_sdc_sequence")
 
     def boom(*a, **k):
         raise OSError("lost the driver right before publishing")
     monkeypatch.setattr(store, "_publish", boom)
     with pytest.raises(OSError):
-        store.write_batch("cats", plans, _recs(spark, _cats(30, seq=5)), batch_id=1)
-    assert rows(store.read("cats"), "id", "_sdc_sequence") == before      # old state still readable
+        store.write_batch("orders", plans, _recs(spark, _orders(30, seq=5)), batch_id=1)
+    assert rows(store.read("orders"), "o_orderkey", "_sdc_sequence") == before      # old state still readable
     monkeypatch.undo()
-    store.write_batch("cats", plans, _recs(spark, _cats(30, seq=5)), batch_id=1)
-    assert rows(store.read("cats"), "id", "_sdc_sequence") == [(i, 5) for i in range(30)]
+    store.write_batch("orders", plans, _recs(spark, _orders(30, seq=5)), batch_id=1)
+    assert rows(store.read("orders"), "o_orderkey", "_sdc_sequence") == [(i, 5) for i in range(30)]
 
 
 def test_vacuum_keeps_live_snapshots(spark, scratch, monkeypatch):
     store = TableStore(spark, scratch, buckets=2)
     monkeypatch.setattr(TableStore, "KEEP_POINTERS", 1)
-    plans = plan_tables("cats", CATS, ["id"])
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
     for b in range(3):
-        store.write_batch("cats", plans, _recs(spark, _cats(10, seq=b + 1)), batch_id=b)
-    assert store.vacuum("cats") == []                  # every commit is in force
-    store.compact("cats")
-    before = rows(store.read("cats"), "id", "_sdc_sequence")
-    gone = store.vacuum("cats")
+        store.write_batch("orders", plans, _recs(spark, _orders(10, seq=b + 1)), batch_id=b)
+    assert store.vacuum("orders") == []                  # every commit is in force
+    store.compact("orders")
+    before = rows(store.read("orders"), "o_orderkey", "_sdc_sequence")
+    gone = store.vacuum("orders")
     assert gone                                        # earlier snapshots removed
-    assert rows(store.read("cats"), "id", "_sdc_sequence") == before
-    assert store.vacuum("cats") == []
+    assert rows(store.read("orders"), "o_orderkey", "_sdc_sequence") == before
+    assert store.vacuum("orders") == []
 
 
 def test_sql_hooks_inline_and_from_file(tmp_path):
@@ -356,14 +359,14 @@ def test_sql_hooks_inline_and_from_file(tmp_path):
 
 def test_reference_style_config(spark, scratch):
     from tablestream.config import jdbc_url, loader_from_config
-    head = dict(schema_msg("cats", CATS, ["id"]), pos=0)
-    _write_log(f"{scratch}/cfg/f.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_cats(4))])
+    head = dict(schema_msg("orders", ORDERS, ["o_orderkey"]), pos=0)
+    _write_log(f"{scratch}/cfg/f.jsonl", [head] + [dict(m, pos=1 + i) for i, m in enumerate(_orders(4))])
     loader, run = loader_from_config(spark, {"postgres_database": "db", "postgres_schema": "tap",
                                              "invalid_records_threshold": 2, "state_support": False,
                                              "after_run_sql": "SELECT 1;"}, f"{scratch}/wh")
     assert loader.invalid_threshold == 2 and not loader.emit_states and loader.after_sql == ["SELECT 1"]
     loader.run(f"{scratch}/cfg/*.jsonl", checkpoint=f"{scratch}/cfgck", **run)
-    assert TableStore(spark, f"{scratch}/wh/tap").read("cats").count() == 4
+    assert TableStore(spark, f"{scratch}/wh/tap").read("orders").count() == 4
     assert jdbc_url({"postgres_database": "db"}) == "jdbc:postgresql://localhost:5432/db"
 
 
@@ -383,44 +386,38 @@ def test_parallel_streams_give_the_same_tables(spark, scratch):
 
 def test_compaction_leaves_one_commit_and_the_same_rows(spark, scratch):
     store = TableStore(spark, scratch, buckets=8)
-    plans, shots = plan_tables("cats", CATS, ["id"]), ("cats", "adoption", "immunizations")
-    store.write_batch("cats", plans, _recs(spark, _cats(40)), batch_id=0)
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    store.write_batch("orders", plans, _recs(spark, _orders(40)), batch_id=0)
     for b in range(1, 5):
-        store.write_batch("cats", plans, _recs(spark, _cats(1, seq=b + 1, start=b)), batch_id=b)
-    before = rows(store.read("cats"), "id", "_sdc_sequence"), rows(store.read("cats", shots), "_sdc_source_key_id", "_sdc_level_0_id")
-    store.compact("cats")
-    assert len(store.pointer("cats")["tables"]["cats"]["commits"]) == 1
-    assert before == (rows(store.read("cats"), "id", "_sdc_sequence"),
-                      rows(store.read("cats", shots), "_sdc_source_key_id", "_sdc_level_0_id"))
+        store.write_batch("orders", plans, _recs(spark, _orders(1, seq=b + 1, start=b)), batch_id=b)
+    before = rows(store.read("orders"), "o_orderkey", "_sdc_sequence"), rows(store.read("orders", LINES), "_sdc_source_key_o_orderkey", "_sdc_level_0_id")
+    store.compact("orders")
+    assert len(store.pointer("orders")["tables"]["orders"]["commits"]) == 1
+    assert before == (rows(store.read("orders"), "o_orderkey", "_sdc_sequence"),
+                      rows(store.read("orders", LINES), "_sdc_source_key_o_orderkey", "_sdc_level_0_id"))
     assert [dict(before[0])[i] for i in range(1, 5)] == [2, 3, 4, 5]
-    store.write_batch("cats", plans, _recs(spark, _cats(1, seq=9, start=3)), batch_id=9)
-    assert dict(rows(store.read("cats"), "id", "_sdc_sequence"))[3] == 9
-
+    store.write_batch("orders", plans, _recs(spark, _orders(1, seq=9, start=3)), batch_id=9)
+    assert dict(rows(store.read("orders"), "o_orderkey", "_sdc_sequence"))[3] == 9
 
-def test_legacy_children_mode_keeps_reference_behaviour(spark, scratch):
-    plans = plan_tables("cats", CATS, ["id"])
 
-    def cat(seq, shots):
-        return record_msg("cats", {"id": 1, "name": "n", "bio": "b",
-                                   "adoption": {"was_foster": True,
-                                                "immunizations": [{"type": t} for t in shots]}}, sequence=seq)
-    for mode, want in (("sync", [(0, "z")]), ("legacy", [(0, "z"), (1, "b")])):
+def test_legacy_children_mode_keeps_children_that_are_not_sent_again(spark, scratch):
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    for mode, want in (("sync", [(0, 5), (1, 6)]), ("legacy", [(0, 5), (1, 6), (2, 3)])):
         store = TableStore(spark, f"{scratch}/{mode}", buckets=2, children=mode)
-        store.write_batch("cats", plans, _recs(spark, [cat(1, ["a", "b"])]), batch_id=0)
-        store.write_batch("cats", plans, _recs(spark, [cat(2, ["z"])]), batch_id=1)
-        got = rows(store.read("cats", ("cats", "adoption", "immunizations")), "_sdc_level_0_id", "type")
-        assert got == want, mode
+        store.write_batch("orders", plans, _recs(spark, [_one_order("O", [1, 2, 3], 1)]), batch_id=0)
+        store.write_batch("orders", plans, _recs(spark, [_one_order("O", [5, 6], 2)]), batch_id=1)
+        assert rows(store.read("orders", LINES), "_sdc_level_0_id", "l_partkey") == want, mode
 
 
 def test_null_in_not_null_column_aborts_the_batch(spark, scratch):
     from tablestream.sinks.tables import NotNullViolation
     store = TableStore(spark, scratch, buckets=2)
-    plans = plan_tables("cats", CATS, ["id"])
-    store.write_batch("cats", plans, _recs(spark, _cats(3)), batch_id=0)
-    missing_name = [record_msg("cats", {"id": 9, "bio": "b"}, sequence=5)]
+    plans = plan_tables("orders", ORDERS, ["o_orderkey"])
+    store.write_batch("orders", plans, _recs(spark, _orders(3)), batch_id=0)
+    no_status = [record_msg("orders", {"o_orderkey": 9, "lines": []}, sequence=5)]
     with pytest.raises(NotNullViolation):
-        store.write_batch("cats", plans, _recs(spark, missing_name), batch_id=1)
-    assert rows(store.read("cats"), "id") == [(0,), (1,), (2,)]     # nothing published
+        store.write_batch("orders", plans, _recs(spark, no_status), batch_id=1)
+    assert rows(store.read("orders"), "o_orderkey") == [(0,), (1,), (2,)]     # nothing published
 
 
 def _lines(path, *messages):
