@@ -260,6 +260,17 @@ WITH raw AS (
     UNION ALL SELECT upper(p_brand), p_partkey * 2 + 1 FROM part) GROUP BY raw),
 c AS (SELECT raw, arrival, substr(regexp_replace(lower(raw), '[^a-z0-9_$]', '_', 'g'), 1, 63) AS canon FROM raw),
 n AS (SELECT raw, canon, row_number() OVER (PARTITION BY canon ORDER BY arrival, raw) - 1 AS k FROM c)
+SELECT raw, CASE WHEN k = 0 THEN canon
+                 ELSE substr(canon, 1, 63 - length('__' || CAST(k AS VARCHAR))) || '__' || CAST(k AS VARCHAR) END AS name
+FROM n""",
+
+    "name_collisions_hot": """
+WITH raw AS (SELECT raw, min(arrival) AS arrival FROM (
+    SELECT CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE 'a' END
+             || translate(concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey), '0123456789', '+,-.:;=!?*') AS raw,
+           l_orderkey * 1000 + l_partkey % 1000 AS arrival FROM lineitem) GROUP BY raw),
+c AS (SELECT raw, arrival, substr(regexp_replace(lower(raw), '[^a-z0-9_$]', '_', 'g'), 1, 63) AS canon FROM raw),
+n AS (SELECT raw, canon, row_number() OVER (PARTITION BY canon ORDER BY arrival, raw) - 1 AS k FROM c)
 SELECT raw, CASE WHEN k = 0 THEN canon
                  ELSE substr(canon, 1, 63 - length('__' || CAST(k AS VARCHAR))) || '__' || CAST(k AS VARCHAR) END AS name
 FROM n""",

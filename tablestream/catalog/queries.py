@@ -443,6 +443,17 @@ def name_collisions(spark, d):
     return collision_names(first, "raw", "arrival").select("raw", "name")
 
 
+def name_collisions_hot(spark, d):
+    """Names that nearly all fold onto a few canonical ones: every line's numbers with marks between
+    them, of which only the first mark's kind tells the groups apart."""
+    from ..plans.naming import collision_names
+    mark = F.when(F.col("l_orderkey") % 3 == 0, F.lit("-")).otherwise(F.lit("a"))
+    raw = F.concat(mark, F.translate(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "0123456789", "+,-.:;=!?*"))
+    names = I.table(spark, d, "lineitem").select(raw.alias("raw"), (F.col("l_orderkey") * 1000 + F.col("l_partkey") % 1000).alias("arrival"))
+    first = names.groupBy("raw").agg(F.min("arrival").alias("arrival"))
+    return collision_names(first, "raw", "arrival", bucket=1 << 18).select("raw", "name")
+
+
 # ------------------------------------------------------------------ table store
 
 def _append(store: TableStore, schema: dict, key: list[str], df: DataFrame, record: F.Column, batch: int,
@@ -704,6 +715,7 @@ QUERIES = {
     "split_column_third": split_column_third,
     "canonical_names": canonical_names,
     "name_collisions": name_collisions,
+    "name_collisions_hot": name_collisions_hot,
     "load_counts": load_counts,
     "safe_bookmarks": safe_bookmarks,
     "bookmark_changes": bookmark_changes,

@@ -51,16 +51,17 @@ def asof_last(rows: DataFrame, marks: DataFrame, by: list[str], pos: str, value:
 
 
 def running_count(rows: DataFrame, by: list[str], pos: str, out: str,
-                  bucket: int = DEFAULT_BUCKET) -> DataFrame:
+                  bucket: int = DEFAULT_BUCKET, ties: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` plus ``out`` = 1-based rank of the row by ``pos`` inside ``by``.
 
     Same bucketing as :func:`asof_last`: ``row_number`` inside a bucket plus
-    the row count of all earlier buckets (prefix sum on a bucket-level table).
-    Positions must be unique within a group.
+    the row count of all earlier buckets (prefix sum on a bucket-level table),
+    so a group of any size is ranked by many tasks.
+    Positions must be unique within a group, or ``ties`` name columns that order equal ones.
     """
     B = F.lit(bucket)
     r = rows.withColumn("__b", F.floor(F.col(pos) / B))
-    w = Window.partitionBy(*by, "__b").orderBy(F.col(pos))
+    w = Window.partitionBy(*by, "__b").orderBy(F.col(pos), *[F.col(c) for c in ties])
     inner = r.withColumn("__rn", F.row_number().over(w))
     sizes = r.groupBy(*by, "__b").agg(F.count("*").alias("__n"))
     wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

@@ -51,3 +51,18 @@ def test_running_max_matches_brute_force(spark):
             if v is not None:
                 best = v if best is None else max(best, v)
             assert got[(g, p)] == best
+
+
+def test_one_huge_group_of_names_is_numbered_in_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from tablestream.plans.naming import collision_names
+    marks = "!?+-"
+    raw = ["x" + marks[i % 4] + marks[i // 4 % 4] + marks[i // 16 % 4] for i in range(64)]
+    names = spark.createDataFrame([(r, i // 3) for i, r in enumerate(raw)] + [("alone", 5)], "raw string, arrival long")
+    got = {r["raw"]: r["name"] for r in collision_names(names, "raw", "arrival", bucket=4).collect()}
+    order = sorted((i // 3, r) for i, r in enumerate(raw))
+    assert got == {"alone": "alone"} | {r: "x___" if k == 0 else f"x_____{k}" for k, (_, r) in enumerate(order)}
+    named = collision_names(names, "raw", "arrival", bucket=4)
+    windows = [x for x in named._jdf.queryExecution().executedPlan().toString().split("\n") if "row_number()" in x and "Window [" in x]
+    assert windows and all("__b#" in x.split("windowspecdefinition(")[1] for x in windows)
