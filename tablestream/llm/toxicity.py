@@ -7,9 +7,10 @@ it takes under the toxic dictionary.  A logistic model over the distances (how m
 of a row of thresholds, the largest distance, their mean and spread, the number and length of the
 windows) turns them into a calibrated score.
 
-Only training reaches the driver: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled documents of at
-most ``MAX_TRAIN_BYTES`` each, two thirds for the dictionaries and a third for the calibration, which
-weighs both classes as they stand in the whole label table.  Scoring reads whole texts.
+The model is fitted in one task on an executor, from at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled
+documents of at most ``MAX_TRAIN_BYTES`` each (one text per id, whatever the rows of an id), two thirds
+for the dictionaries and a third for the calibration, which weighs both classes as they stand in the whole
+label table.  Only the model, some 20 KB, reaches the driver.  Scoring reads whole texts.
 
 Null and empty texts are scored like a text without toxic windows; rows with a null id are never
 trained on and held out as crc32 of nothing says; a label repeated with both values counts as toxic;
@@ -19,11 +20,13 @@ every document that class's share as its score.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,14 +172,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         return {"share": float(1 in counts)}
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull() & (F.octet_length("text") <= MAX_TRAIN_BYTES))
-    picked = []
-    for y, most in ((1, MAX_TOXIC), (0, MAX_ORDINARY)):
-        # ids alone are ranked; only the picked documents' texts move
-        ids = (marks.filter(F.col("y") == y).orderBy(F.xxhash64("id", F.lit(6)), "id").limit(most).select("id"))
-        rows = texts.join(ids, "id").orderBy(F.xxhash64("id", F.lit(6)), "id").select("id", "text").collect()
-        picked.append(list({r["id"]: r["text"] for r in rows}.values()))
-    toxic, ordinary = picked
-    plain_dict, toxic_dict = dictionaries(*[[t for i, t in enumerate(side) if i % 3 < 2] for side in picked])
+    order = F.xxhash64("id", F.lit(6))
+    # ids alone are ranked; only the picked documents' texts move
+    ids = [marks.filter(F.col("y") == y).orderBy(order, "id").limit(most) for y, most in ((1, MAX_TOXIC), (0, MAX_ORDINARY))]
+    sample = (texts.join(ids[0].unionByName(ids[1]), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+              .withColumn("place", order))
+
+    def task(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("place", "ascending"), ("id", "ascending")])
+        sides = [t.filter(pa.compute.equal(t.column("y"), y)).column("text").to_pylist() for y in (1, 0)]
+        return pa.table({"model": pa.array([pickle.dumps(fit(*sides, counts))], pa.binary())})
+
+    found = sample.groupBy().applyInArrow(task, "model binary").first()
+    return pickle.loads(found["model"]) if found else {"share": counts[1] / sum(counts.values())}
+
+
+def fit(toxic: list[str], ordinary: list[str], counts: dict[int, int]) -> dict:
+    """Model of the sampled texts; ``counts`` are the labels of the whole table."""
+    plain_dict, toxic_dict = dictionaries(*[[t for i, t in enumerate(side) if i % 3 < 2] for side in (toxic, ordinary)])
     measure = Distance(plain_dict, toxic_dict)
     rest = toxic[2::3], ordinary[2::3]
     if not (rest[0] and rest[1]):
