@@ -108,17 +108,33 @@ def _parse(rows: DataFrame, window: int) -> DataFrame:
     """Factors of every document; texts without a hit are finished here."""
     k = seed_words(window)
 
+    def one(row_id, th, text: str, hits: list[tuple]) -> dict:
+        out = {"id": row_id, "th": th}
+        if hits:
+            return out | _parsed(Words(text, window), (row_id, th), text, hits, window, k)
+        words = text.encode().split()
+        return out | {"n_words": len(words), "kept_sha256": hashlib.sha256(b" ".join(words)).hexdigest()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                out = {"id": row["id"], "th": row["th"]}
-                if not row["hits"]:
-                    words = row["text"].encode().split()
-                    out |= {"n_words": len(words), "kept_sha256": hashlib.sha256(b" ".join(words)).hexdigest()}
-                else:
-                    out |= _parsed(Words(row["text"], window), row, window, k)
-                yield pa.RecordBatch.from_pylist([out], schema=_PARSED)
-    return rows.mapInArrow(_gathered(run, 2000), PARSED)
+            ids, ths, texts, hits = (batch.column(n) for n in ("id", "th", "text", "hits"))
+            ends, each = hits.offsets.to_numpy(), [hits.values.field(n).to_pylist() for n in ("pos", "rid", "rth", "rpos", "seed")]
+            rows = zip(ids.to_pylist(), ths.to_pylist(), texts.to_pylist(), ends[:-1].tolist(), ends[1:].tolist())
+            yield from _batches((one(i, th, text, list(zip(*[x[a:b] for x in each]))) for i, th, text, a, b in rows), _PARSED)
+    return rows.mapInArrow(run, PARSED)
+
+
+def _batches(rows: Iterator[dict], schema: pa.Schema, most: int = 2000, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches of bounded size (one row at least)."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row.values() if isinstance(v, str))
+        if len(held) >= most or size >= chars:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
 _SPAN = pa.struct([("s", pa.int32()), ("e", pa.int32())])
@@ -128,11 +144,10 @@ _PARSED = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("n_words", pa.int6
                      ("keys", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32()))])
 
 
-def _parsed(w: Words, row: dict, window: int, k: int) -> dict:
-    hits = sorted({(h["pos"], h["rid"] if h["rid"] is not None else None, h["rth"], h["rpos"], h["seed"]) for h in row["hits"]},
-                  key=lambda h: h[0])
+def _parsed(w: Words, me: tuple, text: str, hits: list[tuple], window: int, k: int) -> dict:
+    """``hits`` are ``(pos, rid, rth, rpos, seed)``."""
+    hits = sorted(set(hits), key=lambda h: h[0])
     pos, ref = np.array([h[0] for h in hits]), np.array([h[3] for h in hits])
-    me = (row["id"], row["th"])
     spans, claims = [], set()
     inside = np.zeros(len(w.words) + 1, np.int32)  # windows within a factor, as differences
     docs = [(h[1], h[2]) for h in hits]
@@ -150,7 +165,7 @@ def _parsed(w: Words, row: dict, window: int, k: int) -> dict:
     found, first, times = np.unique(keys, return_index=True, return_counts=True)
     again = np.isin(keys, found[times > 1]) if (times > 1).any() else np.zeros(len(keys), bool)
     spans += [{"s": int(s), "e": int(s) + window} for s in starts[again]]
-    return {"n_words": len(w.words), "text": row["text"], "spans": spans,
+    return {"n_words": len(w.words), "text": text, "spans": spans,
             "claims": [dict(zip(("id", "th", "s", "e"), c)) for c in claims],
             "keys": [x.tobytes() for x in found], "times": np.minimum(times, 2).tolist(), "starts": starts[first].tolist()}
 
@@ -194,24 +209,32 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
     return cut.unionAll(whole).withColumnsRenamed({"id": id_col, "th": "text_hash"})
 
 
+_CUT = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
+                  ("kept_sha256", pa.string()), ("kept", pa.string()), ("spans", pa.list_(_SPAN))])
+
+
 def _cut(rows: DataFrame) -> DataFrame:
+    def one(row_id, th, text: str, starts: list[int], ends: list[int]) -> dict:
+        words = text.encode().split()
+        step = np.zeros(len(words) + 1, np.int32)
+        np.add.at(step, starts, 1)
+        np.add.at(step, ends, -1)
+        gone = np.cumsum(step)[:-1] > 0
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))).tolist()
+        spans, at, left = list(zip(edge[::2], edge[1::2])), 0, []
+        for s, e in spans:
+            left += words[at:s]
+            at = e
+        kept = b" ".join(left + words[at:])
+        n = int(gone.sum())
+        return {"id": row_id, "th": th, "n_words": len(words), "n_removed": n, "kept_sha256": hashlib.sha256(kept).hexdigest(),
+                "kept": kept.decode() if n else None, "spans": [{"s": s, "e": e} for s, e in spans]}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                            ("kept_sha256", pa.string()), ("kept", pa.string()), ("spans", pa.list_(_SPAN))])
         for batch in batches:
-            for row in batch.to_pylist():
-                words = row["text"].encode().split()
-                step = np.zeros(len(words) + 1, np.int32)
-                if row["spans"]:
-                    np.add.at(step, [s["s"] for s in row["spans"]], 1)
-                    np.add.at(step, [s["e"] for s in row["spans"]], -1)
-                gone = np.cumsum(step)[:-1] > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
-                n = int(gone.sum())
-                yield pa.RecordBatch.from_pylist([{
-                    "id": row["id"], "th": row["th"], "n_words": len(words), "n_removed": n, "kept_sha256": hashlib.sha256(kept).hexdigest(),
-                    "kept": kept.decode() if n else None,
-                    "spans": [{"s": int(s), "e": int(e)} for s, e in zip(edge[::2], edge[1::2])]}], schema=schema)
-    return rows.mapInArrow(_gathered(run, 2000), "id long, th long, n_words long, n_removed long, kept_sha256 string, kept string, "
-                                                 "spans array<struct<s:int,e:int>>")
+            ids, ths, texts, spans = (batch.column(n) for n in ("id", "th", "text", "spans"))
+            at, s, e = spans.offsets.to_numpy(), spans.values.field("s").to_numpy(), spans.values.field("e").to_numpy()
+            rows = zip(ids.to_pylist(), ths.to_pylist(), texts.to_pylist(), at[:-1].tolist(), at[1:].tolist())
+            yield from _batches((one(i, th, text, s[a:b], e[a:b]) for i, th, text, a, b in rows), _CUT)
+    return rows.mapInArrow(run, "id long, th long, n_words long, n_removed long, kept_sha256 string, kept string, "
+                                "spans array<struct<s:int,e:int>>")
