@@ -61,9 +61,8 @@ def orphan_records(spark, d):
 
 
 def schema_in_force(spark, d):
-    r = M.route(M.parse(I.event_log(spark, d, schemas="blocks")))
-    sch = r["schemas"].select("stream", "pos", F.col("pos").alias("schema_pos"))
-    return M.schema_in_force(r["records"], sch, "schema_pos").select("pos", "stream", "schema_pos")
+    parsed = M.parse(I.event_log(spark, d, schemas="blocks"))
+    return M.records_with_schema(parsed).select("pos", "stream", "schema_pos")
 
 
 # ------------------------------------------------------------------ checks / stamping

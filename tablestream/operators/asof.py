@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.barrier import compute_once
+
 DEFAULT_BUCKET = 1 << 20
 
 
@@ -25,29 +27,40 @@ def asof_last(rows: DataFrame, marks: DataFrame, by: list[str], pos: str, value:
 
     ``marks`` has columns ``by + [pos, value]``.  With ``strict=False`` a mark
     at the same position counts too.  Ties between marks at one position
-    are broken by the larger value.
+    are broken by the larger value; marks without a value are passed over.
     """
-    B = F.lit(bucket)
-    tag = "__is_mark"
-    r = rows.withColumn("__b", F.floor(F.col(pos) / B)).withColumn(tag, F.lit(False)) \
-            .withColumn("__mv", F.lit(None).cast(marks.schema[value].dataType))
-    m = marks.select(*by, F.col(pos), F.col(value).alias("__mv")) \
-             .withColumn("__b", F.floor(F.col(pos) / B)).withColumn(tag, F.lit(True))
-    # 1. within a bucket; marks sort before rows at equal position unless strict
-    both = r.unionByName(m, allowMissingColumns=True)
-    order = [F.col(pos), F.col(tag).asc() if strict else F.col(tag).desc(), F.col("__mv")]
-    w = Window.partitionBy(*by, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = both.withColumn("__in", F.last("__mv", ignorenulls=True).over(w)).filter(~F.col(tag))
+    kind = marks.schema[value].dataType
+    r = rows.withColumns({"__is_mark": F.lit(False), "__mv": F.lit(None).cast(kind)})
+    m = marks.select(*by, F.col(pos), F.col(value).alias("__mv"), F.lit(True).alias("__is_mark"))
+    return carry_last(r.unionByName(m, allowMissingColumns=True), by, pos, "__is_mark", "__mv", out, bucket, strict)
+
+
+def carry_last(both: DataFrame, by: list[str], pos: str, is_mark: str, value: str, out: str,
+               bucket: int = DEFAULT_BUCKET, strict: bool = True) -> DataFrame:
+    """:func:`asof_last` over one relation that holds rows and marks (told apart by ``is_mark``), such
+    as a log that is read and parsed once.  Rows come back without ``is_mark`` and ``value``.
+
+    Rows are shuffled once, by ``(by, bucket)``: the window inside a bucket and the bucket-level table
+    both read that shuffle (one-row generators keep column pruning and the join's null filters from
+    making two of it), and only the bucket-level table, one row per bucket, is shuffled again.
+    """
+    ex = both.withColumn("__b", F.floor(F.col(pos) / F.lit(bucket))).repartition(*by, "__b")
+    rest = [F.col(f"`{c}`") for c in ex.columns if c not in (*by, "__b")]
+    held = ex.select(*by, "__b", F.inline(F.array(F.struct(*rest))))
+    tag = F.col(is_mark)
+    # 1. within a bucket; marks sort after rows at equal position if strict
+    w = Window.partitionBy(*by, "__b").orderBy(F.col(pos), tag.asc() if strict else tag.desc(), F.col(value)) \
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = held.withColumn("__in", F.last(value, ignorenulls=True).over(w)).filter(~tag)
     # 2. bucket-level carry: last mark of all earlier buckets
-    per_bucket = m.groupBy(*by, "__b").agg(F.max_by("__mv", F.struct(F.col(pos), F.col("__mv"))).alias("__last"))
-    row_buckets = r.select(*by, "__b").distinct().withColumn("__last", F.lit(None).cast(per_bucket.schema["__last"].dataType))
-    levels = row_buckets.unionByName(per_bucket).groupBy(*by, "__b").agg(F.max("__last").alias("__last"))
+    mark = F.when(tag & F.col(value).isNotNull(), F.struct(F.col(pos), F.col(value)))
+    levels = held.groupBy(*by, "__b").agg(F.max(mark)[value].alias("__last"))
     wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = levels.withColumn("__carry", F.last("__last", ignorenulls=True).over(wb)).select(*by, "__b", "__carry")
+    carry = levels.select(*by, "__b", F.last("__last", ignorenulls=True).over(wb).alias("__carry"))
     # 3. bring carry-in to rows
-    joined = inner.join(carry, on=[*by, "__b"], how="left")
-    return joined.withColumn(out, F.coalesce(F.col("__in"), F.col("__carry"))) \
-                 .drop("__b", tag, "__mv", "__in", "__carry")
+    joined = inner.join(compute_once(carry), on=[*by, "__b"], how="left")
+    return joined.select(*[F.col(f"`{c}`") for c in both.columns if c not in (is_mark, value, out)],
+                         F.coalesce(F.col("__in"), F.col("__carry")).alias(out))
 
 
 def running_count(rows: DataFrame, by: list[str], pos: str, out: str,

@@ -8,12 +8,12 @@ columns with the VARIANT message kept; :func:`route` splits by message type.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
 from ..functions.barrier import compute_once
-from ..operators.asof import asof_last
+from ..operators.asof import DEFAULT_BUCKET, asof_last, carry_last
 
 # Message types and the envelope fields each one requires.
 RECORD, SCHEMA, STATE, ACTIVATE_VERSION = "RECORD", "SCHEMA", "STATE", "ACTIVATE_VERSION"
@@ -115,18 +115,22 @@ def parse(log: DataFrame) -> DataFrame:
     return compute_once(out)
 
 
-def route(parsed: DataFrame) -> dict[str, DataFrame]:
-    """Four relations plus ``bad`` (S2).  No driver round trip."""
-    good = parsed.filter(F.col("bad_reason").isNull())
+def _record_columns(parsed: DataFrame) -> list[Column]:
     m = F.col("msg")
-    out = {
-        "records": good.filter(F.col("type") == RECORD).select(
-            "pos", "stream", "line", *[c for c in ("_file",) if c in parsed.columns],
+    return [F.col("pos"), F.col("stream"), F.col("line"), *[F.col(c) for c in ("_file",) if c in parsed.columns],
             F.col("payload").alias("record"),
             _field(m, "version", "bigint").alias("version"),
             _field(m, "sequence", "bigint").alias("sequence"),
             _field(m, "time_extracted").alias("time_extracted"),
-            F.length("line").alias("line_bytes")),
+            F.length("line").alias("line_bytes")]
+
+
+def route(parsed: DataFrame) -> dict[str, DataFrame]:
+    """Four relations plus ``bad`` (S2).  No driver round trip."""
+    good = parsed.filter(F.col("bad_reason").isNull())
+    m = F.col("msg")
+    out = {
+        "records": good.filter(F.col("type") == RECORD).select(*_record_columns(parsed)),
         "schemas": good.filter(F.col("type") == SCHEMA).select(
             "pos", "stream", F.col("payload").alias("schema"),
             F.try_variant_get(m, "$.key_properties", "array<string>").alias("key_properties")),
@@ -177,6 +181,21 @@ def schema_in_force(records: DataFrame, schemas: DataFrame, schema_id: str = "sc
     return asof_last(records, marks, by=["stream"], pos="pos", value=schema_id, out=schema_id)
 
 
+def records_with_schema(parsed: DataFrame, out: str = "schema_pos", bucket: int = DEFAULT_BUCKET) -> DataFrame:
+    """S4 in one pass: the RECORDs of a parsed log (columns as in :func:`route`) with the position of the
+    SCHEMA in force (NULL where none came before).
+
+    The log is read and parsed once and its records shuffled once, by stream and bucket of positions;
+    SCHEMA messages travel with them without their bodies.
+    """
+    both = parsed.filter(F.col("bad_reason").isNull() & F.col("type").isin(RECORD, SCHEMA))
+    is_schema = F.col("type") == SCHEMA
+    body = {c: F.when(~F.col("__schema"), F.col(c)) for c in ("line", "record")}   # of records only
+    both = both.select(*_record_columns(parsed), is_schema.alias("__schema"),
+                       F.when(is_schema, F.col("pos")).alias("__at")).withColumns(body)
+    return carry_last(both, ["stream"], "pos", "__schema", "__at", out, bucket)
+
+
 def require_clean(parsed: DataFrame) -> None:
     """Strict mode (S1): raise if any line is bad. One short job, no rows to the driver."""
     bad = parsed.filter(F.col("bad_reason").isNotNull()).select("pos", "bad_reason").limit(1).collect()

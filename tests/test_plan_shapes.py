@@ -55,3 +55,12 @@ def test_asof_windows_are_partitioned_by_group_and_bucket(spark):
     for ln in record_level:
         partition_spec = ln.split("windowspecdefinition(")[1]
         assert "g#" in partition_spec and "__b#" in partition_spec
+
+
+def test_schema_in_force_parses_and_shuffles_the_log_once(spark):
+    out = M.records_with_schema(M.parse(_log(spark)))
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("parseJson") == 1 and "ReusedExchange" in final
+    # records once; the bucket-level table for its window and for the join
+    assert sum("Exchange hashpartitioning" in ln for ln in final.split("\n")) <= 3

@@ -54,6 +54,17 @@ def test_orphans_and_schema_in_force(spark):
     sch = r["schemas"].select("stream", "pos", F.col("pos").alias("sid"))
     got = rows(M.schema_in_force(r["records"], sch, "sid"), "pos", "sid")
     assert got == [(0, None), (20, 10), (30, None), (50, 40)]
+    for bucket in (7, 25, 1000):
+        one = M.records_with_schema(M.parse(log_df(spark, msgs)), bucket=bucket)
+        assert rows(one, "pos", "schema_pos") == got
+        assert one.columns == [*r["records"].columns, "schema_pos"]
+        assert one.filter("line is null or record is null").count() == 0
+
+
+def test_records_with_schema_of_a_log_without_either(spark):
+    only = [record_msg("a", {"id": 0}), "{broken", {"type": "STATE", "value": {"b": 1}}]
+    assert rows(M.records_with_schema(M.parse(log_df(spark, only))), "pos", "schema_pos") == [(0, None)]
+    assert M.records_with_schema(M.parse(log_df(spark, [schema_msg("a", SCHEMA, ["id"])]))).count() == 0
 
 
 def _write(path, msgs):
