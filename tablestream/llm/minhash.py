@@ -192,16 +192,19 @@ def full_sets(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id``, ``kept``, ``n_links``, ``text_hash``.
+    """One row per document: id, ``n_shingles``, ``component_id``, ``kept``, ``n_links``, ``text_hash``,
+    ``survivor``.
 
     Links: sets with ``den * |A and B| >= num * |A or B|``.  ``n_links`` counts confirmed comparisons
     of the class, which join the component together; links inside a component are not all made.
+    ``survivor`` marks one text of each component, that with the smallest id (null ids last) and then
+    text hash, whatever ids are missing or repeated (equal rows share it), and every row with an empty set.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     base = stored(sketches(rows.select("id", "th", "text"), words), "sketches")
     classes = stored(base.filter("size > 0").groupBy("cls").agg(
-        F.min(F.struct("id", "th")).alias("row"), F.min("id").alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch")),
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("row"), F.min("id").alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch")),
         "classes")
     lists = stored(listed(classes, num, den), "lists")
     hubs = stored(lists.groupBy("value").agg(F.max(F.struct("common", "cls")).alias("hub"), F.count("*").alias("n"))
@@ -244,15 +247,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     parts = components(every)
     counts = every.select(F.col("a").alias("cls")).unionAll(every.select(F.col("b").alias("cls"))).groupBy("cls").agg(
         F.count("*").alias("n_links"))
-    named = classes.select("cls", F.col("least").alias("id")).join(parts.withColumnRenamed("node", "cls"), "cls", "left")
+    named = classes.select("cls", "row", F.col("least").alias("id")).join(parts.withColumnRenamed("node", "cls"), "cls", "left")
     named = stored(named.withColumn("component", F.coalesce("component", "cls")), "named")
-    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"), F.min("row").alias("first"))
     final = stored(named.select("cls", "component").join(smallest, "component").join(counts, "cls", "left")
-                   .select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "final")
+                   .select("cls", "component_id", "first", F.coalesce("n_links", F.lit(0)).alias("n_links")), "final")
     out = base.select("id", "th", "size", "cls").join(final, "cls", "left")
     return out.select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("th").alias("text_hash"),
+        (F.col("first").isNull() | (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")))).alias("survivor"),
     ).withColumn("kept", F.when(F.col("component_id").isNull(), F.lit(True)).otherwise(
         F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False))))
 

@@ -41,7 +41,8 @@ def op2_warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_minhash_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are 0.85 alike or more."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_range_join_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +119,62 @@ select id as page_id, n as payload_bytes, digest as payload_digest,
        case when n >= 100 and id > first then 'revisit' else 'response' end as record_type,
        case when n >= 100 and id > first then first end as refers_to
 from r""",
+    "op3_minhash_documents": """
+with recursive d as (select row_number() over () as r, doc_id::bigint as id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+            lambda x: x <> '') as w from documents),
+     s as (select r, list_distinct(case when len(w) < 3 then list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+            else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as s from d),
+     c as (select s, min(r) as c, len(s) as n from (select r, list_sort(s) as s from s) group by s),
+     g as (select c, n, unnest(s) as g from c),
+     l as (select x.c as a, y.c as b from g x join g y on x.g = y.g and x.c <> y.c and x.n * 100 >= y.n * 85 and y.n * 100 >= x.n * 85
+           group by x.c, y.c, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+     t as (select c as a, c as b from c union select t.a, l.b from t join l on t.b = l.a),
+     m as (select s.r, c.c, c.n from s join c on list_sort(s.s) = c.s),
+     k as (select m.c, min(d.id) as id from m join d on m.r = d.r group by m.c),
+     o as (select t.a as c, min(k.id) as component from t join k on t.b = k.c group by t.a)
+select d.id as doc_id, m.n::bigint as n_shingles, case when m.n = 0 then d.id else o.component end as component_id,
+       coalesce(d.id = case when m.n = 0 then d.id else o.component end, m.n = 0 or o.component is null) as kept
+from d join m on d.r = m.r join o on m.c = o.c""",
+    "op4_range_join_embeddings": """
+with recursive e as (select row_number() over () as r, vec_id::bigint as id, embedding::double[] as v,
+            embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0 as fine from embeddings),
+     l as (select a.r as a, b.r as b from e a join e b on a.r <> b.r and a.fine and b.fine and len(a.v) = len(b.v)
+           where list_cosine_similarity(a.v, b.v) >= 0.95),
+     t as (select r as a, r as b from e union select t.a, l.b from t join l on t.b = l.a),
+     n as (select a, count(*) as n from l group by a),
+     o as (select t.a as r, min(e.id) as component from t join e on t.b = e.r group by t.a)
+select e.id as vec_id, coalesce(n.n, 0)::bigint as n_links, o.component as component_id, coalesce(e.id = o.component, true) as kept
+from e join o on e.r = o.r left join n on e.r = n.a""",
+    "op5_repeated_passages": """
+with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+     r as (select row_number() over () as r, doc_id, w, len(w) as n from d),
+     s as (select r, unnest(range(1, n - 33)) as i, w from r where n >= 35),
+     g as (select r, i, md5(array_to_string(w[i:i + 34], ' ')) as h from s),
+     m as (select r, i from (select r, i, count(*) over (partition by h) as k from g) where k > 1),
+     c as (select distinct r, i + j as p from m, (select unnest(range(0, 35)) as j)),
+     a as (select r, list(p) as gone from c group by r),
+     k as (select r.doc_id, r.n, coalesce(len(gone), 0) as n_removed,
+                  case when gone is null then w else list_filter(w, lambda x, i: not list_contains(gone, i)) end as kept
+           from r left join a on r.r = a.r)
+select doc_id::bigint as doc_id, n::bigint as n_words, n_removed::bigint as n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from k""",
+    "op8_repeated_strings": """
+with d as (select row_number() over () as r, doc_id::bigint as id, coalesce(doc_id::bigint, 9223372036854775807) as age,
+                  hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, ''))::bigint as n from documents),
+     c as (select r, age, n, b, substring(h, 2 * b + 1, 2098) as x from (select *, unnest(range(0, n, 1000)) as b from d)),
+     w as (select r, age, b + i as s, md5(substring(x, 2 * i + 1, 100)) as g
+           from (select r, age, b, x, unnest(range(0, least(1000, n - b - 49))) as i from c)),
+     f as (select w.r, w.s from w join (select g, min(age) as m from w group by g having min(age) < max(age)) o on w.g = o.g where m < age),
+     i as (select r, s, sum(fresh) over (partition by r order by s) as k
+           from (select r, s, coalesce((s > lag(s) over (partition by r order by s) + 50)::int, 1) as fresh from f)),
+     z as (select *, coalesce(lag(e) over (partition by r order by k), 0) as q
+           from (select r, k, min(s) as s, max(s) + 50 as e from i group by r, k)),
+     y as (select z.r, count(*) as spans, sum(z.e - z.s) as removed, max(z.e) as last,
+                  string_agg(substring(d.h, 2 * z.q + 1, 2 * (z.s - z.q)), '' order by z.k) as kept from z join d on z.r = d.r group by z.r)
+select d.id as doc_id, d.n as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
+       sha256(unhex(case when y.r is null then h else kept || substring(h, 2 * last + 1) end)) as kept_sha256
+from d left join y on d.r = y.r""",
     "op11_hard_negatives": """
 with e as (select row_number() over () as r, vec_id::bigint as id,
                   case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,

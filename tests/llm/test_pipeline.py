@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablestream.llm.queries import QUERIES, table, tokenizer
@@ -90,6 +91,27 @@ def passages_cut(before, after, spark, window=35):
 check = {"toxicity": toxic_went, "minhash_near_dedup": one_of_each_group, "substring_dedup": passages_cut}
 
 
+def test_one_near_copy_stays_without_ids(spark, docs_of):
+    words = [f"word{i}" for i in range(80)]
+    near = [" ".join(words + [end]) for end in ("alpha", "beta", "gamma")]
+    other = [" ".join(f"{w}{k}" for w in words) for k in range(4)]
+    rows = ([(None, t) for t in near] + [(7, other[0] + " x"), (7, other[0] + " y")] + [(None, other[1] + " x"), (9, other[1] + " y")]
+            + [(None, other[2])] * 3 + [(None, None), (None, ""), (8, None)])
+    kept = corpus_pipeline.drop_near_copies(spark, docs_of(rows).withColumn("cls", F.lit(1)).withColumn("survivor", F.lit(False)), SF).collect()
+    got = sorted((str(r["doc_id"]), r["text"] or "") for r in kept)
+    groups = [[("None", t) for t in near], [("7", other[0] + " x"), ("7", other[0] + " y")], [("9", other[1] + " y")], [("None", other[2])]]
+    for g in groups:
+        assert sum(x in g for x in got) == 1
+    assert [x for x in got if not x[1]].count(("8", "")) == 1 and len(got) == 4 + len([x for x in got if not x[1]])
+
+
+def test_empty_table_gives_no_rows(spark, docs_of):
+    docs = docs_of([])
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), name)
+        assert docs.count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES) + ["pipeline"])
 def test_queries_run(spark, name):
     run = corpus_pipeline.run if name == "pipeline" else QUERIES[name]
