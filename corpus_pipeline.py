@@ -4,7 +4,9 @@ that occur elsewhere are cut out, and what is left is packed into token sequence
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept; its result
 is written as Parquet in the shared folder and read again as the next stage's ``docs``.  All but the
 last return the columns of ``documents``.  Documents are told apart by ``doc_id`` and text: equal rows
-count as copies, and one of them stays.
+count as copies, and one of them stays.  Missing and repeated ids are allowed; null and empty texts
+are nobody's copy and are packed as their end token; texts of any length are read whole; columns beyond
+those of ``documents`` are dropped; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,10 +35,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group with shingles of five words 0.8 alike or more.
-    Of equal rows one stays; near copies without an id all stay."""
+    """One document, that with the smallest id, of each group with shingles of five words 0.8 alike or
+    more.  Where the smallest id is missing or repeated, the text hash decides; of equal rows one stays."""
     rows = docs.select(COLUMNS)
-    kept = minhash.near_duplicates(rows, words=5, num=80, den=100).filter("kept").select("doc_id", "text_hash").distinct()
+    kept = minhash.near_duplicates(rows, words=5, num=80, den=100).filter("survivor").select("doc_id", "text_hash").distinct()
     left = _chosen(rows, stored(kept, "kept"), "left_semi")
     return left.dropDuplicates(["doc_id", "text"])
 
