@@ -1,10 +1,15 @@
 """Repeated byte strings by merging Burrows-Wheeler transforms.
 
-A string of ``LENGTH`` bytes can only recur where its seed recurs: of the runs of ``SEED`` bytes in it,
+Of equal texts only those of the smallest document are searched: every string of the later ones stands
+in it, so they go whole (or stay, if shorter than ``LENGTH``).
+
+A string of ``LENGTH`` bytes can only recur where its seed recurs: of the runs of ``seed`` bytes in it,
 the one with the smallest hash.  Stretches of documents around seeds that several documents hold are
 cut into contexts, one per anchor (a shorter run chosen the same way), so that equal strings come
-under one anchor; equal contexts become one, with the smallest document that has it.  Contexts are
-dealt into blocks by anchor.
+under one anchor; equal contexts become one, with the smallest and largest document that has it.
+Contexts are dealt into blocks by anchor.  An anchor whose contexts all come from documents of one age
+has nothing to remove, and one with a single distinct context is decided by its smallest document.
+The contexts of all other anchors are merged.
 
 In a block the contexts form shards.  Each shard is suffix-sorted by itself and gives its transform.
 The transforms are then merged by iterative refinement of the interleave: in each round a stable
@@ -19,7 +24,8 @@ contexts of their own, dealt by their hash.
 
 Texts count as UTF-8 bytes, null as empty; matches never cross documents.  Rows with one id are the
 same age, so neither removes anything from the other; a null id counts as larger than every id.
-Extra columns are ignored; an empty table gives no rows.
+Texts of any length are searched whole, one text in memory at a time beside its batch.  Extra columns
+are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chosen, gram_hashes, mixed, release, stored, window_minima
-from .rlz import _gathered
 
 LENGTH = 50
 BLOCK_BYTES = 4 << 20
@@ -49,7 +55,7 @@ class Sizes:
     def __init__(self, length: int):
         self.length = length
         self.seed = max(1, length // 2 - 1)
-        self.anchor = max(1, length // 6)
+        self.anchor = max(1, length // 3)
         self.seeds = length - self.seed + 1  # seed positions in a string
         self.anchors = length - self.anchor + 1
 
@@ -59,61 +65,77 @@ def _minima(raw: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, window_minima(grams, w)
 
 
+def _lists(offsets: np.ndarray, **columns: np.ndarray) -> pa.ListArray:
+    """Lists of structs with the given fields."""
+    fields = [pa.array(c) for c in columns.values()]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(fields, list(columns)))
+
+
 def _seeds(rows: DataFrame, z: Sizes) -> DataFrame:
     """Each seed of each document once."""
+    def made(seeds: list, sizes: list, ages: list, hashes: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds)), pa.array(np.repeat(np.array(ages, np.int64), sizes)),
+                                           pa.array(np.repeat(np.array(hashes, np.int64), sizes))], ["seed", "age", "th"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                raw = np.frombuffer(batch.column("raw")[i].as_buffer(), np.uint8)
-                grams, minima = _minima(raw, z.seed, z.seeds)
-                seeds = np.unique(grams[chosen(grams, minima, z.seeds)]).view(np.int64)
-                n = len(seeds)
-                if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(seeds), pa.repeat(batch.column("age")[i], n),
-                                                      pa.repeat(batch.column("th")[i], n)], ["seed", "age", "th"])
-    return rows.select("age", "th", "raw").mapInArrow(_gathered(run), "seed long, age long, th long")
-
-
-_CONTEXT = pa.struct([("route", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
-_CUT = pa.schema([("id", pa.int64()), ("age", pa.int64()), ("th", pa.int64()), ("n_bytes", pa.int64()),
-                  ("kept_sha256", pa.string()), ("raw", pa.binary()), ("contexts", pa.list_(_CONTEXT))])
+            ages, hashes = batch.column("age").to_numpy(), batch.column("th").to_numpy()
+            seeds, sizes, at = [], [], []
+            for i, buf in enumerate(batch.column("raw")):
+                grams, minima = _minima(np.frombuffer(buf.as_buffer(), np.uint8), z.seed, z.seeds)
+                seeds.append(np.unique(grams[chosen(grams, minima, z.seeds)]).view(np.int64))
+                sizes.append(len(seeds[-1]))
+                at.append(i)
+                if sum(sizes) >= 50_000 or i == len(batch) - 1:
+                    yield made(seeds, sizes, ages[at], hashes[at])
+                    seeds, sizes, at = [], [], []
+    return rows.select("age", "th", "raw").mapInArrow(run, "seed long, age long, th long")
 
 
 def _contexts(rows: DataFrame, z: Sizes) -> DataFrame:
     """Contexts of every document around its recurring seeds; texts without any are finished here."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                row = {c: batch.column(c)[i].as_py() for c in ("id", "age", "th")}
-                buf, hits = batch.column("raw")[i], batch.column("hits")[i]
+            hits, raws = batch.column("hits"), batch.column("raw")
+            bound, seeds = hits.offsets.to_numpy(), hits.values.to_numpy(zero_copy_only=False)
+            found, sizes, digests = [], np.zeros(len(batch), np.int64), []
+            for i, buf in enumerate(raws):
                 raw = np.frombuffer(buf.as_buffer(), np.uint8)
-                row["n_bytes"] = len(raw)
-                found = _runs(raw, np.asarray(hits.values), z) if hits.is_valid else []
-                if found:
-                    row |= {"raw": buf.as_py(), "contexts": found}
-                else:
-                    row["kept_sha256"] = hashlib.sha256(raw).hexdigest()
-                yield pa.RecordBatch.from_pylist([row], schema=_CUT)
-    return rows.mapInArrow(_gathered(run, 2000), "id long, age long, th long, n_bytes long, kept_sha256 string, "
+                runs = _runs(raw, seeds[bound[i]:bound[i + 1]], z) if bound[i] < bound[i + 1] else _NO_RUNS
+                sizes[i] = len(runs[0])
+                digests.append(None if sizes[i] else hashlib.sha256(raw).hexdigest())
+                found.append(runs)
+            route, start, n = (np.concatenate([f[c] for f in found]) if found else _NO_RUNS[c] for c in range(3))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("id", "age", "th")]
+                + [pc.binary_length(raws).cast(pa.int64()), pa.array(digests, pa.string()),
+                   pc.if_else(pa.array(sizes > 0), raws, pa.scalar(None, raws.type)),
+                   _lists(np.concatenate([[0], np.cumsum(sizes)]), route=route, start=start, n=n)],
+                ["id", "age", "th", "n_bytes", "kept_sha256", "raw", "contexts"])
+    return rows.mapInArrow(run, "id long, age long, th long, n_bytes long, kept_sha256 string, "
                            "raw binary, contexts array<struct<route:long,start:int,n:int>>")
 
 
-def _runs(raw: np.ndarray, hits: np.ndarray, z: Sizes) -> list[dict]:
+_NO_RUNS = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+
+
+def _runs(raw: np.ndarray, hits: np.ndarray, z: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first string and number of strings of each context."""
     _, minima = _minima(raw, z.seed, z.seeds)
     starts = np.flatnonzero(np.isin(minima.view(np.int64), hits))
     if not len(starts):
-        return []
+        return _NO_RUNS
     _, route = _minima(raw, z.anchor, z.anchors)
     route = route[starts].view(np.int64)
     new = np.ones(len(starts), bool)
     new[1:] = (np.diff(starts) != 1) | (route[1:] != route[:-1])
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(starts)))
-    out = []
-    for f, n in zip(first.tolist(), size.tolist()):
-        for a in range(0, n, z.anchors):  # longer runs only where one anchor value recurs
-            out.append({"route": int(route[f]), "start": int(starts[f]) + a, "n": min(z.anchors, n - a)})
-    return out
+    pieces = -(-size // z.anchors)  # longer runs only where one anchor value recurs
+    of = np.repeat(np.arange(len(first)), pieces)
+    skip = (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * z.anchors
+    return (route[first][of], (starts[first][of] + skip).astype(np.int32),
+            np.minimum(z.anchors, size[of] - skip).astype(np.int32))
 
 
 def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,8 +198,9 @@ def merged_intervals(transforms: list[np.ndarray], strings: list[int], depth: in
     return rows, interval
 
 
-def smallest_ages(contexts: list[bytes], ages: np.ndarray, length: int) -> list[np.ndarray]:
-    """For every start of a whole string in each context, the smallest age of the contexts holding it."""
+def smallest_ages(contexts: list[bytes], ages: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every start of a whole string in each context, the smallest age of the contexts holding it, and
+    the context of each start."""
     transforms, strings, string, offset = [], [], [], []
     for a in range(0, len(contexts), SHARD_STRINGS):
         part = contexts[a:a + SHARD_STRINGS]
@@ -190,26 +213,43 @@ def smallest_ages(contexts: list[bytes], ages: np.ndarray, length: int) -> list[
     rank = np.unique(ages, return_inverse=True)[1].astype(np.int32)
     rows, interval = merged_intervals(transforms, strings, length, rank[string])
     starts = np.array([len(c) - length + 1 for c in contexts])
-    base = np.concatenate([[0], np.cumsum(starts)])
+    base = np.cumsum(starts) - starts
     flat = np.repeat(ages, starts)  # strings outside the interleave have no other age
     if len(rows):
         begin = np.flatnonzero(np.diff(interval, prepend=interval[0] - 1))
         least = np.repeat(np.minimum.reduceat(ages[string[rows]], begin), np.diff(np.append(begin, len(rows))))
         flat[base[string[rows]] + offset[rows]] = least
-    return [flat[a:b] for a, b in zip(base, base[1:])]
+    return flat, np.repeat(np.arange(len(contexts)), starts)
 
 
 def _decided(units: DataFrame, length: int) -> DataFrame:
-    """Runs of equal smallest age over the strings of every context."""
+    """Runs of equal smallest age over the strings of every context, where that is below its largest."""
     def run(table: pa.Table) -> pa.Table:
-        contexts, ages = table.column("context").to_pylist(), table.column("age").to_numpy()
-        runs = []
-        for least in smallest_ages(contexts, ages, length):
-            first = np.flatnonzero(np.diff(least, prepend=least[0] - 1))
-            last = np.append(first[1:], len(least))
-            runs.append([{"a": a, "b": b, "age": g} for a, b, g in zip(first.tolist(), last.tolist(), least[first].tolist())])
-        return pa.table({"route": table.column("route"), "ck": table.column("ck"), "runs": pa.array(
-            runs, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("age", pa.int64())])))})
+        contexts = table.column("context").to_pylist()
+        route, lo, hi = (table.column(c).to_numpy() for c in ("route", "lo", "hi"))
+        _, of, count = np.unique(route, return_inverse=True, return_counts=True)
+        least, most = np.full(len(count), LAST), np.full(len(count), -LAST - 1)
+        np.minimum.at(least, of, lo)
+        np.maximum.at(most, of, hi)
+        alone = np.flatnonzero((count[of] == 1) & (lo < hi))
+        several = np.flatnonzero(((count > 1) & (least < most))[of])
+        own, a, b, age = alone, np.zeros(len(alone), np.int64), np.array([len(contexts[i]) - length + 1 for i in alone], np.int64), lo[alone]
+        if len(several):
+            flat, place = smallest_ages([contexts[i] for i in several], lo[several], length)
+            new = np.diff(place, prepend=-1) != 0
+            begin = np.flatnonzero(new)
+            new[1:] |= flat[1:] != flat[:-1]
+            first = np.flatnonzero(new)
+            place, flat = place[first], flat[first]
+            last = np.append(first[1:], len(new))
+            keep = flat < hi[several[place]]
+            own = np.concatenate([own, several[place[keep]]])
+            a = np.concatenate([a, (first - begin[place])[keep]])
+            b = np.concatenate([b, (last - begin[place])[keep]])
+            age = np.concatenate([age, flat[keep]])
+        first = np.flatnonzero(np.diff(own, prepend=-1) != 0)
+        return table.select(["route", "ck"]).take(pa.array(own[first])).append_column("runs", pa.chunked_array([
+            _lists(np.append(first, len(own)), a=a.astype(np.int32), b=b.astype(np.int32), age=age)]))
 
     total = units.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     blocks = int(total // BLOCK_BYTES) + 1
@@ -223,19 +263,24 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
     spark, z = docs.sparkSession, Sizes(length)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
         "id", F.coalesce("id", F.lit(LAST)).alias("age"), F.xxhash64("text").alias("th"), F.encode("text", "UTF-8").alias("raw"))
-    seeds = stored(_seeds(rows, z), "seeds")
+    texts = rows.select("age", "th", F.sha2("raw", 256).alias("digest"))
+    copied = texts.groupBy("digest").agg(F.min("age").alias("lo"), F.max("age").alias("hi")).filter("lo < hi")
+    later = stored(texts.join(copied, "digest").filter("age > lo").select("age", "th").distinct(), "later")
+    fresh = rows.join(later, ["age", "th"], "left_anti")
+    # made twice rather than stored: the seeds take several times the room of their texts
+    seeds = _seeds(fresh, z)
     index = stored(seeds.groupBy("seed").agg(F.min("age").alias("lo"), F.max("age").alias("hi"))
                    .filter("lo < hi").select("seed"), "index")
     release(spark)
     hits = stored(seeds.join(index, "seed").groupBy("age", "th").agg(F.collect_set("seed").alias("hits")), "hits")
     release(spark)
-    cut = stored(_contexts(rows.join(hits, ["age", "th"], "left").select("id", "age", "th", "raw", "hits"), z), "cut")
+    cut = stored(_contexts(fresh.join(hits, ["age", "th"], "left").select("id", "age", "th", "raw", "hits"), z), "cut")
     release(spark)
 
     found = cut.filter("raw is not null")
     each = found.select("age", "th", "raw", F.explode("contexts").alias("c")).select(
         "age", "th", "c.route", "c.start", "c.n", "raw")
-    hot = stored(each.groupBy("route").agg(F.count("*").alias("k")).filter(F.col("k") > HOT).select(
+    hot = stored(found.select(F.explode("contexts.route").alias("route")).groupBy("route").agg(F.count("*").alias("k")).filter(F.col("k") > HOT).select(
         "route", F.lit(True).alias("hot")), "hot")
     each = each.select("age", "th", "route", "start", "n",
                        F.substring("raw", F.col("start") + 1, F.col("n") + (length - 1)).alias("context"))
@@ -246,7 +291,8 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
                            F.substring("context", F.col("i") + 1, F.lit(length)).alias("context"))
     single = single.select("age", "th", F.xxhash64("context", F.lit(1)).alias("route"), "start", "context")
     each = plain.unionByName(single).withColumn("ck", F.xxhash64("context"))
-    units = stored(each.groupBy("route", "ck").agg(F.first("context").alias("context"), F.min("age").alias("age")), "units")
+    units = stored(each.groupBy("route", "ck").agg(F.first("context").alias("context"), F.min("age").alias("lo"),
+                                                      F.max("age").alias("hi")), "units")
     release(spark)
     decided = stored(_decided(units, length), "decided")
     release(spark)
@@ -254,35 +300,48 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
         F.filter("runs", lambda r: r["age"] < F.col("age")),
         lambda r: F.struct((F.col("start") + r["a"]).alias("s"), (F.col("start") + r["b"] + (length - 1)).alias("e"))).alias("spans"))
     spans = stored(spans.filter(F.size("spans") > 0).groupBy("age", "th").agg(
-        F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")), "spans")
+        F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans")), "spans")
     release(spark)
     done = _removed(found.join(spans, ["age", "th"], "left").select("id", "raw", "spans"))
     none = F.array().cast("array<struct<s:int,e:int>>")
     whole = cut.filter("raw is null").select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
                                              F.lit(0).cast("long").alias("n_spans"), "kept_sha256",
                                              F.lit(None).cast("binary").alias("kept"), none.alias("spans"))
-    return done.unionAll(whole).withColumnRenamed("id", id_col)
+    gone = F.octet_length("raw") >= length
+    copies = rows.join(later, ["age", "th"], "left_semi").select(
+        "id", F.octet_length("raw").cast("long").alias("n_bytes"),
+        F.when(gone, F.octet_length("raw")).otherwise(0).cast("long").alias("n_removed"), gone.cast("long").alias("n_spans"),
+        F.sha2(F.when(gone, F.lit(b"")).otherwise(F.col("raw")), 256).alias("kept_sha256"),
+        F.when(gone, F.lit(b"")).alias("kept"),
+        F.when(gone, F.array(F.struct(F.lit(0).alias("s"), F.octet_length("raw").alias("e")))).otherwise(none).alias("spans"))
+    return done.unionAll(whole).unionAll(copies).withColumnRenamed("id", id_col)
 
 
 def _removed(rows: DataFrame) -> DataFrame:
-    schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                        ("kept_sha256", pa.string()), ("kept", pa.binary()),
-                        ("spans", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                raw = row["raw"]
-                step = np.zeros(len(raw) + 1, np.int32)
-                if row["spans"]:
-                    np.add.at(step, [s["s"] for s in row["spans"]], 1)
-                    np.add.at(step, [s["e"] for s in row["spans"]], -1)
-                gone = np.cumsum(step)[:-1] > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))).tolist()
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                yield pa.RecordBatch.from_pylist([{
-                    "id": row["id"], "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": len(edge) // 2,
-                    "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept if edge else None,
-                    "spans": [{"s": s, "e": e} for s, e in zip(edge[::2], edge[1::2])]}], schema=schema)
-    return rows.mapInArrow(_gathered(run, 2000), "id long, n_bytes long, n_removed long, n_spans long, "
+            bound = batch.column("spans").offsets.to_numpy()
+            starts, ends = (batch.column("spans").values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "e"))
+            sizes, digests, kept, begins, finishes = [], [], [], [_NO_RUNS[1]], [_NO_RUNS[1]]
+            for i, buf in enumerate(batch.column("raw")):
+                raw, s, e = buf.as_buffer(), starts[bound[i]:bound[i + 1]], ends[bound[i]:bound[i + 1]]
+                order = np.argsort(s, kind="stable")
+                s, e = s[order], np.maximum.accumulate(e[order])
+                new = np.flatnonzero(np.append(True, s[1:] > e[:-1])) if len(s) else order
+                begins.append(s[new])
+                finishes.append(e[np.append(new[1:], len(s)) - 1] if len(s) else e)
+                sizes.append(len(new))
+                edges = [0, *np.stack([begins[-1], finishes[-1]], 1).ravel().tolist(), len(raw)]
+                left = b"".join(raw[a:b].to_pybytes() for a, b in zip(edges[::2], edges[1::2]))
+                digests.append(hashlib.sha256(left).hexdigest())
+                kept.append(left if len(new) else None)
+            begin, finish = np.concatenate(begins), np.concatenate(finishes)
+            cuts = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
+            taken = np.concatenate([[0], np.cumsum((finish - begin).astype(np.int64))])[cuts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pc.binary_length(batch.column("raw")).cast(pa.int64()), pa.array(np.diff(taken)),
+                 pa.array(np.diff(cuts)), pa.array(digests, pa.string()), pa.array(kept, pa.binary()),
+                 _lists(cuts, s=begin, e=finish)],
+                ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
+    return rows.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, "
                            "kept_sha256 string, kept binary, spans array<struct<s:int,e:int>>")
