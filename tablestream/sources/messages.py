@@ -59,13 +59,15 @@ def file_positions(df: DataFrame) -> DataFrame:
     from parts that are: the rank of the file path, the split's byte offset,
     and the line's index inside its split (rows of a split are contiguous in
     a task, so ``monotonically_increasing_id`` minus the split's first id).
-    Only the file list and the split list (one row each) are aggregated.
+    Only the file list and the split list (one row each) are aggregated; they are
+    broadcast, so lines stay in the task that read their split: a join on the file
+    would send all of a file, whatever its size, to one task.
     """
     d = df.withColumn("_m", F.monotonically_increasing_id())
     files = d.select("_file").distinct().withColumn(
         "_fi", F.dense_rank().over(Window.orderBy("_file")) - 1)
     splits = d.groupBy("_file", "_block").agg(F.min("_m").alias("_m0"))
-    j = d.join(files, "_file").join(splits, ["_file", "_block"])
+    j = d.join(F.broadcast(files), "_file").join(F.broadcast(splits), ["_file", "_block"])
     pos = F.col("_fi") * F.lit(FILE_SPAN) + F.col("_block") + (F.col("_m") - F.col("_m0"))
     return j.select(pos.cast("bigint").alias("pos"), "line", "_file")
 

@@ -46,6 +46,30 @@ def test_read_log_from_files(spark, scratch):
     assert sorted(r.pos for r in M.parse(log).collect()) == [96, 97, 98, 99, 100]  # own "pos" wins
 
 
+def test_lines_of_a_file_are_not_sent_to_one_task(spark, scratch):
+    os.makedirs(f"{scratch}/wide")
+    for name in "ab":
+        with open(f"{scratch}/wide/{name}.jsonl", "w") as f:
+            f.writelines(f"{name}{i:05d}\n" for i in range(4000))
+    # as in a micro-batch of large files: no adaptive plan, and nothing small enough to broadcast unasked
+    large = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in large}
+    for k, v in large.items():
+        spark.conf.set(k, v)
+    try:
+        log = M.read_log(spark, f"{scratch}/wide").withColumn("task", F.spark_partition_id())
+        got = sorted(log.collect(), key=lambda r: r.pos)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert [r.line for r in got] == [f"{n}{i:05d}" for n in "ab" for i in range(4000)]   # file, then line order
+    sizes = {}
+    for r in got:
+        sizes[r.task] = sizes.get(r.task, 0) + 1
+    assert len(sizes) >= 8 and max(sizes.values()) <= 1000   # split by split, however large a file is
+
+
 def test_orphans_and_schema_in_force(spark):
     msgs = [record_msg("a", {"id": 0}), schema_msg("a", SCHEMA, ["id"]), record_msg("a", {"id": 1}),
             record_msg("b", {"id": 2}), schema_msg("a", SCHEMA, ["id"]), record_msg("a", {"id": 3})]
