@@ -9,6 +9,7 @@ order against records is exact.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,15 +60,18 @@ def json_scalar(c: Column) -> Column:
     return arr.substr(F.lit(2), F.length(arr) - 2)
 
 
-def log_of(df: DataFrame, pos: Column, line: Column) -> DataFrame:
-    return spread(df).select(pos.cast("bigint").alias("pos"), line.alias("line"))
+def log_of(df: DataFrame, pos: Column, line: Column, derived: bool = False) -> DataFrame:
+    """``(pos, line)`` of the rows.  ``derived`` rows come out of a join or an aggregate: they lie in the
+    partitions of its shuffle, and asking for their number would run it once more."""
+    rows = df if derived else spread(df)
+    return rows.select(pos.cast("bigint").alias("pos"), line.alias("line"))
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Give a source with fewer partitions than cores one partition per core.
 
     The driver tables are single small files (one task); a real log arrives
-    in many files and is left alone.
+    in many files and is left alone.  Only for rows read as they are (see :func:`log_of`).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
@@ -86,15 +90,18 @@ def _line_structs(spark, sf_dir) -> DataFrame:
 
 
 def order_docs(spark: SparkSession, sf_dir: str, lines_filter: Column | None = None) -> DataFrame:
-    """One document per order: order fields, customer object, sorted ``lines`` array."""
+    """One document per order: order fields, customer object, sorted ``lines`` array.
+
+    Orders meet their customer before their lines, so the arrays are shuffled once, by order.
+    """
     ls = _line_structs(spark, sf_dir)
     if lines_filter is not None:
         ls = ls.filter(lines_filter)
     lines = ls.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
-    j = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left") \
-              .join(cust, orders.o_custkey == cust.c_custkey, "left")
+    j = orders.join(cust, orders.o_custkey == cust.c_custkey, "left") \
+              .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
     rec = F.struct(
         F.col("o_orderkey"), F.col("o_totalprice"), iso_utc(F.col("o_orderdate")).alias("o_orderdate"),
         F.when(F.col("c_custkey").isNotNull(),
@@ -108,17 +115,19 @@ def materialized(df: DataFrame) -> DataFrame:
 
     Logs that need an aggregation to build (D1, D5) are read by several jobs
     (schema lookup, version scan, load); in production they arrive as files,
-    so they are materialised once here instead of being re-derived per job.
+    so they are materialised once here instead of being re-derived per job: as
+    compressed Parquet, of which a job reads the columns it needs.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    at = f"{checkpoint_dir(df.sparkSession)}/log-{uuid.uuid4().hex[:10]}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
 def order_log(spark: SparkSession, sf_dir: str, sequence: int = 1) -> DataFrame:
     """SCHEMA + one RECORD per order (materialised once)."""
     docs = order_docs(spark, sf_dir)
     recs = log_of(docs, F.col("o_orderkey") * 10,
-                  record_line("orders", F.col("record"), sequence=F.lit(sequence)))
+                  record_line("orders", F.col("record"), sequence=F.lit(sequence)), derived=True)
     head = spark.range(1).select(F.lit(-5).cast("bigint").alias("pos"),
                                  schema_line("orders", S.ORDERS, ["o_orderkey"]).alias("line"))
     return materialized(head.unionByName(recs))
@@ -162,16 +171,16 @@ def event_log(spark: SparkSession, sf_dir: str, broken: bool = False, states: bo
     if schemas == "first":
         first = ev.groupBy("event_type").agg(F.min("event_id").alias("m"))
         parts.append(log_of(first, F.col("m") * 10 - 5,
-                            schema_line(F.col("event_type"), S.EVENTS, ["user_id"])))
+                            schema_line(F.col("event_type"), S.EVENTS, ["user_id"]), derived=True))
     elif schemas == "late":
         first = ev.groupBy("event_type").agg(F.min("event_id").alias("m"))
         parts.append(log_of(first, (F.col("m") + 50) * 10 - 5,
-                            schema_line(F.col("event_type"), S.EVENTS, ["user_id"])))
+                            schema_line(F.col("event_type"), S.EVENTS, ["user_id"]), derived=True))
     elif schemas == "blocks":
         first = ev.groupBy("event_type", (F.col("event_id") / 1000).cast("bigint").alias("b")) \
                   .agg(F.min("event_id").alias("m"))
         parts.append(log_of(first, F.col("m") * 10 - 5,
-                            schema_line(F.col("event_type"), S.EVENTS, ["user_id"])))
+                            schema_line(F.col("event_type"), S.EVENTS, ["user_id"]), derived=True))
     if states:
         st = ev.filter(F.col("event_id") % 100 == 99)
         parts.append(log_of(st, F.col("event_id") * 10 + 5, state_line(F.col("event_id"))))
@@ -223,7 +232,7 @@ def conversation_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = conversation_docs(spark, sf_dir)
     return materialized(log_of(docs, F.col("conv_id") * 10, record_line("conversations", F.col("record"),
-                                                                        sequence=F.lit(1))))
+                                                                        sequence=F.lit(1)), derived=True))
 
 
 # ----------------------------------------------------------------- D6 split load

@@ -127,7 +127,7 @@ def load_documents(spark, d):
     rec = F.struct("doc_id", "text", "lang", "source", "n_chars",
                    F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(),
                           F.struct("quality", "toxic")).alias("labels"))
-    log = I.log_of(j, F.col("doc_id") * 10, I.record_line("documents", rec, sequence=F.lit(1)))
+    log = I.log_of(j, F.col("doc_id") * 10, I.record_line("documents", rec, sequence=F.lit(1)), derived=True)
     root = tables_from_log(log, "documents", S.DOCUMENT_TEXTS, ["doc_id"], batched_at=BATCHED_AT)[("documents",)]
     return root.select("doc_id", "text", "lang", "source", "n_chars", "labels__quality", "labels__toxic")
 
@@ -263,11 +263,12 @@ def latest_per_key(spark, d):
 
 def latest_child_rows(spark, d):
     base = I.order_docs(spark, d)
-    first = I.log_of(base, F.col("o_orderkey") * 10, I.record_line("orders", F.col("record"), sequence=F.lit(1)))
+    first = I.log_of(base, F.col("o_orderkey") * 10, I.record_line("orders", F.col("record"), sequence=F.lit(1)),
+                     derived=True)
     again = base.filter(F.col("o_orderstatus") == "F").withColumn(
         "record", F.col("record").withField("lines", F.reverse(F.col("record.lines"))))
     second = I.log_of(again, F.col("o_orderkey") * 10 + 1,
-                      I.record_line("orders", F.col("record"), sequence=F.lit(2)))
+                      I.record_line("orders", F.col("record"), sequence=F.lit(2)), derived=True)
     tabs = tables_from_log(I.materialized(first.unionByName(second)), "orders", S.ORDERS, ["o_orderkey"],
                            batched_at=BATCHED_AT)
     kids = tabs[("orders", "lines")]
@@ -321,7 +322,7 @@ def upsert_children(spark, d):
                          F.col("record").withField("lines", F.slice(F.col("record.lines"), 1, 0)))
         .otherwise(F.col("record")))
     log = I.materialized(I.log_of(resend, F.col("o_orderkey") * 10 + 1,
-                                  I.record_line("orders", F.col("record"), sequence=F.lit(2))))
+                                  I.record_line("orders", F.col("record"), sequence=F.lit(2)), derived=True))
     inc = tables_from_log(log, "orders", S.ORDERS, keys, batched_at=BATCHED_AT, materialize=True)
     dec = merge.parent_decisions(base[("orders",)], inc[("orders",)], keys)
     kids = merge.upsert_children(base[("orders", "lines")], inc[("orders", "lines")], pk,
