@@ -18,6 +18,7 @@ NUMBER_TAGS = ("DECIMAL", "DOUBLE", "FLOAT")
 BOOLEAN_TAGS = ("BOOLEAN",)
 STRING_TAGS = ("STRING",)
 NULL_TAGS = ("VOID",)
+WIDE_INTEGER = r"^DECIMAL\((19|[2-3][0-9]),0\)$"
 
 
 def json_path(path: tuple[str, ...] | list[str]) -> str:
@@ -54,20 +55,43 @@ def json_type_of_schema(s: Column) -> Column:
     reported as an integer, so it is rejected by range rather than silently
     stored as a number.
     """
-    return (F.when(s.isin(*INTEGER_TAGS), F.lit(js.INTEGER))
-            .when(s.startswith("DECIMAL"),
-                  F.when(s.rlike(r"^DECIMAL\((19|[2-3][0-9]),0\)$"), F.lit(js.INTEGER)).otherwise(F.lit(js.NUMBER)))
-            .when(s.isin("DOUBLE", "FLOAT"), F.lit(js.NUMBER))
-            .when(s == "BOOLEAN", F.lit(js.BOOLEAN))
-            .when(s == "STRING", F.lit(js.STRING))
-            .when(s.startswith("ARRAY"), F.lit(js.ARRAY))
-            .when(s.startswith("OBJECT"), F.lit(js.OBJECT))
-            .otherwise(F.lit(js.NULL)))
-
-
-def as_array(v: Column) -> Column:
-    """``array<variant>`` when the value is a JSON array, else NULL."""
-    return F.try_variant_get(v, "$", "array<variant>")
+    wide = s.startswith("DECIMAL") & s.rlike(WIDE_INTEGER)
+    tag = F.substring_index(F.substring_index(s, "<", 1), "(", 1)
+    return F.coalesce(F.when(wide, F.lit(js.INTEGER)), F.element_at(_types_by_tag(), tag), F.lit(js.NULL))
+
+
+def _types_by_tag() -> Column:
+    """One literal map (a loop in generated code) instead of a branch per tag; see :func:`is_integer`."""
+    names = {js.INTEGER: INTEGER_TAGS, js.NUMBER: NUMBER_TAGS, js.BOOLEAN: BOOLEAN_TAGS, js.STRING: STRING_TAGS,
+             js.ARRAY: ("ARRAY",), js.OBJECT: ("OBJECT",)}
+    return F.create_map(*[F.lit(x) for kind, tags in names.items() for tag in tags for x in (tag, kind)])
+
+
+def is_integer(s: Column) -> Column:
+    """Whether a ``schema_of_variant`` string is that of an integer (as in :func:`json_type_of_schema`, in far
+    less generated code: methods above 8000 bytes are never compiled by the JVM)."""
+    return s.isin(*INTEGER_TAGS) | s.rlike(WIDE_INTEGER)
+
+
+def is_numeric(s: Column) -> Column:
+    """Whether a ``schema_of_variant`` string is that of a number or an integer."""
+    return s.isin(*INTEGER_TAGS, "DOUBLE", "FLOAT") | s.startswith("DECIMAL")
+
+
+def is_kind(s: Column, kind: str) -> Column:
+    """Whether a ``schema_of_variant`` string is of a literal type; integers are numbers too."""
+    if kind == js.INTEGER:
+        return is_integer(s)
+    if kind == js.NUMBER:
+        return is_numeric(s)
+    if kind in (js.BOOLEAN, js.STRING):
+        return s == kind.upper()
+    return json_type_of_schema(s) == kind
+
+
+def as_array(v: Column, path: tuple[str, ...] = ()) -> Column:
+    """``array<variant>`` when the value (at ``path``) is a JSON array, else NULL."""
+    return F.try_variant_get(v, json_path(path), "array<variant>")
 
 
 def typed(v: Column, kind: str) -> Column:

@@ -87,7 +87,7 @@ class _Leaf:
         """Layout columns fed by this leaf, plus an 'unplaced' flag."""
         if not self.maps:
             return [], None
-        x, kind = F.col(self.v), F.col(self.k)
+        x, kind, s = F.col(self.v), F.col(self.k), F.col(self.s)
         text = F.col(self.x) if self.needs_text else None
         parsed = F.col(self.t) if self.has_dt else None
         missing = kind == js.NULL
@@ -95,21 +95,21 @@ class _Leaf:
         placed: list[Column] = []
         for suffix, m in self.by_suffix.items():
             if suffix == "i":
-                cond = (kind == js.INTEGER) & V.typed(x, js.INTEGER).isNotNull()
-                val = F.when(cond, V.typed(x, js.INTEGER))
+                val = F.when(V.is_integer(s), V.typed(x, js.INTEGER))
+                cond = V.is_integer(s) & V.typed(x, js.INTEGER).isNotNull()
             elif suffix == "f":
-                cond = kind.isin(js.NUMBER, js.INTEGER)
+                cond = V.is_numeric(s)
                 if "i" in self.by_suffix:   # integers too wide for their own column come here
-                    cond = (kind == js.NUMBER) | (kind == js.INTEGER) & V.typed(x, js.INTEGER).isNull()
+                    cond = cond & (~V.is_integer(s) | V.typed(x, js.INTEGER).isNull())
                 val = F.when(cond, V.typed(x, js.NUMBER))
             elif suffix == "b":
-                cond = kind == js.BOOLEAN
+                cond = V.is_kind(s, js.BOOLEAN)
                 val = F.when(cond, V.typed(x, js.BOOLEAN))
             elif suffix == "t":
-                cond = (kind == js.STRING) & parsed.isNotNull()
-                val = F.when(cond, parsed)
+                cond = V.is_kind(s, js.STRING) & parsed.isNotNull()
+                val = F.when(V.is_kind(s, js.STRING), parsed)
             elif suffix == "s":
-                cond = kind == js.STRING
+                cond = V.is_kind(s, js.STRING)
                 if parsed is not None:
                     cond = cond & parsed.isNull()
                 val = null_literal(F.when(cond, text), null_text)
@@ -177,8 +177,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
             src = F.col(k)
         else:   # typed only when the runtime type is the key's declared type
             kv, kind = V.at(rec, (k,)), _kind_of(m)
-            ok = V.json_type(kv).isin(kind, js.INTEGER) if kind == js.NUMBER else V.json_type(kv) == kind
-            src = F.when(ok, V.typed(kv, kind))
+            src = F.when(V.is_kind(F.schema_of_variant(kv), kind), V.typed(kv, kind))
         carry.append(src.cast(_spark_type(m) if m else "string").alias(carried_as[SOURCE_KEY_PREFIX + k]))
     seq = (F.col(SEQUENCE) if SEQUENCE in meta else V.typed(V.at(rec, (SEQUENCE,)), js.INTEGER)).cast("bigint")
 
@@ -205,7 +204,7 @@ def apply_schema(records: DataFrame, plans: list[TablePlan],
                 rel_in = rel if i == 0 else element_path(plan, rel)
                 lvl = LEVEL_FMT.format(i)
                 df = df.select(*[F.col(c) for c in df.columns if c != ELEMENT],
-                               F.posexplode(V.as_array(V.at(F.col(ELEMENT), rel_in))).alias(lvl, ELEMENT))
+                               F.posexplode(V.as_array(F.col(ELEMENT), rel_in)).alias(lvl, ELEMENT))
                 df = df.withColumn(lvl, F.col(lvl).cast("bigint"))
             cols = []
             for name in plan.carried:
