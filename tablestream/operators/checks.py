@@ -78,6 +78,23 @@ def _no_multiple(x: Column, num: Column, step: float) -> Column:
     return F.when(plain, (F.length(fraction) > places) | (exact % divisor != 0)).otherwise(by_double)
 
 
+ARRAY_RULES = ("items", "minItems", "maxItems", "uniqueItems")
+NAME_RULES = ("additionalProperties", "patternProperties", "minProperties", "maxProperties")
+
+
+def _entries(x: Column) -> Column:
+    return F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
+
+
+class _Staged:
+    """A value held as columns: itself, its type and, where rules look at them, its items and entries; its
+    properties by name."""
+
+    def __init__(self, value: Column, kind: Column, items: Column | None, entries: Column | None):
+        self.value, self.kind, self.items, self.entries = value, kind, items, entries
+        self.below: dict[str, _Staged] = {}
+
+
 class _Compiler:
     def __init__(self, root: dict):
         self.root = root
@@ -91,13 +108,13 @@ class _Compiler:
             node = js.resolve_ref(self.root, node["$ref"])
         return node
 
-    def violations(self, node: dict, x: Column, where: str, kind: Column | None = None) -> list[Column]:
+    def violations(self, node: dict, x: Column, where: str, staged: _Staged | None = None) -> list[Column]:
         """``when(<violated>, reason)`` columns for value ``x`` (present values only).
 
-        ``kind`` may be a pre-computed type column for ``x`` (see :func:`validate`).
+        ``staged`` may hold pre-computed columns of ``x`` (see :func:`validate`).
         """
         node = self.resolve(node)
-        kind = V.json_type(x) if kind is None else kind
+        kind = V.json_type(x) if staged is None else staged.kind
         present = x.isNotNull()
         out: list[Column] = []
         label = where or "record"
@@ -141,22 +158,17 @@ class _Compiler:
         is_obj = kind == js.OBJECT
         props = node.get("properties", {})
         for name in node.get("required", []):
-            rule(is_obj & V.at(x, (name,)).isNull(), f"{name} is required")
-        out.extend(self._object_rules(node, x, is_obj, label))
-        staged = getattr(self, "staged", {}) if where == "" else {}
+            rule(is_obj & self._field(x, name, staged).isNull(), f"{name} is required")
+        out.extend(self._object_rules(node, x, is_obj, label, staged))
         for name, sub in props.items():
             label_n = f"{where}.{name}" if where else name
-            if name in staged:
-                v, k = staged[name]
-                inner = self.violations(sub, v, label_n, k)
-            else:
-                inner = self.violations(sub, V.at(x, (name,)), label_n)
+            inner = self.violations(sub, self._field(x, name, staged), label_n, staged.below.get(name) if staged else None)
             out.extend(F.when(is_obj, c) for c in inner)
-        out.extend(self._array_rules(node, x, kind == js.ARRAY, label))
+        out.extend(self._array_rules(node, x, kind == js.ARRAY, label, staged))
         for sub in node.get("allOf", []):
-            out.extend(self.violations(sub, x, where))
+            out.extend(self.violations(sub, x, where, staged))
         def matches(sub: dict) -> Column:
-            return ~self._any(self.violations(sub, x, where, kind))
+            return ~self._any(self.violations(sub, x, where, staged))
 
         if "anyOf" in node:
             rule(~reduce(or_, map(matches, node["anyOf"])), "matches no anyOf branch")
@@ -167,10 +179,15 @@ class _Compiler:
             rule(matches(node["not"]), "matches the schema under not")
         return out
 
-    def _object_rules(self, node: dict, x: Column, is_obj: Column, label: str) -> list[Column]:
+    @staticmethod
+    def _field(x: Column, name: str, staged: _Staged | None) -> Column:
+        return staged.below[name].value if staged and name in staged.below else V.at(x, (name,))
+
+    def _object_rules(self, node: dict, x: Column, is_obj: Column, label: str,
+                      staged: _Staged | None = None) -> list[Column]:
         """Rules on the set of names an object holds and on undeclared fields."""
         declared, patterns = list(node.get("properties", {})), node.get("patternProperties", {})
-        entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
+        entries = _entries(x) if staged is None or staged.entries is None else staged.entries
         out: list[Column] = []
 
         def rule(cond: Column, reason: str) -> None:
@@ -197,17 +214,18 @@ class _Compiler:
         if "maxProperties" in node:
             rule(F.size(entries) > node["maxProperties"], f"more than {node['maxProperties']} properties")
         for name, needs in node.get("dependencies", {}).items():
-            has = V.at(x, (name,)).isNotNull()
+            has = self._field(x, name, staged).isNotNull()
             if isinstance(needs, list):
                 for other in needs:
-                    rule(has & V.at(x, (other,)).isNull(), f"{name} needs {other}")
+                    rule(has & self._field(x, other, staged).isNull(), f"{name} needs {other}")
             else:
-                rule(has & self._any(self.violations(needs, x, label)), f"{name} needs what it depends on")
+                rule(has & self._any(self.violations(needs, x, label, staged)), f"{name} needs what it depends on")
         return out
 
-    def _array_rules(self, node: dict, x: Column, is_arr: Column, label: str) -> list[Column]:
+    def _array_rules(self, node: dict, x: Column, is_arr: Column, label: str,
+                     staged: _Staged | None = None) -> list[Column]:
         """Rules on the items of an array and their number."""
-        arr = V.as_array(x)
+        arr = V.as_array(x) if staged is None or staged.items is None else staged.items
         out: list[Column] = []
 
         def rule(cond: Column, reason: str) -> None:
@@ -246,35 +264,51 @@ class _Compiler:
         return F.exists(F.array(*cols), lambda r: r.isNotNull())
 
 
-def reasons(schema: dict, record: Column, staged: dict | None = None, kind: Column | None = None) -> Column:
+def reasons(schema: dict, record: Column, staged: _Staged | None = None) -> Column:
     """``array<string>`` of violated rules for ``record`` (empty = valid)."""
-    comp = _Compiler(schema)
-    comp.staged = staged or {}
-    cols = comp.violations(schema, record, "", kind)
+    cols = _Compiler(schema).violations(schema, record, "", staged)
     if not cols:
         return F.array().cast("array<string>")
     return F.filter(F.array(*cols), lambda r: r.isNotNull())
 
 
+def _stage(df: DataFrame, schema: dict, record: Column) -> tuple[DataFrame, _Staged]:
+    """``df`` with the columns of :class:`_Staged` for the record and every property its schema declares, one
+    level of nesting after the other.  The columns added start with ``__c``."""
+    comp, top, n = _Compiler(schema), None, 0
+    level = [(None, "", comp.resolve(schema), record)]
+    while level:
+        ids = range(n, n := n + len(level))
+        df = df.select("*", *[x.alias(f"__cv{i}") for i, (*_, x) in zip(ids, level)])
+        df = df.select("*", *[F.schema_of_variant(f"__cv{i}").alias(f"__cs{i}") for i in ids])
+        kinds, below = [], []
+        for i, (parent, name, node, _) in zip(ids, level):
+            x, node = F.col(f"__cv{i}"), node if isinstance(node, dict) else {}
+            kinds.append(V.json_type_of_schema(F.col(f"__cs{i}")).alias(f"__ck{i}"))
+            items, entries = any(k in node for k in ARRAY_RULES), any(k in node for k in NAME_RULES)
+            if items:
+                kinds.append(V.as_array(x).alias(f"__ca{i}"))
+            if entries:
+                kinds.append(_entries(x).alias(f"__ce{i}"))
+            held = _Staged(x, F.col(f"__ck{i}"), F.col(f"__ca{i}") if items else None, F.col(f"__ce{i}") if entries else None)
+            if parent is None:
+                top = held
+            else:
+                parent.below[name] = held
+            below += [(held, p, comp.resolve(sub), V.at(x, (p,))) for p, sub in node.get("properties", {}).items()]
+        df, level = df.select("*", *kinds), below
+    return df, top
+
+
 def validate(records: DataFrame, schema: dict, record_col: str = "record") -> DataFrame:
     """``records`` plus ``_reasons``; ``size(_reasons) == 0`` means valid.
 
-    The record's and each top-level property's value and runtime type are
-    materialised as columns first, so every rule reads them instead of
-    re-deriving the type per rule.
+    The values, runtime types, items and entries that rules look at are materialised
+    as columns first, for declared properties at every depth: the rules are evaluated
+    one by one inside an array, where nothing that two of them share is computed once.
     """
-    root = _Compiler(schema).resolve(schema)
-    names = list(root.get("properties", {})) if isinstance(root, dict) else []
-    rec = F.col(record_col)
-    vals = [V.at(rec, (n,)).alias(f"__cv{i}") for i, n in enumerate(names)]
-    df = records.select("*", *vals)
-    df = df.select("*", F.schema_of_variant(rec).alias("__cs"),
-                   *[F.schema_of_variant(F.col(f"__cv{i}")).alias(f"__cs{i}") for i in range(len(names))])
-    df = df.select("*", V.json_type_of_schema(F.col("__cs")).alias("__ck"),
-                   *[V.json_type_of_schema(F.col(f"__cs{i}")).alias(f"__ck{i}") for i in range(len(names))])
-    staged = {n: (F.col(f"__cv{i}"), F.col(f"__ck{i}")) for i, n in enumerate(names)}
-    tmp = ["__cs", "__ck"] + [f"__c{x}{i}" for i in range(len(names)) for x in "vsk"]
-    out = df.withColumn(REASONS, reasons(schema, rec, staged, F.col("__ck"))).drop(*tmp)
+    df, staged = _stage(records, schema, F.col(record_col))
+    out = df.withColumn(REASONS, reasons(schema, staged.value, staged)).select(*records.columns, REASONS)
     return compute_once(out)   # split_valid / counts filter on the reasons
 
 

@@ -1,7 +1,14 @@
 """Physical-plan guards for the scale properties the design relies on."""
 
-from tablestream.loader import tables_from_log
-from tablestream.operators import merge, stamp
+import contextlib
+import io
+import re
+
+from pyspark.sql import functions as F
+
+from tablestream.catalog import schemas as S
+from tablestream.loader import stream_records, tables_from_log
+from tablestream.operators import checks, merge, stamp
 from tablestream.sources import messages as M
 
 from samples import DOCUMENT, ORDERS, document
@@ -64,3 +71,35 @@ def test_schema_in_force_parses_and_shuffles_the_log_once(spark):
     assert final.count("parseJson") == 1 and "ReusedExchange" in final
     # records once; the bucket-level table for its window and for the join
     assert sum("Exchange hashpartitioning" in ln for ln in final.split("\n")) <= 3
+
+
+def _method_sizes(df) -> list[int]:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+
+
+def _order_log(spark):
+    lines = [{c: 1 for c in S.ORDERS["properties"]["lines"]["items"]["properties"]}]
+    record = {"o_orderkey": 5, "o_totalprice": 2000.0, "customer": {"c_name": "Customer5"}, "lines": lines}
+    return log_df(spark, [schema_msg("orders", S.ORDERS, ["o_orderkey"]), record_msg("orders", record, sequence=1)])
+
+
+def test_generated_methods_of_order_tables_are_small_enough_to_be_compiled(spark):
+    """The JVM interprets methods above 8000 bytes for good."""
+    log = _order_log(spark)
+    for df in tables_from_log(log, "orders").values():
+        assert 0 < max(_method_sizes(df)) < 8000
+    checked = checks.validate(stream_records(log, "orders"), S.ORDER_RULES)
+    assert 0 < max(_method_sizes(checked)) < 8000
+
+
+def test_rules_read_items_entries_and_nested_types_from_columns(spark):
+    recs = stream_records(_order_log(spark), "orders")
+    _, staged = checks._stage(recs, S.ORDER_RULES, F.col("record"))
+    rules = str(checks.reasons(S.ORDER_RULES, staged.value, staged))
+    for work in ("schema_of_variant", "map_entries", "array<variant>", '["c_name"]'):
+        assert work not in rules
+    assert [r[0] for r in checks.validate(recs, S.ORDER_RULES).select(checks.REASONS).collect()] == [
+        ["customer: c_name needs c_mktsegment"]]
