@@ -9,14 +9,13 @@ order against records is exact.
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import iso_utc
-from ..session import checkpoint_dir
+from ..session import stored
 from . import schemas as S
 
 
@@ -118,9 +117,7 @@ def materialized(df: DataFrame) -> DataFrame:
     so they are materialised once here instead of being re-derived per job: as
     compressed Parquet, of which a job reads the columns it needs.
     """
-    at = f"{checkpoint_dir(df.sparkSession)}/log-{uuid.uuid4().hex[:10]}"
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    return stored(df, "log")
 
 
 def order_log(spark: SparkSession, sf_dir: str, sequence: int = 1) -> DataFrame:

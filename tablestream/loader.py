@@ -46,8 +46,9 @@ def tables_from_records(records: DataFrame, stream: str, schema: dict, keys: lis
     """Plan, filter, stamp (and validate) ``records``; flatten every table.
 
     With ``materialize`` the stamped records are written once to the shared
-    checkpoint folder (``spark.checkpoint.dir``), so the root and every child
-    table read parsed records instead of re-parsing the log each.
+    checkpoint folder (``spark.checkpoint.dir``) as Parquet, so the root and every
+    child table read the columns they need of parsed records instead of re-parsing
+    the log each.
     """
     plans = plan_tables(stream, schema, keys)
     layouts = layouts or default_layouts(plans)
@@ -59,8 +60,7 @@ def tables_from_records(records: DataFrame, stream: str, schema: dict, keys: lis
     if validate:
         recs, _ = checks.split_valid(checks.validate(recs, schema))
     if materialize:
-        session.checkpoint_dir(recs.sparkSession)
-        recs = recs.drop("line").checkpoint(eager=True)
+        recs = session.stored(recs.drop("line"), "records")
     return apply_schema(recs, plans, layouts, keep=keep), plans, layouts
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job needs: UTC wall clock for date-times, and JSON parsing
 # where a repeated key keeps its last value (plain JSON-object semantics).
@@ -57,3 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder as Parquet and read back."""
+    at = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex[:10]}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

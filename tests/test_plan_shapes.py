@@ -103,3 +103,10 @@ def test_rules_read_items_entries_and_nested_types_from_columns(spark):
         assert work not in rules
     assert [r[0] for r in checks.validate(recs, S.ORDER_RULES).select(checks.REASONS).collect()] == [
         ["customer: c_name needs c_mktsegment"]]
+
+
+def test_materialized_records_are_read_by_column(spark):
+    tabs = tables_from_log(_order_log(spark), "orders", materialize=True)
+    plan = tabs[("orders", "lines")]._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" not in plan and "line_bytes" not in plan.split("ReadSchema")[-1]
+    assert tabs[("orders", "lines")].count() == 1
