@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,19 @@ def slices(texts: list, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+_MEMORY: dict[str, object] = {}
+
+
+def worker_memory(key: str, make: Callable[[], object]):
+    """What a worker remembers for an operator, made when it is first asked for.  Workers outlive
+    stages: what the operator before has left goes first, so that a worker holds one at a time."""
+    if key not in _MEMORY:
+        _MEMORY.clear()
+        pa.default_memory_pool().release_unused()
+        _MEMORY[key] = make()
+    return _MEMORY[key]
+
+
 class WordHashes(dict):
     """64-bit hash of a word (bytes), remembered for the worker's later rows."""
 

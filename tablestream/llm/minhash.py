@@ -30,14 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, gram_hashes, slices, stored
+from .common import WordHashes, gram_hashes, slices, stored, worker_memory
 from .graph import components
 
 SKETCH = 32
 SHARED = 14
 PAIRS = 20_000  # a hub's group with more open pairs is compared in blocks
 BLOCK = 512
-_HASHES: dict[int, WordHashes] = {}
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -45,7 +44,7 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     split = text.encode().lower().split()
     if not split:
         return np.zeros(0, np.int64)
-    h = _HASHES.setdefault(3, WordHashes(3)).of(split)
+    h = worker_memory("minhash", lambda: WordHashes(3)).of(split)
     return np.unique(gram_hashes(h, min(words, len(h))).view(np.int64))
 
 

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, worker_memory
 
 END_ID = 1
 SEQ_LEN = 2048
 GROUP_DOCS = 1024
-CHUNK_ENTRIES = 1_000_000  # remembered chunks of a worker: a memory bound, never a cap on results
+CHUNK_ENTRIES = 500_000  # remembered chunks of a worker: a memory bound, never a cap on results
 # fixed value: how a byte-level tokenizer cuts a text into pieces
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -74,8 +74,8 @@ class ByteBpe:
             return b""
         first, *rest = text.split(" ")
         later = self.later
-        if len(later) > CHUNK_ENTRIES:
-            later.clear()
+        if len(later) >= CHUNK_ENTRIES // 2:
+            later.turn()
         return _ids(self.core, first) + b"".join(map(later.__getitem__, rest))
 
 
@@ -84,24 +84,26 @@ def _ids(core, text: str) -> bytes:
 
 
 class _Chunks(dict):
+    """Chunks asked for since the last turn; those of the turn before come back when asked for again,
+    so frequent ones stay when the others go."""
+
     def __init__(self, core, before: str):
         super().__init__()
-        self.core, self.before = core, before
+        self.core, self.before, self.older = core, before, {}
+
+    def turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = _ids(self.core, self.before + chunk)
+        ids = self.older.get(chunk) or _ids(self.core, self.before + chunk)
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
 
 
-_BPE: dict[str, ByteBpe] = {}
-
-
 def byte_bpe(path: str) -> ByteBpe:
-    if path not in _BPE:
-        _BPE[path] = ByteBpe(path)
-    return _BPE[path]
+    return worker_memory(f"packing {path}", lambda: ByteBpe(path))
 
 
 class TournamentTree:

@@ -27,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chosen, gram_hashes, release, stored, window_minima
+from .common import WordHashes, chosen, gram_hashes, release, stored, window_minima, worker_memory
 
 WINDOW = 35
-_HASHES: dict[int, WordHashes] = {}
 
 
 def seed_words(window: int) -> int:
@@ -44,7 +43,7 @@ class Words:
     def __init__(self, text: str, window: int):
         self.words = text.encode().split()
         self.window, self.k = window, seed_words(window)
-        self.h = _HASHES.setdefault(5, WordHashes(5)).of(self.words)
+        self.h = worker_memory("rlz", lambda: WordHashes(5)).of(self.words)
         self.grams = gram_hashes(self.h, self.k)
         self.minima = window_minima(self.grams, window - self.k + 1)
 

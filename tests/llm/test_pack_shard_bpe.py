@@ -48,6 +48,21 @@ def test_pack_pieces_rebuild_every_document(docs_of, rows):
             assert sum(len(p) for _, p in pieces) == copies * len(want)
 
 
+def test_remembered_chunks_stay_within_their_bound(monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_ENTRIES", 200)
+    bpe = packing.ByteBpe(tokenizer("byte_bpe_50k.json"))
+    later, most, frequent = bpe.later, 0, 0
+    for i in range(400):
+        text = f"the same words and number{i} other{i} new{i}"
+        ids = bpe.encode([text])[0]
+        if i % 50 == 0:
+            assert ids == np.asarray(library_ids("byte_bpe_50k.json", text)[1], np.uint32).tobytes()
+        most = max(most, len(later) + len(getattr(later, "older", {})))
+        frequent += "same" in later
+    assert most <= 200 + 10
+    assert frequent == 400
+
+
 def test_first_fit_decreasing_takes_the_first_bin_with_room():
     tree = packing.TournamentTree(10, 4)
     assert tree.first(10) == 0

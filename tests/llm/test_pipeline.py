@@ -105,6 +105,27 @@ def test_one_near_copy_stays_without_ids(spark, docs_of):
     assert [x for x in got if not x[1]].count(("8", "")) == 1 and len(got) == 4 + len([x for x in got if not x[1]])
 
 
+def test_a_worker_remembers_one_operator_at_a_time(spark):
+    """What the operators of earlier stages remember in a worker goes when the next one starts."""
+    text = " ".join(f"seldom{i}" for i in range(5000))
+
+    def run(batches):
+        import gc
+        import pyarrow as pa
+        from tablestream.llm import common, minhash, packing, rlz
+        bpe = tokenizer("byte_bpe_50k.json")
+        for _ in batches:
+            pass
+        held = []
+        for use in (lambda: minhash.shingle_set(text, 5), lambda: rlz.Words(text, 35), lambda: packing.byte_bpe(bpe).encode([text])):
+            use()
+            held.append(sum(len(x) >= 5000 for x in gc.get_objects() if isinstance(x, common.WordHashes)))
+        yield pa.RecordBatch.from_pydict({"held": held})
+
+    held = [r["held"] for r in spark.range(1).repartition(1).mapInArrow(run, "held long").collect()]
+    assert held == [1, 1, 0]
+
+
 def test_empty_table_gives_no_rows(spark, docs_of):
     docs = docs_of([])
     for name, stage in corpus_pipeline.STAGES:
