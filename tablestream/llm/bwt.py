@@ -13,14 +13,15 @@ The contexts of all other anchors are merged.
 
 In a block the contexts form shards.  Each shard is suffix-sorted by itself and gives its transform.
 The transforms are then merged by iterative refinement of the interleave: in each round a stable
-distribution by symbol extends, for all suffixes at once, the prefix by which they are ordered, and
+distribution by two symbols extends, for all suffixes at once, the prefix by which they are ordered, and
 carries along the intervals of suffixes with equal prefixes; an interval whose suffixes all come from
 documents of one age is decided and leaves the interleave.  No suffix is compared again.  After
-``LENGTH`` rounds an interval holds the suffixes whose common prefix has that length, and its smallest
+``LENGTH`` symbols an interval holds the suffixes whose common prefix has that length, and its smallest
 document decides for every string in it.
 
-An anchor with more than ``HOT`` contexts would make one block too large; its strings then become
-contexts of their own, dealt by their hash.
+An anchor with more than ``HOT`` distinct contexts would make one block too large; their strings then
+become contexts of their own, dealt by their hash, and what is decided on them goes back to the contexts
+they stand in.  How often a context occurs is no matter.
 
 Texts count as UTF-8 bytes, null as empty; matches never cross documents.  Rows with one id are the
 same age, so neither removes anything from the other; a null id counts as larger than every id.
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chosen, gram_hashes, mixed, release, stored, window_minima
@@ -122,7 +123,11 @@ _NO_RUNS = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
 def _runs(raw: np.ndarray, hits: np.ndarray, z: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, first string and number of strings of each context."""
     _, minima = _minima(raw, z.seed, z.seeds)
-    starts = np.flatnonzero(np.isin(minima.view(np.int64), hits))
+    # neighbouring strings mostly share their seed: each stretch of equal ones is looked up once
+    first = np.flatnonzero(np.append(True, minima[1:] != minima[:-1])) if len(minima) else _NO_RUNS[0]
+    found, seeds = np.sort(hits), minima[first].view(np.int64)
+    known = found[np.minimum(np.searchsorted(found, seeds), len(found) - 1)] == seeds
+    starts = np.flatnonzero(np.repeat(known, np.diff(np.append(first, len(minima)))))
     if not len(starts):
         return _NO_RUNS
     _, route = _minima(raw, z.anchor, z.anchors)
@@ -180,8 +185,13 @@ def merged_intervals(transforms: list[np.ndarray], strings: list[int], depth: in
     symbols, longer = np.concatenate(transforms), preceding_rows(transforms, strings)
     rows = np.arange(len(symbols), dtype=np.int32)
     interval = np.zeros(len(symbols), np.int32)
-    for _ in range(depth):
-        s = symbols[rows]
+    steps = [(symbols, longer)] * (depth % 2)
+    if depth > 1:  # two symbols a round: the farther one decides first
+        inner = longer >= 0
+        two = np.where(inner, symbols[longer], 0).astype(np.uint16)
+        steps += [(np.where(two > 0, (two << 8) | symbols, 0).astype(np.uint16), np.where(inner, longer[longer], -1))] * (depth // 2)
+    for symbol, longer in steps:
+        s = symbol[rows]
         source = np.argsort(s, kind="stable")
         source = source[np.searchsorted(s[source], 1):]  # symbol 0 leads to no suffix
         if not len(source):
@@ -189,11 +199,12 @@ def merged_intervals(transforms: list[np.ndarray], strings: list[int], depth: in
         c, before, rows = s[source], interval[source], longer[rows[source]]
         new = np.ones(len(rows), bool)
         new[1:] = (c[1:] != c[:-1]) | (before[1:] != before[:-1])
-        begin = np.flatnonzero(new)
         interval = np.cumsum(new, dtype=np.int32) - 1
         if age is not None:
             a = age[rows]
-            keep = (np.minimum.reduceat(a, begin) != np.maximum.reduceat(a, begin))[interval]
+            mixed_ages = np.zeros(interval[-1] + 1, bool)
+            mixed_ages[interval[1:][(a[1:] != a[:-1]) & ~new[1:]]] = True
+            keep = mixed_ages[interval]
             rows, interval = rows[keep], interval[keep]
     return rows, interval
 
@@ -257,6 +268,11 @@ def _decided(units: DataFrame, length: int) -> DataFrame:
             .groupBy("block").applyInArrow(run, "route long, ck long, runs array<struct<a:int,b:int,age:long>>"))
 
 
+def _distinct(each: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """Each context of an anchor once, with the smallest and largest age of the documents that have it."""
+    return each.groupBy("route", "ck").agg(F.first("context").alias("context"), lo.alias("lo"), hi.alias("hi"))
+
+
 def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept``
     (remaining bytes; null where nothing is removed) and ``spans`` (byte ranges removed)."""
@@ -280,27 +296,29 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
     found = cut.filter("raw is not null")
     each = found.select("age", "th", "raw", F.explode("contexts").alias("c")).select(
         "age", "th", "c.route", "c.start", "c.n", "raw")
-    hot = stored(found.select(F.explode("contexts.route").alias("route")).groupBy("route").agg(F.count("*").alias("k")).filter(F.col("k") > HOT).select(
-        "route", F.lit(True).alias("hot")), "hot")
-    each = each.select("age", "th", "route", "start", "n",
+    each = each.select("age", "th", "route", "start",
                        F.substring("raw", F.col("start") + 1, F.col("n") + (length - 1)).alias("context"))
-    each = each.join(hot, "route", "left")
-    plain = each.filter("hot is null").select("age", "th", "route", "start", "context")
-    single = each.filter("hot").select("age", "th", "start", "context", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    single = single.select("age", "th", (F.col("start") + F.col("i")).alias("start"),
-                           F.substring("context", F.col("i") + 1, F.lit(length)).alias("context"))
-    single = single.select("age", "th", F.xxhash64("context", F.lit(1)).alias("route"), "start", "context")
-    each = plain.unionByName(single).withColumn("ck", F.xxhash64("context"))
-    units = stored(each.groupBy("route", "ck").agg(F.first("context").alias("context"), F.min("age").alias("lo"),
-                                                      F.max("age").alias("hi")), "units")
+    each = each.withColumn("ck", F.xxhash64("context"))
+    units = stored(_distinct(each, F.min("age"), F.max("age")), "units")
     release(spark)
-    decided = stored(_decided(units, length), "decided")
+    hot = stored(units.groupBy("route").agg(F.count("*").alias("k")).filter(F.col("k") > HOT).select("route"), "hot")
+    single = units.join(hot, "route", "left_semi").select(
+        F.col("route").alias("of"), F.col("ck").alias("in"), "lo", "hi", "context",
+        F.explode(F.sequence(F.lit(0), F.octet_length("context") - length)).alias("i"))
+    single = single.withColumn("context", F.substring("context", F.col("i") + 1, F.lit(length))).select(
+        "of", "in", "i", "lo", "hi", F.xxhash64("context", F.lit(1)).alias("route"), "context", F.xxhash64("context").alias("ck"))
+    strings = stored(_distinct(single, F.min("lo"), F.max("hi")), "strings")
+    decided = stored(_decided(units.join(hot, "route", "left_anti").unionByName(strings), length), "pieces")
+    back = single.select("of", "in", "i", "route", "ck").join(decided, ["route", "ck"]).groupBy("of", "in").agg(
+        F.collect_list(F.struct(F.col("i").alias("a"), (F.col("i") + 1).alias("b"), F.col("runs")[0]["age"].alias("age"))).alias("runs"))
+    back = stored(back.select(F.col("of").alias("route"), F.col("in").alias("ck"), "runs"), "back")
+    decided = decided.unionByName(back)
     release(spark)
     spans = each.drop("context").join(decided, ["route", "ck"]).select("age", "th", F.transform(
         F.filter("runs", lambda r: r["age"] < F.col("age")),
         lambda r: F.struct((F.col("start") + r["a"]).alias("s"), (F.col("start") + r["b"] + (length - 1)).alias("e"))).alias("spans"))
     spans = stored(spans.filter(F.size("spans") > 0).groupBy("age", "th").agg(
-        F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans")), "spans")
+        F.flatten(F.collect_set("spans")).alias("spans")), "spans")
     release(spark)
     done = _removed(found.join(spans, ["age", "th"], "left").select("id", "raw", "spans"))
     none = F.array().cast("array<struct<s:int,e:int>>")

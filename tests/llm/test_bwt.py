@@ -59,7 +59,7 @@ def brute(rows, length):
     return out
 
 
-@pytest.mark.parametrize("length,hot,block", [(50, 20_000, 4 << 20), (12, 30, 2000)])
+@pytest.mark.parametrize("length,hot,block", [(50, 20_000, 4 << 20), (12, 30, 2000), (13, 1, 2000)])
 def test_repeated_strings_equal_brute_force(docs_of, sample_texts, monkeypatch, length, hot, block):
     monkeypatch.setattr(bwt, "HOT", hot)
     monkeypatch.setattr(bwt, "BLOCK_BYTES", block)
@@ -78,5 +78,19 @@ def test_repeated_strings_equal_brute_force(docs_of, sample_texts, monkeypatch,
     assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == want
 
 
+def test_copies_of_a_common_passage_are_not_cut_into_strings(docs_of, monkeypatch):
+    """A context counts once however many documents have it; only distinct ones make an anchor hot."""
+    monkeypatch.setattr(bwt, "HOT", 6)
+    rnd, made = random.Random(7), {}
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, passage if i < 2 else f"{i} " + "".join(rnd.choice("uvwxyz") for _ in range(70)) + passage + f" {i}") for i in range(40)]
+    write = bwt.stored
+    monkeypatch.setattr(bwt, "stored", lambda df, name: made.setdefault(name, write(df, name)))
+    out = bwt.repeated_strings(docs_of(rows)).collect()
+    want = sorted((i, *b) for (i, _), b in zip(rows, brute(rows, 50)))
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == want
+    assert made["decided" if "decided" in made else "pieces"].count() < 60
+
+
 def test_empty_table(docs_of):
     assert bwt.repeated_strings(docs_of([])).count() == 0
