@@ -50,15 +50,19 @@ def unsigned_crc32(col) -> F.Column:
 
 def slices(texts: list, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most ``max_bytes`` of text each (one row at least)."""
+    return cuts([len(t) if t else 0 for t in texts], max_bytes)
+
+
+def cuts(sizes: list[int], max_bytes: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of the given sizes with at most ``max_bytes`` each (one row at least)."""
     start, held = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(sizes):
         if held and held + n > max_bytes:
             yield start, i
             start, held = i, 0
         held += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 _MEMORY: dict[str, object] = {}

@@ -13,17 +13,18 @@ id; a null id is kept as null.  An empty table gives no rows.  Extra columns are
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, worker_memory
+from .common import cuts, worker_memory
 
 END_ID = 1
 SEQ_LEN = 2048
@@ -34,15 +35,18 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 
 class ByteBpe:
-    """Ids of a byte-level tokenizer file, with the ids of each blank-separated chunk remembered.
+    """Ids of a byte-level tokenizer file, worked out once for each blank-separated chunk of a batch.
 
     A token never reaches over a single blank that has other characters on both sides, so a text's
-    ids are those of its chunks in order.  New chunks are encoded from the file's own vocabulary as
-    byte ranks.  Texts with blanks beside other white space, letters beyond Latin, or the special
-    tokens' strings go to the tokenizers library whole; both ways give its ids.
+    ids are those of its chunks in order.  A batch's texts are split and their distinct chunks numbered
+    by Arrow; those chunks are encoded in one go, with the file's own vocabulary as byte ranks (few of
+    them: only those not remembered), and every text is put together from its chunks' numbers.  Texts with blanks beside other white
+    space, letters beyond Latin, or the special tokens' strings go to the tokenizers library whole;
+    both ways give its ids.
     """
 
-    odd = re.compile(r"\s\s|^\s|\s$|<\||[^\x00-\u024f]")
+    space = r"[\t-\r\x1c-\x20\x{85}\x{a0}]"
+    odd = rf"{space}{space}|^{space}|{space}$|<\||[^\x00-\x{{24f}}]"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,46 +64,83 @@ class ByteBpe:
         ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tok.get_vocab().items()
                  if t not in special}
         self.core = tiktoken.Encoding("file", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
-        self.later = _Chunks(self.core, " ")
+        self.begins = np.zeros(max(ranks.values()) + 1, bool)  # tokens that begin with a blank
+        self.begins[[i for t, i in ranks.items() if t[0] == 32]] = True
+        self.later = _Chunks()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        return [self._library(t) if self.odd.search(t) else self._chunked(t) for t in texts]
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_array(self, texts: pa.StringArray, end: bytes = b"") -> pa.BinaryArray:
+        """Ids of each text, followed by ``end``."""
+        odd = pc.match_substring_regex(texts, self.odd)
+        split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        bounds, chunks = split.offsets.to_numpy(), split.values.dictionary_encode()
+        words, codes = chunks.dictionary, chunks.indices.to_numpy().astype(np.int32)
+        first, n = bounds[:-1], len(texts)
+        own = [self._library(t) if o else self._ids(f) for t, o, f in
+               zip(texts.to_pylist() if pc.any(odd).as_py() else [None] * n, odd.to_pylist(),
+                   words.take(pa.array(codes[first])).to_pylist())]
+        later, used = np.ones(len(codes), bool), np.zeros(len(words), bool)
+        later[first] = False
+        used[codes[later]] = True
+        known = self._later(words.filter(pa.array(used)))
+        codes = (np.cumsum(used, dtype=np.int32) - 1)[codes]
+        codes[first] = len(known) + np.arange(n, dtype=np.int32)
+        codes = np.insert(codes, bounds[1:], len(known) + n)
+        bounds = bounds + np.arange(n + 1)
+        joined = pa.concat_arrays([known, pa.array([*own, end], pa.binary())]).take(pa.array(codes))
+        ends = np.frombuffer(joined.buffers()[1], np.int32)[bounds]
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), joined.buffers()[2]])
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _chunked(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        later = self.later
-        if len(later) >= CHUNK_ENTRIES // 2:
-            later.turn()
-        return _ids(self.core, first) + b"".join(map(later.__getitem__, rest))
-
-
-def _ids(core, text: str) -> bytes:
-    return array("I", core.encode_ordinary(text)).tobytes()
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.core.encode_ordinary(text)).tobytes()
+
+    def _later(self, chunks: pa.StringArray) -> pa.BinaryArray:
+        """Ids of distinct chunks that follow a blank, with that blank.  Looking up very many takes longer
+        than encoding them."""
+        if not len(chunks) or len(chunks) > CHUNK_ENTRIES // 8:
+            return self._with_blank(chunks)
+        names = chunks.to_pylist()
+        found = list(map(self.later.find, names))
+        new = [c for c, ids in zip(names, found) if ids is None]
+        made = iter(self._with_blank(pa.array(new, pa.string())).to_pylist())
+        found = [next(made) if ids is None else ids for ids in found]
+        self.later.keep(dict(zip(names, found)))
+        return pa.array(found, pa.binary())
+
+    def _with_blank(self, chunks: pa.StringArray) -> pa.BinaryArray:
+        """All chunks are encoded as one text, in which a token with a blank begins the next chunk."""
+        if not len(chunks):
+            return pa.array([], pa.binary())
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), " ")[0].as_py()
+        ids = np.asarray(self.core.encode_ordinary(" " + text), np.uint32)
+        ends = np.append(np.flatnonzero(self.begins[ids]), len(ids)).astype(np.int32) * 4
+        return pa.Array.from_buffers(pa.binary(), len(chunks), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
 
 
 class _Chunks(dict):
-    """Chunks asked for since the last turn; those of the turn before come back when asked for again,
-    so frequent ones stay when the others go."""
+    """Chunks met since the last turn; those of the turn before stay when they are met again, so
+    frequent ones stay when the others go."""
 
-    def __init__(self, core, before: str):
+    def __init__(self):
         super().__init__()
-        self.core, self.before, self.older = core, before, {}
+        self.older = {}
 
-    def turn(self) -> None:
-        self.older = dict(self)
-        self.clear()
+    def find(self, chunk: str) -> bytes | None:
+        return self.get(chunk) or self.older.get(chunk)
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk) or _ids(self.core, self.before + chunk)
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+    def keep(self, met: dict[str, bytes]) -> None:
+        most = CHUNK_ENTRIES // 2
+        if len(self) + sum(c not in self for c in met) > most:
+            self.older = dict(self)
+            self.clear()
+        short = ((c, ids) for c, ids in met.items() if len(c) <= 64)
+        self.update(islice(short, most))
 
 
 def byte_bpe(path: str) -> ByteBpe:
@@ -204,10 +245,9 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, group_doc
         bpe = byte_bpe(tokenizer_path)
         end = np.asarray([END_ID], np.uint32).tobytes()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(texts):
-                ids = pa.array([x + end for x in bpe.encode(texts[a:b])], pa.binary())
+            for a, b in cuts(pc.binary_length(batch.column("text")).to_pylist(), 8 << 20):
                 part = batch.slice(a, b - a)
+                ids = bpe.encode_array(part.column("text"), end)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("grp"), ids],
                                                  ["id", "grp", "ids"])
 

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,27 @@ def test_remembered_chunks_stay_within_their_bound(monkeypatch):
     assert frequent == 400
 
 
+def test_new_chunks_of_a_batch_are_encoded_in_one_go():
+    bpe = packing.ByteBpe(tokenizer("byte_bpe_50k.json"))
+    core, calls = bpe.core, []
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return core.encode_ordinary(text)
+
+    bpe.core = Counted()
+    texts = [f"Text {i} " + " ".join(f"wörd{j % (i + 1)}x{j}'s" for j in range(100)) for i in range(9)]
+    texts += ["", "one", "two ", "a  b", "日本 x", "x <|endoftext|> y", "a\x1c b", "\xa0q r", " z", "line\nend, x...\ny \x00 w",
+              "long" * 50 + " " + "long" * 50, "don't I'll we've 12 345 !? ¿qué?"]
+    want = [np.asarray(library_ids("byte_bpe_50k.json", t)[1], np.uint32).tobytes() for t in texts]
+    assert bpe.encode(texts) == want
+    assert len(calls) <= len(texts) + 1
+    assert bpe.encode(texts[::-1]) == want[::-1]
+    assert bpe.encode_array(pa.array(texts), b"endx").to_pylist() == [w + b"endx" for w in want]
+    assert bpe.encode([]) == []
+
+
 def test_first_fit_decreasing_takes_the_first_bin_with_room():
     tree = packing.TournamentTree(10, 4)
     assert tree.first(10) == 0
