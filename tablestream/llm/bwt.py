@@ -7,6 +7,8 @@ A string of ``LENGTH`` bytes can only recur where its seed recurs: of the runs o
 the one with the smallest hash.  Stretches of documents around seeds that several documents hold are
 cut into contexts, one per anchor (a shorter run chosen the same way), so that equal strings come
 under one anchor; equal contexts become one, with the smallest and largest document that has it.
+Seeds are made once: they travel into buckets as packed arrays of seeds and text hashes, and each bucket
+gives back, for every text, its seeds that other texts hold too.
 Contexts are dealt into blocks by anchor.  An anchor whose contexts all come from documents of one age
 has nothing to remove, and one with a single distinct context is decided by its smallest document.
 The contexts of all other anchors are merged.
@@ -40,12 +42,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chosen, gram_hashes, mixed, release, stored, window_minima
+from .common import chosen, cuts, gram_hashes, mixed, release, stored, window_minima
 
 LENGTH = 50
 BLOCK_BYTES = 4 << 20
 SHARD_STRINGS = 1000
 HOT = 20_000
+PART_BYTES = 256 << 10
+SLICE_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20  # of text
 LAST = (1 << 63) - 1
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -66,31 +71,100 @@ def _minima(raw: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, window_minima(grams, w)
 
 
+def _bytes(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column and where each value begins; the last place is their end."""
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[:bounds[-1]], bounds
+
+
+def _parts(column: pa.BinaryArray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First value, bytes, bounds and the places where strings begin, for parts of some hundred KB (one value
+    at least): the minima of a part are worked out at once, those of strings that cross values left out."""
+    raw, bounds = _bytes(column)
+    for a, b in cuts(np.diff(bounds).tolist(), PART_BYTES):
+        at = bounds[a:b + 1] - bounds[a]
+        whole = np.maximum(np.diff(at) - length + 1, 0)
+        inside = np.repeat(np.tile([True, False], b - a), np.stack([whole, np.diff(at) - whole], 1).ravel())
+        yield a, raw[bounds[a]:bounds[b]], at, inside[:max(0, at[-1] - length + 1)]
+
+
 def _lists(offsets: np.ndarray, **columns: np.ndarray) -> pa.ListArray:
     """Lists of structs with the given fields."""
     fields = [pa.array(c) for c in columns.values()]
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(fields, list(columns)))
 
 
-def _seeds(rows: DataFrame, z: Sizes) -> DataFrame:
-    """Each seed of each document once."""
-    def made(seeds: list, sizes: list, ages: list, hashes: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(seeds)), pa.array(np.repeat(np.array(ages, np.int64), sizes)),
-                                           pa.array(np.repeat(np.array(hashes, np.int64), sizes))], ["seed", "age", "th"])
+def _seeds(column: pa.BinaryArray, z: Sizes) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds of the values of a column, and the value each stands in."""
+    seeds, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for first, raw, bounds, inside in _parts(column, z.length):
+        grams, minima = _minima(raw, z.seed, z.seeds)
+        at = chosen(grams, np.where(inside, minima, np.uint64(0)), z.seeds)
+        seed, value = grams[at].view(np.int64), np.searchsorted(bounds, at, "right") + (first - 1)
+        new = np.ones(len(at), bool)
+        new[1:] = (seed[1:] != seed[:-1]) | (value[1:] != value[:-1])
+        seeds.append(seed[new])
+        of.append(value[new].astype(np.int32))
+    return np.concatenate(seeds), np.concatenate(of)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _hits(rows: DataFrame, z: Sizes) -> DataFrame:
+    """Seeds of each text that stand in several texts; some come twice.
+
+    A slice of the input knows by itself the seeds that several of its texts hold; these go out as hits, and
+    once into their bucket, so that a very common seed counts there once a slice.  All others go into their
+    buckets with their texts.
+    """
+    total = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+    buckets = int(total // BUCKET_BYTES) + 1
+
+    def dealt(bucket: np.ndarray, seed: np.ndarray, th: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(bucket, kind="stable")
+        each, n = np.unique(bucket, return_counts=True)
+        ends = pa.py_buffer((8 * np.append(0, np.cumsum(n))).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(each.astype(np.int32))] + [pa.Array.from_buffers(pa.binary(), len(each), [None, ends, pa.py_buffer(x[order])])
+                                                 for x in (seed, th)], ["bucket", "seeds", "ths"])
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ages, hashes = batch.column("age").to_numpy(), batch.column("th").to_numpy()
-            seeds, sizes, at = [], [], []
-            for i, buf in enumerate(batch.column("raw")):
-                grams, minima = _minima(np.frombuffer(buf.as_buffer(), np.uint8), z.seed, z.seeds)
-                seeds.append(np.unique(grams[chosen(grams, minima, z.seeds)]).view(np.int64))
-                sizes.append(len(seeds[-1]))
-                at.append(i)
-                if sum(sizes) >= 50_000 or i == len(batch) - 1:
-                    yield made(seeds, sizes, ages[at], hashes[at])
-                    seeds, sizes, at = [], [], []
-    return rows.select("age", "th", "raw").mapInArrow(run, "seed long, age long, th long")
+            for a, b in cuts(np.diff(_bytes(batch.column("raw"))[1]).tolist(), SLICE_BYTES):
+                part = batch.slice(a, b - a)
+                seed, of = _seeds(part.column("raw"), z)
+                if not len(seed):
+                    continue
+                th = part.column("th").to_numpy()[of]
+                order, first, again = _held(seed, th)
+                send = np.ones(len(seed), bool)
+                send[order] = ~again | first
+                to = (seed[send].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+                yield dealt(to, seed[send], th[send])
+                if again.any():
+                    found = np.sort(order[again])
+                    yield dealt(np.full(len(found), buckets + int(th[0] % buckets), np.int32), seed[found], th[found])
+
+    def met(table: pa.Table) -> pa.Table:
+        seed, th = (np.concatenate([_bytes(x)[0][_bytes(x)[1][0]:] for x in table.column(c).chunks]).view(np.int64)
+                    for c in ("seeds", "ths"))
+        if table.column("bucket")[0].as_py() < buckets:
+            order, _, again = _held(seed, th)
+            seed, th = seed[order[again]], th[order[again]]
+        return pa.table([th, seed], ["th", "seed"])
+
+    return (rows.select("th", "raw").mapInArrow(sent, "bucket int, seeds binary, ths binary")
+            .groupBy("bucket").applyInArrow(met, "th long, seed long"))
+
+
+def _held(seed: np.ndarray, th: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by seed and, in it, the first place of each seed and the places of seeds of several texts."""
+    order = np.argsort(seed, kind="stable")
+    s, t = seed[order], th[order]
+    first = np.append(True, s[1:] != s[:-1])[:len(s)]
+    group = np.cumsum(first) - 1
+    several = np.zeros(len(s), bool)
+    several[group[t != t[np.flatnonzero(first)[group]]]] = True
+    return order, first, several[group]
 
 
 def _contexts(rows: DataFrame, z: Sizes) -> DataFrame:
@@ -99,14 +173,15 @@ def _contexts(rows: DataFrame, z: Sizes) -> DataFrame:
         for batch in batches:
             hits, raws = batch.column("hits"), batch.column("raw")
             bound, seeds = hits.offsets.to_numpy(), hits.values.to_numpy(zero_copy_only=False)
-            found, sizes, digests = [], np.zeros(len(batch), np.int64), []
-            for i, buf in enumerate(raws):
-                raw = np.frombuffer(buf.as_buffer(), np.uint8)
-                runs = _runs(raw, seeds[bound[i]:bound[i + 1]], z) if bound[i] < bound[i + 1] else _NO_RUNS
-                sizes[i] = len(runs[0])
-                digests.append(None if sizes[i] else hashlib.sha256(raw).hexdigest())
+            found, sizes = [_NO_RUNS], [np.zeros(0, np.int64)]
+            for first, raw, bounds, inside in _parts(raws, z.length):
+                known = seeds[bound[first]:bound[first + len(bounds) - 1]]
+                value, *runs = _runs(raw, bounds, inside, known, z) if len(known) else (_NO_RUNS[1], *_NO_RUNS)
                 found.append(runs)
-            route, start, n = (np.concatenate([f[c] for f in found]) if found else _NO_RUNS[c] for c in range(3))
+                sizes.append(np.bincount(value, minlength=len(bounds) - 1))
+            sizes = np.concatenate(sizes)
+            digests = [None if n else hashlib.sha256(r.as_buffer()).hexdigest() for n, r in zip(sizes.tolist(), raws)]
+            route, start, n = (np.concatenate([f[c] for f in found]) for c in range(3))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("id", "age", "th")]
                 + [pc.binary_length(raws).cast(pa.int64()), pa.array(digests, pa.string()),
@@ -120,26 +195,29 @@ def _contexts(rows: DataFrame, z: Sizes) -> DataFrame:
 _NO_RUNS = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
 
 
-def _runs(raw: np.ndarray, hits: np.ndarray, z: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first string and number of strings of each context."""
+def _runs(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray, hits: np.ndarray,
+          z: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Value, anchor, first string and number of strings of each context."""
     _, minima = _minima(raw, z.seed, z.seeds)
     # neighbouring strings mostly share their seed: each stretch of equal ones is looked up once
     first = np.flatnonzero(np.append(True, minima[1:] != minima[:-1])) if len(minima) else _NO_RUNS[0]
-    found, seeds = np.sort(hits), minima[first].view(np.int64)
+    found, seeds = np.unique(hits), minima[first].view(np.int64)
     known = found[np.minimum(np.searchsorted(found, seeds), len(found) - 1)] == seeds
-    starts = np.flatnonzero(np.repeat(known, np.diff(np.append(first, len(minima)))))
+    starts = np.flatnonzero(np.repeat(known, np.diff(np.append(first, len(minima)))) & inside)
     if not len(starts):
-        return _NO_RUNS
+        return _NO_RUNS[1], *_NO_RUNS
     _, route = _minima(raw, z.anchor, z.anchors)
     route = route[starts].view(np.int64)
+    value = np.searchsorted(bounds, starts, "right") - 1
     new = np.ones(len(starts), bool)
-    new[1:] = (np.diff(starts) != 1) | (route[1:] != route[:-1])
+    new[1:] = (np.diff(starts) != 1) | (route[1:] != route[:-1]) | (value[1:] != value[:-1])
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(starts)))
     pieces = -(-size // z.anchors)  # longer runs only where one anchor value recurs
     of = np.repeat(np.arange(len(first)), pieces)
     skip = (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * z.anchors
-    return (route[first][of], (starts[first][of] + skip).astype(np.int32),
+    value = value[first][of]
+    return (value, route[first][of], (starts[first][of] - bounds[value] + skip).astype(np.int32),
             np.minimum(z.anchors, size[of] - skip).astype(np.int32))
 
 
@@ -283,14 +361,9 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_i
     copied = texts.groupBy("digest").agg(F.min("age").alias("lo"), F.max("age").alias("hi")).filter("lo < hi")
     later = stored(texts.join(copied, "digest").filter("age > lo").select("age", "th").distinct(), "later")
     fresh = rows.join(later, ["age", "th"], "left_anti")
-    # made twice rather than stored: the seeds take several times the room of their texts
-    seeds = _seeds(fresh, z)
-    index = stored(seeds.groupBy("seed").agg(F.min("age").alias("lo"), F.max("age").alias("hi"))
-                   .filter("lo < hi").select("seed"), "index")
-    release(spark)
-    hits = stored(seeds.join(index, "seed").groupBy("age", "th").agg(F.collect_set("seed").alias("hits")), "hits")
+    hits = stored(_hits(fresh, z).groupBy("th").agg(F.collect_set("seed").alias("hits")), "hits")
     release(spark)
-    cut = stored(_contexts(fresh.join(hits, ["age", "th"], "left").select("id", "age", "th", "raw", "hits"), z), "cut")
+    cut = stored(_contexts(fresh.join(hits, "th", "left").select("id", "age", "th", "raw", "hits"), z), "cut")
     release(spark)
 
     found = cut.filter("raw is not null")

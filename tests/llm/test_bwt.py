@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,5 +93,29 @@ def test_copies_of_a_common_passage_are_not_cut_into_strings(docs_of, monkeypatc
     assert made["decided" if "decided" in made else "pieces"].count() < 60
 
 
+def test_seeds_are_made_once_and_buckets_give_back_those_of_several_texts(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(bwt, "SLICE_BYTES", 3000)
+    monkeypatch.setattr(bwt, "BUCKET_BYTES", 2000)
+    rnd, made, z = random.Random(11), [], bwt.Sizes(50)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    texts = ["", "short", passage, passage[:49], passage[30:90], "é" * 400, "ñ" + passage[200:]]
+    texts += ["".join(rnd.choice("uvwxyz") for _ in range(rnd.randint(0, 300))) + passage * (i % 5 == 0) for i in range(60)]
+    raws = [t.encode() for t in texts]
+    each = [set(bwt._seeds(pa.array([x], pa.binary()), z)[0].tolist()) for x in raws]
+    seed, of = bwt._seeds(pa.array([b"left out", *raws], pa.binary())[1:], z)
+    assert [set(seed[of == i].tolist()) for i in range(len(raws))] == each
+    rows = spark.createDataFrame(list(enumerate(raws)), "th long, raw binary").repartition(3)
+    rows = rows.unionAll(rows.filter("th = 2"))  # the same text twice is one text
+    got = {}
+    for th, s in bwt._hits(rows, z).collect():
+        got.setdefault(th, set()).add(s)
+    want = {i: {s for s in x if sum(s in y for y in each) > 1} for i, x in enumerate(each)}
+    assert got == {i: x for i, x in want.items() if x}
+    write = bwt.stored
+    monkeypatch.setattr(bwt, "stored", lambda df, name: made.append(name) or write(df, name))
+    bwt.repeated_strings(docs_of(list(enumerate(texts)))).collect()
+    assert "index" not in made
+
+
 def test_empty_table(docs_of):
     assert bwt.repeated_strings(docs_of([])).count() == 0
